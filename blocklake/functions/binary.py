@@ -17,24 +17,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _fits(pos: Column, n: Column | int, total: Column) -> Column:
-    return pos.isNotNull() & (pos >= 1) & (pos + n - 1 <= total)
+def read_bytes(data: Column, pos: Column, n: Column | int) -> Column:
+    """`n` bytes at 1-based `pos`; null when a position or length does not fit an int.
 
-
-def read_bytes(data: Column, pos: Column, n: Column | int, total: Column) -> Column:
-    """`n` bytes at 1-based `pos`, or null when the read leaves the record."""
+    A read running past the end comes back short; that is caught once, by the check that a record is
+    consumed exactly, so each position is referenced a single time here. Keeping every position
+    single-use matters: the optimizer substitutes aliases when it pushes filters down, and a position
+    used k times per read would grow the expression by k at every level of the record.
+    """
     n_col = n if isinstance(n, Column) else F.lit(n)
-    return F.when(_fits(pos, n_col, total) & (n_col >= 0), data.substr(pos.cast("int"), n_col.cast("int")))
+    return data.substr(pos.try_cast("int"), n_col.try_cast("int"))
 
 
-def read_u8(data: Column, pos: Column, total: Column) -> Column:
-    return F.conv(F.hex(read_bytes(data, pos, 1, total)), 16, 10).cast("long")
+def read_u8(data: Column, pos: Column) -> Column:
+    return F.conv(F.hex(read_bytes(data, pos, 1)), 16, 10).cast("long")
 
 
-def read_u32le(data: Column, pos: Column, total: Column) -> Column:
-    h = F.hex(read_bytes(data, pos, 4, total))
-    le = F.concat(h.substr(7, 2), h.substr(5, 2), h.substr(3, 2), h.substr(1, 2))
-    return F.conv(le, 16, 10).cast("long")
+def read_u32le(data: Column, pos: Column) -> Column:
+    # Little-endian: reverse the hex digits, then swap each digit pair back into a byte.
+    le_hex = F.regexp_replace(F.reverse(F.hex(read_bytes(data, pos, 4))), "(.)(.)", "$2$1")
+    return F.conv(le_hex, 16, 10).cast("long")
 
 
 def _utf8(b: Column) -> Column:
@@ -43,67 +45,56 @@ def _utf8(b: Column) -> Column:
 
 
 def decode_upload(df: DataFrame, data: str = "data") -> DataFrame:
-    """Add `upload` = struct(ok, kind, relative_path, offset, full_size, mime_type, content, nonce).
-
-    kind: 0 Simple, 1 Partial; for a Simple record `has_content` tells an upload from a deletion.
+    """Add the decoded record as `u_ok, u_kind, u_has_content, u_path, u_offset, u_full, u_mime,
+    u_content, u_nonce`. kind: 0 Simple, 1 Partial; `u_has_content` tells a Simple upload from a deletion.
     """
     d = F.col(data)
     total = F.octet_length(d).cast("long")
-    one = F.lit(1).cast("long")
-    x = df.withColumn("_tag", read_u8(d, one, total))
-    x = x.withColumn("_plen", read_u32le(d, one + 1, total))
-    x = x.withColumn("_path", read_bytes(d, F.lit(6).cast("long"), F.col("_plen"), total))
-    x = x.withColumn("_p", F.lit(6).cast("long") + F.col("_plen"))
-    # Simple: option byte, then mime + content when present.
-    x = x.withColumn("_opt", F.when(F.col("_tag") == 0, read_u8(d, F.col("_p"), total)))
-    sp = F.col("_p") + 1
-    x = x.withColumn("_s_mlen", F.when(F.col("_opt") == 1, read_u32le(d, sp, total)))
-    x = x.withColumn("_s_mime", read_bytes(d, sp + 4, F.col("_s_mlen"), total))
-    x = x.withColumn("_s_q", sp + 4 + F.col("_s_mlen"))
-    x = x.withColumn("_s_clen", read_u32le(d, F.col("_s_q"), total))
-    x = x.withColumn("_s_content", read_bytes(d, F.col("_s_q") + 4, F.col("_s_clen"), total))
-    x = x.withColumn("_s_end", F.when(F.col("_opt") == 0, sp).when(
-        F.col("_opt") == 1, F.col("_s_q") + 4 + F.col("_s_clen")))
+    tag = read_u8(d, F.lit(1).cast("long"))
+    plen = read_u32le(d, F.lit(2).cast("long"))
+    path_b = read_bytes(d, F.lit(6).cast("long"), plen)
+    p = F.lit(6).cast("long") + plen
+    # Simple: option byte, then (mime, content) when present.
+    opt = read_u8(d, p)
+    s_mlen = read_u32le(d, p + 1)
+    s_mime_b = read_bytes(d, p + 5, s_mlen)
+    s_q = p + 5 + s_mlen
+    s_clen = read_u32le(d, s_q)
+    s_content = read_bytes(d, s_q + 4, s_clen)
+    s_end = F.when(opt == 0, p + 1).when(opt == 1, s_q + 4 + s_clen)
     # Partial: offset, full_size, mime, chunk, nonce.
-    pp = F.col("_p")
-    is_p = F.col("_tag") == 1
-    x = x.withColumn("_offset", F.when(is_p, read_u32le(d, pp, total)))
-    x = x.withColumn("_full", F.when(is_p, read_u32le(d, pp + 4, total)))
-    x = x.withColumn("_p_mlen", F.when(is_p, read_u32le(d, pp + 8, total)))
-    x = x.withColumn("_p_mime", read_bytes(d, pp + 12, F.col("_p_mlen"), total))
-    x = x.withColumn("_p_q", pp + 12 + F.col("_p_mlen"))
-    x = x.withColumn("_p_clen", read_u32le(d, F.col("_p_q"), total))
-    x = x.withColumn("_p_chunk", read_bytes(d, F.col("_p_q") + 4, F.col("_p_clen"), total))
-    x = x.withColumn("_p_r", F.col("_p_q") + 4 + F.col("_p_clen"))
-    x = x.withColumn("_nonce", read_u32le(d, F.col("_p_r"), total))
-    x = x.withColumn("_p_end", F.col("_p_r") + 4)
-
-    path = _utf8(F.col("_path"))
-    s_mime = _utf8(F.col("_s_mime"))
-    p_mime = _utf8(F.col("_p_mime"))
-    simple_ok = (
-        (F.col("_tag") == 0) & path.isNotNull() & F.col("_s_end").isNotNull() & (F.col("_s_end") - 1 == total)
-        & ((F.col("_opt") == 0) | (s_mime.isNotNull() & F.col("_s_content").isNotNull()))
-    )
-    partial_ok = (
-        is_p & path.isNotNull() & p_mime.isNotNull() & F.col("_p_chunk").isNotNull()
-        & F.col("_nonce").isNotNull() & (F.col("_p_end") - 1 == total)
-    )
-    ok = F.coalesce(simple_ok | partial_ok, F.lit(False))
-    upload = F.struct(
-        ok.alias("ok"),
-        F.col("_tag").cast("int").alias("kind"),
-        (F.col("_opt") == 1).alias("has_content"),
-        path.alias("relative_path"),
-        F.when(is_p, F.col("_offset")).otherwise(F.lit(0).cast("long")).alias("offset"),
-        F.when(is_p, F.col("_full")).otherwise(F.coalesce(F.col("_s_clen"), F.lit(0).cast("long"))).alias(
-            "full_size"),
-        F.when(is_p, p_mime).otherwise(s_mime).alias("mime_type"),
-        F.when(is_p, F.col("_p_chunk")).otherwise(F.col("_s_content")).alias("content"),
-        F.when(is_p, F.col("_nonce")).otherwise(F.lit(0).cast("long")).alias("nonce"),
+    offset = read_u32le(d, p)
+    full = read_u32le(d, p + 4)
+    p_mlen = read_u32le(d, p + 8)
+    p_mime_b = read_bytes(d, p + 12, p_mlen)
+    p_q = p + 12 + p_mlen
+    p_clen = read_u32le(d, p_q)
+    chunk = read_bytes(d, p_q + 4, p_clen)
+    p_r = p_q + 4 + p_clen
+    nonce = read_u32le(d, p_r)
+    p_end = p_r + 4
+
+    is_s, is_p = tag == 0, tag == 1
+    path = _utf8(path_b)
+    mime = _utf8(F.when(is_p, p_mime_b).otherwise(F.when(opt == 1, s_mime_b)))
+    end = F.when(is_s, s_end).when(is_p, p_end)
+    # Exact consumption covers every read: a short read pushes `end` past the record.
+    ok = (end - 1 == total) & path.isNotNull() & (opt.isNull() | (opt == 0) | mime.isNotNull()) & (
+        ~is_p | (mime.isNotNull() & nonce.isNotNull()))
+    # Flat columns, not a struct: a struct field read counts as cheap to the optimizer, which would
+    # then inline the whole decode into every reference.
+    return df.select(
+        "*",
+        F.coalesce(ok, F.lit(False)).alias("u_ok"),
+        tag.cast("int").alias("u_kind"),
+        F.coalesce(is_s & (opt == 1), F.lit(False)).alias("u_has_content"),
+        path.alias("u_path"),
+        F.when(is_p, offset).otherwise(F.lit(0).cast("long")).alias("u_offset"),
+        F.when(is_p, full).otherwise(F.when(opt == 1, s_clen).otherwise(F.lit(0).cast("long"))).alias("u_full"),
+        mime.alias("u_mime"),
+        F.when(is_p, chunk).otherwise(F.when(opt == 1, s_content)).alias("u_content"),
+        F.when(is_p, nonce).otherwise(F.lit(0).cast("long")).alias("u_nonce"),
     )
-    tmp = [c for c in x.columns if c.startswith("_") and c not in df.columns]
-    return x.withColumn("upload", upload).drop(*tmp)
 
 
 def u32le(n: Column) -> Column:

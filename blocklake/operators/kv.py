@@ -119,12 +119,20 @@ def kv_edges(last: DataFrame) -> DataFrame:
     return live_edges(kv_edge_state(last))
 
 
+def all_accounts_state(last: DataFrame) -> DataFrame:
+    """KV-14 state: per predecessor, its newest write's (height, timestamp, order_id)."""
+    return latest_by(last.select("predecessor_id", "block_height", "block_timestamp", "order_id"),
+                     ["predecessor_id"], KV_VERSION)
+
+
+def all_accounts_view(state: DataFrame) -> DataFrame:
+    return state.select("predecessor_id", F.col("block_height").alias("last_block_height"),
+                        F.col("block_timestamp").alias("last_block_timestamp"))
+
+
 def all_accounts(last: DataFrame) -> DataFrame:
     """KV-14 `all_accounts`: per predecessor, height and timestamp of its newest write."""
-    w = F.max_by(F.struct("block_height", "block_timestamp"), F.struct(*KV_VERSION)).alias("_w")
-    return last.groupBy("predecessor_id").agg(w).select(
-        "predecessor_id", F.col("_w.block_height").alias("last_block_height"),
-        F.col("_w.block_timestamp").alias("last_block_timestamp"))
+    return all_accounts_view(all_accounts_state(last))
 
 
 def kv_by_block(kv: DataFrame) -> DataFrame:
@@ -155,15 +163,17 @@ def mv_kv_cur_key(history: DataFrame) -> DataFrame:
                                                        "current_account_id")])
 
 
-def derive_kv_tables(kv: DataFrame) -> dict[str, DataFrame]:
-    """Every KV table of one batch of exploded rows (SNK-5 fan-out)."""
+def derive_kv_tables(kv: DataFrame, cache=None) -> dict[str, DataFrame]:
+    """Every KV table of one batch of exploded rows (SNK-5 fan-out); `cache` may persist `last`."""
     last = kv_last(kv)
+    if cache is not None:
+        last = cache(last)
     return {
         "s_kv": kv_history(kv),
         "s_kv_last": last,
         "kv_reverse": kv_reverse(last),
         "kv_accounts": kv_accounts(last),
         "kv_edges": kv_edge_state(last),
-        "all_accounts": all_accounts(last),
+        "all_accounts": all_accounts_state(last),
         "s_kv_by_block": kv_by_block(kv),
     }

@@ -1,7 +1,8 @@
 """Named queries over the driver tables: each is `(spark, sf_dir) -> DataFrame`.
 
 These wire the fixture views (sources.fixtures) to the engine's operators; the same operator functions
-run inside the batch jobs (plans.jobs) and the streaming writers (streaming).
+run inside the batch jobs (plans.jobs) and the streaming writers (streaming.writers). Every query reads
+whole tables; lookup parameters are the lookup itself, not a way to shrink the input.
 """
 
 from __future__ import annotations
@@ -9,31 +10,130 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blocklake import schemas as S
+from blocklake.functions.columns import lww_version, order_id
+from blocklake.functions.paths import is_valid_relative_path
+from blocklake.operators import files as FS
 from blocklake.operators import kv as K
+from blocklake.operators import reports as RP
 from blocklake.operators import routing as R
-from blocklake.session import configure
+from blocklake.plans import lookups as Q
+from blocklake.plans.jobs import index_standard, ingest_calls
+from blocklake.plans.store import Store, expire, scan_suffix
+from blocklake.session import checkpoint_root, configure, scratch_path
 from blocklake.sources import fixtures as FX
+from blocklake.sources.blocks import flatten_blocks as flatten
+from blocklake.streaming.registry import STANDARDS, Cache, file_standard, register_standard
+from blocklake.streaming.writers import start_standard_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
+# Lookup parameters (accounts of the events and documents views).
+PRED, CONTRACT = "user7.near", "app1.near"
+FILE_PRED, FILE_CONTRACT, FILE_DOC = "src3", "en.fs.near", 243
+SCAN_LO, SCAN_HI = FX.EVENTS_HEIGHT_BASE + 97 * 100, FX.EVENTS_HEIGHT_BASE + 97 * 300
+KV_CUT_HEIGHT = FX.EVENTS_HEIGHT_BASE + 97 * 360
+EXPIRE_NOW_US = 1_707_955_200_000_000  # 2024-02-15 00:00:00 UTC
+STREAM_FILES = 6
+
 
 def query(fn: Query) -> Query:
     REGISTRY[fn.__name__] = fn
     return fn
 
 
-def event_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _text(df: DataFrame, c: str = "data") -> DataFrame:
+    return df.withColumn(c, F.col(c).cast("string"))
+
+
+# ------------------------------------------------------------------ fixture plumbing
+def event_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return R.to_blobs(FX.calls_from_events(spark, sf_dir))
+    return FX.calls_from_events(spark, sf_dir)
+
+
+def event_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.to_blobs(event_calls(spark, sf_dir))
 
 
 def event_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.explode_kv(R.by_suffix(event_blobs(spark, sf_dir), S.KV_SUFFIX))
 
 
+def event_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.kv_last(event_kv(spark, sf_dir))
+
+
+def doc_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File blobs of the documents view, materialized like a written blobs table.
+
+    The decoder then reads `data` as a column, as it does from the blobs table, instead of having
+    the fixture's record-encoding expressions substituted into every read.
+    """
+    configure(spark)
+    checkpoint_root(spark)
+    return R.by_suffix(R.to_blobs(FX.calls_from_documents(spark, sf_dir)), S.FILES_SUFFIX).checkpoint()
+
+
+def doc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FS.fastfs_latest(FS.decode_files(doc_blobs(spark, sf_dir), FX.DOC_ALIGNMENT))
+
+
+def _chunk_view(df: DataFrame) -> DataFrame:
+    return df.select(*[c for c in df.columns if c != "content"],
+                     F.md5("content").alias("content_md5"),
+                     F.octet_length("content").cast("int").alias("content_len"))
+
+
+# ------------------------------------------------------------------ ingest / routing
+@query
+def flatten_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2 + FLT-1 + PRJ-1 on nested blocks built from orders/lineitem."""
+    configure(spark)
+    return _text(flatten(FX.blocks_from_orders(spark, sf_dir)), "args")
+
+
+@query
+def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-2/3/4 + PRJ-1..3: every routed blob."""
+    return _text(event_blobs(spark, sf_dir))
+
+
+@query
+def suffix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = event_blobs(spark, sf_dir)
+    return b.groupBy("suffix").agg(F.count(F.lit(1)).alias("n_calls"),
+                                   F.countDistinct("block_height").alias("n_blocks"))
+
+
+@query
+def order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-4/5 on every blob."""
+    b = event_blobs(spark, sf_dir).select("receipt_id", "suffix", "block_height", "shard_id", "receipt_index",
+                                          "action_index", order_id().alias("order_id"))
+    return b.withColumn("lww_version", lww_version())
+
+
+@query
+def scan_suffix_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1 then SRC-3/4: blobs written partitioned by (suffix, bucket), range scan prunes buckets."""
+    store = Store(spark, scratch_path(spark, "store"))
+    ingest_calls(store, event_calls(spark, sf_dir), batch_id=0)
+    blobs = store.table("blobs").drop("ingest_ts_us")
+    return _text(scan_suffix(blobs, S.KV_SUFFIX, SCAN_LO, SCAN_HI))
+
+
+@query
+def expire_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3: blobs alive under the 30-day TTL at a fixed `now` (ingest time = block time here)."""
+    b = event_blobs(spark, sf_dir).withColumn("ingest_ts_us", F.expr("block_timestamp div 1000"))
+    return expire(b, EXPIRE_NOW_US).select("receipt_id", "suffix", "block_height")
+
+
+# ------------------------------------------------------------------ KV tables
 @query
 def kv_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.kv_history(event_kv(spark, sf_dir))
@@ -41,4 +141,220 @@ def kv_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kv_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.kv_last(event_kv(spark, sf_dir))
+    return event_last(spark, sf_dir)
+
+
+@query
+def kv_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.kv_reverse(event_last(spark, sf_dir))
+
+
+@query
+def all_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.all_accounts(event_last(spark, sf_dir))
+
+
+@query
+def kv_by_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.kv_by_block(event_kv(spark, sf_dir))
+
+
+@query
+def kv_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.kv_accounts(event_last(spark, sf_dir))
+
+
+@query
+def kv_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.kv_edges(event_last(spark, sf_dir))
+
+
+@query
+def mv_kv_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.mv_kv_key(K.kv_history(event_kv(spark, sf_dir)))
+
+
+@query
+def mv_kv_cur_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.mv_kv_cur_key(K.kv_history(event_kv(spark, sf_dir)))
+
+
+@query
+def kv_last_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-5/7: KV deltas written in shuffled batches plus one replayed batch, merged on read."""
+    store = Store(spark, scratch_path(spark, "store"))
+    blobs = event_blobs(spark, sf_dir).withColumn("_part", F.pmod(F.xxhash64("receipt_id"), F.lit(3)))
+    for batch_id, part in [(0, 2), (1, 0), (2, 1), (3, 0)]:
+        index_standard(store, blobs.where(F.col("_part") == part).drop("_part"), batch_id, S.KV_SUFFIX)
+    return store.table("s_kv_last")
+
+
+@query
+def raw_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT-1: the registered `raw` standard's table."""
+    return STANDARDS[S.RAW_SUFFIX].transform(R.by_suffix(event_blobs(spark, sf_dir), S.RAW_SUFFIX), Cache())["s_raw"]
+
+
+# ------------------------------------------------------------------ lookups
+@query
+def get_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.get_latest(event_last(spark, sf_dir), PRED, CONTRACT, "click")
+
+
+@query
+def list_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.list_keys(event_last(spark, sf_dir), PRED, CONTRACT)
+
+
+@query
+def key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.key_history(K.kv_history(event_kv(spark, sf_dir)), PRED, CONTRACT, "graph/follow/user3.near")
+
+
+@query
+def key_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.key_prefix(event_last(spark, sf_dir), PRED, CONTRACT, "graph/")
+
+
+@query
+def predecessors_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.predecessors_page(K.kv_reverse(event_last(spark, sf_dir)), CONTRACT, "click", cursor="user1.near",
+                               limit=5)
+
+
+@query
+def followers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.followers(K.kv_edges(event_last(spark, sf_dir)), "graph/follow", "user3.near")
+
+
+@query
+def contract_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.contract_accounts(K.kv_accounts(event_last(spark, sf_dir)), "app2.near")
+
+
+@query
+def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.timeline(K.kv_by_block(event_kv(spark, sf_dir)), PRED, CONTRACT)
+
+
+@query
+def key_across_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.key_across_accounts(K.mv_kv_key(K.kv_history(event_kv(spark, sf_dir))), "view")
+
+
+@query
+def contract_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.contract_history(K.mv_kv_cur_key(K.kv_history(event_kv(spark, sf_dir))), "app0.near", "purchase")
+
+
+@query
+def account_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.account_registry(K.all_accounts(event_last(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ files
+@query
+def file_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FS-1..FS-8: `s_fastfs_v2` (content shown as md5 + length)."""
+    return _chunk_view(doc_chunks(spark, sf_dir))
+
+
+@query
+def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.list_files(doc_chunks(spark, sf_dir), FILE_PRED, FILE_CONTRACT)
+
+
+@query
+def file_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chunk_view(Q.file_uploads(doc_chunks(spark, sf_dir), FILE_PRED, FILE_CONTRACT,
+                                      f"{FILE_PRED}/en/{FILE_DOC}.txt"))
+
+
+@query
+def upload_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chunk_view(Q.upload_chunks(doc_chunks(spark, sf_dir), FILE_PRED, FILE_CONTRACT,
+                                       f"{FILE_PRED}/en/{FILE_DOC}.txt", FILE_DOC + 1))
+
+
+@query
+def file_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FS-9: every upload reassembled from its chunks (md5 of the bytes)."""
+    a = FS.assemble_files(doc_chunks(spark, sf_dir), FX.DOC_ALIGNMENT)
+    return a.select(*[c for c in a.columns if c != "content"], F.md5("content").alias("content_md5"))
+
+
+@query
+def path_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FS-2 on the paths of real page URLs."""
+    return FX.page_paths(spark, sf_dir).withColumn("is_valid", is_valid_relative_path("relative_path"))
+
+
+# ------------------------------------------------------------------ reports
+@query
+def reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-1 over both inputs: routing, KV blob/key and file rejects with their reasons."""
+    calls = event_calls(spark, sf_dir)
+    blobs = R.to_blobs(calls)
+    rej = (R.suffix_rejects(calls)
+           .unionByName(K.kv_rejects(R.by_suffix(blobs, S.KV_SUFFIX)))
+           .unionByName(FS.file_rejects(doc_blobs(spark, sf_dir), FX.DOC_ALIGNMENT)))
+    return RP.reject_summary(rej)
+
+
+@query
+def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RP.throughput(event_calls(spark, sf_dir))
+
+
+@query
+def checkpoint_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-14: raw stage fully ingested, `kv` indexed up to a cut height, `raw` fully: lag per standard."""
+    store = Store(spark, scratch_path(spark, "store"))
+    ingest_calls(store, event_calls(spark, sf_dir), batch_id=0)
+    blobs = store.table("blobs")
+    index_standard(store, blobs.where(F.col("block_height") <= KV_CUT_HEIGHT), 0, S.KV_SUFFIX)
+    index_standard(store, blobs, 0, S.RAW_SUFFIX)
+    return RP.checkpoint_lag(store.meta())
+
+
+# ------------------------------------------------------------------ streaming
+def _stream_store(spark: SparkSession, sf_dir: str, blobs: DataFrame, suffix: str) -> Store:
+    """Blobs split into height-ordered files, one file per micro-batch, and one file replayed."""
+    src = scratch_path(spark, "stream-src")
+    blobs.repartitionByRange(STREAM_FILES, "block_height").write.parquet(src)
+    files = sorted(spark.read.schema(S.BLOBS_SCHEMA).parquet(src).inputFiles())
+    store = Store(spark, scratch_path(spark, "store"))
+    q = start_standard_stream(spark, src, store, suffix, scratch_path(spark, "stream-ckpt"), available_now=True,
+                              max_files_per_trigger=1)
+    q.awaitTermination()
+    if files:
+        # Replay: the first file again under a new name arrives as one more micro-batch.
+        spark.read.parquet(files[0]).coalesce(1).write.mode("append").parquet(src)
+        q = start_standard_stream(spark, src, store, suffix, scratch_path(spark, "stream-ckpt2"),
+                                  available_now=True, max_files_per_trigger=1)
+        q.awaitTermination()
+    return store
+
+
+@query
+def stream_kv_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-*: `s_kv_last` built by a file stream of blobs (with a replayed file) equals the batch table."""
+    return _stream_store(spark, sf_dir, event_blobs(spark, sf_dir), S.KV_SUFFIX).table("s_kv_last")
+
+
+@query
+def stream_kv_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-*: live edges from the streamed edge state (tombstones kept in the deltas)."""
+    store = _stream_store(spark, sf_dir, event_blobs(spark, sf_dir), S.KV_SUFFIX)
+    return K.live_edges(store.table("kv_edges"))
+
+
+@query
+def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-* for the file standard (4 KiB alignment of the document view)."""
+    register_standard("fastfs", file_standard(FX.DOC_ALIGNMENT))
+    try:
+        store = _stream_store(spark, sf_dir, doc_blobs(spark, sf_dir), S.FILES_SUFFIX)
+        return _chunk_view(store.table("s_fastfs_v2")).drop("batch_id")
+    finally:
+        register_standard("fastfs", file_standard(S.OFFSET_ALIGNMENT))

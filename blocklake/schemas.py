@@ -2,7 +2,7 @@
 
 Every table is declared here once; nothing is inferred at read time. The catalog records, per table,
 the key a row is unique on, the columns that decide which version of a key wins, and the physical
-layout used when the table is written (directory partitions, hash buckets and sort order).
+layout used when the table is written (directory partitions and sort order).
 """
 
 from __future__ import annotations
@@ -123,17 +123,13 @@ class TableSpec:
     key: tuple[str, ...]
     # Columns whose struct ordering picks the winning row per key; empty = append-only history.
     version: tuple[str, ...] = ()
-    # Directory partition columns (low cardinality only: suffix, time bucket, hash bucket, batch).
-    partition_by: tuple[str, ...] = ()
-    # Columns hashed into the `hb` bucket column (a function of the merge key only).
-    hash_bucket_on: tuple[str, ...] = ()
+    # Directory partition columns (low cardinality only: suffix, time bucket, batch).
+    partition_by: tuple[str, ...] = ("batch_id",)
     # Sort order inside each file: row-group min/max then prune point lookups.
     sort_by: tuple[str, ...] = ()
     descending: frozenset[str] = field(default_factory=frozenset)
 
 
-HASH_BUCKETS = 64
-
 CATALOG: dict[str, TableSpec] = {
     t.name: t
     for t in [
@@ -141,7 +137,7 @@ CATALOG: dict[str, TableSpec] = {
             "blobs",
             key=("suffix", "block_height_bucket", "block_height", "shard_id", "receipt_index", "action_index",
                  "receipt_id"),
-            partition_by=("suffix", "block_height_bucket"),
+            partition_by=("suffix", "block_height_bucket", "batch_id"),
             sort_by=("block_height", "shard_id", "receipt_index", "action_index", "receipt_id"),
         ),
         TableSpec("meta", key=("suffix",)),
@@ -155,23 +151,20 @@ CATALOG: dict[str, TableSpec] = {
             "s_kv_last",
             key=("predecessor_id", "current_account_id", "key"),
             version=("block_height", "order_id"),
-            partition_by=("hb",),
-            hash_bucket_on=("predecessor_id", "current_account_id", "key"),
+            partition_by=("batch_id",),
             sort_by=("predecessor_id", "current_account_id", "key"),
         ),
         TableSpec(
             "kv_reverse",
             key=("current_account_id", "key", "predecessor_id"),
             version=("block_height", "order_id"),
-            partition_by=("hb",),
-            hash_bucket_on=("current_account_id", "key", "predecessor_id"),
+            partition_by=("batch_id",),
             sort_by=("current_account_id", "key", "predecessor_id"),
         ),
         TableSpec(
             "kv_accounts",
             key=("current_account_id", "key", "predecessor_id"),
-            partition_by=("hb",),
-            hash_bucket_on=("current_account_id", "key", "predecessor_id"),
+            partition_by=("batch_id",),
             sort_by=("current_account_id", "key", "predecessor_id"),
         ),
         TableSpec(
@@ -179,16 +172,14 @@ CATALOG: dict[str, TableSpec] = {
             key=("edge_type", "target", "source"),
             # Deletion beats insert on an equal version, then the greater value, then the greater contract.
             version=("block_height", "order_id", "is_deletion", "value", "current_account_id"),
-            partition_by=("hb",),
-            hash_bucket_on=("edge_type", "target", "source"),
+            partition_by=("batch_id",),
             sort_by=("edge_type", "target", "source"),
         ),
         TableSpec(
             "all_accounts",
             key=("predecessor_id",),
             version=("block_height", "order_id"),
-            partition_by=("hb",),
-            hash_bucket_on=("predecessor_id",),
+            partition_by=("batch_id",),
             sort_by=("predecessor_id",),
         ),
         TableSpec(
@@ -203,8 +194,7 @@ CATALOG: dict[str, TableSpec] = {
             "s_fastfs_v2",
             key=("predecessor_id", "current_account_id", "relative_path", "nonce", "offset"),
             version=("block_height", "shard_id", "receipt_index", "action_index"),
-            partition_by=("hb",),
-            hash_bucket_on=("predecessor_id", "current_account_id", "relative_path", "nonce", "offset"),
+            partition_by=("batch_id",),
             sort_by=("predecessor_id", "current_account_id", "relative_path", "nonce", "offset"),
         ),
     ]

@@ -98,8 +98,201 @@ def with_calls(body: str) -> str:
 
 
 KV_COLS = PROV + ", order_id, key, value"
+REVERSE_COLS = ("current_account_id, key, predecessor_id, receipt_id, action_index, tx_hash, signer_id, block_height, "
+                "block_timestamp, shard_id, receipt_index, order_id, value")
+BLOB_COLS = ("receipt_id, action_index, suffix, block_height_bucket, data, tx_hash, signer_id, predecessor_id, "
+             "current_account_id, block_height, block_timestamp, shard_id, receipt_index")
+BY_BLOCK = f"""SELECT predecessor_id, current_account_id, block_height, key, value, block_timestamp, order_id,
+       receipt_id, tx_hash
+FROM kv
+QUALIFY row_number() OVER (PARTITION BY predecessor_id, current_account_id, block_height, key
+                           ORDER BY order_id DESC) = 1"""
+ACCOUNTS = """SELECT predecessor_id, block_height AS last_block_height, block_timestamp AS last_block_timestamp
+FROM kv_last
+QUALIFY row_number() OVER (PARTITION BY predecessor_id ORDER BY block_height DESC, order_id DESC) = 1"""
+
+PRED, CONTRACT = "'user7.near'", "'app1.near'"
+SCAN_LO, SCAN_HI = 100_000_000 + 97 * 100, 100_000_000 + 97 * 300
+KV_CUT = 100_000_000 + 97 * 360
+EXPIRE_CUTOFF_US = 1_707_955_200_000_000 - 2_592_000 * 1_000_000
+
+FLATTEN = f"""WITH o AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_orderkey // 32 AS blk,
+         CAST(o_custkey % 4 AS INTEGER) AS shard_id,
+         CAST(row_number() OVER (PARTITION BY o_orderkey // 32, o_custkey % 4 ORDER BY o_orderkey) - 1 AS INTEGER)
+           AS receipt_index
+  FROM orders
+),
+li AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey
+           ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) - 1 AS INTEGER) AS action_index
+  FROM lineitem
+)
+SELECT 'r' || {_v('o_orderkey')} AS receipt_id, action_index,
+       CASE WHEN o_orderkey % 10 <> 0 THEN 'tx' || {_v('o_orderkey')} END AS tx_hash,
+       'cust' || {_v('o_custkey')} || '.near' AS signer_id,
+       'cust' || {_v('o_custkey')} || '.near' AS predecessor_id,
+       'shop' || {_v('o_orderkey % 5')} || '.near' AS current_account_id,
+       CAST(100000000 + blk AS BIGINT) AS block_height,
+       CAST((1700000000 + blk) * 1000000000 AS BIGINT) AS block_timestamp,
+       shard_id, receipt_index,
+       CASE WHEN l_linestatus = 'O' THEN '__fastdata_kv' ELSE '__fastdata_raw' END AS method_name,
+       '{{"part/' || {_v('l_partkey')} || '":' || {_v('l_suppkey')} || '}}' AS args
+FROM o JOIN li ON o.o_orderkey = li.l_orderkey
+WHERE o_orderstatus <> 'P' AND l_returnflag <> 'N'"""
+
+PATH_OK = (r"(regexp_full_match({p}, '[\x20-\x24\x26-\x7e]+') AND strlen({p}) <= 1024 "
+           r"AND NOT regexp_matches({p}, '(^|/)\.{{0,2}}(/|$)') AND NOT regexp_matches({p}, '(^|\\)\.{{0,2}}(\\|$)'))")
+
+FILES_CTE = f"""docs AS (
+  SELECT doc_id, source || '/' || lang || '/' || {_v('doc_id')} || '.txt' AS relative_path, encode(text) AS bytes,
+         source AS pred, lang || '.fs.near' AS contract, octet_length(encode(text)) AS n,
+         greatest(1, (octet_length(encode(text)) + 4095) // 4096) AS nchunks
+  FROM documents
+),
+valid AS (SELECT * FROM docs WHERE {PATH_OK.format(p='relative_path')}),
+simple AS (
+  SELECT *, 0 AS c, CASE WHEN doc_id % 20 = 0 THEN 1 ELSE 0 END AS late FROM valid WHERE nchunks = 1
+),
+partial AS (
+  SELECT *, 0 AS late FROM (SELECT *, unnest(range(0, nchunks)) AS c FROM valid WHERE nchunks > 1 AND n <= 131072)
+),
+chunk_rows AS (
+  SELECT doc_id, relative_path, pred, contract, c, late,
+         CASE WHEN late = 1 THEN NULL ELSE 'text/plain' END AS mime_type,
+         CASE WHEN late = 1 THEN NULL ELSE md5(bytes) END AS content_md5,
+         CASE WHEN late = 1 THEN NULL ELSE CAST(n AS INTEGER) END AS content_len,
+         0 AS off, CASE WHEN late = 1 THEN 0 ELSE n END AS full_size, 0 AS nonce
+  FROM simple
+  UNION ALL
+  SELECT doc_id, relative_path, pred, contract, c, late, 'text/plain',
+         md5(unhex(substr(hex(bytes), c * 8192 + 1, 8192))),
+         CAST(least(4096, n - c * 4096) AS INTEGER), c * 4096, n, doc_id + 1
+  FROM partial
+),
+chunks AS (
+  SELECT 'fs' || {_v('doc_id')} || '-' || {_v('c')} || '-' || {_v('late')} AS receipt_id,
+         CAST(c AS INTEGER) AS action_index,
+         CASE WHEN doc_id % 7 <> 0 THEN 'ftx' || {_v('doc_id')} END AS tx_hash,
+         pred AS signer_id, pred AS predecessor_id, contract AS current_account_id,
+         CAST(200000000 + doc_id * 2 + late AS BIGINT) AS block_height,
+         CAST((200000000 + doc_id * 2 + late) * 1000000000 AS BIGINT) AS block_timestamp,
+         CAST(doc_id % 4 AS INTEGER) AS shard_id, CAST(doc_id % 1000 AS INTEGER) AS receipt_index,
+         mime_type, relative_path, CAST(off AS INTEGER) AS "offset", CAST(full_size AS INTEGER) AS full_size,
+         CAST(nonce AS INTEGER) AS nonce, content_md5, content_len
+  FROM chunk_rows
+)"""
+
+CHUNK_COLS = PROV + ', mime_type, relative_path, "offset", full_size, nonce, content_md5, content_len'
+
+REJECTS = f"""WITH {CALLS_CTE},
+{FILES_CTE},
+rej AS (
+  SELECT 'route' AS stage, 'invalid_suffix' AS reason FROM tagged
+  WHERE suffix IS NOT NULL AND NOT regexp_full_match(suffix, '[A-Za-z0-9_-]{{1,64}}')
+  UNION ALL
+  SELECT 'kv_blob', CASE WHEN NOT json_valid(data) THEN 'invalid_json'
+                         WHEN json_type(data) <> 'OBJECT' THEN 'not_object'
+                         WHEN len(list_distinct(json_keys(data))) > 256 THEN 'too_many_keys'
+                         WHEN NOT (receipt_index < 100000 AND action_index < 1000) THEN 'order_id_overflow' END
+  FROM blobs WHERE suffix = 'kv'
+  UNION ALL
+  SELECT 'kv_key', CASE WHEN strlen(j.key) > 1024 THEN 'key_too_long' ELSE 'invalid_key' END
+  FROM kvb, json_each(kvb.data) AS j
+  WHERE NOT (j.key <> '' AND strlen(j.key) <= 1024 AND NOT regexp_matches(j.key, '\\p{{Cc}}'))
+  UNION ALL
+  SELECT 'files', 'invalid_partial'
+  FROM (SELECT unnest(range(0, nchunks)) FROM valid WHERE nchunks > 1 AND n > 131072)
+  UNION ALL
+  SELECT 'files', CASE WHEN nchunks = 1 THEN 'invalid_simple' ELSE 'invalid_partial' END
+  FROM (SELECT nchunks, unnest(range(0, nchunks + CASE WHEN nchunks = 1 AND doc_id % 20 = 0 THEN 1 ELSE 0 END))
+        FROM docs WHERE NOT {PATH_OK.format(p='relative_path')})
+)
+SELECT stage, reason, count(*) AS n FROM rej WHERE reason IS NOT NULL GROUP BY stage, reason"""
+
+
+def with_files(body: str) -> str:
+    return f"WITH {FILES_CTE}\n{body}"
+
 
 ORACLE: dict[str, str] = {
+    "flatten_blocks": FLATTEN,
+    "raw_calls": with_calls(f"SELECT {BLOB_COLS} FROM blobs"),
+    "suffix_counts": with_calls(
+        "SELECT suffix, count(*) AS n_calls, count(DISTINCT block_height) AS n_blocks FROM blobs GROUP BY suffix"),
+    "order_ids": with_calls("""SELECT *, block_height * 1000000000 + order_id AS lww_version FROM (
+  SELECT receipt_id, suffix, block_height, shard_id, receipt_index, action_index,
+         CASE WHEN receipt_index BETWEEN 0 AND 99999 AND action_index BETWEEN 0 AND 999 AND shard_id >= 0
+              THEN CAST((CAST(shard_id AS BIGINT) * 100000 + receipt_index) * 1000 + action_index AS BIGINT) END
+           AS order_id
+  FROM blobs)"""),
+    "scan_suffix_range": with_calls(
+        f"SELECT {BLOB_COLS} FROM blobs WHERE suffix = 'kv' AND block_height BETWEEN {SCAN_LO} AND {SCAN_HI}"),
+    "expire_blobs": with_calls(
+        f"SELECT receipt_id, suffix, block_height FROM blobs WHERE block_timestamp // 1000 > {EXPIRE_CUTOFF_US}"),
     "kv_history": with_calls(f"SELECT {KV_COLS} FROM kv"),
     "kv_last": with_calls(f"SELECT {KV_COLS} FROM kv_last"),
+    "kv_reverse": with_calls(f"SELECT {REVERSE_COLS} FROM kv_last"),
+    "all_accounts": with_calls(ACCOUNTS),
+    "kv_by_block": with_calls(BY_BLOCK),
+    "kv_accounts": with_calls("SELECT current_account_id, key, predecessor_id FROM kv_last"),
+    "kv_edges": with_calls("SELECT * FROM kv_edges"),
+    "mv_kv_key": with_calls(f"SELECT {KV_COLS} FROM kv"),
+    "mv_kv_cur_key": with_calls(f"SELECT {KV_COLS} FROM kv"),
+    "kv_last_incremental": with_calls(f"SELECT {KV_COLS} FROM kv_last"),
+    "raw_standard": with_calls(f"SELECT {PROV}, data FROM blobs WHERE suffix = 'raw'"),
+    "get_latest": with_calls(
+        f"SELECT {KV_COLS} FROM kv_last WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT} "
+        "AND key = 'click'"),
+    "list_keys": with_calls(
+        f"SELECT {KV_COLS} FROM kv_last WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT}"),
+    "key_history": with_calls(
+        f"SELECT {KV_COLS} FROM kv WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT} "
+        "AND key = 'graph/follow/user3.near'"),
+    "key_prefix": with_calls(
+        f"SELECT {KV_COLS} FROM kv_last WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT} "
+        "AND starts_with(key, 'graph/')"),
+    "predecessors_page": with_calls(
+        f"SELECT {REVERSE_COLS} FROM kv_last WHERE current_account_id = {CONTRACT} AND key = 'click' "
+        "AND predecessor_id > 'user1.near' ORDER BY predecessor_id LIMIT 5"),
+    "followers": with_calls("SELECT source FROM kv_edges WHERE edge_type = 'graph/follow' AND target = 'user3.near'"),
+    "contract_accounts": with_calls(
+        "SELECT current_account_id, key, predecessor_id FROM kv_last WHERE current_account_id = 'app2.near'"),
+    "timeline": with_calls(
+        f"SELECT * FROM ({BY_BLOCK}) WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT}"),
+    "key_across_accounts": with_calls(f"SELECT {KV_COLS} FROM kv WHERE key = 'view'"),
+    "contract_history": with_calls(
+        f"SELECT {KV_COLS} FROM kv WHERE current_account_id = 'app0.near' AND key = 'purchase'"),
+    "account_registry": with_calls(ACCOUNTS),
+    "file_chunks": with_files(f"SELECT {CHUNK_COLS} FROM chunks"),
+    "file_list": with_files(
+        "SELECT DISTINCT relative_path FROM chunks WHERE predecessor_id = 'src3' AND current_account_id = 'en.fs.near'"),
+    "file_uploads": with_files(
+        f"SELECT {CHUNK_COLS} FROM chunks WHERE predecessor_id = 'src3' AND current_account_id = 'en.fs.near' "
+        "AND relative_path = 'src3/en/243.txt'"),
+    "upload_chunks": with_files(
+        f"SELECT {CHUNK_COLS} FROM chunks WHERE predecessor_id = 'src3' AND current_account_id = 'en.fs.near' "
+        "AND relative_path = 'src3/en/243.txt' AND nonce = 244"),
+    "file_assemble": with_files("""SELECT pred AS predecessor_id, contract AS current_account_id, relative_path,
+       CAST(CASE WHEN nchunks = 1 THEN 0 ELSE doc_id + 1 END AS INTEGER) AS nonce, 'text/plain' AS mime_type,
+       CAST(n AS INTEGER) AS full_size, CAST(nchunks AS INTEGER) AS n_chunks, true AS complete,
+       md5(bytes) AS content_md5
+FROM valid WHERE (nchunks = 1 AND doc_id % 20 <> 0) OR (nchunks > 1 AND n <= 131072)"""),
+    "path_checks": f"""SELECT page_id, relative_path, COALESCE({PATH_OK.format(p='relative_path')}, false) AS is_valid
+FROM (SELECT page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/(.*)$', 1) AS relative_path FROM pages)""",
+    "reject_report": REJECTS,
+    "throughput": with_calls("""SELECT block_timestamp // 3600000000000 * 3600000000000 AS window_start_ns,
+       count(DISTINCT block_height) AS n_blocks, count(*) AS n_calls
+FROM calls GROUP BY 1"""),
+    "checkpoint_lag": with_calls(f"""SELECT suffix, last_processed_block_height, head_height,
+       head_height - last_processed_block_height AS lag_blocks
+FROM (SELECT 'kv' AS suffix,
+             (SELECT max(block_height) FROM blobs WHERE suffix = 'kv' AND block_height <= {KV_CUT})
+               AS last_processed_block_height
+      UNION ALL
+      SELECT 'raw', (SELECT max(block_height) FROM blobs WHERE suffix = 'raw')) m,
+     (SELECT max(block_height) AS head_height FROM blobs) h"""),
+    "stream_kv_last": with_calls(f"SELECT {KV_COLS} FROM kv_last"),
+    "stream_kv_edges": with_calls("SELECT * FROM kv_edges"),
+    "stream_files": with_files(f"SELECT {CHUNK_COLS} FROM chunks"),
 }
