@@ -44,57 +44,69 @@ def _utf8(b: Column) -> Column:
     return F.when(F.is_valid_utf8(s), s)
 
 
+def _level(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add `cols`, then pass the rows through a one-row explode.
+
+    Catalyst neither collapses projections nor pushes filters through a Generate, so the next level
+    reads these columns as plain values: each field is decoded once and expression code grows with
+    the sum of the levels, not their product (which overflows the 64 KB method limit of codegen).
+    """
+    x = df.select("*", *[c.alias(n) for n, c in cols.items()])
+    return x.select(F.explode(F.array(F.struct(*[F.col(c) for c in x.columns]))).alias("_r")).select("_r.*")
+
+
 def decode_upload(df: DataFrame, data: str = "data") -> DataFrame:
     """Add the decoded record as `u_ok, u_kind, u_has_content, u_path, u_offset, u_full, u_mime,
     u_content, u_nonce`. kind: 0 Simple, 1 Partial; `u_has_content` tells a Simple upload from a deletion.
     """
-    d = F.col(data)
-    total = F.octet_length(d).cast("long")
-    tag = read_u8(d, F.lit(1).cast("long"))
-    plen = read_u32le(d, F.lit(2).cast("long"))
-    path_b = read_bytes(d, F.lit(6).cast("long"), plen)
-    p = F.lit(6).cast("long") + plen
-    # Simple: option byte, then (mime, content) when present.
-    opt = read_u8(d, p)
-    s_mlen = read_u32le(d, p + 1)
-    s_mime_b = read_bytes(d, p + 5, s_mlen)
-    s_q = p + 5 + s_mlen
-    s_clen = read_u32le(d, s_q)
-    s_content = read_bytes(d, s_q + 4, s_clen)
-    s_end = F.when(opt == 0, p + 1).when(opt == 1, s_q + 4 + s_clen)
-    # Partial: offset, full_size, mime, chunk, nonce.
-    offset = read_u32le(d, p)
-    full = read_u32le(d, p + 4)
-    p_mlen = read_u32le(d, p + 8)
-    p_mime_b = read_bytes(d, p + 12, p_mlen)
-    p_q = p + 12 + p_mlen
-    p_clen = read_u32le(d, p_q)
-    chunk = read_bytes(d, p_q + 4, p_clen)
-    p_r = p_q + 4 + p_clen
-    nonce = read_u32le(d, p_r)
-    p_end = p_r + 4
-
-    is_s, is_p = tag == 0, tag == 1
-    path = _utf8(path_b)
-    mime = _utf8(F.when(is_p, p_mime_b).otherwise(F.when(opt == 1, s_mime_b)))
-    end = F.when(is_s, s_end).when(is_p, p_end)
-    # Exact consumption covers every read: a short read pushes `end` past the record.
-    ok = (end - 1 == total) & path.isNotNull() & (opt.isNull() | (opt == 0) | mime.isNotNull()) & (
-        ~is_p | (mime.isNotNull() & nonce.isNotNull()))
-    # Flat columns, not a struct: a struct field read counts as cheap to the optimizer, which would
-    # then inline the whole decode into every reference.
-    return df.select(
-        "*",
+    d, c = F.col(data), F.col
+    one = F.lit(1).cast("long")
+    # Level 1: tag, path length, end of path.
+    x = _level(df, _tag=read_u8(d, one), _p=F.lit(6).cast("long") + read_u32le(d, one + 1))
+    # Level 2: Simple option byte + mime length; Partial offset, full_size, mime length.
+    is_p = c("_tag") == 1
+    x = _level(
+        x,
+        _opt=F.when(c("_tag") == 0, read_u8(d, c("_p"))),
+        _s_mlen=read_u32le(d, c("_p") + 1),
+        _offset=read_u32le(d, c("_p")),
+        _full=read_u32le(d, c("_p") + 4),
+        _p_mlen=read_u32le(d, c("_p") + 8),
+    )
+    # Level 3: content / chunk lengths.
+    x = _level(x, _s_q=c("_p") + 5 + c("_s_mlen"), _p_q=c("_p") + 12 + c("_p_mlen"))
+    x = _level(x, _s_clen=read_u32le(d, c("_s_q")), _p_clen=read_u32le(d, c("_p_q")))
+    # Level 4: payloads, nonce and the end of the record.
+    x = _level(x, _p_r=c("_p_q") + 4 + c("_p_clen"))
+    opt1 = c("_opt") == 1
+    mime_b = F.when(is_p, read_bytes(d, c("_p") + 12, c("_p_mlen"))).when(opt1, read_bytes(d, c("_p") + 5,
+                                                                                             c("_s_mlen")))
+    x = _level(
+        x,
+        _path=_utf8(read_bytes(d, F.lit(6).cast("long"), c("_p") - 6)),
+        _mime=_utf8(mime_b),
+        _content=F.when(is_p, read_bytes(d, c("_p_q") + 4, c("_p_clen"))).when(
+            opt1, read_bytes(d, c("_s_q") + 4, c("_s_clen"))),
+        _nonce=F.when(is_p, read_u32le(d, c("_p_r"))),
+        _end=F.when(c("_tag") == 0, F.when(c("_opt") == 0, c("_p") + 1).when(opt1, c("_s_q") + 4 + c("_s_clen")))
+        .when(is_p, c("_p_r") + 4),
+    )
+    # Exact consumption covers every read: a short read pushes `_end` past the record.
+    ok = ((c("_end") - 1 == F.octet_length(d)) & c("_path").isNotNull()
+          & (~opt1 | c("_mime").isNotNull()) & (~is_p | (c("_mime").isNotNull() & c("_nonce").isNotNull())))
+    out = x.select(
+        *[c(n) for n in df.columns],
         F.coalesce(ok, F.lit(False)).alias("u_ok"),
-        tag.cast("int").alias("u_kind"),
-        F.coalesce(is_s & (opt == 1), F.lit(False)).alias("u_has_content"),
-        path.alias("u_path"),
-        F.when(is_p, offset).otherwise(F.lit(0).cast("long")).alias("u_offset"),
-        F.when(is_p, full).otherwise(F.when(opt == 1, s_clen).otherwise(F.lit(0).cast("long"))).alias("u_full"),
-        mime.alias("u_mime"),
-        F.when(is_p, chunk).otherwise(F.when(opt == 1, s_content)).alias("u_content"),
-        F.when(is_p, nonce).otherwise(F.lit(0).cast("long")).alias("u_nonce"),
+        c("_tag").cast("int").alias("u_kind"),
+        F.coalesce((c("_tag") == 0) & opt1, F.lit(False)).alias("u_has_content"),
+        c("_path").alias("u_path"),
+        F.when(is_p, c("_offset")).otherwise(F.lit(0).cast("long")).alias("u_offset"),
+        F.when(is_p, c("_full")).when(opt1, c("_s_clen")).otherwise(F.lit(0).cast("long")).alias("u_full"),
+        c("_mime").alias("u_mime"),
+        c("_content").alias("u_content"),
+        F.when(is_p, c("_nonce")).otherwise(F.lit(0).cast("long")).alias("u_nonce"),
     )
+    return _level(out)
 
 
 def u32le(n: Column) -> Column:

@@ -7,14 +7,16 @@ Layout: `<root>/<table>/[suffix=../block_height_bucket=../]batch_id=<n>/part-*.p
 * A versioned table's delta is the batch's argmax already (pre-aggregated before the write shuffle);
   reading a table applies the same argmax across deltas (merge on read). Because the argmax is
   order-insensitive, late or reordered batches give the same table.
-* Inside a delta, files are range-partitioned and sorted on the table's clustering columns, so Parquet
-  row-group min/max statistics prune point lookups and a hot key is split by the range sampler
-  instead of landing in one file.
+* Inside a delta, rows stay hash-partitioned on the table's key from the argmax that made them (a hot
+  account is already collapsed to one row per key there) and are sorted on the clustering columns,
+  so Parquet row-group min/max statistics prune lookups.
 * `blobs` is directory-partitioned by (suffix, 10,000-block bucket), which range scans prune.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,23 +41,33 @@ class Store:
 
     # ---------------------------------------------------------------- writes
     def write_delta(self, name: str, df: DataFrame, batch_id: int) -> None:
-        """Replace table `name`'s delta for `batch_id` with `df` (idempotent on retry)."""
+        """Replace table `name`'s delta for `batch_id` with `df` (idempotent on retry).
+
+        Versioned and deduplicated tables arrive hash-partitioned on their key by the argmax or
+        dedup that made them, so no further shuffle is added: each task sorts its rows on the
+        clustering columns and writes one file. A table with directory partitions (blobs) is
+        rebalanced on them first; AQE splits a hot directory across tasks instead of one writer.
+        """
         spec = S.CATALOG[name]
         out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
         dirs = [c for c in spec.partition_by if c != "batch_id"] + ["batch_id"]
-        sort_cols = list(spec.sort_by) or list(spec.key)
+        sort_cols = [F.col(c).desc() if c in spec.descending else F.col(c) for c in (spec.sort_by or spec.key)]
         if dirs[:-1]:
-            # Directory partitions: cluster rows of one directory together, sorted for scans.
-            out = out.repartition(*dirs[:-1]).sortWithinPartitions(*sort_cols)
-        else:
-            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            out = out.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+            out = out.hint("rebalance", *dirs[:-1])
+        out = out.sortWithinPartitions(*[F.col(c) for c in dirs[:-1]], *sort_cols)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*dirs).parquet(self.path(name)))
 
-    def write_tables(self, tables: dict[str, DataFrame], batch_id: int) -> None:
-        for name, df in tables.items():
-            self.write_delta(name, df, batch_id)
+    def write_tables(self, tables: dict[str, DataFrame], batch_id: int, parallelism: int = 4) -> None:
+        """Write a batch's tables as concurrent Spark jobs (they share cached inputs)."""
+        if len(tables) <= 1 or parallelism <= 1:
+            for name, df in tables.items():
+                self.write_delta(name, df, batch_id)
+            return
+        with ThreadPoolExecutor(max_workers=min(parallelism, len(tables))) as pool:
+            futures = [pool.submit(self.write_delta, name, df, batch_id) for name, df in tables.items()]
+            for f in futures:
+                f.result()
 
     def write_meta(self, suffix: str, height: int) -> None:
         """SNK-2: checkpoint row for `suffix`, written after all data of the batch."""

@@ -42,7 +42,8 @@ def get_spark(master: str | None = None, app: str = "blocklake", **conf: str) ->
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    settings = {**RECOMMENDED_CONF, **REQUIRED_CONF, "spark.ui.enabled": "false", **conf}
+    settings = {**RECOMMENDED_CONF, **REQUIRED_CONF, "spark.ui.enabled": "false",
+                "spark.ui.showConsoleProgress": "false", **conf}
     for k, v in settings.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
