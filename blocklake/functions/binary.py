@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blocklake.functions.fence import fence
+
 
 def read_bytes(data: Column, pos: Column, n: Column | int) -> Column:
     """`n` bytes at 1-based `pos`; null when a position or length does not fit an int.
@@ -44,28 +46,19 @@ def _utf8(b: Column) -> Column:
     return F.when(F.is_valid_utf8(s), s)
 
 
-def _level(df: DataFrame, **cols: Column) -> DataFrame:
-    """Add `cols`, then pass the rows through a one-row explode.
-
-    Catalyst neither collapses projections nor pushes filters through a Generate, so the next level
-    reads these columns as plain values: each field is decoded once and expression code grows with
-    the sum of the levels, not their product (which overflows the 64 KB method limit of codegen).
-    """
-    x = df.select("*", *[c.alias(n) for n, c in cols.items()])
-    return x.select(F.explode(F.array(F.struct(*[F.col(c) for c in x.columns]))).alias("_r")).select("_r.*")
-
-
 def decode_upload(df: DataFrame, data: str = "data") -> DataFrame:
     """Add the decoded record as `u_ok, u_kind, u_has_content, u_path, u_offset, u_full, u_mime,
     u_content, u_nonce`. kind: 0 Simple, 1 Partial; `u_has_content` tells a Simple upload from a deletion.
     """
     d, c = F.col(data), F.col
+    # Each level reads the previous level's fields as plain columns (see functions.fence), so the
+    # expression code grows with the sum of the levels, not their product.
     one = F.lit(1).cast("long")
     # Level 1: tag, path length, end of path.
-    x = _level(df, _tag=read_u8(d, one), _p=F.lit(6).cast("long") + read_u32le(d, one + 1))
+    x = fence(df, _tag=read_u8(d, one), _p=F.lit(6).cast("long") + read_u32le(d, one + 1))
     # Level 2: Simple option byte + mime length; Partial offset, full_size, mime length.
     is_p = c("_tag") == 1
-    x = _level(
+    x = fence(
         x,
         _opt=F.when(c("_tag") == 0, read_u8(d, c("_p"))),
         _s_mlen=read_u32le(d, c("_p") + 1),
@@ -74,14 +67,14 @@ def decode_upload(df: DataFrame, data: str = "data") -> DataFrame:
         _p_mlen=read_u32le(d, c("_p") + 8),
     )
     # Level 3: content / chunk lengths.
-    x = _level(x, _s_q=c("_p") + 5 + c("_s_mlen"), _p_q=c("_p") + 12 + c("_p_mlen"))
-    x = _level(x, _s_clen=read_u32le(d, c("_s_q")), _p_clen=read_u32le(d, c("_p_q")))
+    x = fence(x, _s_q=c("_p") + 5 + c("_s_mlen"), _p_q=c("_p") + 12 + c("_p_mlen"))
+    x = fence(x, _s_clen=read_u32le(d, c("_s_q")), _p_clen=read_u32le(d, c("_p_q")))
     # Level 4: payloads, nonce and the end of the record.
-    x = _level(x, _p_r=c("_p_q") + 4 + c("_p_clen"))
+    x = fence(x, _p_r=c("_p_q") + 4 + c("_p_clen"))
     opt1 = c("_opt") == 1
     mime_b = F.when(is_p, read_bytes(d, c("_p") + 12, c("_p_mlen"))).when(opt1, read_bytes(d, c("_p") + 5,
                                                                                              c("_s_mlen")))
-    x = _level(
+    x = fence(
         x,
         _path=_utf8(read_bytes(d, F.lit(6).cast("long"), c("_p") - 6)),
         _mime=_utf8(mime_b),
@@ -106,7 +99,7 @@ def decode_upload(df: DataFrame, data: str = "data") -> DataFrame:
         c("_content").alias("u_content"),
         F.when(is_p, c("_nonce")).otherwise(F.lit(0).cast("long")).alias("u_nonce"),
     )
-    return _level(out)
+    return fence(out)
 
 
 def u32le(n: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from blocklake import schemas as S
 from blocklake.functions.columns import edge_of, is_deletion, is_valid_key, order_id
+from blocklake.functions.fence import fence
 from blocklake.operators.latest import latest_by
 from blocklake.operators.routing import reject_rows
 
@@ -31,7 +32,8 @@ def classify_kv_blobs(blobs: DataFrame) -> DataFrame:
     (null for an accepted blob). The key count is taken on the whole object, before key checks (D5).
     """
     txt = F.col("data").cast("string")
-    x = blobs.withColumn("_v", F.when(F.is_valid_utf8(txt), F.try_parse_json(txt)))
+    # Parse once behind a fence: the accept filter below must not re-parse inside its condition.
+    x = fence(blobs, _v=F.when(F.is_valid_utf8(txt), F.try_parse_json(txt)))
     x = x.withColumn("_obj", F.expr("try_cast(_v AS map<string, variant>)"))
     x = x.withColumn("order_id", order_id())
     reason = (
