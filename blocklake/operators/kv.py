@@ -25,7 +25,7 @@ EDGE_KEY = ["edge_type", "target", "source"]
 EDGE_VERSION = ["block_height", "order_id", "is_deletion", "value", "current_account_id"]
 
 
-def classify_kv_blobs(blobs: DataFrame) -> DataFrame:
+def classify_kv_blobs(blobs: DataFrame, mode: str = "native") -> DataFrame:
     """KV-2/KV-3 guards in the reference's order: JSON -> object -> key count -> order_id.
 
     Adds `_obj` (map<string, variant>, duplicate keys collapsed last-wins), `order_id` and `reason`
@@ -34,6 +34,12 @@ def classify_kv_blobs(blobs: DataFrame) -> DataFrame:
     txt = F.col("data").cast("string")
     # Parse once behind a fence: the accept filter below must not re-parse inside its condition.
     x = fence(blobs, _v=F.when(F.is_valid_utf8(txt), F.try_parse_json(txt)))
+    if mode == "strict":
+        from blocklake.functions.strict_json import strict_json_ok
+
+        x = x.withColumn("_v", F.when(strict_json_ok("data"), F.col("_v")))
+    elif mode != "native":
+        raise ValueError(f"mode must be 'native' or 'strict', not {mode!r}")
     x = x.withColumn("_obj", F.expr("try_cast(_v AS map<string, variant>)"))
     x = x.withColumn("order_id", order_id())
     reason = (
@@ -50,19 +56,20 @@ def _exploded(classified: DataFrame) -> DataFrame:
     return ok.select(*S.PROVENANCE_COLS, "order_id", F.explode("_obj").alias("key", "_val"))
 
 
-def explode_kv(blobs: DataFrame) -> DataFrame:
+def explode_kv(blobs: DataFrame, mode: str = "native") -> DataFrame:
     """KV-1/4/5: one row per accepted key with its value as compact JSON text (S_KV_SCHEMA columns).
 
-    A JSON string keeps its quotes and JSON null is the 4-character text `null` (D8).
+    A JSON string keeps its quotes and JSON null is the 4-character text `null` (D8). `mode="strict"`
+    adds the strict-reader guard of functions.strict_json.
     """
-    e = _exploded(classify_kv_blobs(blobs))
+    e = _exploded(classify_kv_blobs(blobs, mode))
     return e.where(is_valid_key("key")).select(*S.PROVENANCE_COLS, "order_id", "key",
                                                F.to_json("_val").alias("value"))
 
 
-def kv_rejects(blobs: DataFrame) -> DataFrame:
+def kv_rejects(blobs: DataFrame, mode: str = "native") -> DataFrame:
     """RPT-1 rows for rejected KV blobs and keys, with the reason the reference would only log."""
-    c = classify_kv_blobs(blobs)
+    c = classify_kv_blobs(blobs, mode)
     blob_level = reject_rows(c.where(F.col("reason").isNotNull()), "kv_blob", F.col("reason"),
                              F.substring(F.col("data").cast("string"), 1, 64))
     e = _exploded(c).where(~is_valid_key("key"))

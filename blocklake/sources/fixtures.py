@@ -27,7 +27,17 @@ DOCS_MIME = "text/plain"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that arrived in fewer splits than the cluster has cores.
+
+    A one-row-group file is one task, so everything narrow after it (JSON parse, explode, partial
+    aggregation) would run on one core. A large input already has many splits and is left as is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def calls_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +140,8 @@ def calls_from_documents(spark: SparkSession, sf_dir: str, alignment: int = DOC_
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     d = d.select(
         "doc_id",
-        F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"),
+        F.concat("source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+        .alias("path"),
         F.encode("text", "UTF-8").alias("bytes"),
         F.col("source").alias("pred"),
         F.concat(F.col("lang"), F.lit(".fs.near")).alias("contract"),

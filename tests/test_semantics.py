@@ -168,3 +168,23 @@ def test_d20_bucket_span_guard(spark):
     scan_suffix(b, "kv", 0, 10_000 * 1000)
     with pytest.raises(ValueError):
         scan_suffix(b, "kv", 0, 10_000 * 1001)
+
+
+def test_strict_json_mode(spark):
+    docs = {"ok": '{"a":1}', "trailing": '{"a":1} x', "inf": '{"a":1e400}', "surrogate": '{"a":"\\ud800"}',
+            "deep": '{"a":' + "[" * 200 + "]" * 200 + "}", "nan": '{"a":NaN}'}
+    b = blobs(spark, [dict(data=v, receipt_id=k) for k, v in docs.items()])
+    assert {r.receipt_id for r in K.explode_kv(b, mode="strict").collect()} == {"ok"}
+    native = {r.receipt_id for r in K.explode_kv(b).collect()}
+    assert {"ok", "trailing"} <= native
+
+
+def test_validate_rows(spark):
+    from blocklake.sources.validate import validate_rows
+
+    b = blobs(spark, [dict(data="{}", receipt_id="good"), dict(data="{}", receipt_id="bad", shard_id=-1)])
+    good, bad = validate_rows(b, "reject")
+    assert [r.receipt_id for r in good.collect()] == ["good"]
+    assert [(r.receipt_id, r.reason) for r in bad.collect()] == [("bad", "negative_shard_id")]
+    with pytest.raises(Exception):
+        validate_rows(b, "fail")[0].collect()
