@@ -311,7 +311,7 @@ def checkpoint_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q-14: raw stage fully ingested, `kv` indexed up to a cut height, `raw` fully: lag per standard."""
     store = Store(spark, scratch_path(spark, "store"))
     ingest_calls(store, event_calls(spark, sf_dir), batch_id=0)
-    blobs = store.table("blobs")
+    blobs = store.blobs_feed()
     index_standard(store, blobs.where(F.col("block_height") <= KV_CUT_HEIGHT), 0, S.KV_SUFFIX)
     index_standard(store, blobs, 0, S.RAW_SUFFIX)
     return RP.checkpoint_lag(store.meta())

@@ -91,6 +91,14 @@ class Store:
             return df.dropDuplicates(list(spec.key))
         return latest_by(df, spec.key, spec.version)
 
+    def blobs_feed(self) -> DataFrame:
+        """Blobs as written, without the read-side dedup: what the derived stages consume.
+
+        Every derived table is idempotent per key and version, so a replayed blob changes nothing and
+        the stages need not shuffle payloads to deduplicate them first.
+        """
+        return self.raw("blobs").select(*S.BLOBS_SCHEMA.fieldNames())
+
     def meta(self) -> DataFrame:
         return self.spark.read.schema(S.META_SCHEMA).parquet(self.path("meta"))
 

@@ -36,8 +36,12 @@ def spread(df: DataFrame) -> DataFrame:
     A one-row-group file is one task, so everything narrow after it (JSON parse, explode, partial
     aggregation) would run on one core. A large input already has many splits and is left as is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave the scan as it is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def calls_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
