@@ -37,7 +37,7 @@ FILE_PRED, FILE_CONTRACT, FILE_DOC = "src3", "en.fs.near", 243
 SCAN_LO, SCAN_HI = FX.EVENTS_HEIGHT_BASE + 97 * 100, FX.EVENTS_HEIGHT_BASE + 97 * 300
 KV_CUT_HEIGHT = FX.EVENTS_HEIGHT_BASE + 97 * 360
 EXPIRE_NOW_US = 1_707_955_200_000_000  # 2024-02-15 00:00:00 UTC
-STREAM_FILES = 6
+STREAM_FILES = 4
 
 
 def query(fn: Query) -> Query:

@@ -58,7 +58,7 @@ class Store:
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*dirs).parquet(self.path(name)))
 
-    def write_tables(self, tables: dict[str, DataFrame], batch_id: int, parallelism: int = 4) -> None:
+    def write_tables(self, tables: dict[str, DataFrame], batch_id: int, parallelism: int = 8) -> None:
         """Write a batch's tables as concurrent Spark jobs (they share cached inputs)."""
         if len(tables) <= 1 or parallelism <= 1:
             for name, df in tables.items():
@@ -70,14 +70,14 @@ class Store:
                 f.result()
 
     def write_meta(self, suffix: str, height: int) -> None:
-        """SNK-2: checkpoint row for `suffix`, written after all data of the batch."""
-        cur = self.meta().where(F.col("suffix") != suffix) if self.exists("meta") else None
+        """SNK-2: checkpoint row for `suffix`, written after all data of the batch.
+
+        One directory per standard, replaced by dynamic partition overwrite: a single small job that
+        never reads or rewrites other standards' checkpoints.
+        """
         row = self.spark.createDataFrame([(suffix, int(height))], S.META_SCHEMA)
-        new = row if cur is None else cur.unionByName(row)
-        # The meta table is tiny (one row per standard): materialize before replacing it.
-        rows = new.collect()
-        self.spark.createDataFrame(rows, S.META_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-            self.path("meta"))
+        (row.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("suffix").parquet(self.path("meta")))
 
     # ----------------------------------------------------------------- reads
     def raw(self, name: str) -> DataFrame:
@@ -100,7 +100,7 @@ class Store:
         return self.raw("blobs").select(*S.BLOBS_SCHEMA.fieldNames())
 
     def meta(self) -> DataFrame:
-        return self.spark.read.schema(S.META_SCHEMA).parquet(self.path("meta"))
+        return self.spark.read.parquet(self.path("meta")).select(*S.META_SCHEMA.fieldNames())
 
     def checkpoint_height(self, suffix: str) -> int | None:
         """SRC-6: last processed height of `suffix` (None when absent; negative is an error)."""
