@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 
 from blocklake import schemas as S
 from blocklake.operators.latest import latest_by
-from blocklake.session import configure
+from blocklake.session import checkpoint_root, configure
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
+        checkpoint_root(spark)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -75,10 +76,63 @@ class Store:
         One directory per standard, replaced by dynamic partition overwrite: a single small job that
         never reads or rewrites other standards' checkpoints.
         """
-        row = self.spark.createDataFrame([(suffix, int(height))], S.META_SCHEMA)
+        # Files may arrive out of block order: a checkpoint never moves backwards.
+        cur = self.checkpoint_height(suffix)
+        height = max(int(height), cur) if cur is not None else int(height)
+        row = self.spark.createDataFrame([(suffix, height)], S.META_SCHEMA)
         (row.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("suffix").parquet(self.path("meta")))
 
+    def batch_ids(self, name: str) -> list[int]:
+        """Delta ids present in table `name` (a listing of its partition directories, not a data scan)."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = root.getFileSystem(conf)
+        if not fs.exists(root):
+            return []
+        ids = set()
+        stack = [root]
+        while stack:
+            for st in fs.listStatus(stack.pop()):
+                if not st.isDirectory():
+                    continue
+                part = st.getPath().getName()
+                if part.startswith("batch_id="):
+                    ids.add(int(part.split("=", 1)[1]))
+                elif "=" in part:
+                    stack.append(st.getPath())
+        return sorted(ids)
+
+    def compact(self, name: str) -> int | None:
+        """Fold every delta of `name` into one new delta, then drop the folded ones.
+
+        Safe at every point: until the old deltas are gone a reader sees the snapshot plus the deltas it
+        was made from, and the merge on read (argmax or dedup) gives the same table either way.
+        """
+        ids = self.batch_ids(name)
+        if len(ids) <= 1:
+            return ids[0] if ids else None
+        target = ids[-1] + 1
+        snapshot = self.table(name).where(F.lit(True))
+        self.spark.sparkContext.setJobDescription(f"compact {name}")
+        self.write_delta(name, snapshot.checkpoint(), target)
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = root.getFileSystem(conf)
+        doomed = {f"batch_id={i}" for i in ids}
+        stack = [root]
+        while stack:
+            for st in fs.listStatus(stack.pop()):
+                if st.isDirectory():
+                    part = st.getPath().getName()
+                    if part in doomed:
+                        fs.delete(st.getPath(), True)
+                    elif "=" in part and not part.startswith("batch_id="):
+                        stack.append(st.getPath())
+        return target
+
     # ----------------------------------------------------------------- reads
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
