@@ -19,12 +19,17 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blocklake import schemas as S
 from blocklake.operators.latest import latest_by
 from blocklake.session import checkpoint_root, configure
 
 
+BLOBS_STORED = T.StructType(S.BLOBS_SCHEMA.fields + [T.StructField("ingest_ts_us", T.LongType()),
+                                                     T.StructField("batch_id", T.LongType())])
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = configure(spark)
@@ -135,6 +140,10 @@ class Store:
 
     # ----------------------------------------------------------------- reads
     def raw(self, name: str) -> DataFrame:
+        """All deltas of `name` as stored. Tables with string directory partitions are read with their
+        declared schema, so a numeric-looking suffix is never inferred as a number."""
+        if name == "blobs":
+            return self.spark.read.schema(BLOBS_STORED).parquet(self.path(name))
         return self.spark.read.parquet(self.path(name))
 
     def table(self, name: str) -> DataFrame:
@@ -154,7 +163,7 @@ class Store:
         return self.raw("blobs").select(*S.BLOBS_SCHEMA.fieldNames())
 
     def meta(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("meta")).select(*S.META_SCHEMA.fieldNames())
+        return self.spark.read.schema(S.META_SCHEMA).parquet(self.path("meta"))
 
     def checkpoint_height(self, suffix: str) -> int | None:
         """SRC-6: last processed height of `suffix` (None when absent; negative is an error)."""

@@ -210,3 +210,19 @@ def test_store_compaction_keeps_the_table(spark):
     assert after == before
     assert dict(rows(store.table("s_kv_last"), "key", "value")) == {"k": "2", "graph/f/x.near": "null", "j": "3"}
     assert store.checkpoint_height("kv") == 3  # never moves backwards, whatever the arrival order
+
+
+def test_numeric_suffix_stays_a_string(spark):
+    from blocklake.plans.jobs import ingest_calls, index_standard
+    from blocklake.plans.store import Store
+    from blocklake.session import scratch_path
+    from blocklake.streaming.registry import register_standard
+
+    calls = spark.createDataFrame([("r1", 0, None, "s", "p", "c", 5, 5, 0, 0, "__fastdata_123", bytearray(b"x"))],
+                                  S.CALLS_SCHEMA)
+    store = Store(spark, scratch_path(spark, "numsuffix"))
+    ingest_calls(store, calls, 0)
+    register_standard("123", lambda blobs, cache: {})
+    index_standard(store, store.blobs_feed(), 0, "123")
+    assert [r.suffix for r in store.table("blobs").collect()] == ["123"]
+    assert store.checkpoint_height("123") == 5 and store.checkpoint_height(S.UNIVERSAL_SUFFIX) == 5
