@@ -113,7 +113,6 @@ QUALIFY row_number() OVER (PARTITION BY predecessor_id ORDER BY block_height DES
 
 PRED, CONTRACT = "'user7.near'", "'app1.near'"
 SCAN_LO, SCAN_HI = 100_000_000 + 97 * 100, 100_000_000 + 97 * 300
-KV_CUT = 100_000_000 + 97 * 360
 EXPIRE_CUTOFF_US = 1_707_955_200_000_000 - 2_592_000 * 1_000_000
 
 FLATTEN = f"""WITH o AS (
@@ -217,6 +216,7 @@ def with_files(body: str) -> str:
 
 ORACLE: dict[str, str] = {
     "flatten_blocks": FLATTEN,
+    "block_feed": f"SELECT * FROM ({FLATTEN}) WHERE block_height >= 100000100",
     "raw_calls": with_calls(f"SELECT {BLOB_COLS} FROM blobs"),
     "suffix_counts": with_calls(
         "SELECT suffix, count(*) AS n_calls, count(DISTINCT block_height) AS n_blocks FROM blobs GROUP BY suffix"),
@@ -287,7 +287,7 @@ FROM calls GROUP BY 1"""),
     "checkpoint_lag": with_calls(f"""SELECT suffix, last_processed_block_height, head_height,
        head_height - last_processed_block_height AS lag_blocks
 FROM (SELECT 'kv' AS suffix,
-             (SELECT max(block_height) FROM blobs WHERE suffix = 'kv' AND block_height <= {KV_CUT})
+             (SELECT max(block_height) FROM blobs WHERE suffix = 'kv')
                AS last_processed_block_height
       UNION ALL
       SELECT 'raw', (SELECT max(block_height) FROM blobs WHERE suffix = 'raw')) m,
