@@ -226,3 +226,22 @@ def test_numeric_suffix_stays_a_string(spark):
     index_standard(store, store.blobs_feed(), 0, "123")
     assert [r.suffix for r in store.table("blobs").collect()] == ["123"]
     assert store.checkpoint_height("123") == 5 and store.checkpoint_height(S.UNIVERSAL_SUFFIX) == 5
+
+
+def test_tables_match_declared_schemas(spark):
+    b = blobs(spark, [dict(data='{"graph/follow/bob.near": 1, "k": "v"}')])
+    kv = K.explode_kv(b)
+    last = K.kv_last(kv)
+
+    def shape(df):
+        return [(f.name, f.dataType) for f in df.schema.fields]
+
+    assert shape(kv) == shape(spark.createDataFrame([], S.S_KV_SCHEMA))
+    assert shape(K.kv_history(kv)) == [(f.name, f.dataType) for f in S.S_KV_SCHEMA.fields]
+    assert shape(last) == [(f.name, f.dataType) for f in S.S_KV_SCHEMA.fields]
+    assert shape(K.kv_edges(last)) == [(f.name, f.dataType) for f in S.KV_EDGES_SCHEMA.fields]
+    fb = blobs(spark, [dict(data=bytes(spark.range(1).select(
+        encode_simple(F.lit("a.txt"), F.lit("text/plain"), F.unhex(F.lit("01")))).first()[0]))], suffix="fastfs")
+    assert shape(FS.fastfs_latest(FS.decode_files(fb))) == [(f.name, f.dataType) for f in S.S_FASTFS_SCHEMA.fields]
+    assert [f.name for f in to_blobs(spark.createDataFrame([], S.CALLS_SCHEMA)).schema.fields] == \
+        S.BLOBS_SCHEMA.fieldNames()
