@@ -122,12 +122,16 @@ class Store:
         snapshot = self.table(name).where(F.lit(True))
         self.spark.sparkContext.setJobDescription(f"compact {name}")
         self.write_delta(name, snapshot.checkpoint(), target)
+        self._delete_batches(name, set(ids))
+        return target
+
+    def _delete_batches(self, name: str, ids: set[int]) -> None:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         root = jvm.org.apache.hadoop.fs.Path(self.path(name))
         fs = root.getFileSystem(conf)
         doomed = {f"batch_id={i}" for i in ids}
-        stack = [root]
+        stack = [root] if fs.exists(root) else []
         while stack:
             for st in fs.listStatus(stack.pop()):
                 if st.isDirectory():
@@ -136,7 +140,18 @@ class Store:
                         fs.delete(st.getPath(), True)
                     elif "=" in part and not part.startswith("batch_id="):
                         stack.append(st.getPath())
-        return target
+
+    def purge_expired(self, now_us: int, ttl_seconds: int = S.BLOBS_TTL_SECONDS) -> list[int]:
+        """SNK-3, physical side: drop blobs deltas whose every row is past the time-to-live.
+
+        A delta is written by one job, so its rows share an ingest time; the scan reads two small columns
+        and returns one row per delta. Rows of a delta not yet wholly expired stay hidden by `expire`.
+        """
+        cutoff = now_us - ttl_seconds * 1_000_000
+        per_batch = self.raw("blobs").groupBy("batch_id").agg(F.max("ingest_ts_us").alias("newest")).collect()
+        doomed = {int(r.batch_id) for r in per_batch if r.newest is not None and r.newest <= cutoff}
+        self._delete_batches("blobs", doomed)
+        return sorted(doomed)
 
     # ----------------------------------------------------------------- reads
     def raw(self, name: str) -> DataFrame:

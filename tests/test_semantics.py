@@ -245,3 +245,18 @@ def test_tables_match_declared_schemas(spark):
     assert shape(FS.fastfs_latest(FS.decode_files(fb))) == [(f.name, f.dataType) for f in S.S_FASTFS_SCHEMA.fields]
     assert [f.name for f in to_blobs(spark.createDataFrame([], S.CALLS_SCHEMA)).schema.fields] == \
         S.BLOBS_SCHEMA.fieldNames()
+
+
+def test_purge_expired_blob_deltas(spark):
+    from blocklake.plans.jobs import ingest_calls
+    from blocklake.plans.store import Store
+    from blocklake.session import scratch_path
+
+    calls = spark.createDataFrame([("r1", 0, None, "s", "p", "c", 5, 5, 0, 0, "__fastdata_kv", bytearray(b"{}"))],
+                                  S.CALLS_SCHEMA)
+    store = Store(spark, scratch_path(spark, "ttl"))
+    ingest_calls(store, calls, 0)
+    ingest_calls(store, calls.withColumn("receipt_id", F.lit("r2")), 1)
+    newest = store.raw("blobs").agg(F.max("ingest_ts_us")).first()[0]
+    assert store.purge_expired(newest, ttl_seconds=0) == [0, 1]
+    assert store.batch_ids("blobs") == []
