@@ -118,7 +118,8 @@ class Store:
         ids = self.batch_ids(name)
         if len(ids) <= 1:
             return ids[0] if ids else None
-        target = ids[-1] + 1
+        # Snapshots take negative ids: writers own the non-negative ones, so the two never collide.
+        target = min(ids[0], 0) - 1
         snapshot = self.table(name).where(F.lit(True))
         self.spark.sparkContext.setJobDescription(f"compact {name}")
         self.write_delta(name, snapshot.checkpoint(), target)
@@ -153,6 +154,34 @@ class Store:
         self._delete_batches("blobs", doomed)
         return sorted(doomed)
 
+    WRITER_SPAN = 1_000_000_000
+
+    def allocate_writer(self, checkpoint_location: str) -> int:
+        """First delta id of a streaming writer: a fresh span of ids above every delta in the store.
+
+        Kept in a small file inside the stream's checkpoint location, so a restarted query keeps its
+        span (its replayed micro-batches overwrite their own deltas) while a new query never reuses
+        another's ids. One writer per standard at a time.
+        """
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        marker = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_location.rstrip('/')}/_blocklake_writer")
+        fs = marker.getFileSystem(conf)
+        if fs.exists(marker):
+            stream = fs.open(marker)
+            try:
+                return int(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip())
+            finally:
+                stream.close()
+        top = max([i for n in S.CATALOG if n != "meta" for i in self.batch_ids(n)], default=-1)
+        base = (max(top, 0) // self.WRITER_SPAN + 1) * self.WRITER_SPAN
+        out = fs.create(marker, True)
+        try:
+            out.write(bytearray(str(base).encode("utf-8")))
+        finally:
+            out.close()
+        return base
+
     # ----------------------------------------------------------------- reads
     def raw(self, name: str) -> DataFrame:
         """All deltas of `name` as stored. Tables with string directory partitions are read with their

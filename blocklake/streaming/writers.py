@@ -35,12 +35,16 @@ def read_blob_stream(spark: SparkSession, path: str, suffix: str | None = None,
     return df
 
 
-def standard_writer(store: Store, suffix: str):
-    """foreachBatch function writing one standard's deltas (same code as the batch job)."""
+def standard_writer(store: Store, suffix: str, first_delta_id: int = 0):
+    """foreachBatch function writing one standard's deltas (same code as the batch job).
+
+    Delta id = the writer's first id + the micro-batch id, so a retried micro-batch replaces its own
+    delta and two writers never share one.
+    """
     std = STANDARDS[suffix]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        index_standard(store, batch, batch_id, std)
+        index_standard(store, batch, first_delta_id + batch_id, std)
 
     return write
 
@@ -50,7 +54,8 @@ def start_standard_stream(spark: SparkSession, blobs_path: str, store: Store, su
                           max_files_per_trigger: int | None = None,
                           start_height: int | None = None) -> StreamingQuery:
     src = read_blob_stream(spark, blobs_path, suffix, start_height, max_files_per_trigger)
-    w = src.writeStream.foreachBatch(standard_writer(store, suffix)).option("checkpointLocation",
-                                                                           checkpoint_location)
+    first = store.allocate_writer(checkpoint_location)
+    w = src.writeStream.foreachBatch(standard_writer(store, suffix, first)).option("checkpointLocation",
+                                                                                  checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.queryName(f"index_{suffix}").start()

@@ -203,7 +203,7 @@ def test_store_compaction_keeps_the_table(spark):
         index_standard(store, b.where(f"block_height = {h}"), i, "kv")
     before = {n: sorted(map(tuple, store.table(n).collect())) for n in ["s_kv", "s_kv_last", "kv_edges"]}
     assert store.batch_ids("s_kv_last") == [0, 1, 2, 3]
-    assert store.compact("s_kv_last") == 4 and store.batch_ids("s_kv_last") == [4]
+    assert store.compact("s_kv_last") == -1 and store.batch_ids("s_kv_last") == [-1]
     store.compact("s_kv")
     store.compact("kv_edges")
     after = {n: sorted(map(tuple, store.table(n).collect())) for n in ["s_kv", "s_kv_last", "kv_edges"]}
@@ -260,3 +260,18 @@ def test_purge_expired_blob_deltas(spark):
     newest = store.raw("blobs").agg(F.max("ingest_ts_us")).first()[0]
     assert store.purge_expired(newest, ttl_seconds=0) == [0, 1]
     assert store.batch_ids("blobs") == []
+
+
+def test_writers_get_disjoint_delta_ids(spark):
+    from blocklake.plans.store import Store
+    from blocklake.session import scratch_path
+
+    store = Store(spark, scratch_path(spark, "writers"))
+    ck1, ck2 = scratch_path(spark, "ck1"), scratch_path(spark, "ck2")
+    a = store.allocate_writer(ck1)
+    assert store.allocate_writer(ck1) == a  # a restart keeps its span
+    store.write_delta("kv_accounts", spark.createDataFrame([("c", "k", "p")],
+                                                           "current_account_id string, key string, "
+                                                           "predecessor_id string"), a + 5)
+    b = store.allocate_writer(ck2)
+    assert b > a + 5
