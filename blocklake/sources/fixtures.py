@@ -30,16 +30,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
+SPREAD_MAX_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrived in fewer splits than the cluster has cores.
+    """Round-robin a small scan that arrived in fewer splits than the cluster has cores.
 
     A one-row-group file is one task, so everything narrow after it (JSON parse, explode, partial
-    aggregation) would run on one core. A large input already has many splits and is left as is.
+    aggregation) would run on one core. Only inputs the planner sizes below 1 GiB are spread, where the
+    extra shuffle is cheap; a large input keeps its own splits and is never reshuffled here.
     """
     try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size > SPREAD_MAX_BYTES:
+            return df
         cores = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave the scan as it is
+    except Exception:  # no plan statistics or RDD access (e.g. a remote session): leave the scan as it is
         return df
     return df.repartition(cores) if parts < cores else df
 
