@@ -38,7 +38,7 @@ FILE_PRED, FILE_CONTRACT, FILE_DOC = "src3", "en.fs.near", 243
 SCAN_LO, SCAN_HI = FX.EVENTS_HEIGHT_BASE + 97 * 100, FX.EVENTS_HEIGHT_BASE + 97 * 300
 EXPIRE_NOW_US = 1_707_955_200_000_000  # 2024-02-15 00:00:00 UTC
 STREAM_FILES = 4
-BLOCK_FEED_START = FX.BLOCKS_HEIGHT_BASE + 100
+BLOCK_FEED_START = FX.BLOCKS_HEIGHT_BASE + 10
 
 
 def query(fn: Query) -> Query:

@@ -216,7 +216,7 @@ def with_files(body: str) -> str:
 
 ORACLE: dict[str, str] = {
     "flatten_blocks": FLATTEN,
-    "block_feed": f"SELECT * FROM ({FLATTEN}) WHERE block_height >= 100000100",
+    "block_feed": f"SELECT * FROM ({FLATTEN}) WHERE block_height >= 100000010",
     "raw_calls": with_calls(f"SELECT {BLOB_COLS} FROM blobs"),
     "suffix_counts": with_calls(
         "SELECT suffix, count(*) AS n_calls, count(DISTINCT block_height) AS n_blocks FROM blobs GROUP BY suffix"),
