@@ -335,14 +335,13 @@ def _stream_store(spark: SparkSession, sf_dir: str, blobs: DataFrame, suffix: st
     blobs.repartitionByRange(STREAM_FILES, "block_height").write.parquet(src)
     files = sorted(spark.read.schema(S.BLOBS_SCHEMA).parquet(src).inputFiles())
     store = Store(spark, scratch_path(spark, "store"))
-    q = start_standard_stream(spark, src, store, suffix, scratch_path(spark, "stream-ckpt"), available_now=True,
-                              max_files_per_trigger=1)
+    ckpt = scratch_path(spark, "stream-ckpt")
+    q = start_standard_stream(spark, src, store, suffix, ckpt, available_now=True, max_files_per_trigger=1)
     q.awaitTermination()
     if files:
-        # Replay: the first file again under a new name arrives as one more micro-batch.
+        # Replay: the first file again under a new name; the restarted query reads only that file.
         spark.read.parquet(files[0]).coalesce(1).write.mode("append").parquet(src)
-        q = start_standard_stream(spark, src, store, suffix, scratch_path(spark, "stream-ckpt2"),
-                                  available_now=True, max_files_per_trigger=1)
+        q = start_standard_stream(spark, src, store, suffix, ckpt, available_now=True, max_files_per_trigger=1)
         q.awaitTermination()
     return store
 

@@ -30,15 +30,15 @@ def test_stream_reversed_and_replayed_equals_batch(spark):
     for i, f in enumerate(reversed(files)):
         os.utime(f, (1_000_000 + i, 1_000_000 + i))
     store = Store(spark, scratch_path(spark, "rev-store"))
-    q = start_standard_stream(spark, src, store, S.KV_SUFFIX, scratch_path(spark, "rev-ckpt"), available_now=True,
-                              max_files_per_trigger=1)
+    ckpt = scratch_path(spark, "rev-ckpt")
+    q = start_standard_stream(spark, src, store, S.KV_SUFFIX, ckpt, available_now=True, max_files_per_trigger=1)
     q.awaitTermination()
-    assert q.lastProgress is not None
-    # Replay the newest file once more as a new micro-batch.
+    assert len(q.recentProgress) == len(files)  # one micro-batch per file
+    # Replay the newest file once more: the restarted query (same checkpoint) reads only that file.
     spark.read.parquet(files[-1]).coalesce(1).write.mode("append").parquet(src)
-    q = start_standard_stream(spark, src, store, S.KV_SUFFIX, scratch_path(spark, "rev-ckpt"), available_now=True,
-                              max_files_per_trigger=1)
+    q = start_standard_stream(spark, src, store, S.KV_SUFFIX, ckpt, available_now=True, max_files_per_trigger=1)
     q.awaitTermination()
+    assert len(q.recentProgress) == 1
 
     kv = K.explode_kv(blobs.where("suffix = 'kv'"))
     last = K.kv_last(kv)
