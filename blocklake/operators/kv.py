@@ -175,10 +175,14 @@ def mv_kv_cur_key(history: DataFrame) -> DataFrame:
 def derive_kv_tables(kv: DataFrame, cache=None) -> dict[str, DataFrame]:
     """Every KV table of one batch of exploded rows (SNK-5 fan-out); `cache` may persist `last`."""
     last = kv_last(kv)
+    history = kv_history(kv)
     if cache is not None:
-        last = cache(last)
+        last, history = cache(last), cache(history)
     return {
-        "s_kv": kv_history(kv),
+        "s_kv": history,
+        # The two access paths of the history, clustered by key and by contract (KV-15/16).
+        "mv_kv_key": mv_kv_key(history),
+        "mv_kv_cur_key": mv_kv_cur_key(history),
         "s_kv_last": last,
         "kv_reverse": kv_reverse(last),
         "kv_accounts": kv_accounts(last),

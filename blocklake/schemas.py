@@ -147,6 +147,16 @@ CATALOG: dict[str, TableSpec] = {
             partition_by=("batch_id",),
             sort_by=("predecessor_id", "current_account_id", "key", "block_height", "order_id"),
         ),
+        TableSpec(
+            "mv_kv_key",
+            key=("key", "block_height", "order_id", "predecessor_id", "current_account_id"),
+            sort_by=("key", "block_height", "order_id", "predecessor_id", "current_account_id"),
+        ),
+        TableSpec(
+            "mv_kv_cur_key",
+            key=("current_account_id", "key", "block_height", "order_id", "predecessor_id"),
+            sort_by=("current_account_id", "key", "block_height", "order_id", "predecessor_id"),
+        ),
         TableSpec(
             "s_kv_last",
             key=("predecessor_id", "current_account_id", "key"),

@@ -46,4 +46,6 @@ def test_stream_reversed_and_replayed_equals_batch(spark):
     assert _same(K.live_edges(store.table("kv_edges")), K.kv_edges(last))
     assert _same(store.table("s_kv"), K.kv_history(kv))
     assert _same(store.table("s_kv_by_block"), K.kv_by_block(kv))
+    assert _same(store.table("mv_kv_key"), K.mv_kv_key(K.kv_history(kv)))
+    assert _same(store.table("mv_kv_cur_key"), K.mv_kv_cur_key(K.kv_history(kv)))
     assert store.checkpoint_height(S.KV_SUFFIX) is not None
