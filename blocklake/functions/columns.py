@@ -21,7 +21,7 @@ def block_height_bucket(height: str = "block_height") -> Column:
     return F.expr(f"{_sql(height)} div {S.BLOCK_HEIGHT_BUCKET_SIZE}")
 
 
-def strip_prefix(method: str | Column = "method_name", prefix: str = S.FASTDATA_PREFIX) -> Column:
+def strip_prefix(method: str | Column = "method_name", prefix: str = S.CALL_PREFIX) -> Column:
     """FLT-2: the suffix when `method` starts with `prefix`, else null."""
     m = col(method)
     return F.when(m.startswith(prefix), m.substr(len(prefix) + 1, 1 << 30))

@@ -52,7 +52,7 @@ def file_rejects(blobs: DataFrame, alignment: int = S.OFFSET_ALIGNMENT) -> DataF
     return reject_rows(c, "files", F.col("reason"), F.col("u_path"))
 
 
-def fastfs_latest(rows: DataFrame) -> DataFrame:
+def latest_chunks(rows: DataFrame) -> DataFrame:
     """FS-8 `s_fastfs_v2`: newest row per (pred, contract, path, nonce, offset); re-upload overwrites."""
     return latest_by(rows.select(*FS_COLS), FS_KEY, FS_VERSION)
 

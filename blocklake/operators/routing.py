@@ -13,7 +13,7 @@ def _tagged(calls: DataFrame, prefix: str) -> DataFrame:
     return calls.withColumn("suffix", strip_prefix("method_name", prefix)).where(F.col("suffix").isNotNull())
 
 
-def to_blobs(calls: DataFrame, prefix: str = S.FASTDATA_PREFIX) -> DataFrame:
+def to_blobs(calls: DataFrame, prefix: str = S.CALL_PREFIX) -> DataFrame:
     """Calls whose method is `prefix + valid suffix`, projected to the BLOBS_SCHEMA columns."""
     t = _tagged(calls, prefix).where(is_valid_suffix("suffix"))
     return t.select(
@@ -25,7 +25,7 @@ def to_blobs(calls: DataFrame, prefix: str = S.FASTDATA_PREFIX) -> DataFrame:
     )
 
 
-def suffix_rejects(calls: DataFrame, prefix: str = S.FASTDATA_PREFIX) -> DataFrame:
+def suffix_rejects(calls: DataFrame, prefix: str = S.CALL_PREFIX) -> DataFrame:
     """RPT-1 rows for calls that carry the prefix but an invalid suffix (the reference only logs them)."""
     t = _tagged(calls, prefix).where(~is_valid_suffix("suffix"))
     return reject_rows(t, "route", F.lit("invalid_suffix"), F.col("suffix"))

@@ -84,26 +84,26 @@ def contract_history(mv_kv_cur_key: DataFrame, current_account_id: str, key: str
     return df.orderBy("key", "block_height", "order_id", "predecessor_id")
 
 
-def list_files(s_fastfs: DataFrame, predecessor_id: str, current_account_id: str,
+def list_files(chunks: DataFrame, predecessor_id: str, current_account_id: str,
                live_only: bool = False) -> DataFrame:
     """Q-11: paths of an account on a contract (deletion markers count unless `live_only`, D16)."""
-    df = _eq(s_fastfs, predecessor_id=predecessor_id, current_account_id=current_account_id)
+    df = _eq(chunks, predecessor_id=predecessor_id, current_account_id=current_account_id)
     if live_only:
         df = df.where(F.col("content").isNotNull() | (F.col("nonce") > 0))
     return df.select("relative_path").distinct()
 
 
-def file_uploads(s_fastfs: DataFrame, predecessor_id: str, current_account_id: str,
+def file_uploads(chunks: DataFrame, predecessor_id: str, current_account_id: str,
                  relative_path: str) -> DataFrame:
     """Q-12: every upload (nonce) of a path, chunks in offset order."""
-    return _eq(s_fastfs, predecessor_id=predecessor_id, current_account_id=current_account_id,
+    return _eq(chunks, predecessor_id=predecessor_id, current_account_id=current_account_id,
                relative_path=relative_path).orderBy("nonce", "offset")
 
 
-def upload_chunks(s_fastfs: DataFrame, predecessor_id: str, current_account_id: str, relative_path: str,
+def upload_chunks(chunks: DataFrame, predecessor_id: str, current_account_id: str, relative_path: str,
                   nonce: int) -> DataFrame:
     """Q-13: chunks of one upload in order."""
-    return _eq(s_fastfs, predecessor_id=predecessor_id, current_account_id=current_account_id,
+    return _eq(chunks, predecessor_id=predecessor_id, current_account_id=current_account_id,
                relative_path=relative_path, nonce=nonce).orderBy("offset")
 
 

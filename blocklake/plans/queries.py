@@ -80,7 +80,7 @@ def doc_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FS.fastfs_latest(FS.decode_files(doc_blobs(spark, sf_dir), FX.DOC_ALIGNMENT))
+    return FS.latest_chunks(FS.decode_files(doc_blobs(spark, sf_dir), FX.DOC_ALIGNMENT))
 
 
 def _chunk_view(df: DataFrame) -> DataFrame:
@@ -362,9 +362,9 @@ def stream_kv_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-* for the file standard (4 KiB alignment of the document view)."""
-    register_standard("fastfs", file_standard(FX.DOC_ALIGNMENT))
+    register_standard(S.FILES_SUFFIX, file_standard(FX.DOC_ALIGNMENT))
     try:
         store = _stream_store(spark, sf_dir, doc_blobs(spark, sf_dir), S.FILES_SUFFIX)
-        return _chunk_view(store.table("s_fastfs_v2")).drop("batch_id")
+        return _chunk_view(store.table(S.FILE_CHUNKS_TABLE)).drop("batch_id")
     finally:
-        register_standard("fastfs", file_standard(S.OFFSET_ALIGNMENT))
+        register_standard(S.FILES_SUFFIX, file_standard(S.OFFSET_ALIGNMENT))

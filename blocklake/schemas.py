@@ -12,11 +12,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 # Fixed values of the data model (they must equal the reference's for identical results).
-FASTDATA_PREFIX = "__fastdata_"
+CALL_PREFIX = "__fastdata_"
 UNIVERSAL_SUFFIX = "*"
 KV_SUFFIX = "kv"
 FILES_SUFFIX = "fastfs"
 RAW_SUFFIX = "raw"
+FILE_CHUNKS_TABLE = "s_fastfs_v2"
 BLOCK_HEIGHT_BUCKET_SIZE = 10_000
 MAX_BUCKET_SPAN = 1_000
 MAX_NUM_KEYS = 256
@@ -102,7 +103,7 @@ KV_EDGES_SCHEMA = _struct(
     ("value", S, False),
 )
 
-S_FASTFS_SCHEMA = _struct(
+FILE_CHUNKS_SCHEMA = _struct(
     *PROVENANCE,
     ("mime_type", S, True),
     ("relative_path", S, False),
@@ -201,7 +202,7 @@ CATALOG: dict[str, TableSpec] = {
             descending=frozenset({"block_height"}),
         ),
         TableSpec(
-            "s_fastfs_v2",
+            FILE_CHUNKS_TABLE,
             key=("predecessor_id", "current_account_id", "relative_path", "nonce", "offset"),
             version=("block_height", "shard_id", "receipt_index", "action_index"),
             partition_by=("batch_id",),

@@ -188,7 +188,7 @@ def calls_from_documents(spark: SparkSession, sf_dir: str, alignment: int = DOC_
         (height * 1_000_000_000).alias("block_timestamp"),
         (F.col("doc_id") % 4).cast("int").alias("shard_id"),
         (F.col("doc_id") % 1000).cast("int").alias("receipt_index"),
-        F.lit(S.FASTDATA_PREFIX + S.FILES_SUFFIX).alias("method_name"),
+        F.lit(S.CALL_PREFIX + S.FILES_SUFFIX).alias("method_name"),
         F.col("rec").alias("args"),
     )
 

@@ -61,7 +61,7 @@ def _kv_tables(blobs: DataFrame, cache: Cache) -> dict[str, DataFrame]:
 
 
 def _file_tables(blobs: DataFrame, cache: Cache, alignment: int = S.OFFSET_ALIGNMENT) -> dict[str, DataFrame]:
-    return {"s_fastfs_v2": FS.fastfs_latest(FS.decode_files(blobs, alignment))}
+    return {S.FILE_CHUNKS_TABLE: FS.latest_chunks(FS.decode_files(blobs, alignment))}
 
 
 def file_standard(alignment: int) -> Transform:

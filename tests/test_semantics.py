@@ -134,7 +134,7 @@ def test_d15_d16_reupload_and_deletion(spark):
         (encode_simple(lit("b.txt"), lit("text/plain"), F.unhex(lit("03"))), dict(block_height=1, receipt_id="3")),
         (encode_simple(lit("b.txt"), None, None), dict(block_height=5, receipt_id="4")),
     ]
-    latest = FS.fastfs_latest(FS.decode_files(_file_blobs(spark, recs)))
+    latest = FS.latest_chunks(FS.decode_files(_file_blobs(spark, recs)))
     got = {r.relative_path: (r.full_size, None if r.content is None else bytes(r.content), r.mime_type)
            for r in latest.collect()}
     assert got == {"a.txt": (2, b"\x02\x02", "text/plain"), "b.txt": (0, None, None)}
@@ -149,7 +149,7 @@ def test_d19_assembly_zero_fills_short_chunks(spark):
         (encode_partial(lit("f"), lit(8), lit(10), lit("m"), F.unhex(lit("07")), lit(7)), dict(receipt_id="3")),
         (encode_partial(lit("g"), lit(0), lit(10), lit("m"), F.unhex(lit("01")), lit(9)), dict(receipt_id="4")),
     ]
-    chunks = FS.fastfs_latest(FS.decode_files(_file_blobs(spark, recs), alignment=a))
+    chunks = FS.latest_chunks(FS.decode_files(_file_blobs(spark, recs), alignment=a))
     out = {r.relative_path: r for r in FS.assemble_files(chunks, alignment=a).collect()}
     assert bytes(out["f"].content) == bytes([1, 2, 0, 0, 3, 4, 5, 6, 7, 0]) and out["f"].complete
     assert out["g"].complete is False and out["g"].content is None
@@ -242,7 +242,7 @@ def test_tables_match_declared_schemas(spark):
     assert shape(K.kv_edges(last)) == [(f.name, f.dataType) for f in S.KV_EDGES_SCHEMA.fields]
     fb = blobs(spark, [dict(data=bytes(spark.range(1).select(
         encode_simple(F.lit("a.txt"), F.lit("text/plain"), F.unhex(F.lit("01")))).first()[0]))], suffix="fastfs")
-    assert shape(FS.fastfs_latest(FS.decode_files(fb))) == [(f.name, f.dataType) for f in S.S_FASTFS_SCHEMA.fields]
+    assert shape(FS.latest_chunks(FS.decode_files(fb))) == [(f.name, f.dataType) for f in S.FILE_CHUNKS_SCHEMA.fields]
     assert [f.name for f in to_blobs(spark.createDataFrame([], S.CALLS_SCHEMA)).schema.fields] == \
         S.BLOBS_SCHEMA.fieldNames()
 
