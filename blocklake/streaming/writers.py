@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from blocklake import schemas as S
-from blocklake.plans.jobs import index_standard
+from blocklake.plans.jobs import index_standard, ingest_calls
+from blocklake.sources.blocks import flatten_blocks, read_blocks
 from blocklake.plans.store import Store
 from blocklake.streaming.registry import STANDARDS
 
@@ -59,3 +60,21 @@ def start_standard_stream(spark: SparkSession, blobs_path: str, store: Store, su
                                                                                   checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.queryName(f"index_{suffix}").start()
+
+
+def start_ingest_stream(spark: SparkSession, blocks_path: str, store: Store, checkpoint_location: str,
+                        fmt: str = "json", available_now: bool = False, processing_time: str = "5 seconds",
+                        max_files_per_trigger: int | None = None, start_height: int | None = None,
+                        args_encoding: str = "base64") -> StreamingQuery:
+    """Raw stage as a stream: block files -> flattened calls -> `blobs` deltas + universal checkpoint."""
+    blocks = read_blocks(spark, blocks_path, fmt, start_height, streaming=True,
+                         max_files_per_trigger=max_files_per_trigger)
+    calls = flatten_blocks(blocks, args_encoding)
+    first = store.allocate_writer(checkpoint_location)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ingest_calls(store, batch, first + batch_id)
+
+    w = calls.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.queryName("ingest_blocks").start()

@@ -49,3 +49,22 @@ def test_stream_reversed_and_replayed_equals_batch(spark):
     assert _same(store.table("mv_kv_key"), K.mv_kv_key(K.kv_history(kv)))
     assert _same(store.table("mv_kv_cur_key"), K.mv_kv_cur_key(K.kv_history(kv)))
     assert store.checkpoint_height(S.KV_SUFFIX) is not None
+
+
+def test_ingest_stream_equals_batch(spark):
+    from blocklake.operators.routing import to_blobs
+    from blocklake.sources import fixtures as FX
+    from blocklake.sources.blocks import flatten_blocks
+    from blocklake.streaming.writers import start_ingest_stream
+
+    src = scratch_path(spark, "blocks-src")
+    FX.blocks_from_orders(spark, SF).repartition(3).write.json(src)
+    store = Store(spark, scratch_path(spark, "ingest-store"))
+    q = start_ingest_stream(spark, src, store, scratch_path(spark, "ingest-ckpt"), available_now=True,
+                            max_files_per_trigger=1)
+    q.awaitTermination()
+    expected = to_blobs(flatten_blocks(FX.blocks_from_orders(spark, SF)))
+    got = store.table("blobs").drop("ingest_ts_us")
+    assert _same(got.withColumn("data", got.data.cast("string")),
+                 expected.withColumn("data", expected.data.cast("string")))
+    assert store.checkpoint_height(S.UNIVERSAL_SUFFIX) == expected.agg({"block_height": "max"}).first()[0]
