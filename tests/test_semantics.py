@@ -275,3 +275,9 @@ def test_writers_get_disjoint_delta_ids(spark):
                                                            "predecessor_id string"), a + 5)
     b = store.allocate_writer(ck2)
     assert b > a + 5
+
+
+def test_key_level_reject_reasons(spark):
+    b = blobs(spark, [dict(data=json.dumps({"ok": 1, "x" * 1025: 1, "": 2, "a\u0001": 3}))])
+    assert sorted(r.reason for r in K.kv_rejects(b).collect()) == ["invalid_key", "invalid_key", "key_too_long"]
+    assert [r.key for r in K.explode_kv(b).collect()] == ["ok"]
