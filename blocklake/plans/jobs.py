@@ -26,7 +26,7 @@ def ingest_calls(store: Store, calls: DataFrame, batch_id: int, upper_bound: int
     """Raw stage: route tagged calls into `blobs`, then move the universal checkpoint."""
     # SNK-3 expiry counts from write time, so the raw stage stamps it.
     blobs = to_blobs(calls).withColumn("ingest_ts_us", F.unix_micros(F.current_timestamp()))
-    blobs = blobs.persist(StorageLevel.MEMORY_AND_DISK)
+    blobs = blobs.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         store.write_delta("blobs", blobs, batch_id)
         h = _batch_height(blobs, upper_bound)

@@ -23,7 +23,7 @@ class Cache:
         self.items: list[DataFrame] = []
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
         self.items.append(df)
         return df
 
