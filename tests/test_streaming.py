@@ -68,3 +68,16 @@ def test_ingest_stream_equals_batch(spark):
     assert _same(got.withColumn("data", got.data.cast("string")),
                  expected.withColumn("data", expected.data.cast("string")))
     assert store.checkpoint_height(S.UNIVERSAL_SUFFIX) == expected.agg({"block_height": "max"}).first()[0]
+
+
+def test_derived_stream_tails_the_stored_blobs_table(spark):
+    from blocklake.plans.jobs import ingest_calls
+
+    raw = Store(spark, scratch_path(spark, "two-raw"))
+    ingest_calls(raw, Q.event_calls(spark, SF), 0)
+    derived = Store(spark, scratch_path(spark, "two-derived"))
+    q = start_standard_stream(spark, raw.path("blobs"), derived, S.KV_SUFFIX, scratch_path(spark, "two-ck"),
+                              available_now=True)
+    q.awaitTermination()
+    assert _same(derived.table("s_kv_last"), Q.event_last(spark, SF))
+    assert derived.checkpoint_height(S.KV_SUFFIX) <= raw.checkpoint_height(S.UNIVERSAL_SUFFIX)
