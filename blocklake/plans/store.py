@@ -34,7 +34,6 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
-        checkpoint_root(spark)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -120,6 +119,7 @@ class Store:
             return ids[0] if ids else None
         # Snapshots take negative ids: writers own the non-negative ones, so the two never collide.
         target = min(ids[0], 0) - 1
+        checkpoint_root(self.spark)
         snapshot = self.table(name).where(F.lit(True))
         self.spark.sparkContext.setJobDescription(f"compact {name}")
         self.write_delta(name, snapshot.checkpoint(), target)
