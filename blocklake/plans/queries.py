@@ -36,6 +36,7 @@ REGISTRY: dict[str, Query] = {}
 # Lookup parameters (accounts of the events and documents views).
 PRED, CONTRACT = "user7.near", "app1.near"
 FILE_PRED, FILE_CONTRACT, FILE_DOC = "src3", "en.fs.near", 243
+LIVE_PRED = "src0"
 SCAN_LO, SCAN_HI = FX.EVENTS_HEIGHT_BASE + 97 * 100, FX.EVENTS_HEIGHT_BASE + 97 * 300
 EXPIRE_NOW_US = 1_707_955_200_000_000  # 2024-02-15 00:00:00 UTC
 STREAM_FILES = 4
@@ -247,6 +248,12 @@ def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.timeline(K.kv_by_block(event_kv(spark, sf_dir)), PRED, CONTRACT)
 
 
+@query
+def timeline_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-8 with an inclusive block-height range."""
+    return Q.timeline(K.kv_by_block(event_kv(spark, sf_dir)), PRED, CONTRACT, SCAN_LO, SCAN_HI)
+
+
 @query
 def key_across_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.key_across_accounts(K.mv_kv_key(K.kv_history(event_kv(spark, sf_dir))), "view")
@@ -274,6 +281,12 @@ def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.list_files(doc_chunks(spark, sf_dir), FILE_PRED, FILE_CONTRACT)
 
 
+@query
+def file_list_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-11 without deleted paths (D16) on the account whose single-chunk files all get deleted."""
+    return Q.list_files(doc_chunks(spark, sf_dir), LIVE_PRED, FILE_CONTRACT, live_only=True)
+
+
 @query
 def file_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chunk_view(Q.file_uploads(doc_chunks(spark, sf_dir), FILE_PRED, FILE_CONTRACT,
@@ -300,15 +313,24 @@ def path_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ reports
+def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls = event_calls(spark, sf_dir)
+    blobs = R.to_blobs(calls)
+    return (R.suffix_rejects(calls)
+            .unionByName(K.kv_rejects(R.by_suffix(blobs, S.KV_SUFFIX)))
+            .unionByName(FS.file_rejects(doc_blobs(spark, sf_dir), FX.DOC_ALIGNMENT)))
+
+
+@query
+def reject_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-1, one row per rejected call, blob or key with its reason (the reference only logs them)."""
+    return _rejects(spark, sf_dir)
+
+
 @query
 def reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RPT-1 over both inputs: routing, KV blob/key and file rejects with their reasons."""
-    calls = event_calls(spark, sf_dir)
-    blobs = R.to_blobs(calls)
-    rej = (R.suffix_rejects(calls)
-           .unionByName(K.kv_rejects(R.by_suffix(blobs, S.KV_SUFFIX)))
-           .unionByName(FS.file_rejects(doc_blobs(spark, sf_dir), FX.DOC_ALIGNMENT)))
-    return RP.reject_summary(rej)
+    return RP.reject_summary(_rejects(spark, sf_dir))
 
 
 @query

@@ -210,6 +210,32 @@ rej AS (
 SELECT stage, reason, count(*) AS n FROM rej WHERE reason IS NOT NULL GROUP BY stage, reason"""
 
 
+REJECT_RECORDS = f"""WITH {CALLS_CTE},
+{FILES_CTE},
+rej AS (
+  SELECT 'route' AS stage, 'invalid_suffix' AS reason, receipt_id, action_index, block_height, predecessor_id,
+         current_account_id, suffix AS detail
+  FROM tagged WHERE suffix IS NOT NULL AND NOT regexp_full_match(suffix, '[A-Za-z0-9_-]{{1,64}}')
+  UNION ALL
+  SELECT 'kv_blob', CASE WHEN NOT json_valid(data) THEN 'invalid_json'
+                         WHEN json_type(data) <> 'OBJECT' THEN 'not_object'
+                         WHEN len(list_distinct(json_keys(data))) > 256 THEN 'too_many_keys'
+                         WHEN NOT (receipt_index < 100000 AND action_index < 1000) THEN 'order_id_overflow' END,
+         receipt_id, action_index, block_height, predecessor_id, current_account_id, substr(data, 1, 64)
+  FROM blobs WHERE suffix = 'kv'
+  UNION ALL
+  SELECT 'kv_key', CASE WHEN strlen(j.key) > 1024 THEN 'key_too_long' ELSE 'invalid_key' END,
+         receipt_id, action_index, block_height, predecessor_id, current_account_id, j.key
+  FROM kvb, json_each(kvb.data) AS j
+  WHERE NOT (j.key <> '' AND strlen(j.key) <= 1024 AND NOT regexp_matches(j.key, '\\p{{Cc}}'))
+  UNION ALL
+  SELECT 'files', 'invalid_partial', 'fs' || {_v('doc_id')} || '-' || {_v('c')} || '-0', CAST(c AS INTEGER),
+         CAST(200000000 + doc_id * 2 AS BIGINT), pred, contract, relative_path
+  FROM (SELECT *, unnest(range(0, nchunks)) AS c FROM valid WHERE nchunks > 1 AND n > 131072)
+)
+SELECT * FROM rej WHERE reason IS NOT NULL"""
+
+
 def with_files(body: str) -> str:
     return f"WITH {FILES_CTE}\n{body}"
 
@@ -281,6 +307,13 @@ FROM valid WHERE (nchunks = 1 AND doc_id % 20 <> 0) OR (nchunks > 1 AND n <= 131
     "path_checks": f"""SELECT page_id, relative_path, COALESCE({PATH_OK.format(p='relative_path')}, false) AS is_valid
 FROM (SELECT page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/(.*)$', 1) AS relative_path FROM pages)""",
     "reject_report": REJECTS,
+    "reject_records": REJECT_RECORDS,
+    "timeline_range": with_calls(
+        f"SELECT * FROM ({BY_BLOCK}) WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT} "
+        f"AND block_height BETWEEN {SCAN_LO} AND {SCAN_HI}"),
+    "file_list_live": with_files(
+        "SELECT DISTINCT relative_path FROM chunks WHERE predecessor_id = 'src0' AND current_account_id = 'en.fs.near' "
+        "AND (content_md5 IS NOT NULL OR nonce > 0)"),
     "throughput": with_calls("""SELECT block_timestamp // 3600000000000 * 3600000000000 AS window_start_ns,
        count(DISTINCT block_height) AS n_blocks, count(*) AS n_calls
 FROM calls GROUP BY 1"""),
