@@ -129,6 +129,8 @@ class TableSpec:
     # Sort order inside each file: row-group min/max then prune point lookups.
     sort_by: tuple[str, ...] = ()
     descending: frozenset[str] = field(default_factory=frozenset)
+    # Every delta is already unique on `key` (written from an argmax or dedup of its batch).
+    unique_per_delta: bool = True
 
 
 CATALOG: dict[str, TableSpec] = {
@@ -140,6 +142,7 @@ CATALOG: dict[str, TableSpec] = {
                  "receipt_id"),
             partition_by=("suffix", "block_height_bucket", "batch_id"),
             sort_by=("block_height", "shard_id", "receipt_index", "action_index", "receipt_id"),
+            unique_per_delta=False,
         ),
         TableSpec("meta", key=("suffix",)),
         TableSpec(

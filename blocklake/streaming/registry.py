@@ -79,5 +79,6 @@ register_standard(S.RAW_SUFFIX, _raw_tables, {
     "s_raw": S.TableSpec("s_raw", key=("predecessor_id", "current_account_id", "block_height", "shard_id",
                                        "receipt_index", "action_index", "receipt_id"),
                          partition_by=("batch_id",),
-                         sort_by=("predecessor_id", "current_account_id", "block_height")),
+                         sort_by=("predecessor_id", "current_account_id", "block_height"),
+                         unique_per_delta=False),
 })

@@ -56,3 +56,9 @@ def test_json_parsed_once(spark):
     p = plan(K.explode_kv(Q.event_blobs(spark, SF)))
     body = p.split("\n\n", 1)[1]  # node details, not the tree outline
     assert body.count("parseJson") == 1
+
+
+def test_single_delta_table_reads_without_shuffle(store):
+    # `store` holds one KV batch: every derived table has exactly one delta.
+    assert "Exchange" not in plan(store.table("s_kv_last"))
+    assert "Exchange" in plan(store.table("blobs"))  # raw deltas are not unique per delta
