@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
 
     from blocklake import schemas as S
-    from blocklake.operators.reports import checkpoint_lag
+    from blocklake.operators.reports import checkpoint_lag, stalls
     from blocklake.plans import jobs
     from blocklake.plans.store import Store
     from blocklake.session import get_spark
@@ -70,7 +70,10 @@ def main(argv: list[str] | None = None) -> None:
         print(store.purge_expired(a.now_us if a.now_us is not None else int(time.time() * 1e6),
                                   S.BLOBS_TTL_SECONDS))
     elif a.command == "lag":
+        # Each call records a reading; a standard whose checkpoint did not move since the last one is stalled.
         checkpoint_lag(store.meta()).show(truncate=False)
+        store.record_reading(int(time.time() * 1e6))
+        stalls(store.readings()).show(truncate=False)
 
 
 if __name__ == "__main__":

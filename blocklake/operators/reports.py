@@ -36,3 +36,19 @@ def checkpoint_lag(meta: DataFrame, head_suffix: str = "*") -> DataFrame:
     return m.where(F.col("suffix") != head_suffix).select(
         "suffix", "last_processed_block_height", "head_height",
         (F.col("head_height") - F.col("last_processed_block_height")).alias("lag_blocks"))
+
+
+def stalls(readings: DataFrame) -> DataFrame:
+    """Q-14 stall check: per standard, its checkpoint at the newest reading against the reading before.
+
+    `readings` holds (reading_ts_us, suffix, last_processed_block_height), one row per standard per
+    reading; `stalled` is true when the checkpoint did not move between the last two readings. The
+    window is per standard and only spans that standard's readings.
+    """
+    w = Window.partitionBy("suffix").orderBy("reading_ts_us")
+    x = readings.withColumn("previous_height", F.lag("last_processed_block_height").over(w)).withColumn(
+        "_rank", F.row_number().over(w.orderBy(F.col("reading_ts_us").desc())))
+    return x.where(F.col("_rank") == 1).select(
+        "suffix", "reading_ts_us", "last_processed_block_height", "previous_height",
+        (F.col("previous_height").isNotNull()
+         & (F.col("previous_height") == F.col("last_processed_block_height"))).alias("stalled"))

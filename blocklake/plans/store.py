@@ -210,6 +210,14 @@ class Store:
         """
         return self.raw("blobs").select(*S.BLOBS_SCHEMA.fieldNames())
 
+    def record_reading(self, now_us: int) -> None:
+        """Append the current checkpoints, stamped `now_us`, to `meta_readings` (for stall checks)."""
+        snap = self.meta().withColumn("reading_ts_us", F.lit(int(now_us)).cast("long"))
+        snap.coalesce(1).write.mode("append").parquet(self.path("meta_readings"))
+
+    def readings(self) -> DataFrame:
+        return self.spark.read.parquet(self.path("meta_readings"))
+
     def meta(self) -> DataFrame:
         return self.spark.read.schema(S.META_SCHEMA).parquet(self.path("meta"))
 

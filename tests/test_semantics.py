@@ -281,3 +281,19 @@ def test_key_level_reject_reasons(spark):
     b = blobs(spark, [dict(data=json.dumps({"ok": 1, "x" * 1025: 1, "": 2, "a\u0001": 3}))])
     assert sorted(r.reason for r in K.kv_rejects(b).collect()) == ["invalid_key", "invalid_key", "key_too_long"]
     assert [r.key for r in K.explode_kv(b).collect()] == ["ok"]
+
+
+def test_stall_detection(spark):
+    from blocklake.operators.reports import stalls
+    from blocklake.plans.store import Store
+    from blocklake.session import scratch_path
+
+    store = Store(spark, scratch_path(spark, "stall"))
+    store.write_meta("*", 10)
+    store.write_meta("kv", 8)
+    store.record_reading(1)
+    store.write_meta("*", 20)  # the raw stage moved on, the kv stage did not
+    store.record_reading(2)
+    got = {r.suffix: (r.last_processed_block_height, r.previous_height, r.stalled)
+           for r in stalls(store.readings()).collect()}
+    assert got == {"*": (20, 10, False), "kv": (8, 8, True)}
