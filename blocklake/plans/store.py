@@ -202,6 +202,17 @@ class Store:
             return df.dropDuplicates(list(spec.key))
         return latest_by(df, spec.key, spec.version)
 
+    def read(self, name: str) -> DataFrame:
+        """Table `name` as users query it: live edges only (tombstones hidden), the account registry
+        with its published columns, every other table as merged."""
+        from blocklake.operators import kv as K
+
+        if name == "kv_edges":
+            return K.live_edges(self.table(name))
+        if name == "all_accounts":
+            return K.all_accounts_view(self.table(name))
+        return self.table(name)
+
     def blobs_feed(self) -> DataFrame:
         """Blobs as written, without the read-side dedup: what the derived stages consume.
 

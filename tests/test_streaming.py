@@ -81,3 +81,14 @@ def test_derived_stream_tails_the_stored_blobs_table(spark):
     q.awaitTermination()
     assert _same(derived.table("s_kv_last"), Q.event_last(spark, SF))
     assert derived.checkpoint_height(S.KV_SUFFIX) <= raw.checkpoint_height(S.UNIVERSAL_SUFFIX)
+
+
+def test_store_read_gives_user_facing_tables(spark):
+    from blocklake.plans.jobs import index_standard
+
+    store = Store(spark, scratch_path(spark, "read-store"))
+    index_standard(store, Q.event_blobs(spark, SF), 0, S.KV_SUFFIX)
+    last = Q.event_last(spark, SF)
+    assert _same(store.read("kv_edges"), K.kv_edges(last))
+    assert _same(store.read("all_accounts"), K.all_accounts(last))
+    assert _same(store.read("kv_reverse"), K.kv_reverse(last))
