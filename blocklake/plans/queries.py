@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from blocklake import schemas as S
 from blocklake.functions.columns import lww_version, order_id
-from blocklake.functions.fence import fence
 from blocklake.functions.paths import is_valid_relative_path
 from blocklake.operators import files as FS
 from blocklake.operators import kv as K
@@ -23,7 +22,7 @@ from blocklake.operators import routing as R
 from blocklake.plans import lookups as Q
 from blocklake.plans.jobs import index_standard, ingest_calls
 from blocklake.plans.store import Store, expire, scan_suffix
-from blocklake.session import configure, scratch_path
+from blocklake.session import checkpoint_root, configure, scratch_path
 from blocklake.sources import fixtures as FX
 from blocklake.sources.blocks import flatten_blocks as flatten
 from blocklake.sources.blocks import read_blocks
@@ -71,13 +70,14 @@ def event_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File blobs of the documents view, behind a fence.
+    """File blobs of the documents view, materialized like a written blobs table (reliable checkpoint).
 
-    The decoder then reads `data` as a column, as it does from the blobs table, instead of having
-    the fixture's record-encoding expressions substituted into every read.
+    The decoder then reads `data` as a column, as it does from the blobs table, in its own codegen
+    stage, instead of sharing one with the fixture's record-encoding expressions.
     """
     configure(spark)
-    return fence(R.by_suffix(R.to_blobs(FX.calls_from_documents(spark, sf_dir)), S.FILES_SUFFIX))
+    checkpoint_root(spark)
+    return R.by_suffix(R.to_blobs(FX.calls_from_documents(spark, sf_dir)), S.FILES_SUFFIX).checkpoint()
 
 
 def doc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
