@@ -27,6 +27,22 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
 
+OP9 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, w[i] || chr(10) || w[i + 1] AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d WHERE len(w) > 1)
+      UNION ALL SELECT doc_id, w[1] FROM d WHERE len(w) = 1),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * common >= 80 * (x.n + y.n - common)),
+r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
+"""
+
+
 def _values(pairs: dict[str, str]) -> str:
     return ", ".join(f"('{a}', '{b}')" for a, b in pairs.items())
 
@@ -55,5 +71,6 @@ FROM d LEFT JOIN b USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN al USI
 
 ORACLE = {
     "op8_decontaminate": OP8,
+    "op9_near_duplicates": OP9,
     "op10_license_scan": OP10,
 }

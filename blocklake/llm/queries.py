@@ -9,17 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from blocklake.llm.common import table
 from blocklake.llm.decontam import decontaminate
 from blocklake.llm.licenses import scan_licenses
+from blocklake.llm.near_dup import near_duplicates
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80).drop("text_key")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
 }
