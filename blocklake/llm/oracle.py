@@ -8,6 +8,19 @@ _LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 _WORDS = (r"list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
 
+OP3 = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
+      WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
 OP8 = f"""
 WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
 i AS (SELECT item_id::VARCHAR AS item, {_WORDS.format("text")} AS w FROM benchmark),
@@ -70,6 +83,7 @@ FROM d LEFT JOIN b USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN al USI
 """
 
 ORACLE = {
+    "op3_cosine_links": OP3,
     "op8_decontaminate": OP8,
     "op9_near_duplicates": OP9,
     "op10_license_scan": OP10,

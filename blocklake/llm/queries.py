@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from blocklake.llm.common import table
 from blocklake.llm.decontam import decontaminate
 from blocklake.llm.licenses import scan_licenses
+from blocklake.llm.metric_join import cosine_links
 from blocklake.llm.near_dup import near_duplicates
 
 
+def op3_cosine_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cosine_links(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
@@ -25,6 +30,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_cosine_links": op3_cosine_links,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
