@@ -8,6 +8,18 @@ _LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 _WORDS = (r"list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
 
+OP1 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, h, min(page_id) OVER (PARTITION BY h) AS first, sha1(h) AS x FROM p)
+SELECT page_id, octet_length(encode(h)) AS payload_bytes,
+  array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform(range(0, 4),
+    lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + (((('0x' || substr(x, 1 + 5 * i, 5))::BIGINT) >> (15 - 5 * j)) & 31)::INT, 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
 OP3 = """
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
@@ -83,6 +95,7 @@ FROM d LEFT JOIN b USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN al USI
 """
 
 ORACLE = {
+    "op1_warc_round_trip": OP1,
     "op3_cosine_links": OP3,
     "op8_decontaminate": OP8,
     "op9_near_duplicates": OP9,

@@ -5,12 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blocklake.llm.common import table
 from blocklake.llm.decontam import decontaminate
 from blocklake.llm.licenses import scan_licenses
 from blocklake.llm.metric_join import cosine_links
 from blocklake.llm.near_dup import near_duplicates
+from blocklake.llm.warc import read_warc, write_warc
+from blocklake.session import scratch_path
+
+
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "llm-warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    back = read_warc(spark, path, payload=False)
+    sound = F.when(F.col("error").isNull(), F.col("digest")).otherwise(F.raise_error(F.col("error")).cast("string"))
+    return back.select(F.col("id").cast("long").alias("page_id"), F.col("n_bytes").alias("payload_bytes"),
+                       sound.alias("payload_digest"), "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
 def op3_cosine_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +42,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_round_trip": op1_warc_round_trip,
     "op3_cosine_links": op3_cosine_links,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_duplicates": op9_near_duplicates,
