@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from blocklake.llm.common import table
 from blocklake.llm.decontam import decontaminate
 from blocklake.llm.licenses import scan_licenses
+from blocklake.llm.line_dedup import line_report
 from blocklake.llm.metric_join import cosine_links
 from blocklake.llm.near_dup import near_duplicates
 from blocklake.llm.warc import read_warc, write_warc
@@ -25,6 +26,10 @@ def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        sound.alias("payload_digest"), "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op3_cosine_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cosine_links(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
@@ -43,6 +48,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
+    "op2_line_dedup": op2_line_dedup,
     "op3_cosine_links": op3_cosine_links,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_duplicates": op9_near_duplicates,
