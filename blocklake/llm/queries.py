@@ -13,6 +13,7 @@ from blocklake.llm.licenses import scan_licenses
 from blocklake.llm.line_dedup import line_report
 from blocklake.llm.metric_join import cosine_links
 from blocklake.llm.near_dup import near_duplicates
+from blocklake.llm.quality import classify_quality
 from blocklake.llm.warc import read_warc, write_warc
 from blocklake.session import scratch_path
 
@@ -34,6 +35,10 @@ def op3_cosine_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cosine_links(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_line_dedup": op2_line_dedup,
     "op3_cosine_links": op3_cosine_links,
+    "op5_quality": op5_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,

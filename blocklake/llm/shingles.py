@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 
@@ -29,11 +30,13 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
-_UP, _DOWN = _powers(_BASE, CHUNK_BYTES), _powers(_BACK, CHUNK_BYTES)
+@lru_cache(1)
+def _chunk_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_BASE, CHUNK_BYTES), _powers(_BACK, CHUNK_BYTES)
 
 
 def _grow(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return (_UP, _DOWN) if n <= len(_UP) else (_powers(_BASE, n), _powers(_BACK, n))
+    return _chunk_powers() if n <= CHUNK_BYTES else (_powers(_BASE, n), _powers(_BACK, n))
 
 
 def word_hashes(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
