@@ -14,6 +14,7 @@ from blocklake.llm.line_dedup import line_report
 from blocklake.llm.metric_join import cosine_links
 from blocklake.llm.near_dup import near_duplicates
 from blocklake.llm.quality import classify_quality
+from blocklake.llm.sentencepiece import SPACE, decode, encode, load_vocabulary
 from blocklake.llm.warc import read_warc, write_warc
 from blocklake.session import scratch_path
 
@@ -39,6 +40,15 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = load_vocabulary()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = decode(encode(docs, vocabulary), vocabulary)
+    kept = F.translate(F.coalesce("text", F.lit("")), SPACE, " ")  # the vocabulary writes a space that way
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                       (F.col("decoded") == kept).alias("round_trip"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
@@ -56,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_cosine_links": op3_cosine_links,
     "op5_quality": op5_quality,
+    "op6_sentencepiece": op6_sentencepiece,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
