@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blocklake.llm.shingles import batches
 
@@ -330,7 +331,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: st
                 at += len(part)
 
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
-    schema = source.schema.add(into, "array<int>")
+    schema = source.schema.add(into, T.ArrayType(T.IntegerType()))
     return source.mapInArrow(run, schema)
 
 
@@ -358,4 +359,4 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str
                 yield pa.RecordBatch.from_arrays([*rb.slice(s, 1024).columns, pa.array(out, pa.string())], [*kept, into])
 
     source = rows.select(*[F.col(f"`{c}`") for c in kept])
-    return source.mapInArrow(run, source.schema.add(into, "string"))
+    return source.mapInArrow(run, source.schema.add(into, T.StringType()))
