@@ -331,7 +331,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: st
                 at += len(part)
 
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
-    schema = source.schema.add(into, T.ArrayType(T.IntegerType()))
+    schema = T.StructType([*source.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))])
     return source.mapInArrow(run, schema)
 
 
@@ -359,4 +359,4 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str
                 yield pa.RecordBatch.from_arrays([*rb.slice(s, 1024).columns, pa.array(out, pa.string())], [*kept, into])
 
     source = rows.select(*[F.col(f"`{c}`") for c in kept])
-    return source.mapInArrow(run, source.schema.add(into, T.StringType()))
+    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(into, T.StringType())]))
