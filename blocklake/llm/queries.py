@@ -13,6 +13,7 @@ from blocklake.llm.licenses import scan_licenses
 from blocklake.llm.line_dedup import line_report
 from blocklake.llm.metric_join import cosine_links
 from blocklake.llm.near_dup import near_duplicates
+from blocklake.llm.packing import pack_documents
 from blocklake.llm.quality import classify_quality
 from blocklake.llm.sentencepiece import SPACE, decode, encode, load_vocabulary
 from blocklake.llm.warc import read_warc, write_warc
@@ -49,6 +50,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("decoded") == kept).alias("round_trip"))
 
 
+def op7_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_cosine_links": op3_cosine_links,
     "op5_quality": op5_quality,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_packed_tokens": op7_packed_tokens,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
