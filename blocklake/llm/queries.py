@@ -14,6 +14,7 @@ from blocklake.llm.line_dedup import line_report
 from blocklake.llm.metric_join import cosine_links
 from blocklake.llm.near_dup import near_duplicates
 from blocklake.llm.packing import pack_documents
+from blocklake.llm.pseudonyms import pseudonymize
 from blocklake.llm.quality import classify_quality
 from blocklake.llm.sentencepiece import SPACE, decode, encode, load_vocabulary
 from blocklake.llm.warc import read_warc, write_warc
@@ -37,6 +38,12 @@ def op3_cosine_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cosine_links(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymize(docs, key="a key of the caller").select(
+        "doc_id", "text", F.size("pii").cast("long").alias("n_pii"), F.array_join(F.array_sort(F.array_distinct("pii")), ",").alias("kinds"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -70,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_line_dedup": op2_line_dedup,
     "op3_cosine_links": op3_cosine_links,
+    "op4_pseudonyms": op4_pseudonyms,
     "op5_quality": op5_quality,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_packed_tokens": op7_packed_tokens,
