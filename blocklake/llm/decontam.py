@@ -72,3 +72,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
                       F.size(ids).cast("long").alias("n_items"),
                       F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
                       ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that no benchmark item contaminates, all columns as they were."""
+    marks = decontaminate(docs, items, doc_id, text).where("contaminated").select(
+        F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct()
+    rows = docs.select(F.struct("*").alias("_r"))
+    same = F.col(f"_r.`{doc_id}`").eqNullSafe(F.col("_d")) & (text_key(F.col(f"_r.`{text}`")) == F.col("_k"))
+    return rows.join(sized(materialize(marks, "contaminated")), same, "left_anti").select("_r.*")

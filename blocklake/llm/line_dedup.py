@@ -214,9 +214,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     kept = line_classes(docs, doc_id, text, threshold, min_chars).where("keep").groupBy("doc_id", "tk").agg(
         F.collect_list("line_no").alias("_kept")).withColumnsRenamed({"doc_id": "_d", "tk": "_k"})
     kept = materialize(kept, "kept-lines")
-    body = F.col(f"_r.{text}")
+    body = F.col(f"_r.`{text}`")
     rows = docs.select(F.struct("*").alias("_r")).withColumns(
-        {"doc_id": F.col(f"_r.{doc_id}"), "tk": text_key(body)}).join(kept, _same("_d", "_k"), "left")
+        {"doc_id": F.col(f"_r.`{doc_id}`"), "tk": text_key(body)}).join(kept, _same("_d", "_k"), "left")
     lines = F.split(body, "\n")
     short = F.filter(F.sequence(F.lit(0), F.greatest(F.size(lines) - 1, F.lit(0))),
                      lambda i: F.char_length(F.get(lines, i)) < min_chars)

@@ -162,7 +162,7 @@ def _block_task(bounds: dict[int, int], bands: int, rows: int, percent: int):
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
                     bands: int = BANDS, rows: int = ROWS, batch: int = BATCH, miss: float = MISS) -> DataFrame:
-    """Per document row: doc_id, text_key, n_shingles, component_id, kept.
+    """Per document row: doc_id, text_key, n_shingles, component_id, kept, group (a number per component).
 
     Words are split at ASCII white space after lower-casing A-Z; a text of fewer than `width` words is one
     shingle. Null texts and texts without words have no shingles, link with nothing and stay (component_id is
@@ -231,8 +231,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = classes.join(comps, F.col("cid") == F.col("node"), "left").select(
         "cls", "least", F.coalesce("component", "cid").alias("comp"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    found = materialize(named.join(least, "comp").select("cls", "component_id"), "named")
+    found = materialize(named.join(least, "comp").select("cls", "component_id", F.col("comp").alias("group")), "named")
     out = rowsof.select("doc_id", "tk", "n", "cls").join(found, "cls", "left")
     cid = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("tk").alias("text_key"), F.col("n").alias("n_shingles"),
-                      cid.alias("component_id"), F.col("doc_id").eqNullSafe(cid).alias("kept"))
+                      cid.alias("component_id"), F.col("doc_id").eqNullSafe(cid).alias("kept"), "group")
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5,
+                         percent: int = 80) -> DataFrame:
+    """The documents with one row left of each group of near-duplicates, all columns as they were.
+
+    The row that stays is the first by (id, text key); of rows that repeat id and text any one. Texts without
+    words are in no group and all stay.
+    """
+    marks = materialize(near_duplicates(docs, doc_id, text, width, percent), "near-marks")
+    one = marks.where("n_shingles > 0").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
+    none = marks.where("n_shingles = 0").select("doc_id", "text_key").distinct()
+    keep = one.select("one.*").union(none).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"))
+    rows = docs.select(F.struct("*").alias("_r"))
+    rows = rows.join(sized(materialize(keep, "near-kept")), F.col(f"_r.`{doc_id}`").eqNullSafe(F.col("_d"))
+                     & (text_key(F.col(f"_r.`{text}`")) == F.col("_k")))
+    if not marks.where("n_shingles > 0").groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
+        full = rows.join(none.select(F.col("doc_id").alias("_e"), F.col("text_key").alias("_f")),
+                         F.col("_d").eqNullSafe(F.col("_e")) & (F.col("_k") == F.col("_f")), "left")
+        rows = full.where("_f IS NOT NULL").select("_r").union(
+            full.where("_f IS NULL").dropDuplicates(["_d", "_k"]).select("_r"))
+    return rows.select("_r.*")

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blocklake.llm.shingles import batches, word_hashes
 
@@ -155,19 +156,23 @@ def train_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     return fit(np.stack(got["x"].to_numpy()), got["y"].to_numpy())
 
 
-def score_quality(docs: DataFrame, model: Trees, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, score) for every row; null and empty texts are scored by their (zero) statistics."""
+def score_quality(docs: DataFrame, model: Trees, text: str = "text", into: str = "score") -> DataFrame:
+    """All columns of `docs` and the score of every row's text; null and empty texts have (zero) statistics too.
+
+    A column that is already called `into` is replaced.
+    """
+    kept = [c for c in docs.columns if c != into]
+    source = docs.select(*[F.col(f"`{c}`") for c in kept])
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
             at = 0
-            for part in batches(x.as_buffer().to_pybytes() if x.is_valid else None for x in rb.column(1)):
-                yield pa.RecordBatch.from_arrays([rb.column(0).slice(at, len(part)),
-                                                  pa.array(model.score(statistics(part)))], ["doc_id", "score"])
+            for part in batches(x.as_buffer().to_pybytes() if x.is_valid else None for x in rb.column(kept.index(text))):
+                score = pa.array(model.score(statistics(part)))
+                yield pa.RecordBatch.from_arrays([*rb.slice(at, len(part)).columns, score], [*kept, into])
                 at += len(part)
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary")).mapInArrow(
-        run, f"doc_id {kind}, score double")
+    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(into, T.DoubleType())]))
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -176,6 +181,15 @@ def classify_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
     Rows are scored each by its own text, so repeated ids and rows keep a result each; an empty table gives none.
     """
-    scored = score_quality(docs, train_quality(docs, labels, doc_id, text, label), doc_id, text)
+    model = train_quality(docs, labels, doc_id, text, label)
+    scored = score_quality(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                 label: str = "quality", threshold: float = 0.7) -> DataFrame:
+    """The documents that the classifier accepts, all columns as they were."""
+    model = train_quality(docs, labels, doc_id, text, label)
+    scored = score_quality(docs, model, text, "_score")
+    return scored.where(F.col("_score") >= threshold).drop("_score")

@@ -66,7 +66,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80).drop("text_key")
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80).drop("text_key", "group")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
