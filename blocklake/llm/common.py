@@ -29,6 +29,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until no column is called that."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for a materialized narrow table of at most `rows` rows; a larger one joins by shuffle."""
     return F.broadcast(df) if df.count() <= rows else df

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blocklake.llm.common import free_name
 from blocklake.llm.shingles import batches, word_hashes
 
 TRAIN_ROWS = 20_000  # bound of the labelled sample the model is fitted on
@@ -191,5 +192,5 @@ def keep_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
                  label: str = "quality", threshold: float = 0.7) -> DataFrame:
     """The documents that the classifier accepts, all columns as they were."""
     model = train_quality(docs, labels, doc_id, text, label)
-    scored = score_quality(docs, model, text, "_score")
-    return scored.where(F.col("_score") >= threshold).drop("_score")
+    name = free_name(docs, "_score")
+    return score_quality(docs, model, text, name).where(F.col(name) >= threshold).drop(name)
