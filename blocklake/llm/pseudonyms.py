@@ -131,8 +131,13 @@ def _phone(m: re.Match, f: Callable) -> str | None:
     lead = m["lead"] or ""
     d = _digits(m[0][len(lead):])
     if m["nanp"]:
-        ok = lambda x: x // 10**9 >= 2 and x // 10**6 % 10 >= 2
-        return lead + _refill(m[0][len(lead):], f"{f(int(d), 10**10, 'nanp', ok):010d}") if ok(int(d)) else None
+        # Numbers outside the plan count where the country code or brackets say what they are, among themselves.
+        plan = lambda x: x // 10**9 >= 2 and x // 10**6 % 10 >= 2
+        inside = plan(int(d))
+        if not (inside or lead or m["nanp"][0] == "("):
+            return None
+        new = f(int(d), 10**10, f"nanp{inside}", lambda x: plan(x) == inside)
+        return lead + _refill(m[0][len(lead):], f"{new:010d}")
     if not 8 <= len(d) <= 15:
         return None
     keep = d[:2]  # most of the country code
@@ -198,8 +203,8 @@ KINDS: list[tuple[str, re.Pattern, Callable]] = [
                         rf"(?P<d2>[1-9][0-9]?) (?P<m2>{_NAMES}) (?P<y2>[0-9]{{4}}))(?![0-9])"), _named),
     ("ip", re.compile(_A + r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}" + _Z), _ip),
     ("ssn", re.compile(_A + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _Z), _ssn),
-    ("phone", re.compile(r"(?<![0-9A-Za-z.+-])(?P<lead>\+1[ .-]?)?(?P<nanp>\([2-9][0-9]{2}\)[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}|"
-                         r"[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4}|(?<=1)[2-9][0-9]{9})" + _Z
+    ("phone", re.compile(r"(?<![0-9A-Za-z.+-])(?P<lead>\+1[ .-]?)?(?P<nanp>\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|"
+                         r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|(?<=\+1)[0-9]{10})" + _Z
                          + r"|(?<![0-9A-Za-z+])\+(?!1)[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]\)?){6,12}" + _Z), _phone),
 ]
 _SOME = re.compile("[0-9]")
