@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blocklake.llm.common import WORD, lower_ascii, materialize, sized, text_key, words
+from blocklake.llm.common import lower_ascii, materialize, sized, text_key, words
 
 
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", width: int = 13) -> DataFrame:
@@ -45,16 +45,20 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     words never occur; items that repeat an id count once. Only the named columns are read, so extra columns of
     any name do no harm. An empty benchmark hits nothing, empty documents give no rows.
     """
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    split = base.select("doc_id", text_key(F.col("text")).alias("tk"), words(lower_ascii(F.col("text"))).alias("w"))
+    split = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).select("doc_id", text_key(F.col("text")).alias("tk"), words(lower_ascii(F.col("text"))).alias("w"))
     wins = materialize(item_windows(items, item_id, item_text, width), "windows")
-    index = sized(materialize(rare_first(split, wins), "prefixes"))
+    # One more row per document, at the position after its last word, carries its word count through the same pass.
+    end = split.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(0).alias("off"), F.lit(0).alias("len"),
+                                             F.array().cast("array<string>").alias("win"))
+    index = sized(materialize(rare_first(split, wins).unionByName(end), "prefixes"))
     start = F.col("pos") - F.col("off")
-    found = split.select("doc_id", "tk", "w", F.posexplode("w").alias("pos", "word")).join(index, "word").where(
-        (start >= 0) & (start + F.col("len") <= F.size("w")))
+    found = split.select("doc_id", "tk", "w", F.posexplode(F.array_append("w", "")).alias("pos", "word")).join(
+        index, "word").where((start >= 0) & (start + F.col("len") <= F.size("w")))
     found = found.where(F.slice("w", start + 1, F.col("len")) == F.col("win"))
-    found = materialize(found.select("doc_id", "tk", start.alias("start"), (start + F.col("len")).alias("stop"), "win")
-                        .distinct(), "occurrences")
+    found = materialize(found.select("doc_id", "tk", start.alias("start"), (start + F.col("len")).alias("stop"), "win"),
+                        "occurrences")
+    base = found.where("start = stop").select("doc_id", F.col("tk").alias("text_key"), F.col("start").alias("n_words"))
+    found = found.where("start < stop").distinct()
     before = Window.partitionBy("doc_id", "tk").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
     covered = F.greatest(F.lit(0), F.col("stop") - F.greatest(F.col("start"), F.coalesce(
         F.max("stop").over(before), F.lit(0))))
@@ -64,11 +68,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
         F.array_sort(F.collect_set("item")).alias("items"))
     marks = hits.withColumnRenamed("doc_id", "d").withColumnRenamed("tk", "k").join(
         named, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("tk"))).select("d", "k", "n_hit", "items")
-    n_words = F.coalesce(F.regexp_count(lower_ascii(F.col("text")), F.lit(WORD)), F.lit(0)).cast("long")
-    out = base.select("doc_id", text_key(F.col("text")).alias("text_key"), n_words.alias("n_words")).join(
-        marks, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left")
+    out = base.join(marks, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left")
     n_hit, ids = F.coalesce("n_hit", F.lit(0)), F.coalesce("items", F.array().cast("array<string>"))
-    return out.select("doc_id", "text_key", "n_words", n_hit.cast("long").alias("n_hit"),
+    return out.select("doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"), n_hit.cast("long").alias("n_hit"),
                       F.size(ids).cast("long").alias("n_items"),
                       F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
                       ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"))
