@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blocklake.llm.common import WORD, WORD_SEPARATORS, lower_ascii, materialize, text_key, words
+from blocklake.llm.common import lower_ascii, materialize, text_key, words
 
 # The phrases of the base scan and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -57,10 +57,14 @@ def template_index(blocks: DataFrame, templates: DataFrame, threshold: float) ->
 
 def phrase_places(w: Column, phrase: list[str], label: str) -> Column:
     """Array of (at, label): every start, words from 0, where the phrase's words stand consecutively."""
-    starts = F.when(F.size(w) >= len(phrase), F.sequence(F.lit(1), F.size(w) - len(phrase) + 1)).otherwise(
-        F.when(w.isNotNull(), F.array().cast("array<int>")))
+    starts = F.sequence(F.lit(1), F.size(w) - len(phrase) + 1)
     hits = F.filter(starts, lambda i: F.slice(w, i, len(phrase)) == F.array(*map(F.lit, phrase)))
-    return F.transform(hits, lambda i: F.struct((i - 1).alias("at"), F.lit(label).alias("label")))
+    found = F.transform(hits, lambda i: F.struct((i - 1).alias("at"), F.lit(label).alias("label")))
+    # Only texts that hold each of the words are searched for the phrase.
+    holds = F.size(w) >= len(phrase)
+    for word in sorted(set(phrase), key=len, reverse=True):
+        holds = holds & F.array_contains(w, word)
+    return F.when(holds, found).otherwise(F.array().cast(PLACES))
 
 
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -91,12 +95,9 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                              F.max(F.col("shared") / F.col("of")).alias("best"))
     marks = marks.select(F.col("doc_id").alias("d"), F.col("tk").alias("k"), "more", "best")
 
-    # Only texts that spell a phrase, whatever stands between its words, are split into words and searched.
-    low = low.withColumn("w", F.when(F.col("low").rlike(
-        "|".join(WORD_SEPARATORS.join(p.split(" ")) for p in phrases)), words(F.col("low"))))
+    scan = low.select("doc_id", "tk", words(F.col("low")).alias("w"))
     places = F.concat(*[phrase_places(F.col("w"), p.split(" "), label) for p, label in phrases.items()])
-    scan = low.select("doc_id", "tk", F.regexp_count("low", F.lit(WORD)).cast("long").alias("n_words"),
-                      F.coalesce(places, F.array().cast(PLACES)).alias("places"))
+    scan = scan.select("doc_id", "tk", F.size("w").cast("long").alias("n_words"), places.alias("places"))
     out = scan.join(marks, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tk") == F.col("k")), "left")
     none = F.array().cast("array<string>")
     base_set = F.array_sort(F.array_distinct(F.col("places.label")))
