@@ -2,7 +2,7 @@
 
     python -m blocklake ingest  --blocks DIR --store ROOT [--format json] [--start-height H] [--stream]
     python -m blocklake index   --store ROOT --suffix kv|fastfs|raw [--stream]
-    python -m blocklake compact --store ROOT --table NAME
+    python -m blocklake merge   --store ROOT --table NAME
     python -m blocklake purge   --store ROOT [--now-us T]
     python -m blocklake lag     --store ROOT
 
@@ -14,12 +14,10 @@ from __future__ import annotations
 import argparse
 import time
 
-from pyspark.sql import functions as F
-
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="blocklake")
-    ap.add_argument("command", choices=["ingest", "index", "compact", "purge", "lag"])
+    ap.add_argument("command", choices=["ingest", "index", "merge", "purge", "lag"])
     ap.add_argument("--store", required=True)
     ap.add_argument("--blocks")
     ap.add_argument("--format", default="json")
@@ -43,7 +41,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_spark()
     store = Store(spark, a.store)
-    batch_id = a.batch_id if a.batch_id is not None else int(time.time())
+    batch_id = a.batch_id if a.batch_id is not None else time.time_ns()
     if a.command == "ingest":
         if a.stream:
             q = writers.start_ingest_stream(spark, a.blocks, store, a.checkpoint, a.format,
@@ -51,21 +49,20 @@ def main(argv: list[str] | None = None) -> None:
                                             start_height=a.start_height)
             q.awaitTermination()
         else:
-            jobs.ingest_calls(store, flatten_blocks(read_blocks(spark, a.blocks, a.format, a.start_height)),
-                              batch_id)
+            # STR-1: go on after the checkpoint, else from the given height.
+            done = store.checkpoint_height(S.UNIVERSAL_SUFFIX)
+            start = done + 1 if done is not None else a.start_height
+            jobs.ingest_calls(store, flatten_blocks(read_blocks(spark, a.blocks, a.format, start)), batch_id)
     elif a.command == "index":
         if a.stream:
             q = writers.start_standard_stream(spark, store.path("blobs"), store, a.suffix, a.checkpoint,
-                                              max_files_per_trigger=a.max_files_per_trigger)
+                                              max_files_per_trigger=a.max_files_per_trigger,
+                                              start_height=a.start_height)
             q.awaitTermination()
         else:
-            start = store.checkpoint_height(a.suffix)
-            blobs = store.blobs_feed()
-            if start is not None:
-                blobs = blobs.where(F.col("block_height") > start)
-            jobs.index_standard(store, blobs, batch_id, a.suffix)
-    elif a.command == "compact":
-        print(store.compact(a.table))
+            print(jobs.index_pending(store, batch_id, a.suffix))
+    elif a.command == "merge":
+        print(store.merge(a.table))
     elif a.command == "purge":
         print(store.purge_expired(a.now_us if a.now_us is not None else int(time.time() * 1e6),
                                   S.BLOBS_TTL_SECONDS))

@@ -87,19 +87,20 @@ def decode_upload(df: DataFrame, data: str = "data") -> DataFrame:
     # Exact consumption covers every read: a short read pushes `_end` past the record.
     ok = ((c("_end") - 1 == F.octet_length(d)) & c("_path").isNotNull()
           & (~opt1 | c("_mime").isNotNull()) & (~is_p | (c("_mime").isNotNull() & c("_nonce").isNotNull())))
-    out = x.select(
-        *[c(n) for n in df.columns],
-        F.coalesce(ok, F.lit(False)).alias("u_ok"),
-        c("_tag").cast("int").alias("u_kind"),
-        F.coalesce((c("_tag") == 0) & opt1, F.lit(False)).alias("u_has_content"),
-        c("_path").alias("u_path"),
-        F.when(is_p, c("_offset")).otherwise(F.lit(0).cast("long")).alias("u_offset"),
-        F.when(is_p, c("_full")).when(opt1, c("_s_clen")).otherwise(F.lit(0).cast("long")).alias("u_full"),
-        c("_mime").alias("u_mime"),
-        c("_content").alias("u_content"),
-        F.when(is_p, c("_nonce")).otherwise(F.lit(0).cast("long")).alias("u_nonce"),
+    out = fence(
+        x,
+        u_ok=F.coalesce(ok, F.lit(False)),
+        u_kind=c("_tag").cast("int"),
+        u_has_content=F.coalesce((c("_tag") == 0) & opt1, F.lit(False)),
+        u_path=c("_path"),
+        u_offset=F.when(is_p, c("_offset")).otherwise(F.lit(0).cast("long")),
+        u_full=F.when(is_p, c("_full")).when(opt1, c("_s_clen")).otherwise(F.lit(0).cast("long")),
+        u_mime=c("_mime"),
+        u_content=c("_content"),
+        u_nonce=F.when(is_p, c("_nonce")).otherwise(F.lit(0).cast("long")),
     )
-    return fence(out)
+    fields = ["u_ok", "u_kind", "u_has_content", "u_path", "u_offset", "u_full", "u_mime", "u_content", "u_nonce"]
+    return out.select(*[F.col(f"`{n}`") for n in [*df.columns, *fields]])
 
 
 def u32le(n: Column) -> Column:

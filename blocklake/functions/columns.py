@@ -21,10 +21,10 @@ def block_height_bucket(height: str = "block_height") -> Column:
     return F.expr(f"{_sql(height)} div {S.BLOCK_HEIGHT_BUCKET_SIZE}")
 
 
-def strip_prefix(method: str | Column = "method_name", prefix: str = S.CALL_PREFIX) -> Column:
+def strip_prefix(method: str = "method_name", prefix: str = S.CALL_PREFIX) -> Column:
     """FLT-2: the suffix when `method` starts with `prefix`, else null."""
     m = col(method)
-    return F.when(m.startswith(prefix), m.substr(len(prefix) + 1, 1 << 30))
+    return F.when(m.startswith(prefix), F.expr(f"substring({_sql(method)}, {len(prefix) + 1})"))
 
 
 def is_valid_suffix(suffix: str | Column = "suffix") -> Column:
@@ -76,11 +76,6 @@ def edge_of(key: str | Column = "key", predecessor: str | Column = "predecessor_
     return F.when(ok, F.struct(edge_type.alias("edge_type"), pred.alias("source"), target.alias("target")))
 
 
-def timestamp_of_ns(ns: str = "block_timestamp") -> Column:
-    """Nanosecond block time as a Spark timestamp (microsecond precision) for users."""
-    return F.expr(f"timestamp_micros({_sql(ns)} div 1000)")
-
-
 def _sql(c: str | Column) -> str:
     if isinstance(c, str):
         return f"`{c}`"

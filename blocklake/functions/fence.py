@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 
 
 def fence(df: DataFrame, **cols: Column) -> DataFrame:
-    """Add `cols` to `df`, computed exactly once per row; downstream filters stay above them."""
-    x = df.select("*", *[c.alias(n) for n, c in cols.items()]) if cols else df
-    row = F.struct(*[F.col(f"`{c}`") for c in x.columns])
-    return x.select(F.explode(F.array(row)).alias("_fenced")).select("_fenced.*")
+    """Add `cols` to `df`, computed exactly once per row; filters on them stay above, others still sink.
+
+    Only the new values pass through the explode: a filter on a column of `df` is pushed below it to the
+    scan, and columns nobody reads afterwards are pruned.
+    """
+    new = F.struct(*[c.alias(n) for n, c in cols.items()])
+    x = df.select("*", F.explode(F.array(new)).alias("_fenced"))
+    return x.select(*[F.col(f"`{c}`") for c in df.columns if c not in cols], "_fenced.*")

@@ -29,21 +29,22 @@ def is_valid_mime(mime: str | Column = "mime_type") -> Column:
 
 
 def is_valid_simple(path: Column, has_content: Column, mime: Column, content_len: Column,
-                    alignment: int = S.OFFSET_ALIGNMENT) -> Column:
-    """FS-5: path, and when there is content, its MIME and size (<= 32 alignments)."""
-    max_full = alignment * S.MAX_FULL_SIZE_CHUNKS
-    content_ok = ~has_content | (is_valid_mime(mime) & (content_len <= max_full))
+                    max_bytes: int = S.MAX_FILE_BYTES) -> Column:
+    """FS-5: path, and when there is content, its MIME and size (at most `max_bytes`)."""
+    content_ok = ~has_content | (is_valid_mime(mime) & (content_len <= max_bytes))
     return is_valid_relative_path(path) & F.coalesce(content_ok, F.lit(False))
 
 
 def is_valid_partial(path: Column, offset: Column, full_size: Column, mime: Column, chunk_len: Column,
-                     nonce: Column, alignment: int = S.OFFSET_ALIGNMENT) -> Column:
-    """FS-4: aligned offset inside the file, 0 < full_size <= max, chunk <= alignment, fits, 1 <= nonce <= i32."""
-    max_full = alignment * S.MAX_FULL_SIZE_CHUNKS
+                     nonce: Column, alignment: int = S.OFFSET_ALIGNMENT, max_bytes: int = S.MAX_FILE_BYTES) -> Column:
+    """FS-4: aligned offset inside the file, 0 < full_size <= max, chunk <= alignment, fits, 1 <= nonce <= i32.
+
+    The chunk alignment and the largest file are limits of their own.
+    """
     ok = (
         is_valid_relative_path(path)
-        & (offset % alignment == 0) & (offset < max_full)
-        & (full_size > 0) & (full_size <= max_full)
+        & (offset % alignment == 0) & (offset < max_bytes)
+        & (full_size > 0) & (full_size <= max_bytes)
         & is_valid_mime(mime)
         & (chunk_len <= alignment)
         & (offset + chunk_len <= full_size)

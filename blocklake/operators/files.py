@@ -17,13 +17,14 @@ FS_VERSION = ["block_height", "shard_id", "receipt_index", "action_index"]
 FS_COLS = S.PROVENANCE_COLS + ["mime_type", "relative_path", "content", "offset", "full_size", "nonce"]
 
 
-def classify_uploads(blobs: DataFrame, alignment: int = S.OFFSET_ALIGNMENT) -> DataFrame:
+def classify_uploads(blobs: DataFrame, alignment: int = S.OFFSET_ALIGNMENT,
+                     max_bytes: int = S.MAX_FILE_BYTES) -> DataFrame:
     """FS-1 decode plus FS-2..5 validity; adds the `u_*` record columns and `reason` (null = accepted)."""
     d = binary.decode_upload(blobs).withColumn("u_len", F.octet_length("u_content").cast("long"))
     simple_ok = is_valid_simple(F.col("u_path"), F.col("u_has_content"), F.col("u_mime"), F.col("u_len"),
-                                alignment)
+                                max_bytes)
     partial_ok = is_valid_partial(F.col("u_path"), F.col("u_offset"), F.col("u_full"), F.col("u_mime"),
-                                  F.col("u_len"), F.col("u_nonce"), alignment)
+                                  F.col("u_len"), F.col("u_nonce"), alignment, max_bytes)
     reason = (
         F.when(~F.col("u_ok"), "undecodable")
         .when((F.col("u_kind") == 0) & ~simple_ok, "invalid_simple")
@@ -60,27 +61,23 @@ def latest_chunks(rows: DataFrame) -> DataFrame:
 def assemble_files(chunks: DataFrame, alignment: int = S.OFFSET_ALIGNMENT) -> DataFrame:
     """FS-9: one row per upload (pred, contract, path, nonce) with the reassembled bytes.
 
-    A group holds at most full_size / alignment chunks (32 by protocol), so it is bounded. Each chunk
-    is zero-padded to the bytes its slot covers (D19); `complete` says every slot is present.
-    Deletion markers (null content) are not files and are left out.
+    A group holds one file, which FS-4 bounds in bytes. Each chunk is zero-padded to the bytes its slot
+    covers (D19) before the shuffle, and the slots are joined once, in offset order; `complete` says
+    every slot is present. Deletion markers (null content) are not files and are left out.
     """
     live = chunks.where(F.col("content").isNotNull())
+    simple = F.col("nonce") == 0
+    # A Simple upload is whole; a Partial chunk fills its aligned slot, the tail reading as zeros.
+    width = F.least(F.lit(alignment), F.col("full_size") - F.col("offset")).cast("int")
+    live = live.withColumn("_slot", F.when(simple, F.col("content")).otherwise(
+        F.rpad("content", width, F.unhex(F.lit("00")))))
     g = live.groupBy("predecessor_id", "current_account_id", "relative_path", "nonce").agg(
         F.max("full_size").alias("full_size"),
         F.min("full_size").alias("_min_full"),
         F.count(F.lit(1)).alias("n_chunks"),
-        F.max("offset").alias("_max_off"),
-        F.array_sort(F.collect_list(F.struct("offset", "content"))).alias("_parts"),
+        F.expr("listagg(_slot) WITHIN GROUP (ORDER BY offset)").alias("_bytes"),
         F.max("mime_type").alias("mime_type"),
     )
-    simple = F.col("nonce") == 0
-
-    def slot(p):
-        # A Simple upload is whole; a Partial chunk fills its aligned slot, the tail reading as zeros.
-        width = F.least(F.lit(alignment), F.col("full_size") - p["offset"]).cast("int")
-        return F.when(simple, p["content"]).otherwise(F.rpad(p["content"], width, F.unhex(F.lit("00"))))
-
-    padded = F.aggregate("_parts", F.unhex(F.lit("")), lambda acc, p: F.concat(acc, slot(p)))
     expected = F.when(simple, F.lit(1)).otherwise(
         F.greatest(F.lit(1), F.expr(f"(full_size + {alignment - 1}) div {alignment}")))
     complete = (F.col("n_chunks") == expected) & (F.col("_min_full") == F.col("full_size"))
@@ -88,5 +85,5 @@ def assemble_files(chunks: DataFrame, alignment: int = S.OFFSET_ALIGNMENT) -> Da
         "predecessor_id", "current_account_id", "relative_path", "nonce", "mime_type", "full_size",
         F.col("n_chunks").cast("int").alias("n_chunks"),
         complete.alias("complete"),
-        F.when(complete, padded).alias("content"),
+        F.when(complete, F.col("_bytes")).alias("content"),
     )

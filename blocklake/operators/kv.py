@@ -7,12 +7,13 @@ guards and key checks are narrow and run inside one codegen stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blocklake import schemas as S
 from blocklake.functions.columns import edge_of, is_deletion, is_valid_key, order_id
 from blocklake.functions.fence import fence
+from blocklake.functions.json_text import is_plain, strict_objects
 from blocklake.operators.latest import latest_by
 from blocklake.operators.routing import reject_rows
 
@@ -25,62 +26,67 @@ EDGE_KEY = ["edge_type", "target", "source"]
 EDGE_VERSION = ["block_height", "order_id", "is_deletion", "value", "current_account_id"]
 
 
-def classify_kv_blobs(blobs: DataFrame, mode: str = "native") -> DataFrame:
+def classify_kv_blobs(blobs: DataFrame) -> DataFrame:
     """KV-2/KV-3 guards in the reference's order: JSON -> object -> key count -> order_id.
 
-    Adds `_obj` (map<string, variant>, duplicate keys collapsed last-wins), `order_id` and `reason`
-    (null for an accepted blob). The key count is taken on the whole object, before key checks (D5).
+    Adds `_obj` (map<string, struct<parsed variant, text string>>, duplicate keys collapsed last-wins: one of
+    the two holds the value), `order_id` and `reason` (null for an accepted blob). The key count is taken on
+    the whole object, before key checks (D5). Blobs that the native parser reads exactly stay JVM-side.
     """
     txt = F.col("data").cast("string")
+    valid = F.is_valid_utf8(txt)
     # Parse once behind a fence: the accept filter below must not re-parse inside its condition.
-    x = fence(blobs, _v=F.when(F.is_valid_utf8(txt), F.try_parse_json(txt)))
-    if mode == "strict":
-        from blocklake.functions.strict_json import strict_json_ok
-
-        x = x.withColumn("_v", F.when(strict_json_ok("data"), F.col("_v")))
-    elif mode != "native":
-        raise ValueError(f"mode must be 'native' or 'strict', not {mode!r}")
-    x = x.withColumn("_obj", F.expr("try_cast(_v AS map<string, variant>)"))
-    x = x.withColumn("order_id", order_id())
+    x = fence(blobs, _plain=F.coalesce(valid & is_plain(txt), F.lit(False)))
+    x = fence(x, _v=F.when(F.col("_plain"), F.try_parse_json(txt)),
+              _s=strict_objects(F.when(~F.col("_plain"), F.col("data"))))
+    native = F.transform_values(F.expr("try_cast(_v AS map<string, variant>)"), lambda k, v: F.struct(
+        v.alias("parsed"), F.lit(None).cast("string").alias("text")))
+    spelled = F.transform_values(F.from_json("_s", "map<string,string>"), lambda k, v: F.struct(
+        F.lit(None).cast("variant").alias("parsed"), v.alias("text")))
+    x = fence(x, _obj=F.when(F.col("_plain"), native).when(F.col("_s") != "", spelled), order_id=order_id())
     reason = (
-        F.when(F.col("_v").isNull(), "invalid_json")
+        F.when(F.col("_v").isNull() & F.col("_s").isNull(), "invalid_json")
         .when(F.col("_obj").isNull(), "not_object")
         .when(F.size("_obj") > S.MAX_NUM_KEYS, "too_many_keys")
         .when(F.col("order_id").isNull(), "order_id_overflow")
     )
-    return x.withColumn("reason", reason).drop("_v")
+    return x.withColumn("reason", reason).drop("_v", "_s", "_plain")
 
 
-def _exploded(classified: DataFrame) -> DataFrame:
-    ok = classified.where(F.col("reason").isNull())
-    return ok.select(*S.PROVENANCE_COLS, "order_id", F.explode("_obj").alias("key", "_val"))
+def explode_kv(blobs: DataFrame) -> DataFrame:
+    """KV-1/4/5: one row per accepted key with its value as compact JSON text (S_KV_SCHEMA columns).
+
+    A JSON string keeps its quotes and JSON null is the 4-character text `null` (D8); numbers are spelled as
+    the reference's writer spells them (`1.0`, `1e16`).
+    """
+    ok = classify_kv_blobs(blobs).where(F.col("reason").isNull())
+    e = ok.select(*S.PROVENANCE_COLS, "order_id", F.explode("_obj").alias("key", "_val")).where(is_valid_key("key"))
+    return e.select(*S.PROVENANCE_COLS, "order_id", "key",
+                    F.coalesce(F.col("_val.text"), F.to_json("_val.parsed")).alias("value"))
 
 
-def explode_kv(blobs: DataFrame, mode: str = "native") -> DataFrame:
-    """KV-1/4/5: one row per accepted key with its value as compact JSON text (S_KV_SCHEMA columns).
+def kv_rejects(blobs: DataFrame) -> DataFrame:
+    """RPT-1 rows for rejected KV blobs and keys, with the reason the reference would only log.
 
-    A JSON string keeps its quotes and JSON null is the 4-character text `null` (D8). `mode="strict"`
-    adds the strict-reader guard of functions.strict_json.
+    One pass: a blob yields itself with its reason, or each of its bad keys. `detail` is the whole payload or
+    key; a count by reason never reads it.
     """
-    e = _exploded(classify_kv_blobs(blobs, mode))
-    return e.where(is_valid_key("key")).select(*S.PROVENANCE_COLS, "order_id", "key",
-                                               F.to_json("_val").alias("value"))
+    c = classify_kv_blobs(blobs)
 
+    def fault(stage: str, reason: Column, detail: Column) -> Column:
+        return F.struct(F.lit(stage).alias("stage"), reason.alias("reason"), detail.alias("detail"))
 
-def kv_rejects(blobs: DataFrame, mode: str = "native") -> DataFrame:
-    """RPT-1 rows for rejected KV blobs and keys, with the reason the reference would only log."""
-    c = classify_kv_blobs(blobs, mode)
-    blob_level = reject_rows(c.where(F.col("reason").isNotNull()), "kv_blob", F.col("reason"),
-                             F.substring(F.col("data").cast("string"), 1, 64))
-    e = _exploded(c).where(~is_valid_key("key"))
-    key_reason = F.when(F.octet_length("key") > S.MAX_KEY_BYTES, "key_too_long").otherwise("invalid_key")
-    key_level = reject_rows(e, "kv_key", key_reason, F.col("key"))
-    return blob_level.unionByName(key_level)
+    whole = F.array(fault("kv_blob", F.col("reason"), F.col("data").cast("string")))
+    bad_keys = F.filter(F.map_keys("_obj"), lambda k: ~is_valid_key(k))
+    keys = F.transform(bad_keys, lambda k: fault("kv_key", F.when(
+        F.octet_length(k) > S.MAX_KEY_BYTES, "key_too_long").otherwise("invalid_key"), k))
+    e = c.select("*", F.explode(F.when(F.col("reason").isNotNull(), whole).otherwise(keys)).alias("_f"))
+    return reject_rows(e, F.col("_f.stage"), F.col("_f.reason"), F.col("_f.detail"))
 
 
-def kv_history(kv: DataFrame, dedup: bool = True) -> DataFrame:
+def kv_history(kv: DataFrame) -> DataFrame:
     """KV-6 `s_kv`: unique on (pred, contract, key, height, order_id); replayed rows collapse."""
-    return kv.dropDuplicates(KV_HISTORY_KEY) if dedup else kv
+    return kv.dropDuplicates(KV_HISTORY_KEY)
 
 
 def kv_last(kv: DataFrame) -> DataFrame:

@@ -38,17 +38,22 @@ def checkpoint_lag(meta: DataFrame, head_suffix: str = "*") -> DataFrame:
         (F.col("head_height") - F.col("last_processed_block_height")).alias("lag_blocks"))
 
 
-def stalls(readings: DataFrame) -> DataFrame:
+def stalls(readings: DataFrame, head_suffix: str = "*") -> DataFrame:
     """Q-14 stall check: per standard, its checkpoint at the newest reading against the reading before.
 
-    `readings` holds (reading_ts_us, suffix, last_processed_block_height), one row per standard per
-    reading; `stalled` is true when the checkpoint did not move between the last two readings. The
-    window is per standard and only spans that standard's readings.
+    `readings` holds (reading_ts_us, suffix, last_processed_block_height), one row per standard per reading.
+    `stalled` is true when the checkpoint did not move between the last two readings although it is behind
+    the head: a standard that has read everything is idle, not stalled. The two greatest readings come from
+    aggregates, so a long log of readings is never sorted in one task.
     """
-    w = Window.partitionBy("suffix").orderBy("reading_ts_us")
-    x = readings.withColumn("previous_height", F.lag("last_processed_block_height").over(w)).withColumn(
-        "_rank", F.row_number().over(w.orderBy(F.col("reading_ts_us").desc())))
-    return x.where(F.col("_rank") == 1).select(
-        "suffix", "reading_ts_us", "last_processed_block_height", "previous_height",
-        (F.col("previous_height").isNotNull()
-         & (F.col("previous_height") == F.col("last_processed_block_height"))).alias("stalled"))
+    at = F.struct("reading_ts_us", "last_processed_block_height")
+    newest = readings.groupBy("suffix").agg(F.max(at).alias("new"))
+    before = readings.join(newest, "suffix").where(F.col("reading_ts_us") < F.col("new.reading_ts_us")).groupBy(
+        "suffix").agg(F.max(at).alias("old"))
+    # One row per standard, so the window over all of them is bounded.
+    head = F.max(F.when(F.col("suffix") == head_suffix, F.col("new.last_processed_block_height"))).over(Window.partitionBy())
+    x = newest.withColumn("head", head).join(before, "suffix", "left")
+    height, previous = F.col("new.last_processed_block_height"), F.col("old.last_processed_block_height")
+    return x.select("suffix", F.col("new.reading_ts_us").alias("reading_ts_us"),
+                    height.alias("last_processed_block_height"), previous.alias("previous_height"),
+                    F.coalesce((previous == height) & (height < F.col("head")), F.lit(False)).alias("stalled"))

@@ -40,7 +40,7 @@ REJECT_COLS = ["stage", "reason", "receipt_id", "action_index", "block_height",
                "current_account_id", "detail"]
 
 
-def reject_rows(df: DataFrame, stage: str, reason: Column, detail: Column) -> DataFrame:
+def reject_rows(df: DataFrame, stage: str | Column, reason: Column, detail: Column) -> DataFrame:
     return df.select(
-        F.lit(stage).alias("stage"), reason.alias("reason"), "receipt_id", "action_index", "block_height",
+        (F.lit(stage) if isinstance(stage, str) else stage).alias("stage"), reason.alias("reason"), "receipt_id", "action_index", "block_height",
         "predecessor_id", "current_account_id", detail.cast("string").alias("detail"))

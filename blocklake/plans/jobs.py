@@ -6,34 +6,38 @@ results agree by construction.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blocklake import schemas as S
 from blocklake.operators.routing import by_suffix, to_blobs
 from blocklake.plans.store import Store
+from blocklake.sources.validate import validate_rows
 from blocklake.streaming.registry import STANDARDS, Cache, Standard
 
 
 def _batch_height(df: DataFrame, upper_bound: int | None) -> int | None:
-    """D21: the batch's newest height, or the range's upper bound when the batch is empty."""
-    h = df.agg(F.max("block_height")).first()[0]
-    return h if h is not None else upper_bound
+    """D21: the newest height a batch is known to cover: its rows' and the bound it has read up to.
+
+    `df` is a stored table, so this reads one column of it.
+    """
+    return max((h for h in (df.agg(F.max("block_height")).first()[0], upper_bound) if h is not None), default=None)
 
 
 def ingest_calls(store: Store, calls: DataFrame, batch_id: int, upper_bound: int | None = None) -> None:
-    """Raw stage: route tagged calls into `blobs`, then move the universal checkpoint."""
-    # SNK-3 expiry counts from write time, so the raw stage stamps it.
-    blobs = to_blobs(calls).withColumn("ingest_ts_us", F.unix_micros(F.current_timestamp()))
-    blobs = blobs.persist(StorageLevel.MEMORY_AND_DISK_DESER)
-    try:
-        store.write_delta("blobs", blobs, batch_id)
-        h = _batch_height(blobs, upper_bound)
-        if h is not None:
-            store.write_meta(S.UNIVERSAL_SUFFIX, h)
-    finally:
-        blobs.unpersist()
+    """Raw stage: route tagged calls into `blobs`, then move the universal checkpoint.
+
+    A row with a missing id or a negative number fails the batch before anything is committed. The height comes
+    from the stored delta, so the batch is neither computed twice nor held in memory.
+    """
+    # SNK-3 expiry counts from write time, so the raw stage stamps it; whole days are dropped later.
+    now = F.current_timestamp()
+    blobs = validate_rows(to_blobs(calls))[0].withColumn("ingest_ts_us", F.unix_micros(now)).withColumn(
+        "ingest_day", F.date_format(now, "yyyy-MM-dd"))
+    store.write_delta("blobs", blobs, batch_id)
+    h = _batch_height(store.delta("blobs", batch_id), upper_bound)
+    if h is not None:
+        store.write_meta(S.UNIVERSAL_SUFFIX, h)
 
 
 def index_standard(store: Store, blobs: DataFrame, batch_id: int, standard: Standard | str,
@@ -41,7 +45,7 @@ def index_standard(store: Store, blobs: DataFrame, batch_id: int, standard: Stan
     """Derived stage: one standard's tables from its blobs, written as deltas; checkpoint after data."""
     std = STANDARDS[standard] if isinstance(standard, str) else standard
     cache = Cache()
-    mine = cache(by_suffix(blobs, std.suffix))
+    mine = by_suffix(blobs, std.suffix)
     try:
         tables = std.transform(mine, cache)
         store.write_tables(tables, batch_id)
@@ -51,3 +55,20 @@ def index_standard(store: Store, blobs: DataFrame, batch_id: int, standard: Stan
         return tables
     finally:
         cache.release()
+
+
+def index_pending(store: Store, batch_id: int, standard: Standard | str) -> list[int]:
+    """Index every stored blobs delta that `standard` has not indexed yet; returns their ids.
+
+    Work is chosen by delta, not by height, so blocks that were ingested late are indexed too. The raw head is
+    read first: all blobs up to it are in the listed deltas, so a standard without calls moves there as well.
+    """
+    std = STANDARDS[standard] if isinstance(standard, str) else standard
+    head = store.checkpoint_height(S.UNIVERSAL_SUFFIX)
+    todo = store.pending_deltas(std.suffix)
+    if todo:
+        index_standard(store, store.blobs_feed(todo), batch_id, std, upper_bound=head)
+        store.mark_indexed(std.suffix, todo)
+    elif head is not None:
+        store.write_meta(std.suffix, head)
+    return todo

@@ -20,13 +20,14 @@ from blocklake.operators import kv as K
 from blocklake.operators import reports as RP
 from blocklake.operators import routing as R
 from blocklake.plans import lookups as Q
-from blocklake.plans.jobs import index_standard, ingest_calls
+from blocklake.plans.jobs import index_pending, index_standard, ingest_calls
 from blocklake.plans.store import Store, expire, scan_suffix
 from blocklake.session import checkpoint_root, configure, scratch_path
 from blocklake.sources import fixtures as FX
 from blocklake.sources.blocks import flatten_blocks as flatten
-from blocklake.sources.blocks import read_blocks
-from blocklake.streaming.registry import STANDARDS, Cache, file_standard, register_standard
+from blocklake.sources.blocks import read_blocks, split_malformed
+from blocklake.sources.validate import validate_rows
+from blocklake.streaming.registry import STANDARDS, Cache, Standard, file_standard
 from blocklake.streaming.writers import start_standard_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,7 +134,7 @@ def scan_suffix_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-1 then SRC-3/4: blobs written partitioned by (suffix, bucket), range scan prunes buckets."""
     store = Store(spark, scratch_path(spark, "store"))
     ingest_calls(store, event_calls(spark, sf_dir), batch_id=0)
-    blobs = store.table("blobs").drop("ingest_ts_us")
+    blobs = store.table("blobs").drop("ingest_ts_us", "ingest_day")
     return _text(scan_suffix(blobs, S.KV_SUFFIX, SCAN_LO, SCAN_HI))
 
 
@@ -144,7 +145,50 @@ def expire_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expire(b, EXPIRE_NOW_US).select("receipt_id", "suffix", "block_height")
 
 
+@query
+def malformed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1: a block feed in which every tenth line is cut; no line vanishes without a reject row."""
+    configure(spark)
+    path = scratch_path(spark, "blocks-bad")
+    lines = FX.blocks_from_orders(spark, sf_dir).select(F.to_json(F.struct("block", "shards")).alias("value"), "block")
+    cut = F.col("block.header.height") % 10 == 3
+    lines.select(F.when(cut, F.expr("substring(value, 1, length(value) div 2)")).otherwise(F.col("value")).alias("value")
+                 ).write.text(path)
+    good, bad = split_malformed(read_blocks(spark, path, "json", on_error="keep"))
+    return flatten(good).select(F.lit("call").alias("kind")).unionByName(
+        bad.select(F.col("reason").alias("kind"))).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def validated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-8: blobs of which some carry a negative shard or no signer, split with a reason."""
+    k = F.substring("receipt_id", 5, 20).cast("long")
+    b = event_blobs(spark, sf_dir).withColumns({
+        "shard_id": F.when(k % 50 == 7, -1).otherwise(F.col("shard_id")),
+        "signer_id": F.when(k % 50 == 9, F.lit(None)).otherwise(F.col("signer_id"))})
+    good, bad = validate_rows(b, "reject")
+    return bad.select("receipt_id", "reason").unionByName(good.select("receipt_id", F.lit("ok").alias("reason")))
+
+
+@query
+def late_blobs_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-8 in batch: the newer half is ingested and indexed first, then the older half; nothing is lost."""
+    store = Store(spark, scratch_path(spark, "store"))
+    calls = event_calls(spark, sf_dir)
+    for i, half in enumerate([F.col("block_height") > SCAN_HI, F.col("block_height") <= SCAN_HI]):
+        ingest_calls(store, calls.where(half), batch_id=i)
+        index_pending(store, i, S.KV_SUFFIX)
+    return store.table("s_kv")
+
+
 # ------------------------------------------------------------------ KV tables
+@query
+def kv_value_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KV-1/5: which JSON values are accepted, and the text they are stored as."""
+    blobs = R.by_suffix(R.to_blobs(FX.value_calls(spark, sf_dir)), S.KV_SUFFIX)
+    return K.explode_kv(blobs).select("receipt_id", "key", "value")
+
+
 @query
 def kv_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.kv_history(event_kv(spark, sf_dir))
@@ -333,25 +377,109 @@ def reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.reject_summary(_rejects(spark, sf_dir))
 
 
+@query
+def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-1 on inputs that hold every fault: each reason of routing, blobs, keys and uploads is counted."""
+    calls = FX.faulty_calls(configure(spark), sf_dir)
+    files = R.by_suffix(R.to_blobs(FX.faulty_uploads(spark, sf_dir)), S.FILES_SUFFIX)
+    return RP.reject_summary(R.suffix_rejects(calls).unionByName(
+        K.kv_rejects(R.by_suffix(R.to_blobs(calls), S.KV_SUFFIX))).unionByName(FS.file_rejects(files, FX.DOC_ALIGNMENT)))
+
+
 @query
 def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.throughput(event_calls(spark, sf_dir))
 
 
+def _two_readings(spark: SparkSession, sf_dir: str) -> Store:
+    """Calls up to a height ingested and indexed by both standards; then the rest, indexed by one."""
+    store = Store(spark, scratch_path(spark, "store"))
+    calls = event_calls(spark, sf_dir)
+    ingest_calls(store, calls.where(F.col("block_height") <= SCAN_HI), batch_id=0)
+    index_pending(store, 0, S.KV_SUFFIX)
+    index_pending(store, 0, S.RAW_SUFFIX)
+    store.record_reading(1)
+    ingest_calls(store, calls.where(F.col("block_height") > SCAN_HI), batch_id=1)
+    index_pending(store, 1, S.RAW_SUFFIX)
+    store.record_reading(2)
+    return store
+
+
 @query
 def checkpoint_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q-14: every call ingested, then each standard indexed from the whole blobs table; a standard's
-    lag is the raw head minus the newest block that carried one of its calls."""
-    store = Store(spark, scratch_path(spark, "store"))
-    ingest_calls(store, event_calls(spark, sf_dir), batch_id=0)
-    blobs = store.blobs_feed()
-    index_standard(store, blobs, 0, S.KV_SUFFIX)
-    index_standard(store, blobs, 0, S.RAW_SUFFIX)
-    return RP.checkpoint_lag(store.meta())
+    """Q-14: a standard that has read everything has no lag, whether or not the last blocks held its calls;
+    one that has not run since more was ingested lags by what it has not read."""
+    return RP.checkpoint_lag(_two_readings(spark, sf_dir).meta())
+
+
+@query
+def stalls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-14: of two readings, the standard that stands still behind the head is stalled."""
+    return RP.stalls(_two_readings(spark, sf_dir).readings())
+
+
+# ------------------------------------------------------------------ lookups over stored tables
+_STORED: dict[tuple[str, str], Store] = {}
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> Store:
+    """All KV tables, written in three batches out of order (once per application and input)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        store = Store(spark, scratch_path(spark, "store"))
+        blobs = event_blobs(spark, sf_dir).withColumn("_part", F.pmod(F.xxhash64("receipt_id"), F.lit(3)))
+        for batch_id, part in [(0, 2), (1, 0), (2, 1)]:
+            index_standard(store, blobs.where(F.col("_part") == part).drop("_part"), batch_id, S.KV_SUFFIX)
+        _STORED[key] = store
+    return _STORED[key]
+
+
+@query
+def stored_get_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-1 over the stored table: one bucket per delta, merged."""
+    return stored_tables(spark, sf_dir).lookup("s_kv_last", predecessor_id=PRED, current_account_id=CONTRACT, key="click")
+
+
+@query
+def stored_key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-3 over the stored table."""
+    return stored_tables(spark, sf_dir).lookup("s_kv", predecessor_id=PRED, current_account_id=CONTRACT,
+                                               key="graph/follow/user3.near")
+
+
+@query
+def stored_predecessors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-5 over the stored table."""
+    found = stored_tables(spark, sf_dir).lookup("kv_reverse", current_account_id=CONTRACT, key="click")
+    return Q.predecessors_page(found, CONTRACT, "click", cursor="user1.near", limit=5)
+
+
+@query
+def stored_followers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-6 over the stored table."""
+    return stored_tables(spark, sf_dir).lookup("kv_edges", edge_type="graph/follow", target="user3.near").select("source")
+
+
+@query
+def stored_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-8 over the stored table."""
+    return stored_tables(spark, sf_dir).lookup("s_kv_by_block", predecessor_id=PRED, current_account_id=CONTRACT)
+
+
+@query
+def stored_key_across_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-9 over the stored table."""
+    return stored_tables(spark, sf_dir).lookup("mv_kv_key", key="view")
+
+
+@query
+def stored_contract_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-10 over the stored table."""
+    return stored_tables(spark, sf_dir).lookup("mv_kv_cur_key", current_account_id="app0.near", key="purchase")
 
 
 # ------------------------------------------------------------------ streaming
-def _stream_store(spark: SparkSession, sf_dir: str, blobs: DataFrame, suffix: str) -> Store:
+def _stream_store(spark: SparkSession, sf_dir: str, blobs: DataFrame, suffix: str | Standard) -> Store:
     """Blobs split into height-ordered files, one file per micro-batch, and one file replayed."""
     src = scratch_path(spark, "stream-src")
     blobs.repartitionByRange(STREAM_FILES, "block_height").write.parquet(src)
@@ -384,9 +512,6 @@ def stream_kv_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-* for the file standard (4 KiB alignment of the document view)."""
-    register_standard(S.FILES_SUFFIX, file_standard(FX.DOC_ALIGNMENT))
-    try:
-        store = _stream_store(spark, sf_dir, doc_blobs(spark, sf_dir), S.FILES_SUFFIX)
-        return _chunk_view(store.table(S.FILE_CHUNKS_TABLE)).drop("batch_id")
-    finally:
-        register_standard(S.FILES_SUFFIX, file_standard(S.OFFSET_ALIGNMENT))
+    std = Standard(S.FILES_SUFFIX, file_standard(FX.DOC_ALIGNMENT), (S.FILE_CHUNKS_TABLE,))
+    store = _stream_store(spark, sf_dir, doc_blobs(spark, sf_dir), std)
+    return _chunk_view(store.table(S.FILE_CHUNKS_TABLE))

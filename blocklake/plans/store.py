@@ -1,33 +1,44 @@
 """Parquet table store (SNK-1..8, SRC-3/4/6/7): per-batch deltas, merged on read.
 
-Layout: `<root>/<table>/[suffix=../block_height_bucket=../]batch_id=<n>/part-*.parquet`.
+Layout: `<root>/<table>/[bucket=../]batch_id=<n>/part-*.parquet`; blobs are at
+`blobs/ingest_day=../suffix=../block_height_bucket=../batch_id=..`.
 
 * Every write replaces exactly its own `batch_id` partition (dynamic partition overwrite), so a retried
   or replayed batch is idempotent and a failed one leaves no partial table behind it.
 * A versioned table's delta is the batch's argmax already (pre-aggregated before the write shuffle);
   reading a table applies the same argmax across deltas (merge on read). Because the argmax is
   order-insensitive, late or reordered batches give the same table.
-* Inside a delta, rows stay hash-partitioned on the table's key from the argmax that made them (a hot
-  account is already collapsed to one row per key there) and are sorted on the clustering columns,
-  so Parquet row-group min/max statistics prune lookups.
-* `blobs` is directory-partitioned by (suffix, 10,000-block bucket), which range scans prune.
+* Derived tables are clustered in hash buckets of their lookup columns and sorted inside, so a lookup
+  (`Store.lookup`) opens one bucket of each delta and row-group statistics prune within it.
+* `blobs` is directory-partitioned by ingest day (dropped whole when expired), suffix and 10,000-block
+  bucket, which range scans prune; a block is never split over files.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blocklake import schemas as S
 from blocklake.operators.latest import latest_by
 from blocklake.session import checkpoint_root, configure
+from blocklake.sources.validate import validate_rows
 
 
-BLOBS_STORED = T.StructType(S.BLOBS_SCHEMA.fields + [T.StructField("ingest_ts_us", T.LongType()),
-                                                     T.StructField("batch_id", T.LongType())])
+BLOBS_STORED = T.StructType(S.BLOBS_SCHEMA.fields + [
+    T.StructField("ingest_ts_us", T.LongType()), T.StructField("ingest_day", T.StringType()),
+    T.StructField("batch_id", T.LongType())])
+BUCKETS = 16
+
+
+def bucket_of(*cols: Column) -> Column:
+    """Hash bucket of a table's lookup columns."""
+    return F.pmod(F.xxhash64(*cols), F.lit(BUCKETS)).cast("int")
 
 
 class Store:
@@ -48,20 +59,22 @@ class Store:
     def write_delta(self, name: str, df: DataFrame, batch_id: int) -> None:
         """Replace table `name`'s delta for `batch_id` with `df` (idempotent on retry).
 
-        Versioned and deduplicated tables arrive hash-partitioned on their key by the argmax or
-        dedup that made them, so no further shuffle is added: each task sorts its rows on the
-        clustering columns and writes one file. A table with directory partitions (blobs) is
-        rebalanced on them first; AQE splits a hot directory across tasks instead of one writer.
+        A derived table is written in hash buckets of its lookup columns, rows sorted inside, so a lookup
+        opens one bucket of each delta; AQE splits a heavy bucket over tasks and joins light ones. `blobs`
+        is range-partitioned down to the block, which never splits a block over two files (STR-3).
         """
         spec = S.CATALOG[name]
         out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-        dirs = [c for c in spec.partition_by if c != "batch_id"] + ["batch_id"]
+        dirs = [c for c in spec.partition_by if c != "batch_id"]
+        if spec.bucket_by:
+            out = out.withColumn("bucket", bucket_of(*[F.col(c) for c in spec.bucket_by])).hint("rebalance", "bucket")
+            dirs = ["bucket", *dirs]
+        elif dirs:
+            out = out.repartitionByRange(*dirs, "block_height")
         sort_cols = [F.col(c).desc() if c in spec.descending else F.col(c) for c in (spec.sort_by or spec.key)]
-        if dirs[:-1]:
-            out = out.hint("rebalance", *dirs[:-1])
-        out = out.sortWithinPartitions(*[F.col(c) for c in dirs[:-1]], *sort_cols)
+        out = out.sortWithinPartitions(*[F.col(c) for c in dirs], *sort_cols)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*dirs).parquet(self.path(name)))
+         .partitionBy(*dirs, "batch_id").parquet(self.path(name)))
 
     def write_tables(self, tables: dict[str, DataFrame], batch_id: int, parallelism: int = 8) -> None:
         """Write a batch's tables as concurrent Spark jobs (they share cached inputs)."""
@@ -88,93 +101,86 @@ class Store:
          .partitionBy("suffix").parquet(self.path("meta")))
 
     def batch_ids(self, name: str) -> list[int]:
-        """Delta ids present in table `name` (a listing of its partition directories, not a data scan)."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
+        """Delta ids of table `name`."""
+        if not self.exists(name):
             return []
-        ids = set()
-        stack = [root]
-        while stack:
-            for st in fs.listStatus(stack.pop()):
-                if not st.isDirectory():
-                    continue
-                part = st.getPath().getName()
-                if part.startswith("batch_id="):
-                    ids.add(int(part.split("=", 1)[1]))
-                elif "=" in part:
-                    stack.append(st.getPath())
-        return sorted(ids)
-
-    def compact(self, name: str) -> int | None:
-        """Fold every delta of `name` into one new delta, then drop the folded ones.
-
-        Safe at every point: until the old deltas are gone a reader sees the snapshot plus the deltas it
-        was made from, and the merge on read (argmax or dedup) gives the same table either way.
+        return sorted(r[0] for r in self.raw(name).select("batch_id").distinct().collect())
+
+    def delta(self, name: str, batch_id: int) -> DataFrame:
+        """One delta of a table, by directory (empty if the batch had no rows)."""
+        return self.raw(name).where(F.col("batch_id") == batch_id)
+
+    def pending_deltas(self, suffix: str) -> list[int]:
+        """Ids of the blobs deltas that standard `suffix` has not indexed."""
+        have = self.raw("blobs").select("batch_id").distinct()
+        if self.exists("indexed"):
+            have = have.join(self._indexed().where(F.col("suffix") == suffix), "batch_id", "left_anti")
+        return sorted(r[0] for r in have.collect())
+
+    def mark_indexed(self, suffix: str, ids: list[int]) -> None:
+        rows = self.spark.createDataFrame([(suffix, i) for i in ids], S.INDEXED_SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(self.path("indexed"))
+
+    def _indexed(self) -> DataFrame:
+        return self.spark.read.schema(S.INDEXED_SCHEMA).parquet(self.path("indexed"))
+
+    def merge(self, name: str) -> int | None:
+        """Fold every delta of a derived table into one, bucket by bucket; run it while nobody reads the table.
+
+        The merged rows are checkpointed, written as a new delta and the folded deltas' directories removed. A
+        crash in between leaves both, which the merge on read resolves to the same table; a reader that listed
+        the old files fails on them and reads again.
         """
+        if name == "blobs":
+            raise ValueError("blobs keep their ingest day; they are purged by day, not merged")
         ids = self.batch_ids(name)
         if len(ids) <= 1:
             return ids[0] if ids else None
-        # Snapshots take negative ids: writers own the non-negative ones, so the two never collide.
-        target = min(ids[0], 0) - 1
+        target = min(ids[0], 0) - 1  # writers own the non-negative ids
         checkpoint_root(self.spark)
-        snapshot = self.table(name).where(F.lit(True))
-        self.spark.sparkContext.setJobDescription(f"compact {name}")
-        self.write_delta(name, snapshot.checkpoint(), target)
-        self._delete_batches(name, set(ids))
+        self.write_delta(name, self.table(name).checkpoint(), target)
+        self._delete(f"{name}/*/batch_id={{{','.join(map(str, ids))}}}")
         return target
 
-    def _delete_batches(self, name: str, ids: set[int]) -> None:
+    def _delete(self, pattern: str) -> list[str]:
+        """Remove the directories that match `pattern` below the root; their names."""
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = root.getFileSystem(conf)
-        doomed = {f"batch_id={i}" for i in ids}
-        stack = [root] if fs.exists(root) else []
-        while stack:
-            for st in fs.listStatus(stack.pop()):
-                if st.isDirectory():
-                    part = st.getPath().getName()
-                    if part in doomed:
-                        fs.delete(st.getPath(), True)
-                    elif "=" in part and not part.startswith("batch_id="):
-                        stack.append(st.getPath())
-
-    def purge_expired(self, now_us: int, ttl_seconds: int = S.BLOBS_TTL_SECONDS) -> list[int]:
-        """SNK-3, physical side: drop blobs deltas whose every row is past the time-to-live.
-
-        A delta is written by one job, so its rows share an ingest time; the scan reads two small columns
-        and returns one row per delta. Rows of a delta not yet wholly expired stay hidden by `expire`.
+        glob = jvm.org.apache.hadoop.fs.Path(self.path(pattern))
+        fs = glob.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        doomed = [st.getPath() for st in fs.globStatus(glob) or [] if st.isDirectory()]
+        for p in doomed:
+            fs.delete(p, True)
+        return sorted(p.getName() for p in doomed)
+
+    def purge_expired(self, now_us: int, ttl_seconds: int = S.BLOBS_TTL_SECONDS) -> list[str]:
+        """SNK-3, physical side: drop the ingest days whose last moment is past the time-to-live.
+
+        Rows never leave their ingest day, so this holds whatever was rewritten since; rows of a day that is
+        not yet wholly expired stay hidden by `expire`.
         """
-        cutoff = now_us - ttl_seconds * 1_000_000
-        per_batch = self.raw("blobs").groupBy("batch_id").agg(F.max("ingest_ts_us").alias("newest")).collect()
-        doomed = {int(r.batch_id) for r in per_batch if r.newest is not None and r.newest <= cutoff}
-        self._delete_batches("blobs", doomed)
-        return sorted(doomed)
-
-    WRITER_SPAN = 1_000_000_000
+        last = dt.datetime.fromtimestamp((now_us - ttl_seconds * 1_000_000) / 1e6, dt.timezone.utc).date()
+        if not self.exists("blobs"):
+            return []
+        days = [r[0] for r in self.raw("blobs").select("ingest_day").distinct().collect()]
+        old = sorted(d for d in days if dt.date.fromisoformat(d) < last)
+        return [x for d in old for x in self._delete(f"blobs/ingest_day={d}")]
 
     def allocate_writer(self, checkpoint_location: str) -> int:
-        """First delta id of a streaming writer: a fresh span of ids above every delta in the store.
+        """First delta id of a streaming writer: the nanosecond it first started, above all earlier ids.
 
-        Kept in a small file inside the stream's checkpoint location, so a restarted query keeps its
-        span (its replayed micro-batches overwrite their own deltas) while a new query never reuses
-        another's ids. One writer per standard at a time.
+        Kept in a small file inside the stream's checkpoint location, so a restarted query goes on with its
+        ids (its replayed micro-batches overwrite their own deltas) and a new query never reuses another's.
         """
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         marker = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_location.rstrip('/')}/_blocklake_writer")
-        fs = marker.getFileSystem(conf)
+        fs = marker.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if fs.exists(marker):
             stream = fs.open(marker)
             try:
                 return int(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip())
             finally:
                 stream.close()
-        top = max([i for n in S.CATALOG if n != "meta" for i in self.batch_ids(n)], default=-1)
-        base = (max(top, 0) // self.WRITER_SPAN + 1) * self.WRITER_SPAN
+        base = time.time_ns()
         out = fs.create(marker, True)
         try:
             out.write(bytearray(str(base).encode("utf-8")))
@@ -190,18 +196,36 @@ class Store:
             return self.spark.read.schema(BLOBS_STORED).parquet(self.path(name))
         return self.spark.read.parquet(self.path(name))
 
-    def table(self, name: str) -> DataFrame:
-        """Table `name` with its semantics applied across all deltas (merge on read)."""
+    def _merged(self, name: str, raw: DataFrame) -> DataFrame:
         spec = S.CATALOG[name]
-        df = self.raw(name).drop("batch_id")
-        # The read above listed its files first; a delta it can see is therefore also counted here.
-        if spec.unique_per_delta and len(self.batch_ids(name)) <= 1:
-            # One delta (a single batch, or a compacted table) is merged already: no shuffle needed.
+        df = raw.drop("batch_id", "bucket")
+        # Counted on the very files this read listed, so the two cannot disagree.
+        deltas = {p for f in raw.inputFiles() for p in f.split("/") if p.startswith("batch_id=")}
+        if spec.unique_per_delta and len(deltas) <= 1:
+            # One delta (a single batch, or a merged table) is unique on its key already: no shuffle needed.
             return df
         if not spec.version:
             return df.dropDuplicates(list(spec.key))
         return latest_by(df, spec.key, spec.version)
 
+    def table(self, name: str) -> DataFrame:
+        """Table `name` with its semantics applied across all deltas (merge on read)."""
+        return self._merged(name, self.raw(name))
+
+    def lookup(self, name: str, **equal: object) -> DataFrame:
+        """The rows of `name` with these values: one bucket of each delta is opened, then merged."""
+        spec = S.CATALOG[name]
+        raw = self.raw(name)
+        if spec.bucket_by and set(spec.bucket_by) <= set(equal):
+            raw = raw.where(F.col("bucket") == bucket_of(*[F.lit(equal[c]) for c in spec.bucket_by]))
+        for c, v in equal.items():
+            if c in spec.key:
+                raw = raw.where(F.col(c) == F.lit(v))
+        df = self._merged(name, raw)
+        for c, v in equal.items():
+            df = df.where(F.col(c) == F.lit(v))
+        return df.where(~F.col("is_deletion")).drop("is_deletion") if name == "kv_edges" else df
+
     def read(self, name: str) -> DataFrame:
         """Table `name` as users query it: live edges only (tombstones hidden), the account registry
         with its published columns, every other table as merged."""
@@ -213,13 +237,16 @@ class Store:
             return K.all_accounts_view(self.table(name))
         return self.table(name)
 
-    def blobs_feed(self) -> DataFrame:
-        """Blobs as written, without the read-side dedup: what the derived stages consume.
+    def blobs_feed(self, deltas: list[int] | None = None) -> DataFrame:
+        """Blobs as written (all, or of some deltas), without the read-side dedup: what the stages consume.
 
         Every derived table is idempotent per key and version, so a replayed blob changes nothing and
-        the stages need not shuffle payloads to deduplicate them first.
+        the stages need not shuffle payloads to deduplicate them first. Rows are checked on the way (SRC-8).
         """
-        return self.raw("blobs").select(*S.BLOBS_SCHEMA.fieldNames())
+        raw = self.raw("blobs")
+        if deltas is not None:
+            raw = raw.where(F.col("batch_id").isin(deltas))
+        return validate_rows(raw.select(*S.BLOBS_SCHEMA.fieldNames()))[0]
 
     def record_reading(self, now_us: int) -> None:
         """Append the current checkpoints, stamped `now_us`, to `meta_readings` (for stall checks)."""
@@ -254,7 +281,7 @@ def scan_suffix(blobs: DataFrame, suffix: str, lo: int, hi: int,
     """
     lo_b, hi_b = lo // S.BLOCK_HEIGHT_BUCKET_SIZE, hi // S.BLOCK_HEIGHT_BUCKET_SIZE
     if hi_b - lo_b > max_bucket_span:
-        raise ValueError(f"block range too large: {hi_b - lo_b} buckets (max {max_bucket_span}); from={lo}, to={hi}")
+        raise ValueError(f"heights {lo}..{hi} span {hi_b - lo_b} buckets; at most {max_bucket_span} are scanned at once")
     return (
         blobs.where((F.col("suffix") == suffix) & F.col("block_height_bucket").between(lo_b, hi_b)
                     & F.col("block_height").between(lo, hi))

@@ -28,7 +28,7 @@ LWW_HEIGHT_FACTOR = 1_000_000_000
 MAX_RELATIVE_PATH_BYTES = 1024
 MAX_MIME_TYPE_BYTES = 256
 OFFSET_ALIGNMENT = 1 << 20
-MAX_FULL_SIZE_CHUNKS = 32
+MAX_FILE_BYTES = 32 << 20
 I32_MAX = 2_147_483_647
 BLOBS_TTL_SECONDS = 2_592_000
 
@@ -50,7 +50,8 @@ RECEIPT = _struct(
     ("receipt", _struct(("Action", ACTION_RECEIPT, True)), True),
 )
 OUTCOME = _struct(("tx_hash", S, True), ("receipt", RECEIPT, True))
-SHARD = _struct(("shard_id", I, True), ("receipt_execution_outcomes", T.ArrayType(OUTCOME, True), True))
+# Integers are read wide and narrowed by a checked cast, so a value that does not fit fails instead of vanishing.
+SHARD = _struct(("shard_id", L, True), ("receipt_execution_outcomes", T.ArrayType(OUTCOME, True), True))
 BLOCK_SCHEMA = _struct(
     ("block", _struct(("header", _struct(("height", L, True), ("timestamp", L, True)), True)), True),
     ("shards", T.ArrayType(SHARD, True), True),
@@ -113,6 +114,9 @@ FILE_CHUNKS_SCHEMA = _struct(
     ("nonce", I, False),
 )
 
+# Blobs deltas each standard has indexed.
+INDEXED_SCHEMA = _struct(("suffix", S, False), ("batch_id", L, False))
+
 META_SCHEMA = _struct(("suffix", S, False), ("last_processed_block_height", L, False))
 
 
@@ -126,6 +130,8 @@ class TableSpec:
     version: tuple[str, ...] = ()
     # Directory partition columns (low cardinality only: suffix, time bucket, batch).
     partition_by: tuple[str, ...] = ("batch_id",)
+    # Lookup columns whose hash is the table's `bucket` directory.
+    bucket_by: tuple[str, ...] = ()
     # Sort order inside each file: row-group min/max then prune point lookups.
     sort_by: tuple[str, ...] = ()
     descending: frozenset[str] = field(default_factory=frozenset)
@@ -140,7 +146,9 @@ CATALOG: dict[str, TableSpec] = {
             "blobs",
             key=("suffix", "block_height_bucket", "block_height", "shard_id", "receipt_index", "action_index",
                  "receipt_id"),
-            partition_by=("suffix", "block_height_bucket", "batch_id"),
+            # A blob written again lives by its newest ingest.
+            version=("ingest_ts_us",),
+            partition_by=("ingest_day", "suffix", "block_height_bucket", "batch_id"),
             sort_by=("block_height", "shard_id", "receipt_index", "action_index", "receipt_id"),
             unique_per_delta=False,
         ),
@@ -148,37 +156,39 @@ CATALOG: dict[str, TableSpec] = {
         TableSpec(
             "s_kv",
             key=("predecessor_id", "current_account_id", "key", "block_height", "order_id"),
-            partition_by=("batch_id",),
+            bucket_by=("predecessor_id", "current_account_id"),
             sort_by=("predecessor_id", "current_account_id", "key", "block_height", "order_id"),
         ),
         TableSpec(
             "mv_kv_key",
             key=("key", "block_height", "order_id", "predecessor_id", "current_account_id"),
+            bucket_by=("key",),
             sort_by=("key", "block_height", "order_id", "predecessor_id", "current_account_id"),
         ),
         TableSpec(
             "mv_kv_cur_key",
             key=("current_account_id", "key", "block_height", "order_id", "predecessor_id"),
+            bucket_by=("current_account_id",),
             sort_by=("current_account_id", "key", "block_height", "order_id", "predecessor_id"),
         ),
         TableSpec(
             "s_kv_last",
             key=("predecessor_id", "current_account_id", "key"),
             version=("block_height", "order_id"),
-            partition_by=("batch_id",),
+            bucket_by=("predecessor_id", "current_account_id"),
             sort_by=("predecessor_id", "current_account_id", "key"),
         ),
         TableSpec(
             "kv_reverse",
             key=("current_account_id", "key", "predecessor_id"),
             version=("block_height", "order_id"),
-            partition_by=("batch_id",),
+            bucket_by=("current_account_id", "key"),
             sort_by=("current_account_id", "key", "predecessor_id"),
         ),
         TableSpec(
             "kv_accounts",
             key=("current_account_id", "key", "predecessor_id"),
-            partition_by=("batch_id",),
+            bucket_by=("current_account_id",),
             sort_by=("current_account_id", "key", "predecessor_id"),
         ),
         TableSpec(
@@ -186,21 +196,21 @@ CATALOG: dict[str, TableSpec] = {
             key=("edge_type", "target", "source"),
             # Deletion beats insert on an equal version, then the greater value, then the greater contract.
             version=("block_height", "order_id", "is_deletion", "value", "current_account_id"),
-            partition_by=("batch_id",),
+            bucket_by=("edge_type", "target"),
             sort_by=("edge_type", "target", "source"),
         ),
         TableSpec(
             "all_accounts",
             key=("predecessor_id",),
             version=("block_height", "order_id"),
-            partition_by=("batch_id",),
+            bucket_by=("predecessor_id",),
             sort_by=("predecessor_id",),
         ),
         TableSpec(
             "s_kv_by_block",
             key=("predecessor_id", "current_account_id", "block_height", "key"),
             version=("order_id",),
-            partition_by=("batch_id",),
+            bucket_by=("predecessor_id", "current_account_id"),
             sort_by=("predecessor_id", "current_account_id", "block_height", "key"),
             descending=frozenset({"block_height"}),
         ),
@@ -208,7 +218,7 @@ CATALOG: dict[str, TableSpec] = {
             FILE_CHUNKS_TABLE,
             key=("predecessor_id", "current_account_id", "relative_path", "nonce", "offset"),
             version=("block_height", "shard_id", "receipt_index", "action_index"),
-            partition_by=("batch_id",),
+            bucket_by=("predecessor_id", "current_account_id"),
             sort_by=("predecessor_id", "current_account_id", "relative_path", "nonce", "offset"),
         ),
     ]

@@ -4,28 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blocklake import schemas as S
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_blocks(spark: SparkSession, path: str, fmt: str = "json", start_height: int | None = None,
-                streaming: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+                streaming: bool = False, max_files_per_trigger: int | None = None,
+                on_error: str = "fail") -> DataFrame:
     """Blocks with the explicit BLOCK_SCHEMA (never inferred), from `start_height` on.
 
-    One block must stay inside one input file so a micro-batch never splits a block (STR-3).
+    One block must stay inside one input file so a micro-batch never splits a block (STR-3). A line that is
+    no block fails the job; with `on_error="keep"` it stays as a row with its text in `_corrupt_record`,
+    for `split_malformed`.
     """
-    if streaming:
-        r = spark.readStream.schema(S.BLOCK_SCHEMA).format(fmt)
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    else:
-        r = spark.read.schema(S.BLOCK_SCHEMA).format(fmt)
+    if on_error not in ("fail", "keep"):
+        raise ValueError(f"on_error must be 'fail' or 'keep', not {on_error!r}")
+    keep = on_error == "keep" and fmt == "json"
+    r = spark.readStream if streaming else spark.read
+    r = r.format("text") if keep else r.schema(S.BLOCK_SCHEMA).format(fmt).option("mode", "FAILFAST")
+    if streaming and max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.load(path)
+    if keep:
+        schema = T.StructType([*S.BLOCK_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+        df = df.where(F.trim("value") != "").select(F.from_json("value", schema, {
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("line")).select("line.*")
     if start_height is not None:
-        df = df.where(F.col("block.header.height") >= F.lit(start_height))
+        late_enough = F.col("block.header.height") >= F.lit(start_height)
+        df = df.where(late_enough | F.col(CORRUPT).isNotNull() if keep else late_enough)
     return df
 
 
+def split_malformed(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(blocks, reject rows) of a feed read with `on_error="keep"`: no line is lost without a trace."""
+    bad = blocks.where(F.col(CORRUPT).isNotNull())
+    nothing = F.lit(None).cast("string")
+    rejects = bad.select(
+        F.lit("block").alias("stage"), F.lit("malformed_block").alias("reason"), nothing.alias("receipt_id"),
+        F.lit(None).cast("int").alias("action_index"), F.col("block.header.height").alias("block_height"),
+        nothing.alias("predecessor_id"), nothing.alias("current_account_id"), F.col(CORRUPT).alias("detail"))
+    return blocks.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rejects
+
+
 def flatten_blocks(blocks: DataFrame, args_encoding: str = "base64") -> DataFrame:
     """One row per function-call action (CALLS_SCHEMA), positions taken before any filter (D1).
 

@@ -27,28 +27,7 @@ DOCS_MIME = "text/plain"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a small scan that arrived in fewer splits than the cluster has cores.
-
-    A one-row-group file is one task, so everything narrow after it (JSON parse, explode, partial
-    aggregation) would run on one core. Only inputs the planner sizes below 1 GiB are spread, where the
-    extra shuffle is cheap; a large input keeps its own splits and is never reshuffled here.
-    """
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if size > SPREAD_MAX_BYTES:
-            return df
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no plan statistics or RDD access (e.g. a remote session): leave the scan as it is
-        return df
-    return df.repartition(cores) if parts < cores else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def calls_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +65,61 @@ def calls_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Faulty payloads and receipt numbers of the reject fixture, by event_id % 40.
+FAULT_EVERY = 40
+TOO_MANY_KEYS = "{" + ",".join(f'"k{i}":{i}' for i in range(S.MAX_NUM_KEYS + 1)) + "}"
+FAULTS = {3: TOO_MANY_KEYS, 5: '{"a\\u0001b":1,"ok":2}', 7: '{"' + "x" * (S.MAX_KEY_BYTES + 1) + '":1}', 11: '{"":1}',
+          13: '{"a":1} tail', 17: '{"a":1e400}'}
+OVERFLOW = 9
+
+
+def faulty_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KV-path calls with every kind of fault a KV blob or key is rejected for."""
+    calls = calls_from_events(spark, sf_dir)
+    part = F.substring("receipt_id", 5, 20).cast("long") % FAULT_EVERY
+    text = F.col("args").cast("string")
+    for k, v in FAULTS.items():
+        text = F.when(part == k, F.lit(v)).otherwise(text)
+    index = F.when(part == OVERFLOW, F.lit(S.MAX_RECEIPT_INDEX)).otherwise(F.col("receipt_index"))
+    kv = F.lit(S.CALL_PREFIX + S.KV_SUFFIX)
+    return calls.withColumns({"args": F.encode(text, "UTF-8"), "receipt_index": index.cast("int"),
+                              "method_name": F.when(part.isin([*FAULTS, OVERFLOW]), kv).otherwise(F.col("method_name"))})
+
+
+def faulty_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upload calls of which some records are cut short, climb out of their folder, or start off alignment."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    path = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))
+    body, kind = F.encode(F.coalesce("text", F.lit("")), "UTF-8"), F.col("doc_id") % 10
+    good = binary.encode_simple(path, F.lit(DOCS_MIME), body)
+    rec = F.when(kind == 1, F.substring(good, F.lit(1), F.octet_length(good) - 1)).when(
+        kind == 2, binary.encode_simple(F.concat(F.lit("../"), path), F.lit(DOCS_MIME), body)).when(
+        kind == 3, binary.encode_partial(path, F.lit(5), F.lit(100), F.lit(DOCS_MIME), F.lit("x").cast("binary"), F.lit(1))
+    ).otherwise(good)
+    height = (F.lit(DOCS_HEIGHT_BASE) + F.col("doc_id")).cast("long")
+    return d.select(
+        F.concat(F.lit("fx"), F.col("doc_id").cast("string")).alias("receipt_id"), F.lit(0).alias("action_index"),
+        F.lit(None).cast("string").alias("tx_hash"), F.col("source").alias("signer_id"),
+        F.col("source").alias("predecessor_id"), F.col("lang").alias("current_account_id"), height.alias("block_height"),
+        (height * 1_000_000_000).alias("block_timestamp"), F.lit(0).alias("shard_id"), F.lit(0).alias("receipt_index"),
+        F.lit(S.CALL_PREFIX + S.FILES_SUFFIX).alias("method_name"), rec.alias("args"))
+
+
+# JSON values as written, by event_id % 20 (the expected text is stated in the oracle alone).
+VALUE_TEXTS = ["1.0", "-0", "1e16", "1E-7", "0.10", "-1.50", "123456789012345678901234567890", "18446744073709551615",
+               "1e400", "[1.0, {\"b\": 2.50, \"a\": null}]", '"x\\u00e9\\/"', "true", "100000000000000000000", "5e-324", "1e15",
+               "0.00001", "0.000001", "12 x", "01", "-9223372036854775808"]
+
+
+def value_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KV calls whose one value is each of VALUE_TEXTS in turn, as it stands in the source text."""
+    calls = calls_from_events(spark, sf_dir)
+    texts = F.array(*[F.lit(f'{{"v":{t}}}') for t in VALUE_TEXTS])
+    nth = (F.substring("receipt_id", 5, 20).cast("long") % len(VALUE_TEXTS)).cast("int")
+    return calls.withColumns({"args": F.encode(F.get(texts, nth), "UTF-8"),
+                              "method_name": F.lit(S.CALL_PREFIX + S.KV_SUFFIX)})
+
+
 def blocks_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested blocks (FIXTURES §2.2, blocks of at most 32 orders so every group stays bounded).
 

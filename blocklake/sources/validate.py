@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 NON_NEGATIVE = ["action_index", "block_height", "block_timestamp", "shard_id", "receipt_index", "order_id",
                 "block_height_bucket", "offset", "full_size", "nonce"]
-REQUIRED = ["receipt_id", "signer_id", "predecessor_id", "current_account_id"]
+REQUIRED = ["receipt_id", "signer_id", "predecessor_id", "current_account_id", "action_index", "block_height",
+            "block_timestamp", "shard_id", "receipt_index"]
 
 
 def row_problem(df: DataFrame):

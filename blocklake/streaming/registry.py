@@ -78,7 +78,7 @@ register_standard(S.FILES_SUFFIX, _file_tables)
 register_standard(S.RAW_SUFFIX, _raw_tables, {
     "s_raw": S.TableSpec("s_raw", key=("predecessor_id", "current_account_id", "block_height", "shard_id",
                                        "receipt_index", "action_index", "receipt_id"),
-                         partition_by=("batch_id",),
+                         bucket_by=("predecessor_id", "current_account_id"),
                          sort_by=("predecessor_id", "current_account_id", "block_height"),
                          unique_per_delta=False),
 })

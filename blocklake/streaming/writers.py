@@ -2,7 +2,7 @@
 
 * Start position: the query's checkpointLocation on restart; `start_height` filters the first run (STR-1).
 * The derived stream reads only files the raw stage has committed (STR-2), and a block stays inside one
-  file, so a micro-batch never splits a block (STR-3).
+  file (the raw stage range-partitions down to the block), so a micro-batch never splits one (STR-3).
 * `max_files_per_trigger` bounds a micro-batch (STR-4); the trigger sets the cadence (STR-5).
 * Latest-per-key state lives in the tables themselves: each micro-batch writes its pre-aggregated
   delta under its own batch_id (idempotent on retry) and reads merge deltas by version, so replays and
@@ -20,7 +20,7 @@ from blocklake import schemas as S
 from blocklake.plans.jobs import index_standard, ingest_calls
 from blocklake.sources.blocks import flatten_blocks, read_blocks
 from blocklake.plans.store import Store
-from blocklake.streaming.registry import STANDARDS
+from blocklake.streaming.registry import STANDARDS, Standard
 
 
 def read_blob_stream(spark: SparkSession, path: str, suffix: str | None = None,
@@ -36,13 +36,13 @@ def read_blob_stream(spark: SparkSession, path: str, suffix: str | None = None,
     return df
 
 
-def standard_writer(store: Store, suffix: str, first_delta_id: int = 0):
+def standard_writer(store: Store, standard: Standard | str, first_delta_id: int = 0):
     """foreachBatch function writing one standard's deltas (same code as the batch job).
 
     Delta id = the writer's first id + the micro-batch id, so a retried micro-batch replaces its own
     delta and two writers never share one.
     """
-    std = STANDARDS[suffix]
+    std = STANDARDS[standard] if isinstance(standard, str) else standard
 
     def write(batch: DataFrame, batch_id: int) -> None:
         index_standard(store, batch, first_delta_id + batch_id, std)
@@ -50,16 +50,18 @@ def standard_writer(store: Store, suffix: str, first_delta_id: int = 0):
     return write
 
 
-def start_standard_stream(spark: SparkSession, blobs_path: str, store: Store, suffix: str, checkpoint_location: str,
+def start_standard_stream(spark: SparkSession, blobs_path: str, store: Store, standard: Standard | str,
+                          checkpoint_location: str,
                           available_now: bool = False, processing_time: str = "5 seconds",
                           max_files_per_trigger: int | None = None,
                           start_height: int | None = None) -> StreamingQuery:
-    src = read_blob_stream(spark, blobs_path, suffix, start_height, max_files_per_trigger)
+    std = STANDARDS[standard] if isinstance(standard, str) else standard
+    src = read_blob_stream(spark, blobs_path, std.suffix, start_height, max_files_per_trigger)
     first = store.allocate_writer(checkpoint_location)
-    w = src.writeStream.foreachBatch(standard_writer(store, suffix, first)).option("checkpointLocation",
+    w = src.writeStream.foreachBatch(standard_writer(store, std, first)).option("checkpointLocation",
                                                                                   checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.queryName(f"index_{suffix}").start()
+    return w.queryName(f"index_{std.suffix}").start()
 
 
 def start_ingest_stream(spark: SparkSession, blocks_path: str, store: Store, checkpoint_location: str,

@@ -154,7 +154,7 @@ simple AS (
   SELECT *, 0 AS c, CASE WHEN doc_id % 20 = 0 THEN 1 ELSE 0 END AS late FROM valid WHERE nchunks = 1
 ),
 partial AS (
-  SELECT *, 0 AS late FROM (SELECT *, unnest(range(0, nchunks)) AS c FROM valid WHERE nchunks > 1 AND n <= 131072)
+  SELECT *, 0 AS late FROM (SELECT *, unnest(range(0, nchunks)) AS c FROM valid WHERE nchunks > 1)
 ),
 chunk_rows AS (
   SELECT doc_id, relative_path, pred, contract, c, late,
@@ -200,9 +200,6 @@ rej AS (
   FROM kvb, json_each(kvb.data) AS j
   WHERE NOT (j.key <> '' AND strlen(j.key) <= 1024 AND NOT regexp_matches(j.key, '\\p{{Cc}}'))
   UNION ALL
-  SELECT 'files', 'invalid_partial'
-  FROM (SELECT unnest(range(0, nchunks)) FROM valid WHERE nchunks > 1 AND n > 131072)
-  UNION ALL
   SELECT 'files', CASE WHEN nchunks = 1 THEN 'invalid_simple' ELSE 'invalid_partial' END
   FROM (SELECT nchunks, unnest(range(0, nchunks + CASE WHEN nchunks = 1 AND doc_id % 20 = 0 THEN 1 ELSE 0 END))
         FROM docs WHERE NOT {PATH_OK.format(p='relative_path')})
@@ -221,17 +218,13 @@ rej AS (
                          WHEN json_type(data) <> 'OBJECT' THEN 'not_object'
                          WHEN len(list_distinct(json_keys(data))) > 256 THEN 'too_many_keys'
                          WHEN NOT (receipt_index < 100000 AND action_index < 1000) THEN 'order_id_overflow' END,
-         receipt_id, action_index, block_height, predecessor_id, current_account_id, substr(data, 1, 64)
+         receipt_id, action_index, block_height, predecessor_id, current_account_id, data
   FROM blobs WHERE suffix = 'kv'
   UNION ALL
   SELECT 'kv_key', CASE WHEN strlen(j.key) > 1024 THEN 'key_too_long' ELSE 'invalid_key' END,
          receipt_id, action_index, block_height, predecessor_id, current_account_id, j.key
   FROM kvb, json_each(kvb.data) AS j
   WHERE NOT (j.key <> '' AND strlen(j.key) <= 1024 AND NOT regexp_matches(j.key, '\\p{{Cc}}'))
-  UNION ALL
-  SELECT 'files', 'invalid_partial', 'fs' || {_v('doc_id')} || '-' || {_v('c')} || '-0', CAST(c AS INTEGER),
-         CAST(200000000 + doc_id * 2 AS BIGINT), pred, contract, relative_path
-  FROM (SELECT *, unnest(range(0, nchunks)) AS c FROM valid WHERE nchunks > 1 AND n > 131072)
 )
 SELECT * FROM rej WHERE reason IS NOT NULL"""
 
@@ -303,7 +296,7 @@ ORACLE: dict[str, str] = {
        CAST(CASE WHEN nchunks = 1 THEN 0 ELSE doc_id + 1 END AS INTEGER) AS nonce, 'text/plain' AS mime_type,
        CAST(n AS INTEGER) AS full_size, CAST(nchunks AS INTEGER) AS n_chunks, true AS complete,
        md5(bytes) AS content_md5
-FROM valid WHERE (nchunks = 1 AND doc_id % 20 <> 0) OR (nchunks > 1 AND n <= 131072)"""),
+FROM valid WHERE (nchunks = 1 AND doc_id % 20 <> 0) OR (nchunks > 1)"""),
     "path_checks": f"""SELECT page_id, relative_path, COALESCE({PATH_OK.format(p='relative_path')}, false) AS is_valid
 FROM (SELECT page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/(.*)$', 1) AS relative_path FROM pages)""",
     "reject_report": REJECTS,
@@ -319,12 +312,59 @@ FROM (SELECT page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/(.*)
 FROM calls GROUP BY 1"""),
     "checkpoint_lag": with_calls(f"""SELECT suffix, last_processed_block_height, head_height,
        head_height - last_processed_block_height AS lag_blocks
-FROM (SELECT 'kv' AS suffix,
-             (SELECT max(block_height) FROM blobs WHERE suffix = 'kv')
+FROM (SELECT 'kv' AS suffix, (SELECT max(block_height) FROM blobs WHERE block_height <= {SCAN_HI})
                AS last_processed_block_height
       UNION ALL
-      SELECT 'raw', (SELECT max(block_height) FROM blobs WHERE suffix = 'raw')) m,
+      SELECT 'raw', (SELECT max(block_height) FROM blobs)) m,
      (SELECT max(block_height) AS head_height FROM blobs) h"""),
+    "stalls": with_calls(f"""SELECT suffix, CAST(2 AS BIGINT) AS reading_ts_us, last_processed_block_height,
+       (SELECT max(block_height) FROM blobs WHERE block_height <= {SCAN_HI}) AS previous_height, stalled
+FROM (SELECT 'kv' AS suffix, (SELECT max(block_height) FROM blobs WHERE block_height <= {SCAN_HI})
+               AS last_processed_block_height, true AS stalled
+      UNION ALL SELECT 'raw', (SELECT max(block_height) FROM blobs), false
+      UNION ALL SELECT '*', (SELECT max(block_height) FROM blobs), false) m"""),
+    "malformed_blocks": f"""SELECT 'call' AS kind, count(*) AS n FROM ({FLATTEN}) WHERE block_height % 10 <> 3
+UNION ALL
+SELECT 'malformed_block', count(DISTINCT o_orderkey // 32) FROM orders WHERE (100000000 + o_orderkey // 32) % 10 = 3""",
+    "validated_rows": with_calls("""SELECT receipt_id, CASE CAST(substr(receipt_id, 5) AS BIGINT) % 50
+       WHEN 7 THEN 'negative_shard_id' WHEN 9 THEN 'missing_signer_id' ELSE 'ok' END AS reason FROM blobs"""),
+    "late_blobs_indexed": with_calls(f"SELECT {KV_COLS} FROM kv"),
+    "kv_value_text": """SELECT 'rcpt' || CAST(event_id AS VARCHAR) AS receipt_id, 'v' AS key, t.value AS value
+FROM events JOIN (VALUES (0, '1.0'), (1, '-0.0'), (2, '1e16'), (3, '1e-7'), (4, '0.1'), (5, '-1.5'),
+  (6, '1.2345678901234568e29'), (7, '18446744073709551615'), (9, '[1.0,{"a":null,"b":2.5}]'), (10, '"xé/"'), (11, 'true'),
+  (12, '1e20'), (13, '5e-324'), (14, '1000000000000000.0'), (15, '0.00001'), (16, '1e-6'),
+  (19, '-9223372036854775808')) t(nth, value) ON event_id % 20 = nth""",
+    "reject_reasons": """WITH k AS (
+  SELECT *, event_id % 40 AS f, event_id % 40 IN (3, 5, 7, 9, 11, 13, 17) AS faulty FROM events),
+r AS (
+  SELECT 'route' AS stage, 'invalid_suffix' AS reason FROM k WHERE NOT faulty AND event_type = 'error' AND event_id % 4 <> 2
+  UNION ALL SELECT 'kv_blob', 'not_object' FROM k WHERE f <> 3 AND f <> 5 AND f <> 7 AND f <> 11 AND f <> 13 AND f <> 17
+      AND event_id % 50 = 0 AND (faulty OR event_type NOT IN ('error', 'signup'))
+  UNION ALL SELECT 'kv_blob', 'invalid_json' FROM k WHERE f IN (13, 17) OR (event_id % 50 = 1
+      AND f NOT IN (3, 5, 7, 11) AND (faulty OR event_type NOT IN ('error', 'signup')))
+  UNION ALL SELECT 'kv_blob', 'too_many_keys' FROM k WHERE f = 3
+  UNION ALL SELECT 'kv_blob', 'order_id_overflow' FROM k WHERE f = 9 AND event_id % 50 NOT IN (0, 1)
+  UNION ALL SELECT 'kv_key', 'invalid_key' FROM k WHERE f IN (5, 11)
+  UNION ALL SELECT 'kv_key', 'key_too_long' FROM k WHERE f = 7
+  UNION ALL SELECT 'files', CASE doc_id % 10 WHEN 1 THEN 'undecodable' WHEN 2 THEN 'invalid_simple'
+      ELSE 'invalid_partial' END FROM documents WHERE doc_id % 10 IN (1, 2, 3))
+SELECT stage, reason, count(*) AS n FROM r GROUP BY 1, 2""",
+    "stored_get_latest": with_calls(
+        f"SELECT {KV_COLS} FROM kv_last WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT} "
+        "AND key = 'click'"),
+    "stored_key_history": with_calls(
+        f"SELECT {KV_COLS} FROM kv WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT} "
+        "AND key = 'graph/follow/user3.near'"),
+    "stored_predecessors": with_calls(
+        f"SELECT {REVERSE_COLS} FROM kv_last WHERE current_account_id = {CONTRACT} AND key = 'click' "
+        "AND predecessor_id > 'user1.near' ORDER BY predecessor_id LIMIT 5"),
+    "stored_followers": with_calls(
+        "SELECT source FROM kv_edges WHERE edge_type = 'graph/follow' AND target = 'user3.near'"),
+    "stored_timeline": with_calls(
+        f"SELECT * FROM ({BY_BLOCK}) WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT}"),
+    "stored_key_across_accounts": with_calls(f"SELECT {KV_COLS} FROM kv WHERE key = 'view'"),
+    "stored_contract_history": with_calls(
+        f"SELECT {KV_COLS} FROM kv WHERE current_account_id = 'app0.near' AND key = 'purchase'"),
     "stream_kv_last": with_calls(f"SELECT {KV_COLS} FROM kv_last"),
     "stream_kv_edges": with_calls("SELECT * FROM kv_edges"),
     "stream_files": with_files(f"SELECT {CHUNK_COLS} FROM chunks"),

@@ -1,6 +1,7 @@
 """Plan shape: the properties the design relies on at scale, asserted on the physical plans."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from blocklake import schemas as S
 from blocklake.operators import kv as K
@@ -62,3 +63,45 @@ def test_single_delta_table_reads_without_shuffle(store):
     # `store` holds one KV batch: every derived table has exactly one delta.
     assert "Exchange" not in plan(store.table("s_kv_last"))
     assert "Exchange" in plan(store.table("blobs"))  # raw deltas are not unique per delta
+
+
+def test_account_filter_sinks_below_the_parse(spark):
+    """Only the parsed value is fenced: the account filter of a lookup reaches the Parquet scan."""
+    blobs = spark.read.schema(S.BLOBS_SCHEMA).parquet(_blob_files(spark))
+    df = L.get_latest(K.kv_last(K.explode_kv(blobs)), Q.PRED, Q.CONTRACT, "click")
+    scan = plan(df).split("PushedFilters: [")[1].split("]")[0]
+    assert "EqualTo(predecessor_id," in scan and "EqualTo(current_account_id," in scan
+
+
+def test_account_filter_sinks_below_the_decode(spark):
+    from blocklake.operators import files as FS
+
+    blobs = spark.read.schema(S.BLOBS_SCHEMA).parquet(_blob_files(spark))
+    df = L.list_files(FS.latest_chunks(FS.decode_files(blobs)), "a", "b")
+    assert "EqualTo(predecessor_id,a)" in plan(df)
+
+
+def _blob_files(spark):
+    path = scratch_path(spark, "blob-files")
+    Q.event_blobs(spark, SF).write.parquet(path)
+    return path
+
+
+def test_lookup_opens_one_bucket(store):
+    for name, equal in {"mv_kv_key": dict(key="view"), "mv_kv_cur_key": dict(current_account_id="app0.near"),
+                        "kv_reverse": dict(current_account_id=Q.CONTRACT, key="click"),
+                        "s_kv_last": dict(predecessor_id=Q.PRED, current_account_id=Q.CONTRACT),
+                        "kv_edges": dict(edge_type="graph/follow", target="user3.near")}.items():
+        df = store.lookup(name, **equal)
+        filters = plan(df).split("PartitionFilters: [")[1].split("]")[0]
+        assert "bucket" in filters, name
+        read = df.select(F.input_file_name()).distinct().collect() if "Exchange" not in plan(df) else []
+        assert len({r[0].split("bucket=")[1].split("/")[0] for r in read}) <= 1
+
+
+def test_assembly_has_no_growing_concat(spark):
+    from blocklake.operators import files as FS
+
+    chunks = spark.createDataFrame([], S.FILE_CHUNKS_SCHEMA)
+    p = plan(FS.assemble_files(chunks))
+    assert "listagg" in p and "aggregate(" not in p

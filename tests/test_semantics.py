@@ -170,13 +170,55 @@ def test_d20_bucket_span_guard(spark):
         scan_suffix(b, "kv", 0, 10_000 * 1001)
 
 
-def test_strict_json_mode(spark):
-    docs = {"ok": '{"a":1}', "trailing": '{"a":1} x', "inf": '{"a":1e400}', "surrogate": '{"a":"\\ud800"}',
-            "deep": '{"a":' + "[" * 200 + "]" * 200 + "}", "nan": '{"a":NaN}'}
-    b = blobs(spark, [dict(data=v, receipt_id=k) for k, v in docs.items()])
-    assert {r.receipt_id for r in K.explode_kv(b, mode="strict").collect()} == {"ok"}
-    native = {r.receipt_id for r in K.explode_kv(b).collect()}
-    assert {"ok", "trailing"} <= native
+def test_value_text_and_acceptance(spark):
+    """KV-1/KV-5: one whole, finite, not too deep JSON text; numbers as the shortest text that reads back."""
+    nest = lambda n: '{"a":' + "[" * (n - 1) + "]" * (n - 1) + "}"
+    bad = {"trailing": '{"a":1} x', "two": '{"a":1}{"b":2}', "inf": '{"a":1e400}', "surrogate": '{"a":"\\ud800"}',
+           "nan": '{"a":NaN}', "deep": nest(128), "empty": "", "zero": '{"a":01}'}
+    good = {"plain": ('{"a":12}', "12"), "float": ('{"a":1.0}', "1.0"), "minus": ('{"a":-0}', "-0.0"),
+            "places": ('{"a":1e15}', "1000000000000000.0"), "exponent": ('{"a":1e16}', "1e16"), "small": ('{"a":1e-6}', "1e-6"),
+            "unsigned": ('{"a":18446744073709551615}', "18446744073709551615"), "beyond": ('{"a":18446744073709551616}', "1.8446744073709552e19"),
+            "order": ('{"a": {"z": 1.50, "b": [ ]}}', '{"b":[],"z":1.5}'), "escape": ('{"a":"\\u0041\\u001f"}', '"A\\u001f"'),
+            "last": ('{"a":1,"a":2.0}', "2.0"), "deepest": (nest(127), "[" * 126 + "]" * 126)}
+    rows_ = [dict(data=v, receipt_id=k) for k, v in bad.items()] + [dict(data=v, receipt_id=k) for k, (v, _) in good.items()]
+    b = blobs(spark, rows_)
+    assert dict(rows(K.explode_kv(b), "receipt_id", "value")) == {k: v for k, (_, v) in good.items()}
+    assert dict(rows(K.kv_rejects(b), "receipt_id", "reason")) == dict.fromkeys(bad, "invalid_json")
+
+
+def test_overflow_fails_instead_of_vanishing(spark):
+    block = {"block": {"header": {"height": 7, "timestamp": 70}}, "shards": [{
+        "shard_id": 3_000_000_000, "receipt_execution_outcomes": [{"tx_hash": None, "receipt": {
+            "receipt_id": "r", "predecessor_id": "a", "receiver_id": "c", "receipt": {"Action": {"signer_id": "s", "actions": [
+                {"FunctionCall": {"method_name": "__fastdata_kv", "args": "e30="}}]}}}}]}]}
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        flatten_blocks(spark.createDataFrame([block], S.BLOCK_SCHEMA)).collect()
+
+
+def test_malformed_line_fails_or_is_kept(spark):
+    from blocklake.session import scratch_path
+    from blocklake.sources.blocks import read_blocks, split_malformed
+
+    path = scratch_path(spark, "lines")
+    line = '{"block":{"header":{"height":5,"timestamp":1}},"shards":[]}'
+    spark.createDataFrame([(line,), (line[:30],), (line,)], "value string").coalesce(1).write.text(path)
+    with pytest.raises(Exception):
+        read_blocks(spark, path).collect()
+    good, bad = split_malformed(read_blocks(spark, path, on_error="keep"))
+    assert good.count() == 2 and [(r.reason, r.detail) for r in bad.collect()] == [("malformed_block", line[:30])]
+
+
+def test_a_block_stays_in_one_file(spark):
+    from blocklake.plans.queries import event_calls
+    from blocklake.plans.jobs import ingest_calls
+    from blocklake.plans.store import Store
+    from blocklake.session import scratch_path
+
+    store = Store(spark, scratch_path(spark, "heights"))
+    ingest_calls(store, event_calls(spark, "/root/testdata/sf0.01"), 0)
+    at = store.raw("blobs").select("suffix", "block_height", F.input_file_name().alias("file")).distinct()
+    assert at.groupBy("suffix", "block_height").count().where("count > 1").count() == 0
+    assert at.select("file").distinct().count() > 4
 
 
 def test_validate_rows(spark):
@@ -190,7 +232,7 @@ def test_validate_rows(spark):
         validate_rows(b, "fail")[0].collect()
 
 
-def test_store_compaction_keeps_the_table(spark):
+def test_merge_keeps_the_table(spark):
     from blocklake.plans.jobs import index_standard
     from blocklake.plans.store import Store
     from blocklake.session import scratch_path
@@ -203,9 +245,9 @@ def test_store_compaction_keeps_the_table(spark):
         index_standard(store, b.where(f"block_height = {h}"), i, "kv")
     before = {n: sorted(map(tuple, store.table(n).collect())) for n in ["s_kv", "s_kv_last", "kv_edges"]}
     assert store.batch_ids("s_kv_last") == [0, 1, 2, 3]
-    assert store.compact("s_kv_last") == -1 and store.batch_ids("s_kv_last") == [-1]
-    store.compact("s_kv")
-    store.compact("kv_edges")
+    assert store.merge("s_kv_last") == -1 and store.batch_ids("s_kv_last") == [-1]
+    store.merge("s_kv")
+    store.merge("kv_edges")
     after = {n: sorted(map(tuple, store.table(n).collect())) for n in ["s_kv", "s_kv_last", "kv_edges"]}
     assert after == before
     assert dict(rows(store.table("s_kv_last"), "key", "value")) == {"k": "2", "graph/f/x.near": "null", "j": "3"}
@@ -257,9 +299,14 @@ def test_purge_expired_blob_deltas(spark):
     store = Store(spark, scratch_path(spark, "ttl"))
     ingest_calls(store, calls, 0)
     ingest_calls(store, calls.withColumn("receipt_id", F.lit("r2")), 1)
+    # Written again as of two days before: a day of its own, dropped alone.
+    old = store.raw("blobs").where("batch_id = 0").drop("batch_id").withColumn(
+        "ingest_ts_us", F.col("ingest_ts_us") - 2 * 86_400_000_000).withColumn(
+        "ingest_day", F.date_format(F.timestamp_micros("ingest_ts_us"), "yyyy-MM-dd")).checkpoint()
+    store.write_delta("blobs", old, 2)
     newest = store.raw("blobs").agg(F.max("ingest_ts_us")).first()[0]
-    assert store.purge_expired(newest, ttl_seconds=0) == [0, 1]
-    assert store.batch_ids("blobs") == []
+    assert len(store.purge_expired(newest, ttl_seconds=86_400)) == 1 and store.batch_ids("blobs") == [0, 1]
+    assert store.purge_expired(newest, ttl_seconds=86_400) == []
 
 
 def test_writers_get_disjoint_delta_ids(spark):
@@ -297,3 +344,7 @@ def test_stall_detection(spark):
     got = {r.suffix: (r.last_processed_block_height, r.previous_height, r.stalled)
            for r in stalls(store.readings()).collect()}
     assert got == {"*": (20, 10, False), "kv": (8, 8, True)}
+    store.write_meta("kv", 20)
+    store.record_reading(3)
+    store.record_reading(4)  # nothing new: caught up, so idle and not stalled
+    assert {r.suffix: r.stalled for r in stalls(store.readings()).collect()} == {"*": False, "kv": False}

@@ -64,7 +64,7 @@ def test_ingest_stream_equals_batch(spark):
                             max_files_per_trigger=1)
     q.awaitTermination()
     expected = to_blobs(flatten_blocks(FX.blocks_from_orders(spark, SF)))
-    got = store.table("blobs").drop("ingest_ts_us")
+    got = store.table("blobs").drop("ingest_ts_us", "ingest_day")
     assert _same(got.withColumn("data", got.data.cast("string")),
                  expected.withColumn("data", expected.data.cast("string")))
     assert store.checkpoint_height(S.UNIVERSAL_SUFFIX) == expected.agg({"block_height": "max"}).first()[0]
