@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blocklake import schemas as S
 from blocklake.functions import binary
 from blocklake.functions.paths import is_valid_partial, is_valid_simple
-from blocklake.operators.latest import latest_by
 from blocklake.operators.routing import reject_rows
 
 FS_KEY = ["predecessor_id", "current_account_id", "relative_path", "nonce", "offset"]
@@ -54,8 +53,14 @@ def file_rejects(blobs: DataFrame, alignment: int = S.OFFSET_ALIGNMENT) -> DataF
 
 
 def latest_chunks(rows: DataFrame) -> DataFrame:
-    """FS-8 `s_fastfs_v2`: newest row per (pred, contract, path, nonce, offset); re-upload overwrites."""
-    return latest_by(rows.select(*FS_COLS), FS_KEY, FS_VERSION)
+    """FS-8 `s_fastfs_v2`: newest row per (pred, contract, path, nonce, offset); re-upload overwrites.
+
+    Rows carry up to 1 MiB of content, so the newest is the first of a sort and never an aggregate's state. The
+    limit of one row per key also holds before the shuffle: a path that is rewritten all the time sends one row
+    per task.
+    """
+    newest = Window.partitionBy(*FS_KEY).orderBy(*[F.col(c).desc() for c in FS_VERSION])
+    return rows.select(*FS_COLS, F.row_number().over(newest).alias("_nth")).where("_nth = 1").drop("_nth")
 
 
 def assemble_files(chunks: DataFrame, alignment: int = S.OFFSET_ALIGNMENT) -> DataFrame:

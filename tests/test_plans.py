@@ -99,6 +99,14 @@ def test_lookup_opens_one_bucket(store):
         assert len({r[0].split("bucket=")[1].split("/")[0] for r in read}) <= 1
 
 
+def test_chunks_are_no_aggregate_state(spark):
+    """Content goes through one exchange; one row per key and task, by a limit inside a sort."""
+    from blocklake.operators import files as FS
+
+    p = plan(FS.latest_chunks(spark.createDataFrame([], S.FILE_CHUNKS_SCHEMA).repartition(2)))
+    assert "Aggregate" not in p and "WindowGroupLimit" in p and p.count("Arguments: hashpartitioning(") == 1
+
+
 def test_assembly_has_no_growing_concat(spark):
     from blocklake.operators import files as FS
 
