@@ -177,3 +177,27 @@ def test_vectors(spark):
 def test_text_key_tells_null_from_empty(spark):
     df = spark.createDataFrame([(None,), ("",), ("a",)], "text string")
     assert df.select(text_key(F.col("text"))).distinct().count() == 3
+
+
+def test_pipeline_stages(spark, docs, none):
+    """Each stage on odd rows and on none: no crash, the columns stay, rows without content stay."""
+    import corpus_pipeline as cp
+
+    sf = "/root/testdata/sf0.001"
+    shaped = lambda df: df.select("doc_id", "text", F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"),
+                                  F.char_length("text").cast("long").alias("n_chars"), *EXTRA)
+    for name, stage in cp.STAGES:
+        got = stage(spark, shaped(docs), sf)
+        assert set(shaped(docs).columns) <= set(got.columns), name
+        if name in ("line_dedup", "near_dedup", "decontaminate", "token_ids"):
+            left = {(r.doc_id, r.text) for r in got.select("doc_id", "text").collect()}
+            assert {(2, None), (3, ""), (None, None), (5, LONG)} <= left, name
+        assert stage(spark, shaped(none), sf).count() == 0, name
+    assert cp.ORACLE_SQL is None and len(cp.STAGES) == 5
+
+
+def test_near_duplicate_stage_keeps_one_of_repeated_rows(spark):
+    rows = [(1, "a b c d e f g")] * 3 + [(2, "a b c d e f g"), (1, "other words that stand alone here"), (None, ""), (None, "")]
+    got = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = sorted((str(r.doc_id), r.text) for r in got.collect())
+    assert left == [("1", "a b c d e f g"), ("1", "other words that stand alone here"), ("None", ""), ("None", "")]
