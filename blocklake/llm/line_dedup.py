@@ -20,38 +20,33 @@ THRESHOLD = 2
 MIN_CHARS = 24
 
 
-def _segments(threshold: int, n: Column) -> list[tuple[Column, Column]]:
-    """(start from 0, length) of the threshold + 1 segments of a line of n characters; the last ones are longer."""
-    parts = threshold + 1
-    base = F.floor(n / parts).cast("int")
-    longer = n - base * parts
-    out = []
-    for i in range(parts):
-        start = base * i + F.greatest(longer - (parts - i), F.lit(0))
-        out.append((start.cast("int"), (base + (longer >= parts - i).cast("int")).cast("int")))
-    return out
-
-
-def _key(n: Column, segment: int, text: Column) -> Column:
-    return F.xxhash64(n, F.lit(segment), text)
-
-
-def line_keys(line: Column, n: Column, threshold: int) -> Column:
-    """Array of (key, own): the line's own segments, and the substrings it probes partners with.
+def with_keys(lines: DataFrame, threshold: int) -> DataFrame:
+    """The columns of `lines` (with `line`) and, per row, its entries (key, own): the line's own segments, and the
+    substrings it probes partners with.
 
     A partner has n - delta characters. Its segment i starts off its place by at most the i edits before it, and
     by at most the threshold - i edits after it once the lengths are levelled; other places cannot be the first
-    match. An own segment is also the probe for equal lines' same place, so it is not listed twice.
+    match. An own segment is also the probe for equal lines' same place, so it is not listed twice. Characters
+    are cut from a fixed-width encoding, where a place is an offset.
     """
-    out = []
-    for delta in range(threshold + 1):
-        for i, (start, size) in enumerate(_segments(threshold, n - delta)):
-            for shift in range(max(-i, delta - threshold + i), min(i, delta + threshold - i) + 1):
-                at = start + shift
-                key = _key(n - delta, i, F.substring(line, at + 1, size))
-                out.append(F.when((at >= 0) & (at + size <= n), F.struct(
-                    key.alias("key"), F.lit(int(delta == 0 and shift == 0)).alias("own"))))
-    return F.array_compact(F.array(*out))
+    parts = threshold + 1
+    probes = [(delta, i, shift) for delta in range(parts) for i in range(parts)
+              for shift in range(max(-i, delta - threshold + i), min(i, delta + threshold - i) + 1)]
+    far = 2 * threshold + 1  # a probe is one number: delta, then i, then shift + threshold
+    codes = F.array(*[F.lit((d * parts + i) * far + s + threshold) for d, i, s in probes])
+    p = F.col("_p")
+    rows = lines.select("*", F.char_length("line").alias("_n"), F.encode("line", "UTF-32").alias("_wide"))
+    rows = rows.select("*", F.explode(codes).alias("_p"))
+    rows = rows.withColumns({"_m": F.col("_n") - F.expr(f"_p div {far * parts}").cast("int"),
+                             "_i": F.expr(f"(_p div {far}) % {parts}").cast("int"),
+                             "_shift": p % far - threshold})
+    size, longer = F.expr(f"_m div {parts}").cast("int"), F.col("_m") % parts
+    wide = size + (longer >= parts - F.col("_i")).cast("int")  # the last segments are one longer
+    at = size * F.col("_i") + F.greatest(longer - parts + F.col("_i"), F.lit(0)) + F.col("_shift")
+    rows = rows.where((at >= 0) & (at + wide <= F.col("_n")))
+    key = F.xxhash64("_m", "_i", F.substring("_wide", at * 4 + 1, wide * 4))
+    own = ((F.col("_m") == F.col("_n")) & (F.col("_shift") == 0)).cast("int")
+    return rows.select(*lines.columns, key.alias("key"), own.alias("own"))
 
 
 def _common_prefix(a: Column, b: Column, most: Column) -> Column:
@@ -139,16 +134,18 @@ def eligible_lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> D
 
 def line_links(lines: DataFrame, threshold: int) -> DataFrame:
     """(a, b): md5 of every two different lines within `threshold` edits."""
-    keyed = lines.select(F.xxhash64("line").alias("h"), "line", F.inline(line_keys(F.col("line"), F.col("n"), threshold)))
+    keyed = with_keys(lines.select(F.xxhash64("line").alias("h"), "line"), threshold)
     met = keyed.groupBy("key").agg(F.min("h").alias("least"), F.max("h").alias("most"), F.max("own").alias("own"))
     met = materialize(met.where("least != most AND own = 1").select("key"), "met")
     near = materialize(keyed.join(sized(met), "key", "left_semi").select("line").distinct(), "near-lines")
-    near = near.select(F.md5("line").alias("id"), "line", F.inline(line_keys(F.col("line"), F.char_length("line"), threshold)))
+    near = with_keys(near.select(F.md5("line").alias("id"), "line"), threshold)
     near = materialize(near.join(sized(met), "key", "left_semi"), "near-keys")
     a, b = near.where("own = 1").alias("a"), near.alias("b")
-    # The lines are compared in the join's condition: pairs that are not links never become rows.
+    # The lines are compared in the join's condition: pairs that are not links never become rows. Spark's own
+    # banded distance, which is compiled, goes first; the bit-parallel one decides what it leaves.
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") != F.col("b.id"))
                    & ((F.col("b.own") == 0) | (F.col("a.id") < F.col("b.id")))
+                   & (F.levenshtein("a.line", "b.line", threshold) >= 0)
                    & within(F.col("a.line"), F.col("b.line"), threshold))
     return pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
