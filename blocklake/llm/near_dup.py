@@ -211,8 +211,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if not open_.isEmpty():
         t = tagged.join(sized(open_), ["band", "key"])
         slot = lambda n: F.pmod(F.xxhash64("cid"), n).cast("int")
-        spot = lambda i, j, s: F.struct(F.lit(i).alias("i") if isinstance(i, int) else i.alias("i"),
-                                        j.alias("j"), F.lit(s).alias("side"))
+        spot = lambda i, j, s: F.struct(i.alias("i"), j.alias("j"), F.lit(s).alias("side"))
         rest, mine = F.col("comp") != F.col("main"), slot(F.col("rests"))
         upto = lambda n: F.sequence(F.lit(0), n - 1)
         # A rest block i meets every main block (j < 0) and every rest block j >= i.

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blocklake.llm.common import free_name
-from blocklake.llm.shingles import batches, word_hashes
+from blocklake.llm.shingles import CHUNK_BYTES, batches, word_hashes
 
 TRAIN_ROWS = 20_000  # bound of the labelled sample the model is fitted on
 TREES, DEPTH, RATE, BINS, L2, MIN_HESSIAN = 80, 4, 0.2, 64, 1.0, 2.0
@@ -37,7 +37,8 @@ def statistics(texts: list[bytes | None]) -> np.ndarray:
     """(len(texts), STATISTICS): the numbers the classifier sees of each whole text; null counts as empty."""
     raw = [t or b"" for t in texts]
     views = [np.frombuffer(t, np.uint8) for t in raw]
-    hist = np.stack([np.bincount(v, minlength=256) for v in views]).astype(float)
+    hist = np.stack([sum(np.bincount(v[s : s + CHUNK_BYTES], minlength=256) for s in range(0, max(len(v), 1), CHUNK_BYTES))
+                     for v in views]).astype(float)
     counts = hist @ _CLASS
     chars = np.maximum(hist.sum(1) - counts[:, -3], 1.0)
     bounds = np.concatenate([[0], np.cumsum([len(v) for v in views])]).astype(np.int64)

@@ -40,17 +40,36 @@ def _grow(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of texts laid end to end: a hash per word (A-Z lower-cased, white space apart), and each word's text number."""
-    if not len(buf):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    """Of texts laid end to end: a hash per word (A-Z lower-cased, white space apart), and each word's text number.
+
+    A word's hash depends on the word alone, so a long text is hashed in runs that end at white space.
+    """
+    parts, at = [], 0
+    while at < len(buf):
+        stop = min(at + CHUNK_BYTES, len(buf))
+        while stop < len(buf) and not _IS_SPACE[buf[stop]]:
+            space = np.flatnonzero(_IS_SPACE[buf[stop : stop + 4096]])
+            stop = stop + int(space[0]) if len(space) else min(stop + 4096, len(buf))
+        a, z = np.searchsorted(bounds, [at, stop])
+        h, starts = _word_hashes(buf[at:stop], bounds[a:z] - at)
+        parts.append((h, np.searchsorted(bounds, starts + at, side="right") - 1))
+        at = stop
+    return (np.concatenate([h for h, _ in parts] or [np.empty(0, np.uint64)]),
+            np.concatenate([of for _, of in parts] or [np.empty(0, np.int64)]))
+
+
+def _word_hashes(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of the words of one run; words also end at `bounds`."""
     b = np.where((buf >= 65) & (buf <= 90), buf + np.uint8(32), buf)
     word = ~_IS_SPACE[b]
     first = np.zeros(len(b) + 1, bool)
     first[bounds] = True
     edge = first[:-1].copy()
+    edge[0] = True
     edge[1:] |= ~word[:-1]
     starts = np.flatnonzero(word & edge)
     last = first[1:].copy()
+    last[-1] = True
     last[:-1] |= ~word[1:]
     stops = np.flatnonzero(word & last) + 1
     up, down = _grow(len(b))
@@ -58,7 +77,7 @@ def word_hashes(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     np.cumsum(_BYTE[b] * up[: len(b)], out=run[1:])
     h = (run[stops] - run[starts]) * down[starts]
     h = mix(h + (stops - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return h, np.searchsorted(bounds, starts, side="right") - 1
+    return h, starts
 
 
 def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:

@@ -54,6 +54,25 @@ def _shingles(text, width):
     return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
 
 
+def test_words_hash_alike_in_runs(monkeypatch):
+    """Long texts are hashed in runs that end at white space; words, shingles and statistics do not change."""
+    from blocklake.llm import quality, shingles
+
+    rng = random.Random(1)
+    texts = ["".join(rng.choices("ab C\t\n\x0bd", k=rng.randrange(0, 300))).encode() for _ in range(200)]
+    texts += [b"", b" ", b"x" * 9000 + b" y"]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    buf = np.frombuffer(b"".join(texts), np.uint8)
+    (h, of), sets, stats = shingles.word_hashes(buf, bounds), shingles.shingle_sets(texts, 3), quality.statistics(texts)
+    assert np.bincount(of, minlength=len(texts)).tolist() == [len(re.findall(rb"[^\x20\x09-\x0D]+", t)) for t in texts]
+    monkeypatch.setattr(shingles, "CHUNK_BYTES", 97)
+    shingles._chunk_powers.cache_clear()
+    assert (shingles.word_hashes(buf, bounds)[0] == h).all()
+    assert all((a == b).all() for a, b in zip(shingles.shingle_sets(texts, 3), sets, strict=True))
+    assert (quality.statistics(texts) == stats).all()
+    shingles._chunk_powers.cache_clear()
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_near_duplicates(spark, width):
     """One large group of copies edited from hardly to heavily, pairs around the threshold, and strangers."""
