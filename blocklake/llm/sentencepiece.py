@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding of a public BPE vocabulary by suffix-array matching.
 
-Texts are cut into units that no piece crosses (a run of spaces with the word after it, a run of line breaks).
+Texts are cut into units that no piece crosses (spaces with the word after them, marks after a word, line breaks).
 The distinct new units of a batch are laid end to end and indexed by a suffix array; every piece is found by
 binary search as a range of that array, and the ranges give the lattice's edges. Edges are sorted by where they
 end in their unit and relaxed in that order, for all units at once: a prefix of a unit has exactly one BPE
@@ -27,9 +27,9 @@ from blocklake.llm.shingles import batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "\u2581"
-BATCH_BYTES = 8 << 20
-CACHE_UNITS = 1 << 20  # distinct units a task remembers before it starts afresh; results do not depend on it
-INDEX_CHARS = 1 << 20  # characters of one suffix array, so that ranks and positions pack into 64 bits
+BATCH_BYTES = 4 << 20
+CACHE_UNITS = 1 << 18  # distinct units a task remembers before it starts afresh; results do not depend on it
+INDEX_CHARS = 1 << 19  # characters of one suffix array (ranks and positions pack into 64 bits up to 2 ** 21)
 SCALAR_CHARS = 512  # longer units are relaxed one by one
 _OPEN, _DEAD = -1, -2
 _FAR = np.int64(1) << 40
@@ -46,8 +46,9 @@ class Vocabulary:
     right: np.ndarray
     pair_keys: np.ndarray  # sorted left * (size + 1) + right of every two pieces that make a piece
     pair_rank: np.ndarray
-    pair_marks: np.ndarray  # by a hash of the key: whether any pair has it
+    pair_slots: np.ndarray  # (2, slots): by two hashes of the key, the number of a pair that has it
     byte_ids: np.ndarray
+    unit: str  # pattern of the units that no piece crosses
     texts: list[bytes]  # what each id decodes to
 
     @property
@@ -55,8 +56,37 @@ class Vocabulary:
         return self.size
 
 
-def _mark(key: np.ndarray) -> np.ndarray:
-    return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+_LETTERS = "a-zA-Z\u00C0-\u024F"
+SLOTS = 18  # bits
+_MIXERS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
+
+
+def _slot(key: np.ndarray, which: int) -> np.ndarray:
+    return ((key.astype(np.uint64) * _MIXERS[which]) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
+def _placed(keys: np.ndarray) -> np.ndarray:
+    """Two tables of slots in which every key has a place of its own: a newcomer moves the old key to its other table."""
+    slots = np.full((2, 1 << SLOTS), -1, np.int32)
+    at = [_slot(keys, 0).tolist(), _slot(keys, 1).tolist()]
+    for k in range(len(keys)):
+        which = 0
+        for _ in range(1000):
+            old, slots[which, at[which][k]] = int(slots[which, at[which][k]]), k
+            if old < 0:
+                break
+            k, which = old, 1 - which
+        else:
+            raise ValueError("the pair table is too small for this vocabulary")
+    return np.maximum(slots, 0)
+
+
+def _unit(pieces: dict[str, int]) -> str:
+    """A unit is spaces with what follows, or a run of line breaks; punctuation after letters starts a new one,
+    as far as no piece holds a letter and that mark side by side."""
+    marks = [m for m in "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~" if not any(re.search(f"[{_LETTERS}]{re.escape(m)}", p) for p in pieces)]
+    ahead = f"[{_LETTERS}]+(?=[{''.join(map(re.escape, marks))}])|" if marks else ""
+    return f"{SPACE}+(?:{ahead}[^{SPACE}\n]*)|\n+|[^{SPACE}\n]+"
 
 
 def naive_merges(text: str, score: dict[str, float]) -> tuple[list[str], tuple[str, str] | None]:
@@ -101,8 +131,7 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
     codes = np.zeros((len(kept), longest), np.uint32)
     for r, p in enumerate(kept):
         codes[r, : len(p)] = list(map(ord, p))
-    marks = np.zeros(1 << 20, bool)
-    marks[_mark(keys)] = True
+    slots = _placed(keys)
     byte = np.full(256, sp.unk_id())
     texts = [b""] * n
     for i in range(n):
@@ -114,7 +143,7 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
             texts[i] = p.replace(SPACE, " ").encode()
     texts[sp.unk_id()] = " \u2047 ".encode()
     return Vocabulary(n, codes, (codes > 0).sum(1), np.array([of[p] for p in kept]), rank, left, right, keys,
-                      np.array([pairs[k] for k in keys.tolist()], np.int64), marks, byte, texts)
+                      np.array([pairs[k] for k in keys.tolist()], np.int64), slots, byte, _unit(of), texts)
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -171,10 +200,10 @@ def side_by_side(a: np.ndarray, b: np.ndarray, v: Vocabulary) -> np.ndarray:
     while len(at):
         key = a * (v.size + 1) + b
         made = np.full(len(key), 2 * _FAR)
-        like = np.flatnonzero(v.pair_marks[_mark(key)])
-        i = np.minimum(np.searchsorted(v.pair_keys, key[like]), len(v.pair_keys) - 1)
-        same = v.pair_keys[i] == key[like]
-        made[like[same]] = 2 * v.pair_rank[i[same]]
+        for which in (0, 1):
+            i = v.pair_slots[which][_slot(key, which)]
+            same = v.pair_keys[i] == key
+            made[same] = 2 * v.pair_rank[i[same]]
         bad = made < until
         ok[at[bad]] = False
         ra, rb = v.rank[a], v.rank[b]
@@ -262,7 +291,7 @@ class Encoder:
 
     def __init__(self, v: Vocabulary):
         self.v = v
-        self.cut = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n+|[^{SPACE}\n]+")
+        self.cut = re.compile(v.unit)
         self.clear()
 
     def clear(self) -> None:
