@@ -12,6 +12,7 @@ merge-by-merge procedure.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -216,13 +217,21 @@ def side_by_side(a: np.ndarray, b: np.ndarray, v: Vocabulary) -> np.ndarray:
 
 
 def _edges(text: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, id) of every piece occurrence, and of every character that is no piece."""
-    order = suffix_array(text, v.codes.shape[1])
-    low, high = piece_ranges(text, order, v)
-    n = high - low
-    head = np.cumsum(n) - n
-    start = order[np.repeat(low - head, n) + np.arange(n.sum())]
-    length, ids = np.repeat(v.lens, n), np.repeat(v.ids, n)
+    """(start, length, id) of every piece occurrence, and of every character that is no piece.
+
+    A unit longer than the index is indexed in windows that overlap by the longest piece.
+    """
+    found = []
+    for w in range(0, len(text), INDEX_CHARS + 1):
+        part = text[w : w + INDEX_CHARS + v.codes.shape[1]]
+        order = suffix_array(part, v.codes.shape[1])
+        low, high = piece_ranges(part, order, v)
+        n = high - low
+        head = np.cumsum(n) - n
+        at = order[np.repeat(low - head, n) + np.arange(n.sum())]
+        mine = at <= INDEX_CHARS
+        found.append((at[mine] + w, np.repeat(v.lens, n)[mine], np.repeat(v.ids, n)[mine]))
+    start, length, ids = (np.concatenate(x) for x in zip(*found, strict=True))
     alone = text > 0
     alone[start[length == 1]] = False
     extra = np.flatnonzero(alone)
@@ -248,10 +257,8 @@ def _relax(text: np.ndarray, first: np.ndarray, v: Vocabulary) -> np.ndarray:
         rest = np.flatnonzero(~ok & (before != _DEAD))
         ok[rest] = side_by_side(before[rest], t[rest], v)
         last[e[ok]], back[e[ok]] = t[ok], s[ok]
-    for i in np.flatnonzero(~many).tolist():
-        s, t, e = int(start[i]), int(ids[i]), int(end[i])
-        if last[s] >= 0 and side_by_side(last[s : s + 1], ids[i : i + 1], v)[0]:
-            last[e], back[e] = t, s
+    if not many.all():
+        _relax_singly(*(x[~many].tolist() for x in (start, ids, end)), last, back, v)
     out = np.full(len(text) + 1, -1, np.int64)
     at = np.flatnonzero(np.append(text, 0) == 0)[:-1] if len(text) else np.zeros(0, np.int64)
     while len(at):
@@ -261,6 +268,31 @@ def _relax(text: np.ndarray, first: np.ndarray, v: Vocabulary) -> np.ndarray:
     return out
 
 
+def _relax_singly(start: list[int], ids: list[int], end: list[int], last: np.ndarray, back: np.ndarray,
+                  v: Vocabulary) -> None:
+    """The rest of long units: too few edges end at a place for an array step to pay, so edge by edge."""
+    pairs = dict(zip(v.pair_keys.tolist(), v.pair_rank.tolist(), strict=True))
+    rank, left, right = v.rank.tolist(), v.left.tolist(), v.right.tolist()
+    state: dict[int, int] = {}
+    for s, t, e in zip(start, ids, end, strict=True):
+        a = state[s] if s in state else int(last[s])
+        if a < 0:
+            continue
+        x, y, until = a, t, 2 * int(_FAR)
+        while True:  # as in side_by_side
+            made = pairs.get(x * (v.size + 1) + y)
+            if made is not None and 2 * made < until:
+                break
+            if rank[x] < 0 and rank[y] < 0:
+                state[e], back[e] = t, s
+                break
+            if rank[x] > rank[y]:
+                until, x = 2 * rank[x], right[x]
+            else:
+                until, y = 2 * rank[y] + 1, left[y]
+    last[list(state)] = list(state.values())
+
+
 def encode_units(units: list[str], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all units end to end, number of ids of each)."""
     flat = np.frombuffer("\0".join(units).encode("utf-32-le", "surrogatepass") + b"\0" * 4, np.uint32)
@@ -302,11 +334,12 @@ class Encoder:
         """(ids of all texts end to end, number of ids of each)."""
         if len(self.known) > CACHE_UNITS:
             self.clear()
-        known, old, number, per = self.known, len(self.known), [], []
+        known, old, number, per = self.known, len(self.known), array("q"), []
         for t in texts:
-            units = self.cut.findall(SPACE + t.replace(" ", SPACE)) if t else []
-            number += [known[u] for u in units]
-            per.append(len(units))
+            before = len(number)
+            for part in _slices(SPACE + t.replace(" ", SPACE)) if t else ():
+                number.extend([known[u] for u in self.cut.findall(part)])
+            per.append(len(number) - before)
         new = list(islice(known, old, None))
         heads, sizes, stores, total = [self.heads], [self.sizes], [self.store], len(self.store)
         for part in _parts(new):
@@ -316,7 +349,7 @@ class Encoder:
             stores.append(ids.astype(np.int32))
             total += len(ids)
         self.heads, self.sizes, self.store = map(np.concatenate, (heads, sizes, stores))
-        at = np.array(number, np.int64)
+        at = np.frombuffer(number, np.int64)
         n = self.sizes[at]
         ends = np.cumsum(n)
         flat = self.store[np.repeat(self.heads[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
@@ -324,6 +357,20 @@ class Encoder:
         return flat, np.diff(upto)
 
 
+def _slices(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """A long text in slices that end before the spaces of a unit, so its units are the same."""
+    at = 0
+    while len(text) - at > size:
+        stop = at + size
+        while (stop := text.find(SPACE, stop)) > 0 and text[stop - 1] == SPACE:
+            stop += 1
+        if stop < 0:
+            break
+        yield text[at:stop]
+        at = stop
+    yield text[at:] if at else text
+
+
 def _parts(units: list[str]) -> Iterator[list[str]]:
     held, size = [], 0
     for u in units:

@@ -241,6 +241,25 @@ def test_pieces_equal_merges():
         assert [lib.id_to_piece(i) for i in sp.encode_units([word], v)[0].tolist()] == sp.naive_merges(word, score)[0]
 
 
+def test_units_longer_than_the_index(monkeypatch):
+    v, rng = sp.load_vocabulary(), random.Random(3)
+    units = ["".join(rng.choices("theingonat", k=n)) for n in (3, 400, 90)]
+    want = sp.encode_units(units, v)
+    monkeypatch.setattr(sp, "INDEX_CHARS", 64)
+    got = sp.encode_units(units, v)
+    assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
+def test_slices_keep_units():
+    rng = random.Random(8)
+    for size in (1, 5, 40):
+        text = "".join(rng.choices("ab▁▁▁,\n", k=400))
+        cut = re.compile(sp.load_vocabulary().unit)
+        parts = list(sp._slices(text, size))
+        assert "".join(parts) == text and [u for p in parts for u in cut.findall(p)] == cut.findall(text)
+    assert len(list(sp._slices("a" * 100, 10))) == 1
+
+
 def test_suffix_array():
     rng = np.random.default_rng(3)
     text = rng.integers(1, 4, 500).astype(np.uint32)
