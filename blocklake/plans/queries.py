@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from blocklake import schemas as S
 from blocklake.functions.columns import lww_version, order_id
-from blocklake.functions.paths import is_valid_relative_path
+from blocklake.functions.paths import is_valid_mime, is_valid_relative_path
 from blocklake.operators import files as FS
 from blocklake.operators import kv as K
 from blocklake.operators import reports as RP
@@ -356,6 +356,16 @@ def path_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FX.page_paths(spark, sf_dir).withColumn("is_valid", is_valid_relative_path("relative_path"))
 
 
+@query
+def mime_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FS-3 on page URLs, the empty text, a control character and both sides of the length limit."""
+    pages = FX.table(spark, sf_dir, "pages")
+    kind, n = F.col("page_id") % 6, S.MAX_MIME_TYPE_BYTES
+    mime = (F.when(kind == 0, "text/html").when(kind == 1, "").when(kind == 2, F.concat(F.lit("text/"), F.lit("\u0007")))
+            .when(kind == 3, F.lit("m" * n)).when(kind == 4, F.lit("m" * (n + 1))).otherwise(F.col("url")))
+    return pages.select("page_id", is_valid_mime(mime).alias("is_valid"))
+
+
 # ------------------------------------------------------------------ reports
 def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = event_calls(spark, sf_dir)

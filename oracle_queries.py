@@ -299,6 +299,10 @@ ORACLE: dict[str, str] = {
 FROM valid WHERE (nchunks = 1 AND doc_id % 20 <> 0) OR (nchunks > 1)"""),
     "path_checks": f"""SELECT page_id, relative_path, COALESCE({PATH_OK.format(p='relative_path')}, false) AS is_valid
 FROM (SELECT page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/(.*)$', 1) AS relative_path FROM pages)""",
+    "mime_checks": """SELECT page_id, CASE page_id % 6 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN false
+  WHEN 3 THEN true WHEN 4 THEN false
+  ELSE coalesce(length(url) BETWEEN 1 AND 256 AND regexp_full_match(url, '[ -~]+'), false) END AS is_valid
+FROM pages""",
     "reject_report": REJECTS,
     "reject_records": REJECT_RECORDS,
     "timeline_range": with_calls(
