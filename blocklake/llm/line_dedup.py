@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blocklake.functions.fence import fence
 from blocklake.llm.common import let, materialize, sized, text_key
 from blocklake.llm.components import connected_components
 
@@ -214,12 +215,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     body = F.col(f"_r.`{text}`")
     rows = docs.select(F.struct("*").alias("_r")).withColumns(
         {"doc_id": F.col(f"_r.`{doc_id}`"), "tk": text_key(body)}).join(kept, _same("_d", "_k"), "left")
-    lines = F.split(body, "\n")
-    short = F.filter(F.sequence(F.lit(0), F.greatest(F.size(lines) - 1, F.lit(0))),
-                     lambda i: F.char_length(F.get(lines, i)) < min_chars)
-    rows = rows.withColumn("_lines", lines).withColumn(
-        "_stay", F.array_sort(F.array_union(short, F.coalesce("_kept", F.array().cast("array<int>")))))
-    new = F.when(body.isNull(), body).otherwise(F.array_join(F.transform("_stay", lambda i: F.get(F.col("_lines"), i)), "\n"))
-    lost = (F.trim(new) == "") & (F.trim(body) != "") & (F.size("_stay") < F.size("_lines"))
-    rows = rows.withColumn("_new", new).where(~F.coalesce(lost, F.lit(False)))
+    # Each step is fenced: split once, not once per line or per use.
+    rows = fence(rows, _lines=F.split(body, "\n"))
+    short = F.array_compact(F.transform("_lines", lambda x, i: F.when(F.char_length(x) < min_chars, i)))
+    rows = fence(rows, _stay=F.array_sort(F.array_union(short, F.coalesce("_kept", F.array().cast("array<int>")))))
+    rows = fence(rows, _new=F.when(body.isNull(), body).otherwise(
+        F.array_join(F.transform("_stay", lambda i: F.get(F.col("_lines"), i)), "\n")))
+    lost = (F.trim("_new") == "") & (F.trim(body) != "") & (F.size("_stay") < F.size("_lines"))
+    rows = rows.where(~F.coalesce(lost, F.lit(False)))
     return rows.select(*[F.col("_new").alias(c) if c == text else F.col(f"_r.`{c}`") for c in docs.columns])
