@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from blocklake.llm.common import lower_ascii, materialize, sized, text_key, words
 
 
+INDEX_ROWS = 200_000  # windows, of some hundred bytes each, that may be broadcast
+
+
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", width: int = 13) -> DataFrame:
     """(win array, item string): the distinct windows of every item with words; null texts have none."""
     w = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"),
@@ -50,7 +53,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     # One more row per document, at the position after its last word, carries its word count through the same pass.
     end = split.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(0).alias("off"), F.lit(0).alias("len"),
                                              F.array().cast("array<string>").alias("win"))
-    index = sized(materialize(rare_first(split, wins).unionByName(end), "prefixes"))
+    index = sized(materialize(rare_first(split, wins).unionByName(end), "prefixes"), INDEX_ROWS)
     start = F.col("pos") - F.col("off")
     found = split.select("doc_id", "tk", "w", F.posexplode(F.array_append("w", "")).alias("pos", "word")).join(
         index, "word").where((start >= 0) & (start + F.col("len") <= F.size("w")))
