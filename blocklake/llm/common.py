@@ -21,6 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 1000
+
+
+def short_batches(df: DataFrame) -> DataFrame:
+    """`df`, with the session's Arrow batches at no more than `BATCH_ROWS` rows.
+
+    Texts and signatures are long, and a batch is held whole by the executor and by its Python worker.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the cluster's shared folder and read it back: a lineage cut that survives executors."""
     spark = df.sparkSession

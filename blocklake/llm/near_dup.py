@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blocklake.llm.common import materialize, sized, text_key
+from blocklake.llm.common import materialize, short_batches, sized, text_key
 from blocklake.llm.components import connected_components
 from blocklake.llm.shingles import batches, minhash, shingle_sets
 
@@ -171,7 +171,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     columns are read. Long texts cost memory in proportion to themselves, one at a time. Empty tables give none.
     """
     hashes = bands * rows
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    docs = short_batches(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     rowsof = materialize(sketch(docs, width, hashes), "sketch")
     classes = rowsof.where("n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first(F.struct("doc_id", "tk", "sig")).alias("one"))

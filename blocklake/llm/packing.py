@@ -16,6 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blocklake.llm.common import short_batches
+
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that splits a text before the merges of the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -133,6 +135,6 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if held:
             yield from rows(held, made, ids)
 
-    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(
+    return short_batches(docs).select(F.col(doc_id), F.col(text)).mapInArrow(
         run, f"pack_id long, n_tokens int, doc_ids array<{id_type}>, starts array<long>, cu_seqlens array<int>, "
         "resets array<int>, ids binary")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blocklake.llm.common import short_batches
 from blocklake.llm.shingles import batches
 
 ROUNDS = 10
@@ -248,7 +249,7 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", kinds: str = "pi
     columns pass through; one already called `kinds` is replaced. Whole texts are read, however long.
     """
     kept = [c for c in docs.columns if c != kinds]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept])
+    source = short_batches(docs).select(*[F.col(f"`{c}`") for c in kept])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         change = Pseudonymizer(key.encode())

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blocklake.llm.common import free_name
+from blocklake.llm.common import free_name, short_batches
 from blocklake.llm.shingles import CHUNK_BYTES, batches, word_hashes
 
 TRAIN_ROWS = 20_000  # bound of the labelled sample the model is fitted on
@@ -139,7 +139,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     y = labels.select(F.col(doc_id).alias("_y"), F.col(label).alias("y")).where(
         F.col("y").isNotNull() & F.col("_y").isNotNull() & ~held_out(F.col("_y")))
     y = y.groupBy("_y").agg((F.avg("y") >= 0.5).cast("double").alias("y")).orderBy(F.xxhash64("_y"), "_y").limit(rows)
-    picked = docs.select(F.col(doc_id).alias("_d"), F.col(text).cast("binary").alias("t")).join(
+    picked = short_batches(docs).select(F.col(doc_id).alias("_d"), F.col(text).cast("binary").alias("t")).join(
         F.broadcast(y), F.col("_d") == F.col("_y")).select("_d", "y", "t")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def score_quality(docs: DataFrame, model: Trees, text: str = "text", into: str =
     A column that is already called `into` is replaced.
     """
     kept = [c for c in docs.columns if c != into]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept])
+    source = short_batches(docs).select(*[F.col(f"`{c}`") for c in kept])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:

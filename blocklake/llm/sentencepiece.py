@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blocklake.llm.common import short_batches
 from blocklake.llm.shingles import batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -406,7 +407,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: st
                 yield pa.RecordBatch.from_arrays([*rb.slice(at, len(part)).columns, _lists(ids, sizes)], [*kept, into])
                 at += len(part)
 
-    source = docs.select(*[F.col(f"`{c}`") for c in kept])
+    source = short_batches(docs).select(*[F.col(f"`{c}`") for c in kept])
     schema = T.StructType([*source.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))])
     return source.mapInArrow(run, schema)
 
@@ -434,5 +435,5 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str
                 out = [spell(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else None for x in col.slice(s, 1024)]
                 yield pa.RecordBatch.from_arrays([*rb.slice(s, 1024).columns, pa.array(out, pa.string())], [*kept, into])
 
-    source = rows.select(*[F.col(f"`{c}`") for c in kept])
+    source = short_batches(rows).select(*[F.col(f"`{c}`") for c in kept])
     return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(into, T.StringType())]))

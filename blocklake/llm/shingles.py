@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNK_BYTES = 1 << 20  # texts are hashed together in runs of about this size; a longer text runs alone
+CHUNK_BYTES = 1 << 18  # texts are hashed together in runs of about this size; a longer text runs alone
 
 _rng = np.random.default_rng(20240917)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
@@ -139,7 +139,7 @@ def minhash(sets: list[np.ndarray], hashes: int) -> np.ndarray:
     return out
 
 
-def batches(texts: Iterator[bytes | None], most: int = 4 << 20) -> Iterator[list[bytes | None]]:
+def batches(texts: Iterator[bytes | None], most: int = 2 << 20) -> Iterator[list[bytes | None]]:
     """Split texts into lists of about `most` bytes, a longer text alone."""
     held: list[bytes | None] = []
     size = 0
