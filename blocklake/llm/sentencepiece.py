@@ -29,9 +29,9 @@ from blocklake.llm.shingles import batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "\u2581"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 CACHE_UNITS = 1 << 18  # distinct units a task remembers before it starts afresh; results do not depend on it
-INDEX_CHARS = 1 << 19  # characters of one suffix array (ranks and positions pack into 64 bits up to 2 ** 21)
+INDEX_CHARS = 1 << 18  # characters of one suffix array (ranks and positions pack into 64 bits up to 2 ** 21)
 SCALAR_CHARS = 512  # longer units are relaxed one by one
 _OPEN, _DEAD = -1, -2
 _FAR = np.int64(1) << 40
