@@ -5,7 +5,8 @@ holds unchanged near the same place. Every line indexes its segments and probes
 partner of its length, or up to `threshold` shorter, could hold there (multi-match-aware positions). Keys are
 hashes of (length, segment, substring). Only keys that two different lines meet under are joined; there the
 lines themselves are compared inside the join, so no pair leaves it that is not a link. Verification trims the
-common ends and runs a banded bit-parallel edit distance over what is left.
+common ends and runs a banded bit-parallel edit distance over what is left. Lines too short for the segments can be
+decided by equality alone (`short`): they pass through the same aggregate and never enter the join.
 """
 
 from __future__ import annotations
@@ -126,11 +127,20 @@ def within(a: Column, b: Column, threshold: int) -> Column:
     return (F.abs(F.char_length(a) - F.char_length(b)) <= threshold) & let(both, trimmed)
 
 
-def eligible_lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
-    """(doc_id, tk, line_no, line, n): lines of at least `min_chars` characters, numbered from 0 in their text."""
+def _short(line: Column, min_chars: int) -> Column:
+    """Whether a line is under `min_chars` characters and not blank."""
+    return (F.char_length(line) < min_chars) & F.rlike(line, F.lit(r"\S"))
+
+
+def eligible_lines(docs: DataFrame, doc_id: str, text: str, min_chars: int, short: bool = False) -> DataFrame:
+    """(doc_id, tk, line_no, line, n): lines of at least `min_chars` characters, numbered from 0 in their text.
+
+    With `short`, the shorter lines that are not blank as well.
+    """
     lines = docs.select(F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("tk"),
                         F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    return lines.withColumn("n", F.char_length("line")).where(F.col("n") >= min_chars)
+    wanted = F.col("n") >= min_chars
+    return lines.withColumn("n", F.char_length("line")).where(wanted | _short(F.col("line"), min_chars) if short else wanted)
 
 
 def line_links(lines: DataFrame, threshold: int) -> DataFrame:
@@ -152,18 +162,20 @@ def line_links(lines: DataFrame, threshold: int) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD,
-                 min_chars: int = MIN_CHARS) -> DataFrame:
+                 min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """One row per distinct line of at least `min_chars`: doc_id, tk, line_no of its first place, keep, n_links.
 
+    With `short`, also one per distinct shorter line that is not blank; these are told apart by equality alone.
+
     First is by (doc_id, text key, line number). A line is kept if no line of its component, linked directly or
     through others, comes earlier. `n_links` counts the other distinct lines within `threshold` edits.
     """
     if min_chars <= threshold:
         raise ValueError("min_chars must exceed threshold: each segment needs a character")
-    lines = eligible_lines(docs, doc_id, text, min_chars)
+    lines = eligible_lines(docs, doc_id, text, min_chars, short)
     first = lines.groupBy(F.md5("line").alias("id")).agg(F.min(F.struct("doc_id", "tk", "line_no")).alias("first"))
     first = materialize(first, "lines")
-    links = materialize(line_links(lines, threshold), "line-links")
+    links = materialize(line_links(lines.where(F.col("n") >= min_chars), threshold), "line-links")
     comps = connected_components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     linked = first.join(comps, F.col("id") == F.col("node")).join(degree, "id")
@@ -179,37 +191,40 @@ def _same(row: str, key: str) -> Column:
 
 
 def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD,
-                min_chars: int = MIN_CHARS) -> DataFrame:
+                min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """Per document row: doc_id, n_lines, n_long, n_kept, n_exact, n_near, n_links.
 
     n_long lines have at least `min_chars` characters; of these n_kept stay, n_exact repeat an earlier line and
     n_near are new but within reach of an earlier one; n_links sums the links of the document's new lines.
+    With `short`, n_short follows n_long: shorter lines that are not blank, which count in n_kept or n_exact too.
     Null texts have no lines, empty texts one empty line. Rows equal in id and text are one document and get one
     result each; rows that share only the id are apart. Only the named columns are read.
     """
-    per = materialize(line_classes(docs, doc_id, text, threshold, min_chars).groupBy("doc_id", "tk").agg(
+    per = materialize(line_classes(docs, doc_id, text, threshold, min_chars, short).groupBy("doc_id", "tk").agg(
         F.count_if("keep").alias("n_kept"), F.count_if(~F.col("keep")).alias("n_near"),
         F.sum("n_links").alias("n_links")).withColumnsRenamed({"doc_id": "d", "tk": "k"}), "line-counts")
     lines = F.split(F.col(text), "\n")
+    n_of = lambda which: F.coalesce(F.size(F.filter(lines, which)), F.lit(0)).cast("long")
+    counts = [n_of(lambda x: F.char_length(x) >= min_chars).alias("n_long"),
+              *[n_of(lambda x: _short(x, min_chars)).alias("n_short")] * short]
     base = docs.select(F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("tk"),
-                       F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-                       F.coalesce(F.size(F.filter(lines, lambda x: F.char_length(x) >= min_chars)),
-                                  F.lit(0)).cast("long").alias("n_long"))
+                       F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), *counts)
+    decided = F.col("n_long") + F.col("n_short") if short else F.col("n_long")
     got = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
     return base.join(per, _same("d", "k"), "left").select(
-        "doc_id", "n_lines", "n_long", got("n_kept").alias("n_kept"),
-        (F.col("n_long") - got("n_kept") - got("n_near")).alias("n_exact"), got("n_near").alias("n_near"),
+        "doc_id", "n_lines", "n_long", *["n_short"] * short, got("n_kept").alias("n_kept"),
+        (decided - got("n_kept") - got("n_near")).alias("n_exact"), got("n_near").alias("n_near"),
         got("n_links").alias("n_links"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD,
-                min_chars: int = MIN_CHARS) -> DataFrame:
+                min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """The documents with repeated and near-repeated lines cut from their texts, all columns as they were.
 
-    Lines shorter than `min_chars` always stay. A document that loses every line it had is dropped; null and
+    Lines shorter than `min_chars` always stay, with `short` only the blank ones and the first of each. A document that loses every line it had is dropped; null and
     empty texts, which lose nothing, stay.
     """
-    kept = line_classes(docs, doc_id, text, threshold, min_chars).where("keep").groupBy("doc_id", "tk").agg(
+    kept = line_classes(docs, doc_id, text, threshold, min_chars, short).where("keep").groupBy("doc_id", "tk").agg(
         F.collect_list("line_no").alias("_kept")).withColumnsRenamed({"doc_id": "_d", "tk": "_k"})
     kept = materialize(kept, "kept-lines")
     body = F.col(f"_r.`{text}`")
@@ -217,8 +232,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
         {"doc_id": F.col(f"_r.`{doc_id}`"), "tk": text_key(body)}).join(kept, _same("_d", "_k"), "left")
     # Each step is fenced: split once, not once per line or per use.
     rows = fence(rows, _lines=F.split(body, "\n"))
-    short = F.array_compact(F.transform("_lines", lambda x, i: F.when(F.char_length(x) < min_chars, i)))
-    rows = fence(rows, _stay=F.array_sort(F.array_union(short, F.coalesce("_kept", F.array().cast("array<int>")))))
+    free = lambda x: (F.char_length(x) < min_chars) & ~_short(x, min_chars) if short else F.char_length(x) < min_chars
+    undecided = F.array_compact(F.transform("_lines", lambda x, i: F.when(free(x), i)))
+    rows = fence(rows, _stay=F.array_sort(F.array_union(undecided, F.coalesce("_kept", F.array().cast("array<int>")))))
     rows = fence(rows, _new=F.when(body.isNull(), body).otherwise(
         F.array_join(F.transform("_stay", lambda i: F.get(F.col("_lines"), i)), "\n")))
     lost = (F.trim("_new") == "") & (F.trim(body) != "") & (F.size("_stay") < F.size("_lines"))

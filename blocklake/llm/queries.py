@@ -31,7 +31,7 @@ def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(table(spark, sf_dir, "documents"))
+    return line_report(table(spark, sf_dir, "documents"), short=True)
 
 
 def op3_cosine_links(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,22 @@ def test_lines(docs, none):
     assert (5, LONG) in left and (4, LINE) not in left
 
 
+def test_short_lines(spark):
+    """Exact repeats of lines of any length, blank ones aside, counted from the raw texts without a floor."""
+    from blocklake.llm.queries import QUERIES
+
+    rows = [(1, LINE + "\nLes.\n\nLes.\n \t"), (2, "Les.\n\nles.\n}"), (3, "Les.\n}"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_long, r.n_short, r.n_kept, r.n_exact, r.n_near) for r in line_report(df, short=True).collect()}
+    assert got == {1: (1, 2, 2, 1, 0), 2: (0, 3, 2, 1, 0), 3: (0, 2, 0, 2, 0), 4: (0, 0, 0, 0, 0)}
+    left = {r.doc_id: r.text for r in dedup_lines(df, short=True).collect()}
+    assert left == {1: LINE + "\nLes.\n\n \t", 2: "\nles.\n}", 4: None}
+    sf = "/root/testdata/sf0.001"
+    lines = [x for r in spark.read.parquet(f"{sf}/documents.parquet").collect() for x in (r.text or "").split("\n") if x.strip()]
+    total = QUERIES["op2_line_dedup"](spark, sf).agg(F.sum("n_exact").alias("n"), F.sum("n_short").alias("s")).first()
+    assert total.n == len(lines) - len(set(lines)) and total.s == sum(len(x) < 24 for x in lines) > 0
+
+
 def test_quality(spark, docs, none):
     labels = spark.createDataFrame([(1, 1), (1, 1), (1, 0), (3, 0), (None, 1), (4, None), (99, 0), (7, 0)],
                                    "doc_id long, quality int")
