@@ -121,10 +121,13 @@ def _ssn(m: re.Match, f: Callable) -> str | None:
 
 def _ip(m: re.Match, f: Callable) -> str | None:
     parts = [int(p) for p in m[0].split(".")]
-    if any(p > 255 for p in parts) or any(p != str(int(p)) for p in m[0].split(".")) or not 1 <= parts[0] <= 223:
+    if any(p > 255 for p in parts) or any(p != str(int(p)) for p in m[0].split(".")):
         return None
-    ok = lambda x: 1 <= x >> 24 <= 223
-    x = f(int.from_bytes(bytes(parts), "big"), 1 << 32, "ip", ok)
+    # Addresses that no single host has (first octet 0, or 224 and over) stay among themselves.
+    host = lambda x: 1 <= x >> 24 <= 223
+    x = int.from_bytes(bytes(parts), "big")
+    inside = host(x)
+    x = f(x, 1 << 32, "ip" if inside else "ip-other", lambda v: host(v) == inside)
     return ".".join(map(str, x.to_bytes(4, "big")))
 
 

@@ -355,6 +355,25 @@ def test_no_personal_number_is_left(spark):
         assert r.n_pii or r.text == before[r.doc_id]
 
 
+def test_no_address_is_left(spark):
+    from blocklake.llm.queries import QUERIES
+
+    address = re.compile(r"(?<![0-9A-Za-z.+-])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|[.-][0-9])")
+    valid = lambda t: [x for x in address.findall(t) if all(p == str(int(p)) and int(p) < 256 for p in x.split("."))]
+    before = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert sum(len(valid(t)) for t in before.values()) > 10
+    for r in QUERIES["op4_pseudonyms"](spark, SF).collect():
+        was, now = valid(before[r.doc_id]), valid(r.text)
+        assert len(was) == len(now) and not set(was) & set(now)
+
+
+@pytest.mark.parametrize("value", ["0.1.2.3", "224.0.0.251", "233.254.104.120", "255.255.255.255", "223.1.2.3"])
+def test_every_address_has_a_pseudonym(value):
+    new, kinds = ps.Pseudonymizer(b"k")(value)
+    host = lambda x: 1 <= int(x.split(".")[0]) <= 223
+    assert kinds == ["ip"] and new != value and host(new) == host(value)
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.1"
     read = lambda t: spark.read.parquet(f"{sf}/{t}.parquet")
