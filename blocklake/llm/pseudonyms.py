@@ -79,10 +79,13 @@ def _digits(text: str) -> str:
 
 
 def _grouped(change: Callable[[str, Callable], str | None]) -> Callable:
-    """Try the whole match, then without its last groups: numbers may stand next to other numbers."""
+    """Try the whole match, then without its last groups: numbers may stand next to other numbers.
+
+    Only what was changed is returned, which may be shorter than the match: the rest is searched again.
+    """
     def run(m: re.Match, f: Callable) -> str | None:
         cuts = [len(m[0]), *[i for i in range(len(m[0]) - 1, 0, -1) if m[0][i] in " -"]]
-        return next((new + m[0][z:] for z in cuts if (new := change(m[0][:z], f)) is not None), None)
+        return next((new for z in cuts if (new := change(m[0][:z], f)) is not None), None)
 
     return run
 
@@ -200,6 +203,9 @@ _A, _Z = r"(?<![0-9A-Za-z.+-])", r"(?![0-9A-Za-z]|[.-][0-9])"
 #: In order of precedence where matches overlap.
 KINDS: list[tuple[str, re.Pattern, Callable]] = [
     ("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![0-9A-Za-z])"), _grouped(_iban)),
+    # The usual groupings first, so that a number before or after a card is not taken into it by chance.
+    ("card", re.compile(r"(?<![0-9A-Za-z])(?:[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|"
+                        r"[0-9]{4}([ -])[0-9]{6}\2[0-9]{5}|[0-9]{13,19})(?![0-9A-Za-z])"), _grouped(_card)),
     ("card", re.compile(r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"), _grouped(_card)),
     ("date", re.compile(_A + r"([0-9]{4})([-/.])([0-9]{2})\2([0-9]{2})" + _Z), _ymd),
     ("date", re.compile(_A + r"([0-9]{1,2})([-/.])([0-9]{1,2})\2([0-9]{4})" + _Z), _numeric),
@@ -211,9 +217,36 @@ KINDS: list[tuple[str, re.Pattern, Callable]] = [
                          r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|(?<=\+1)[0-9]{10})" + _Z
                          + r"|(?<![0-9A-Za-z+])\+(?!1)[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]\)?){6,12}" + _Z), _phone),
 ]
+#: Kinds written in groups: where a match fails, the next group may be the first of a value.
+GROUPED = {"iban", "card"}
 _SOME = re.compile("[0-9]")
 
 
+def _matches(pattern: re.Pattern, text: str, taken: list[tuple[int, int]], regroup: bool) -> Iterator[re.Match]:
+    """Matches outside the sorted spans `taken`. The receiver sends the length it used of each, 0 for none.
+
+    With `regroup`, the search goes on right after what was used (after the first character if nothing was), and a
+    match that runs into a span is cut before it; otherwise it goes on after the whole match.
+    """
+    at = k = 0
+    while m := pattern.search(text, at):
+        while k < len(taken) and taken[k][1] <= m.start():
+            k += 1
+        at = m.end()
+        if k < len(taken) and taken[k][0] < m.end():
+            if not regroup:
+                continue
+            start, at = m.start(), m.start() + 1
+            if taken[k][0] <= start:
+                at = taken[k][1]
+                continue
+            if (m := pattern.match(text, start, taken[k][0])) is None:
+                continue
+        used = yield m
+        if regroup:
+            at = m.start() + (used or 1)
+
+
 class Pseudonymizer:
     """Replaces the values of texts; remembers a bounded number of values it has met."""
 
@@ -228,15 +261,20 @@ class Pseudonymizer:
         found: list[tuple[int, int, str, str]] = []
         taken: list[tuple[int, int]] = []
         for k, (kind, pattern, change) in enumerate(KINDS):
-            for m in pattern.finditer(text):
-                if any(a < m.end() and m.start() < z for a, z in taken):
-                    continue
+            matches, used = _matches(pattern, text, taken, kind in GROUPED), None
+            while True:
+                try:
+                    m = matches.send(used)
+                except StopIteration:
+                    break
                 if (k, m[0]) not in self.met:
                     if len(self.met) >= CACHE_VALUES:
                         self.met.clear()
                     self.met[k, m[0]] = change(m, self.permute)
-                if (new := self.met[k, m[0]]) is not None:
-                    found.append((m.start(), m.end(), new, kind))
+                new, used = self.met[k, m[0]], 0
+                if new is not None:
+                    used = len(new) if kind in GROUPED else len(m[0])
+                    found.append((m.start(), m.start() + used, new, kind))
             taken = sorted((a, z) for a, z, _, _ in found)
         out, at = [], 0
         for a, z, new, _ in sorted(found):

@@ -355,6 +355,26 @@ def test_no_personal_number_is_left(spark):
         assert r.n_pii or r.text == before[r.doc_id]
 
 
+@pytest.mark.parametrize("text", [
+    "Order 12 {}", "IP 97.51.17.173 {}", "year 2024 {}", "1 2 3 {}", "1234 5678 {}", "{} 12", "{} 2024 7", "7 {} 99 and",
+    "{} {}", "12 {} 5 {} 34", "2024-{}"])
+@pytest.mark.parametrize("card", ["4111 1111 1111 1111", "4845168114407329", "3782 822463 10005", "5500-0000-0000-0004"])
+def test_cards_beside_other_digits(text, card):
+    new, kinds = ps.Pseudonymizer(b"k")(text.replace("{}", card))
+    assert card not in new and kinds.count("card") == text.count("{}")
+    parts = [re.escape(x) for x in text.replace("97.51.17.173", "{ip}").split("{}")]
+    assert re.fullmatch(r"([0-9 -]+)".join(parts).replace(re.escape("{ip}"), "[0-9.]+"), new)  # the rest as it was
+    assert ps.Pseudonymizer(b"k")(card)[0] in new  # linked with the card alone
+
+
+def test_card_after_a_card_of_another_length():
+    change = ps.Pseudonymizer(b"k")
+    one, two = "378282246310005", "4111 1111 1111 1111"
+    assert change(f"{one} {two}") == (f"{change(one)[0]} {change(two)[0]}", ["card", "card"])
+    iban = "DE89 3704 0044 0532 0130 00"
+    assert change(f"AB12 {iban}") == (f"AB12 {change(iban)[0]}", ["iban"])
+
+
 def test_no_address_is_left(spark):
     from blocklake.llm.queries import QUERIES
 
