@@ -200,6 +200,7 @@ def _named(m: re.Match, f: Callable) -> str | None:
 
 _NAMES = "|".join(MONTHS)
 _A, _Z = r"(?<![0-9A-Za-z.+-])", r"(?![0-9A-Za-z]|[.-][0-9])"
+_TIME = r"(?!(?![Tt][0-9]{2})[0-9A-Za-z]|[.-][0-9])"  # as _Z, but the time of a timestamp may follow
 #: In order of precedence where matches overlap.
 KINDS: list[tuple[str, re.Pattern, Callable]] = [
     ("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![0-9A-Za-z])"), _grouped(_iban)),
@@ -207,7 +208,7 @@ KINDS: list[tuple[str, re.Pattern, Callable]] = [
     ("card", re.compile(r"(?<![0-9A-Za-z])(?:[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|"
                         r"[0-9]{4}([ -])[0-9]{6}\2[0-9]{5}|[0-9]{13,19})(?![0-9A-Za-z])"), _grouped(_card)),
     ("card", re.compile(r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"), _grouped(_card)),
-    ("date", re.compile(_A + r"([0-9]{4})([-/.])([0-9]{2})\2([0-9]{2})" + _Z), _ymd),
+    ("date", re.compile(_A + r"([0-9]{4})([-/.])([0-9]{2})\2([0-9]{2})" + _TIME), _ymd),
     ("date", re.compile(_A + r"([0-9]{1,2})([-/.])([0-9]{1,2})\2([0-9]{4})" + _Z), _numeric),
     ("date", re.compile(rf"\b(?:(?P<m1>{_NAMES}) (?P<d1>[1-9][0-9]?), (?P<y1>[0-9]{{4}})|"
                         rf"(?P<d2>[1-9][0-9]?) (?P<m2>{_NAMES}) (?P<y2>[0-9]{{4}}))(?![0-9])"), _named),

@@ -367,6 +367,14 @@ def test_cards_beside_other_digits(text, card):
     assert ps.Pseudonymizer(b"k")(card)[0] in new  # linked with the card alone
 
 
+@pytest.mark.parametrize("time", ["T10:00:00Z", "T10:00:00.123+02:00", "T10", "t10:00:00z", " 10:00"])
+def test_date_of_a_timestamp(time):
+    change = ps.Pseudonymizer(b"k")
+    day = change("2024-03-05")[0]
+    assert day != "2024-03-05" and change(f"at 2024-03-05{time}, then") == (f"at {day}{time}, then", ["date"])
+    assert change("2024-03-05Tx 2024-03-05T1 2024-03-05a") == ("2024-03-05Tx 2024-03-05T1 2024-03-05a", [])
+
+
 def test_card_after_a_card_of_another_length():
     change = ps.Pseudonymizer(b"k")
     one, two = "378282246310005", "4111 1111 1111 1111"
