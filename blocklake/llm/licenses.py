@@ -1,19 +1,24 @@
 """License scan: phrase places in whole texts, and an exact set-similarity join of text blocks with templates.
 
-A block is a line. Template tokens are ordered by how many blocks of the whole corpus hold them; a block that
+A block is a line, or a window of as many words as the template has, wherever lines break in it: windows find notices
+that are wrapped. Template tokens are ordered by how many blocks of the whole corpus hold them; a block that
 contains a share `threshold` of a template's distinct tokens must hold at least one of the template's first
 `size - ceil(threshold * size) + 1` tokens (its prefix). Blocks probe that prefix index; a length bound and the
 tokens still to come after the matched position bound the overlap from above, and survivors are counted exactly.
+Windows are not listed: a text is dealt into stretches of words, each with the words around it that a window through
+it can reach, and a stretch that holds a prefix token has its windows counted.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blocklake.llm.common import lower_ascii, materialize, text_key, words
+from blocklake.functions.fence import fence
+from blocklake.llm.common import WORD, lower_ascii, materialize, text_key, words
 
 # The phrases of the base scan and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -37,12 +42,12 @@ def _templates(spark: SparkSession, templates: Mapping[str, str]) -> DataFrame:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     rows = [(i, text, label) for i, (text, label) in enumerate(templates.items())]
     t = spark.createDataFrame(rows, "template int, text string, label string")
-    return t.select("template", "label", F.array_distinct(words(lower_ascii(F.col("text")))).alias("tokens")).where(
-        F.size("tokens") > 0)
+    w = words(lower_ascii(F.col("text")))
+    return t.select("template", "label", F.array_distinct(w).alias("tokens"), F.size(w).alias("n")).where("n > 0")
 
 
 def template_index(blocks: DataFrame, templates: DataFrame, threshold: float) -> DataFrame:
-    """(token, pos, need, template, label, tokens): prefix tokens of each template in rarest-first order."""
+    """(token, pos, need, template, label, n, tokens): prefix tokens of each template in rarest-first order."""
     each = templates.select("template", F.explode("tokens").alias("token"))
     vocab = F.broadcast(each.select("token").distinct())
     freq = blocks.select(F.explode("tokens").alias("token")).join(vocab, "token").groupBy("token").agg(
@@ -50,11 +55,26 @@ def template_index(blocks: DataFrame, templates: DataFrame, threshold: float) ->
     order = each.join(freq, "token", "left").groupBy("template").agg(F.array_sort(F.collect_list(
         F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "token")))["token"].alias("ordered"))
     need = F.ceil(F.size("ordered") * F.lit(threshold) - F.lit(1e-9)).cast("int")
-    t = templates.select("template", "label").join(order, "template").withColumn("need", need)
-    return t.select("template", "label", "need", F.col("ordered").alias("tokens_t"), F.posexplode(
+    t = templates.select("template", "label", "n").join(order, "template").withColumn("need", need)
+    return t.select("template", "label", "n", "need", F.col("ordered").alias("tokens_t"), F.posexplode(
         F.slice("ordered", F.lit(1), F.size("ordered") - F.col("need") + 1)).alias("pos", "token"))
 
 
+def stretches(w: Column, reach: int) -> Column:
+    """Array of (own, around): every `reach` words of a text, and those with up to reach - 1 words on either side."""
+    starts = F.sequence(F.lit(1), F.size(w), F.lit(reach))
+    cut = F.transform(starts, lambda i: F.struct(
+        F.slice(w, i, reach).alias("own"),
+        F.slice(w, F.greatest(i - reach + 1, F.lit(1)), i + 2 * reach - 1 - F.greatest(i - reach + 1, F.lit(1))).alias("around")))
+    return F.when(F.size(w) > 0, cut)
+
+
+def window_shared(around: Column, tokens: Column, n: Column) -> Column:
+    """The most distinct `tokens` that `n` consecutive words hold."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(around) - n + 1, F.lit(1)))
+    return F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(F.slice(around, i, n), tokens))))
+
+
 def phrase_places(w: Column, phrase: list[str], label: str) -> Column:
     """Array of (at, label): every start, words from 0, where the phrase's words stand consecutively."""
     starts = F.sequence(F.lit(1), F.size(w) - len(phrase) + 1)
@@ -73,7 +93,7 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Per document row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Null texts count as empty: no words, no labels, score 0, null places. `score` is the largest containment of
-    a template in one block (the phrase scan alone gives 1.0, being a whole notice). Rows that repeat a doc_id
+    a template in one line or one window of its size (the phrase scan alone gives 1.0, being a whole notice). Rows that repeat a doc_id
     with another text are scanned each on its own; equal rows get equal results. Repeated blocks and ties change
     nothing, since labels are a set and the score a maximum. Only the named columns are read. Long texts stay in
     their row; only matching (block, template) pairs are shuffled.
@@ -91,6 +111,17 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = F.size(F.array_intersect("tokens", "tokens_t"))
     cand = cand.select("doc_id", "tk", "label", "need", shared.alias("shared"), F.size("tokens_t").alias("of")).where(
         "shared >= need")
+    # The same through line breaks. A window meets the bounds only through a word of it that is a prefix token.
+    reach = max((len(re.findall(WORD, t.lower())) for t in templates), default=0)
+    if reach:
+        parts = fence(low.where(F.contains("low", F.lit("\n"))), _w=words(F.col("low"))).select(
+            "doc_id", "tk", F.explode(stretches(F.col("_w"), reach)).alias("s"))
+        parts = parts.select("doc_id", "tk", "s.around", F.explode(F.array_distinct("s.own")).alias("token"))
+        near = parts.join(index, "token").where(bound >= F.col("need")).where(
+            F.size(F.array_intersect("around", "tokens_t")) >= F.col("need"))
+        near = near.select("doc_id", "tk", "label", "need", window_shared(F.col("around"), F.col("tokens_t"), F.col("n")).alias("shared"),
+                           F.size("tokens_t").alias("of")).where("shared >= need")
+        cand = cand.unionByName(near)
     marks = cand.groupBy("doc_id", "tk").agg(F.collect_set("label").alias("more"),
                                              F.max(F.col("shared") / F.col("of")).alias("best"))
     marks = marks.select(F.col("doc_id").alias("d"), F.col("tk").alias("k"), "more", "best")

@@ -80,6 +80,30 @@ def test_license_threshold(spark):
     assert by[4].labels == "" and by[5].base_labels == "apache-2"
 
 
+def test_wrapped_notices(spark):
+    """Notices over several lines, whole templates at every wrap, and words too far apart to be one."""
+    from blocklake.llm.licenses import TEMPLATES
+
+    bsd = ("/*\n * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided\n")
+    mpl = "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy\n"
+    apart = "Redistribution and use in source and binary\n" + "other words " * 9 + "\nforms, with or without modification, are permitted"
+    rows = [(1, bsd), (2, "x y z\n" * 50 + mpl), (3, apart), (4, bsd + "\n" + mpl)]
+    want = {1: "bsd-notice", 2: "mpl-2-notice", 3: "", 4: "bsd-notice,mpl-2-notice"}
+    for text, label in TEMPLATES.items():
+        w = text.split(" ")
+        for k, sep in enumerate(("\n", "\n * ", "\r\n// ")):
+            for lead in (0, 5, 16, 17, 40):
+                for every in (1, 3, 6):
+                    i = len(rows) + 1
+                    body = sep.join(" ".join(w[j : j + every]) for j in range(0, len(w), every))
+                    rows.append((i, "q " * lead + "\n" + body + "\n" + "r " * k))
+                    want[i] = label
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, label in want.items():
+        assert set(label.split(",")) <= set(got[i].labels.split(",")), (rows[i - 1], got[i])
+    assert got[1].score == got[2].score == 1.0 and got[3].labels == "" and got[4].labels == want[4]
+
+
 def test_near_duplicates(docs, none):
     got = near_duplicates(docs)
     assert ids(got) == EVERY and near_duplicates(none).count() == 0
