@@ -94,10 +94,61 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN al USING (doc_id)
 """
 
+OP11 = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+q AS (SELECT item_id, term, count(*)::BIGINT AS repeats FROM (SELECT item_id, unnest(w) AS term FROM i) GROUP BY 1, 2),
+t AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY 1, 2, 3),
+wt AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS wt FROM t, s GROUP BY term, n_docs),
+p AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)) AS c FROM t, s),
+x AS (SELECT item_id, doc_id, sum(repeats * wt * c)::BIGINT AS score FROM q JOIN p USING (term) JOIN wt USING (term) GROUP BY 1, 2),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+      FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+OP12 = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, s, array_to_string(w[s:s + 34], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM d WHERE len(w) >= 35)),
+r AS (SELECT g FROM g GROUP BY 1 HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS spot FROM g WHERE g IN (SELECT g FROM r)),
+p AS (SELECT doc_id, generate_subscripts(w, 1) AS spot, unnest(w) AS word FROM d),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY spot) AS kept FROM p ANTI JOIN c USING (doc_id, spot) GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM c GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+def _clusters(rounds: int = 10, k: int = 8) -> str:
+    """Every round is a statement of its own: the assignment to the last centroids, then their new means."""
+    ctes = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR), x) - 1 AS c, x AS m FROM v
+  QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR), x) <= {k})"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""a{r} AS MATERIALIZED (SELECT i, vec_id, x, min(o) AS o FROM (SELECT i, vec_id, x, {{'d': list_sum(list_transform(list_zip(x, m),
+    lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'c': c}} AS o FROM v, c{r}) GROUP BY ALL)""")
+        if r < rounds:
+            ctes.append(f"""c{r + 1} AS MATERIALIZED (SELECT c, coalesce(n.m, c{r}.m) AS m FROM c{r} LEFT JOIN (
+  SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY dim) AS m FROM (
+    SELECT o.c AS c, dim, sum(e)::BIGINT AS s, count(*) AS n FROM (SELECT o, generate_subscripts(x, 1) AS dim, unnest(x) AS e FROM a{r}) GROUP BY 1, 2)
+  GROUP BY 1) n USING (c))""")
+    return f"""WITH {", ".join(ctes)}
+SELECT vec_id, o.c::INTEGER AS cluster, o.d AS distance, (sum(o.d) OVER (PARTITION BY o.c))::BIGINT AS cluster_inertia,
+  (sum(o.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON o.c = c{rounds}.c"""
+
+
 ORACLE = {
     "op1_warc_round_trip": OP1,
     "op3_cosine_links": OP3,
     "op8_decontaminate": OP8,
     "op9_near_duplicates": OP9,
     "op10_license_scan": OP10,
+    "op11_ranked_search": OP11,
+    "op12_substring_dedup": OP12,
+    "op13_centroid_clusters": _clusters(),
 }

@@ -16,7 +16,10 @@ from blocklake.llm.near_dup import near_duplicates
 from blocklake.llm.packing import pack_documents
 from blocklake.llm.pseudonyms import pseudonymize
 from blocklake.llm.quality import classify_quality
+from blocklake.llm.ranked_search import ranked_search
 from blocklake.llm.sentencepiece import SPACE, decode, encode, load_vocabulary
+from blocklake.llm.substring_dedup import drop_repeats
+from blocklake.llm.va_kmeans import cluster
 from blocklake.llm.warc import read_warc, write_warc
 from blocklake.session import scratch_path
 
@@ -75,6 +78,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents"), width=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings"), dims=64, k=8, rounds=10, scale=1024, seed="3")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_line_dedup": op2_line_dedup,
@@ -86,4 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }

@@ -26,5 +26,5 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op") and n.split("_")[0][2:].isdigit()]
-    assert sorted({int(n.split("_")[0][2:]) for n in names}) == list(range(1, 11))
+    assert sorted({int(n.split("_")[0][2:]) for n in names}) == list(range(1, 14))
     assert "pipeline" in entry.queries()
