@@ -1,28 +1,24 @@
-"""Strict JSON objects as (key, compact value text), native wherever the native parser is exact (KV-1/KV-5).
+"""Strict JSON and its compact text in column expressions alone (KV-1/KV-5): no Python worker on any path.
 
 Most blobs are flat objects of strings, short integers and literals: there the native parse accepts the same
 inputs as a strict reader and prints the same text, and `is_plain` recognizes them by two regular expressions.
-The others (nesting, fractions, exponents, long integers, `\\u` escapes, anything after the value) go through one
-Arrow-batched step that checks and re-spells them: whole input is one value, numbers are finite, at most 127
-nested containers, no lone surrogates, duplicate keys last-wins, object keys in byte order, numbers as the
-shortest text that reads back (`1.0`, `-0.0`, `1e16`), integers beyond 64 bits as such numbers.
+The native parse is laxer elsewhere and prints numbers its own way, so the others are prepared for it first:
+`marked` cuts the text into tokens and writes every number as a string, a mark and the number as it is to be
+printed (`1.0`, `-0.0`, `1e16`, the shortest digits that read back; integers beyond 64 bits as such numbers).
+The parse then sorts keys and collapses duplicates, last-wins, and `unmarked` turns the marked strings of its
+output back into numbers. `is_one_value` holds what the parse does not check: nothing after the value, at most
+127 nested containers, no lone surrogates; a number out of range or not spelled as JSON spells it is written as
+a token no parser takes. The mark is U+0001, which JSON text can only hold as an escape; escapes of it in the
+text are doubled and halved again.
+
+Keys of a nested object come in the order of their UTF-16 units, which is byte order unless one object has both
+keys with characters beyond U+FFFF and keys with characters from U+E000 on.
 """
 
 from __future__ import annotations
 
-import json
-import math
-import sys
-from decimal import Decimal
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# The batched step travels with its job, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed value: the deepest nesting of a strict reader.
 MAX_CONTAINERS = 127
@@ -30,6 +26,14 @@ MAX_CONTAINERS = 127
 STRING = r'"(?:[^"\\]++|\\.)*+"'
 FLAT = r"\A[ \t\r\n]*\{[^{}\[\]]*\}[ \t\r\n]*\z"
 ODD = r"[0-9][.eE]|-0|[0-9]{16}|[A-Z]"
+# Tokens: a string, a run that begins like a number, a word, any other character but JSON's white space.
+TOKEN = rf"{STRING}|-?[0-9][0-9.eE+-]*|[A-Za-z]+|[^ \t\r\n]"
+NUMBER = r"\A-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?\z"
+# An escape that stands after no backslash or an even number of them.
+ESCAPE = r"(?<!\\)((?:\\\\)*)\\u"
+HIGH, LOW = r"\\u[dD][89abAB][0-9a-fA-F]{2}", r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+NO_TOKEN = "!"
+I64, U64 = "9223372036854775808", "18446744073709551615"
 
 
 def is_plain(text: Column) -> Column:
@@ -38,70 +42,85 @@ def is_plain(text: Column) -> Column:
     return bare.rlike(FLAT) & ~bare.rlike(ODD) & ~F.contains(text, F.lit("\\u"))
 
 
-def number_text(x: float) -> str:
-    """A double as the shortest digits that read back, with an exponent beyond 16 places or 5 zeros."""
-    if x == 0:
-        return "-0.0" if math.copysign(1, x) < 0 else "0.0"
-    sign, digits, exponent = Decimal(repr(x)).normalize().as_tuple()
-    d, point = "".join(map(str, digits)), len(digits) + exponent
-    if 0 <= exponent and point <= 16:
-        body = d + "0" * exponent + ".0"
-    elif 0 < point <= 16:
-        body = f"{d[:point]}.{d[point:]}"
-    elif -5 < point <= 0:
-        body = f"0.{'0' * -point}{d}"
-    else:
-        body = f"{d[0]}{'.' if len(d) > 1 else ''}{d[1:]}e{point - 1}"
-    return "-" * sign + body
-
-
-def _float(text: str) -> float:
-    x = float(text)
-    if math.isinf(x):
-        raise ValueError("number out of range")
-    return x
-
-
-def _int(text: str) -> int | float:
-    x = int(text) if len(text) < 400 else _float(text)
-    if x == 0 and text[0] == "-":
-        return -0.0
-    return x if -(2**63) <= x < 2**64 else _float(text)
-
-
-def _constant(text: str):
-    raise ValueError(f"no JSON value: {text}")
-
-
-def _text(v: object, left: int) -> str:
-    if isinstance(v, (dict, list)):
-        if not left:
-            raise ValueError("nested too deeply")
-        if isinstance(v, list):
-            return f"[{','.join(_text(x, left - 1) for x in v)}]"
-        return f"{{{','.join(f'{_text(k, 1)}:{_text(v[k], left - 1)}' for k in sorted(v))}}}"
-    if isinstance(v, float):
-        return number_text(v)
-    if isinstance(v, str):
-        v.encode("utf-8")  # a lone surrogate fails here
-        return json.dumps(v, ensure_ascii=False)
-    return json.dumps(v)
-
-
-def strict_object(data: bytes | None) -> str | None:
-    """None for invalid JSON, "" for a value that is no object, else a JSON object of key -> value text."""
-    try:
-        v = json.loads(bytes(data).decode("utf-8"), parse_float=_float, parse_int=_int, parse_constant=_constant)
-        whole = _text(v, MAX_CONTAINERS)
-    except (ValueError, RecursionError, TypeError):
-        return None
-    del whole
-    if not isinstance(v, dict):
-        return ""
-    return json.dumps({k: _text(x, MAX_CONTAINERS - 1) for k, x in v.items()}, ensure_ascii=False)
-
-
-@F.pandas_udf(T.StringType())
-def strict_objects(data: pd.Series) -> pd.Series:
-    """`strict_object` of each blob; null stays null (plain blobs are not sent here)."""
-    return data.map(strict_object, na_action="ignore")
+def is_one_value(text: Column) -> Column:
+    """Whether text that parses is a single JSON value in whole, nested no deeper than a strict reader goes."""
+    bare = F.regexp_replace(text, F.lit(STRING), F.lit('""'))
+    inner = F.regexp_replace(bare, F.lit(r"[ \t\r\n]+"), F.lit(" "))
+    value = F.trim(inner)
+    brackets = F.regexp_replace(value, F.lit(r"[^{}\[\]]+"), F.lit(""))
+
+    def step(s: Column, c: Column) -> Column:
+        depth = s["depth"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)
+        # Depth zero before the last bracket ends the value early; `early` counts such places.
+        return F.struct(depth.alias("depth"), F.greatest(s["most"], depth).alias("most"),
+                        (s["early"] + F.when(depth <= 0, 1).otherwise(0)).alias("early"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("most"), F.lit(0).alias("early"))
+    shape = F.aggregate(F.regexp_extract_all(brackets, F.lit("(.)"), 1), start, step,
+                        lambda s: (s["depth"] == 0) & (s["early"] == 1) & (s["most"] <= MAX_CONTAINERS))
+    container = value.rlike(r"\A(\{.*\}|\[.*\])\z") & shape
+    scalar = (brackets == "") & ~value.rlike(r"[ ,:]")
+    escapes = F.regexp_replace(F.replace(text, F.lit("\\\\"), F.lit("")), F.lit(HIGH + LOW), F.lit(""))
+    paired = ~F.contains(text, F.lit("\\u")) | ~escapes.rlike(r"\\u[dD][89a-fA-F]")
+    return (container | scalar) & paired
+
+
+def _scientific(token: Column) -> Column:
+    """The shortest scientific text that reads back as the token's double (absolute value), or null out of range."""
+    x = F.abs(token.cast("double"))
+    tries = [F.format_string(f"%.{p}e", x) for p in range(17)]
+    text = F.coalesce(*[F.when(t.cast("double") == x, t) for t in tries], tries[-1])
+    return F.when(x < F.lit(float("inf")), F.when(x == 0, F.lit("0e0")).otherwise(text))
+
+
+def _double_text(token: Column, sci: Column) -> Column:
+    """A double as its shortest digits, with an exponent beyond 16 places or 5 zeros."""
+    digits = F.replace(F.substring_index(sci, "e", 1), F.lit("."), F.lit(""))
+    point = F.substring_index(sci, "e", -1).cast("int") + 1
+    n = F.length(digits)
+    some = lambda start, size: F.substr(digits, start, size)
+    body = (F.when((point >= n) & (point <= 16), F.concat(digits, F.repeat(F.lit("0"), point - n), F.lit(".0")))
+            .when((point > 0) & (point <= 16), F.concat(some(F.lit(1), point), F.lit("."), some(point + 1, n)))
+            .when((point > -5) & (point <= 0), F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+            .otherwise(F.concat(some(F.lit(1), F.lit(1)), F.when(n > 1, F.concat(F.lit("."), some(F.lit(2), n))).otherwise(""),
+                                F.lit("e"), (point - 1).cast("string"))))
+    return F.concat(F.when(token.startswith("-"), F.lit("-")).otherwise(""), body)
+
+
+def marked(text: Column) -> Column:
+    """`text` with its numbers as marked strings, for a parse that `unmarked` completes."""
+    clean = F.when(F.contains(text, F.lit("\\u0001")), F.regexp_replace(
+        text, F.lit(ESCAPE + "0001"), F.lit(r"$1\\u0001\\u0001"))).otherwise(text)
+    tokens = F.regexp_extract_all(clean, F.lit(f"({TOKEN})"), 1)
+
+    def digits(t: Column) -> Column:
+        whole = F.replace(t, F.lit("-"), F.lit(""))
+        n = F.length(whole)
+        fits = (n < 19) | ((n <= 20) & (F.lpad(whole, 20, "0") <= F.when(t.startswith("-"), F.lpad(F.lit(I64), 20, "0")).otherwise(F.lit(U64))))
+        exact = ~t.rlike(r"[.eE]") & (t != "-0") & fits
+        number, strict = t.rlike(r"\A-?[0-9]"), t.rlike(NUMBER)
+        return F.struct(t.alias("t"), number.alias("number"), (number & strict & exact).alias("exact"),
+                        F.when(number & strict & ~exact, _scientific(t)).alias("sci"))
+
+    def spell(s: Column) -> Column:
+        mark = lambda c: F.concat(F.lit('"\\u0001n'), c, F.lit('"'))
+        return F.when(~s["number"], s["t"]).when(s["exact"], mark(s["t"])).when(
+            s["sci"].isNotNull(), mark(_double_text(s["t"], s["sci"]))).otherwise(F.lit(NO_TOKEN))
+
+    # Apart by spaces, so that tokens which did not touch do not grow together.
+    return F.array_join(F.transform(F.transform(tokens, digits), spell), " ")
+
+
+def unmarked(json: Column) -> Column:
+    """JSON text printed from a parse of `marked` text, its numbers restored and its escapes in lower case."""
+    out = F.regexp_replace(json, F.lit(r'"\\u0001n([^"]*)"'), F.lit("$1"))
+    halved = F.regexp_replace(out, F.lit(ESCAPE + r"0001\\u0001"), F.lit(r"$1\\u0001"))
+    lower = halved
+    for c in "ABCDEF":
+        lower = F.regexp_replace(lower, F.lit(ESCAPE + f"00([01]){c}"), F.lit(rf"$1\\u00$2{c.lower()}"))
+    return F.when(F.contains(out, F.lit("\\u00")), lower).otherwise(out)
+
+
+def unmarked_key(key: Column) -> Column:
+    """A key of a parse of `marked` text as it stood in the text."""
+    return F.replace(key, F.lit("\u0001\u0001"), F.lit("\u0001"))
