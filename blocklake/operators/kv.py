@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from blocklake import schemas as S
 from blocklake.functions.columns import edge_of, is_deletion, is_valid_key, order_id
 from blocklake.functions.fence import fence
-from blocklake.functions.json_text import is_plain, strict_objects
+from blocklake.functions.json_text import is_one_value, is_plain, marked, unmarked, unmarked_key
 from blocklake.operators.latest import latest_by
 from blocklake.operators.routing import reject_rows
 
@@ -29,28 +29,26 @@ EDGE_VERSION = ["block_height", "order_id", "is_deletion", "value", "current_acc
 def classify_kv_blobs(blobs: DataFrame) -> DataFrame:
     """KV-2/KV-3 guards in the reference's order: JSON -> object -> key count -> order_id.
 
-    Adds `_obj` (map<string, struct<parsed variant, text string>>, duplicate keys collapsed last-wins: one of
-    the two holds the value), `order_id` and `reason` (null for an accepted blob). The key count is taken on
-    the whole object, before key checks (D5). Blobs that the native parser reads exactly stay JVM-side.
+    Adds `_obj` (map<string, variant>, duplicate keys collapsed last-wins), `_plain` (whether its values print as
+    they are, or through `unmarked`), `order_id` and `reason` (null for an accepted blob). The key count is taken on
+    the whole object, before key checks (D5).
     """
     txt = F.col("data").cast("string")
     valid = F.is_valid_utf8(txt)
     # Parse once behind a fence: the accept filter below must not re-parse inside its condition.
     x = fence(blobs, _plain=F.coalesce(valid & is_plain(txt), F.lit(False)))
-    x = fence(x, _v=F.when(F.col("_plain"), F.try_parse_json(txt)),
-              _s=strict_objects(F.when(~F.col("_plain"), F.col("data"))))
-    native = F.transform_values(F.expr("try_cast(_v AS map<string, variant>)"), lambda k, v: F.struct(
-        v.alias("parsed"), F.lit(None).cast("string").alias("text")))
-    spelled = F.transform_values(F.from_json("_s", "map<string,string>"), lambda k, v: F.struct(
-        F.lit(None).cast("variant").alias("parsed"), v.alias("text")))
-    x = fence(x, _obj=F.when(F.col("_plain"), native).when(F.col("_s") != "", spelled), order_id=order_id())
+    ready = F.when(F.col("_plain"), txt).when(F.coalesce(valid & is_one_value(txt), F.lit(False)), marked(txt))
+    x = fence(x, _v=F.try_parse_json(ready))
+    obj = F.expr("try_cast(_v AS map<string, variant>)")
+    x = fence(x, _obj=F.when(F.col("_plain"), obj).otherwise(F.transform_keys(obj, lambda k, _: unmarked_key(k))),
+              order_id=order_id())
     reason = (
-        F.when(F.col("_v").isNull() & F.col("_s").isNull(), "invalid_json")
+        F.when(F.col("_v").isNull(), "invalid_json")
         .when(F.col("_obj").isNull(), "not_object")
         .when(F.size("_obj") > S.MAX_NUM_KEYS, "too_many_keys")
         .when(F.col("order_id").isNull(), "order_id_overflow")
     )
-    return x.withColumn("reason", reason).drop("_v", "_s", "_plain")
+    return x.withColumn("reason", reason).drop("_v")
 
 
 def explode_kv(blobs: DataFrame) -> DataFrame:
@@ -60,9 +58,10 @@ def explode_kv(blobs: DataFrame) -> DataFrame:
     the reference's writer spells them (`1.0`, `1e16`).
     """
     ok = classify_kv_blobs(blobs).where(F.col("reason").isNull())
-    e = ok.select(*S.PROVENANCE_COLS, "order_id", F.explode("_obj").alias("key", "_val")).where(is_valid_key("key"))
+    e = ok.select(*S.PROVENANCE_COLS, "order_id", "_plain", F.explode("_obj").alias("key", "_val")).where(is_valid_key("key"))
+    e = fence(e.withColumn("_val", F.to_json("_val")))
     return e.select(*S.PROVENANCE_COLS, "order_id", "key",
-                    F.coalesce(F.col("_val.text"), F.to_json("_val.parsed")).alias("value"))
+                    F.when(F.col("_plain"), F.col("_val")).otherwise(unmarked(F.col("_val"))).alias("value"))
 
 
 def kv_rejects(blobs: DataFrame) -> DataFrame:
@@ -106,6 +105,11 @@ def kv_accounts(last: DataFrame) -> DataFrame:
     return last.select("current_account_id", "key", "predecessor_id")
 
 
+def unknown_accounts(accounts: DataFrame, stored: DataFrame) -> DataFrame:
+    """KV-9 incremental: the triples of a batch that a stored registry does not hold yet."""
+    return accounts.join(stored.select(*accounts.columns), accounts.columns, "left_anti")
+
+
 def edge_candidates(last: DataFrame) -> DataFrame:
     """KV-10/11: edge rows (insert or tombstone) of every latest key that parses as an edge."""
     e = last.select("*", edge_of("key", "predecessor_id").alias("_e")).where(F.col("_e").isNotNull())

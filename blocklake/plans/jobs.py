@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blocklake import schemas as S
+from blocklake.operators.kv import unknown_accounts
 from blocklake.operators.routing import by_suffix, to_blobs
 from blocklake.plans.store import Store
 from blocklake.sources.validate import validate_rows
@@ -48,6 +49,9 @@ def index_standard(store: Store, blobs: DataFrame, batch_id: int, standard: Stan
     mine = by_suffix(blobs, std.suffix)
     try:
         tables = std.transform(mine, cache)
+        if "kv_accounts" in tables and store.exists("kv_accounts"):
+            # A set that only grows: what is stored already, a replayed batch's own rows included, is not written again.
+            tables["kv_accounts"] = unknown_accounts(tables["kv_accounts"], store.raw("kv_accounts"))
         store.write_tables(tables, batch_id)
         h = _batch_height(mine, upper_bound)
         if h is not None:

@@ -21,6 +21,8 @@ from blocklake.operators import reports as RP
 from blocklake.operators import routing as R
 from blocklake.plans import lookups as Q
 from blocklake.plans.jobs import index_pending, index_standard, ingest_calls
+from blocklake.plans.latest_table import LatestTable
+from blocklake.plans.published import Published, publish
 from blocklake.plans.store import Store, expire, scan_suffix
 from blocklake.session import checkpoint_root, configure, scratch_path
 from blocklake.sources import fixtures as FX
@@ -429,63 +431,180 @@ def stalls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ lookups over stored tables
-_STORED: dict[tuple[str, str], Store] = {}
+SHUFFLED = (2, 0, 1)
 
 
-def stored_tables(spark: SparkSession, sf_dir: str) -> Store:
-    """All KV tables, written in three batches out of order (once per application and input)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        store = Store(spark, scratch_path(spark, "store"))
-        blobs = event_blobs(spark, sf_dir).withColumn("_part", F.pmod(F.xxhash64("receipt_id"), F.lit(3)))
-        for batch_id, part in [(0, 2), (1, 0), (2, 1)]:
-            index_standard(store, blobs.where(F.col("_part") == part).drop("_part"), batch_id, S.KV_SUFFIX)
-        _STORED[key] = store
-    return _STORED[key]
+def _parts(blobs: DataFrame) -> list[DataFrame]:
+    """The blobs in three batches, out of order."""
+    x = blobs.withColumn("_part", F.pmod(F.xxhash64("receipt_id"), F.lit(3)))
+    return [x.where(F.col("_part") == i).drop("_part") for i in SHUFFLED]
+
+
+def _kv_table(blobs: DataFrame, name: str) -> DataFrame:
+    return K.derive_kv_tables(K.explode_kv(R.by_suffix(blobs, S.KV_SUFFIX)))[name]
+
+
+def stored_table(spark: SparkSession, sf_dir: str, name: str) -> Store:
+    """One KV table, written in three batches out of order."""
+    store = Store(spark, scratch_path(spark, "store"))
+    for i, part in enumerate(_parts(event_blobs(spark, sf_dir))):
+        store.write_delta(name, _kv_table(part, name), i)
+    return store
 
 
 @query
 def stored_get_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q-1 over the stored table: one bucket per delta, merged."""
-    return stored_tables(spark, sf_dir).lookup("s_kv_last", predecessor_id=PRED, current_account_id=CONTRACT, key="click")
+    return stored_table(spark, sf_dir, "s_kv_last").lookup(
+        "s_kv_last", predecessor_id=PRED, current_account_id=CONTRACT, key="click")
 
 
 @query
 def stored_key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q-3 over the stored table."""
-    return stored_tables(spark, sf_dir).lookup("s_kv", predecessor_id=PRED, current_account_id=CONTRACT,
-                                               key="graph/follow/user3.near")
+    return stored_table(spark, sf_dir, "s_kv").lookup(
+        "s_kv", predecessor_id=PRED, current_account_id=CONTRACT, key="graph/follow/user3.near")
 
 
 @query
 def stored_predecessors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q-5 over the stored table."""
-    found = stored_tables(spark, sf_dir).lookup("kv_reverse", current_account_id=CONTRACT, key="click")
+    found = stored_table(spark, sf_dir, "kv_reverse").lookup("kv_reverse", current_account_id=CONTRACT, key="click")
     return Q.predecessors_page(found, CONTRACT, "click", cursor="user1.near", limit=5)
 
 
 @query
 def stored_followers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q-6 over the stored table."""
-    return stored_tables(spark, sf_dir).lookup("kv_edges", edge_type="graph/follow", target="user3.near").select("source")
+    return stored_table(spark, sf_dir, "kv_edges").lookup(
+        "kv_edges", edge_type="graph/follow", target="user3.near").select("source")
 
 
 @query
 def stored_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q-8 over the stored table."""
-    return stored_tables(spark, sf_dir).lookup("s_kv_by_block", predecessor_id=PRED, current_account_id=CONTRACT)
+    return stored_table(spark, sf_dir, "s_kv_by_block").lookup(
+        "s_kv_by_block", predecessor_id=PRED, current_account_id=CONTRACT)
 
 
 @query
 def stored_key_across_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q-9 over the stored table."""
-    return stored_tables(spark, sf_dir).lookup("mv_kv_key", key="view")
+    return stored_table(spark, sf_dir, "mv_kv_key").lookup("mv_kv_key", key="view")
 
 
 @query
 def stored_contract_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q-10 over the stored table."""
-    return stored_tables(spark, sf_dir).lookup("mv_kv_cur_key", current_account_id="app0.near", key="purchase")
+    return stored_table(spark, sf_dir, "mv_kv_cur_key").lookup("mv_kv_cur_key", current_account_id="app0.near", key="purchase")
+
+
+# ------------------------------------------------------------------ tables kept merged, and published in buckets
+def merged_table(spark: SparkSession, sf_dir: str, name: str) -> LatestTable:
+    """One KV table kept merged over three batches out of order and a replayed one."""
+    table = LatestTable(spark, scratch_path(spark, "merged"), name)
+    parts = _parts(event_blobs(spark, sf_dir))
+    for part in [*parts, parts[0]]:
+        table.upsert(_kv_table(part, name))
+    return table
+
+
+def merged_chunks(spark: SparkSession, sf_dir: str) -> LatestTable:
+    """The file chunks kept merged, the odd documents before the even ones."""
+    table = LatestTable(spark, scratch_path(spark, "merged"), S.FILE_CHUNKS_TABLE)
+    blobs = doc_blobs(spark, sf_dir)
+    for odd in (True, False):
+        half = blobs.where((F.col("block_height") % 4 < 2) == F.lit(odd))
+        table.upsert(FS.latest_chunks(FS.decode_files(half, FX.DOC_ALIGNMENT)))
+    return table
+
+
+def _publish(spark: SparkSession, table: LatestTable) -> Published:
+    return publish(table.snapshot(), table.name, scratch_path(spark, "published"))
+
+
+@query
+def merged_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-7: `s_kv_last` merged by touched buckets, batch by batch."""
+    return merged_table(spark, sf_dir, "s_kv_last").snapshot()
+
+
+@query
+def merged_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-7 with tombstones: the edge state merged by touched buckets, deletions hidden."""
+    return K.live_edges(merged_table(spark, sf_dir, "kv_edges").snapshot())
+
+
+@query
+def new_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KV-9 incremental: the triples that the second half of the log adds to a stored registry, and no others."""
+    store = Store(spark, scratch_path(spark, "store"))
+    blobs = event_blobs(spark, sf_dir)
+    for i, half in enumerate([F.col("block_height") <= SCAN_HI, F.col("block_height") > SCAN_HI]):
+        accounts = _kv_table(blobs.where(half), "kv_accounts")
+        store.write_delta("kv_accounts", K.unknown_accounts(accounts, store.table("kv_accounts")) if i else accounts, i)
+    return store.delta("kv_accounts", 1).select("current_account_id", "key", "predecessor_id")
+
+
+@query
+def published_list_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-2 over the published table: the buckets of one account."""
+    return _publish(spark, merged_table(spark, sf_dir, "s_kv_last")).find(predecessor_id=PRED, current_account_id=CONTRACT)
+
+
+@query
+def published_key_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-4 over the published table: a prefix of the clustering column."""
+    return _publish(spark, merged_table(spark, sf_dir, "s_kv_last")).find(
+        predecessor_id=PRED, current_account_id=CONTRACT, starts_with="graph/")
+
+
+@query
+def published_predecessors_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-5 over the published table: a page after a cursor."""
+    return _publish(spark, merged_table(spark, sf_dir, "kv_reverse")).find(
+        current_account_id=CONTRACT, key="click", after="user1.near", limit=5)
+
+
+@query
+def published_contract_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-7 over the published table."""
+    return _publish(spark, merged_table(spark, sf_dir, "kv_accounts")).find(current_account_id="app2.near")
+
+
+@query
+def published_timeline_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-8 over the published table: a range of heights, newest block first."""
+    return _publish(spark, merged_table(spark, sf_dir, "s_kv_by_block")).find(
+        predecessor_id=PRED, current_account_id=CONTRACT, between=(SCAN_LO, SCAN_HI))
+
+
+@query
+def published_account_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-15 over the table kept merged."""
+    return Q.account_registry(K.all_accounts_view(merged_table(spark, sf_dir, "all_accounts").snapshot()))
+
+
+@query
+def published_file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-11 over the published chunks; content is never read."""
+    found = _publish(spark, merged_chunks(spark, sf_dir)).find(predecessor_id=FILE_PRED, current_account_id=FILE_CONTRACT)
+    return found.select("relative_path").distinct()
+
+
+@query
+def published_file_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-12 over the published chunks."""
+    return _chunk_view(_publish(spark, merged_chunks(spark, sf_dir)).find(
+        predecessor_id=FILE_PRED, current_account_id=FILE_CONTRACT, relative_path=f"{FILE_PRED}/en/{FILE_DOC}.txt"))
+
+
+@query
+def published_upload_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-13 over the published chunks."""
+    return _chunk_view(_publish(spark, merged_chunks(spark, sf_dir)).find(
+        predecessor_id=FILE_PRED, current_account_id=FILE_CONTRACT, relative_path=f"{FILE_PRED}/en/{FILE_DOC}.txt",
+        nonce=FILE_DOC + 1))
 
 
 # ------------------------------------------------------------------ streaming

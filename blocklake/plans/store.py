@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,11 +35,12 @@ BLOBS_STORED = T.StructType(S.BLOBS_SCHEMA.fields + [
     T.StructField("ingest_ts_us", T.LongType()), T.StructField("ingest_day", T.StringType()),
     T.StructField("batch_id", T.LongType())])
 BUCKETS = 16
+BLOCKS_TOGETHER = 100  # neighbouring blocks that one task writes
 
 
-def bucket_of(*cols: Column) -> Column:
+def bucket_of(*cols: Column, buckets: int = BUCKETS) -> Column:
     """Hash bucket of a table's lookup columns."""
-    return F.pmod(F.xxhash64(*cols), F.lit(BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")
 
 
 class Store:
@@ -61,7 +63,7 @@ class Store:
 
         A derived table is written in hash buckets of its lookup columns, rows sorted inside, so a lookup
         opens one bucket of each delta; AQE splits a heavy bucket over tasks and joins light ones. `blobs`
-        is range-partitioned down to the block, which never splits a block over two files (STR-3).
+        is dealt to tasks by runs of blocks, which never splits a block over two files (STR-3).
         """
         spec = S.CATALOG[name]
         out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
@@ -70,7 +72,8 @@ class Store:
             out = out.withColumn("bucket", bucket_of(*[F.col(c) for c in spec.bucket_by])).hint("rebalance", "bucket")
             dirs = ["bucket", *dirs]
         elif dirs:
-            out = out.repartitionByRange(*dirs, "block_height")
+            # Dealt by hash, a run of blocks together: the batch is computed once, a block stays in one file.
+            out = out.repartition(*dirs, F.expr(f"block_height div {BLOCKS_TOGETHER}"))
         sort_cols = [F.col(c).desc() if c in spec.descending else F.col(c) for c in (spec.sort_by or spec.key)]
         out = out.sortWithinPartitions(*[F.col(c) for c in dirs], *sort_cols)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -144,13 +147,17 @@ class Store:
 
     def _delete(self, pattern: str) -> list[str]:
         """Remove the directories that match `pattern` below the root; their names."""
+        return sorted(p.rpartition("/")[2] for p in self.delete_where(pattern, lambda _: True))
+
+    def delete_where(self, pattern: str, doomed: Callable[[str], bool]) -> list[str]:
+        """Remove the directories that match `pattern` below the root and whose path is `doomed`; their paths."""
         jvm = self.spark.sparkContext._jvm
         glob = jvm.org.apache.hadoop.fs.Path(self.path(pattern))
         fs = glob.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        doomed = [st.getPath() for st in fs.globStatus(glob) or [] if st.isDirectory()]
-        for p in doomed:
+        gone = [st.getPath() for st in fs.globStatus(glob) or [] if st.isDirectory() and doomed(st.getPath().toString())]
+        for p in gone:
             fs.delete(p, True)
-        return sorted(p.getName() for p in doomed)
+        return sorted(p.toString() for p in gone)
 
     def purge_expired(self, now_us: int, ttl_seconds: int = S.BLOBS_TTL_SECONDS) -> list[str]:
         """SNK-3, physical side: drop the ingest days whose last moment is past the time-to-live.
@@ -190,11 +197,14 @@ class Store:
 
     # ----------------------------------------------------------------- reads
     def raw(self, name: str) -> DataFrame:
-        """All deltas of `name` as stored. Tables with string directory partitions are read with their
-        declared schema, so a numeric-looking suffix is never inferred as a number."""
-        if name == "blobs":
-            return self.spark.read.schema(BLOBS_STORED).parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        """All deltas of `name` as stored, read with their declared schema: nothing is inferred. Only a table that a
+        registered standard adds without a schema is read as its files say."""
+        schema = BLOBS_STORED if name == "blobs" else S.TABLE_SCHEMAS.get(name)
+        if schema is None:
+            return self.spark.read.parquet(self.path(name))
+        if name != "blobs":
+            schema = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.LongType())])
+        return self.spark.read.schema(schema).parquet(self.path(name))
 
     def _merged(self, name: str, raw: DataFrame) -> DataFrame:
         spec = S.CATALOG[name]
@@ -254,7 +264,7 @@ class Store:
         snap.coalesce(1).write.mode("append").parquet(self.path("meta_readings"))
 
     def readings(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("meta_readings"))
+        return self.spark.read.schema(S.READINGS_SCHEMA).parquet(self.path("meta_readings"))
 
     def meta(self) -> DataFrame:
         return self.spark.read.schema(S.META_SCHEMA).parquet(self.path("meta"))

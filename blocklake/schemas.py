@@ -93,6 +93,8 @@ BLOBS_SCHEMA = _struct(
 
 S_KV_SCHEMA = _struct(*PROVENANCE, ("order_id", L, False), ("key", S, False), ("value", S, False))
 
+RAW_SCHEMA = _struct(*PROVENANCE, ("data", S, True))
+
 KV_EDGES_SCHEMA = _struct(
     ("edge_type", S, False),
     ("target", S, False),
@@ -120,6 +122,35 @@ INDEXED_SCHEMA = _struct(("suffix", S, False), ("batch_id", L, False))
 META_SCHEMA = _struct(("suffix", S, False), ("last_processed_block_height", L, False))
 
 
+READINGS_SCHEMA = _struct(*[(f.name, f.dataType, f.nullable) for f in META_SCHEMA.fields], ("reading_ts_us", L, False))
+
+
+def _of(schema: T.StructType, *first: str, only: tuple[str, ...] = ()) -> T.StructType:
+    """`schema` with some columns in front, or only some of its columns."""
+    names = only or (*first, *[n for n in schema.names if n not in first])
+    return T.StructType([schema[n] for n in names])
+
+
+# Derived tables as stored (the views of a user drop the state columns).
+KV_REVERSE_SCHEMA = _of(S_KV_SCHEMA, only=(
+    "current_account_id", "key", "predecessor_id", "receipt_id", "action_index", "tx_hash", "signer_id", "block_height",
+    "block_timestamp", "shard_id", "receipt_index", "order_id", "value"))
+KV_EDGE_STATE_SCHEMA = T.StructType([*KV_EDGES_SCHEMA.fields, T.StructField("is_deletion", T.BooleanType(), False)])
+TABLE_SCHEMAS: dict[str, T.StructType] = {
+    "s_kv": S_KV_SCHEMA,
+    "s_kv_last": S_KV_SCHEMA,
+    "mv_kv_key": _of(S_KV_SCHEMA, "key", "block_height", "order_id", "predecessor_id", "current_account_id"),
+    "mv_kv_cur_key": _of(S_KV_SCHEMA, "current_account_id", "key", "block_height", "order_id", "predecessor_id"),
+    "kv_reverse": KV_REVERSE_SCHEMA,
+    "kv_accounts": _of(S_KV_SCHEMA, only=("current_account_id", "key", "predecessor_id")),
+    "kv_edges": KV_EDGE_STATE_SCHEMA,
+    "all_accounts": _of(S_KV_SCHEMA, only=("predecessor_id", "block_height", "block_timestamp", "order_id")),
+    "s_kv_by_block": _of(S_KV_SCHEMA, only=("predecessor_id", "current_account_id", "block_height", "key", "value",
+                                            "block_timestamp", "order_id", "receipt_id", "tx_hash")),
+    FILE_CHUNKS_TABLE: FILE_CHUNKS_SCHEMA,
+}
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """Physical and logical description of one stored table."""

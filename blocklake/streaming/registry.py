@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blocklake import schemas as S
 from blocklake.operators import files as FS
@@ -46,10 +47,11 @@ class Standard:
 STANDARDS: dict[str, Standard] = {}
 
 
-def register_standard(suffix: str, transform: Transform, tables: dict[str, S.TableSpec] | None = None) -> Standard:
-    """Register a standard; `tables` adds catalog entries for tables the transform emits."""
-    for name, spec in (tables or {}).items():
-        S.CATALOG[name] = spec
+def register_standard(suffix: str, transform: Transform, tables: dict[str, S.TableSpec] | None = None,
+                      schemas: dict[str, T.StructType] | None = None) -> Standard:
+    """Register a standard; `tables` adds catalog entries for tables the transform emits, `schemas` their columns."""
+    S.CATALOG.update(tables or {})
+    S.TABLE_SCHEMAS.update(schemas or {})
     std = Standard(suffix, transform, tuple((tables or {}).keys()))
     STANDARDS[suffix] = std
     return std
@@ -81,4 +83,4 @@ register_standard(S.RAW_SUFFIX, _raw_tables, {
                          bucket_by=("predecessor_id", "current_account_id"),
                          sort_by=("predecessor_id", "current_account_id", "block_height"),
                          unique_per_delta=False),
-})
+}, {"s_raw": S.RAW_SCHEMA})

@@ -369,6 +369,32 @@ SELECT stage, reason, count(*) AS n FROM r GROUP BY 1, 2""",
     "stored_key_across_accounts": with_calls(f"SELECT {KV_COLS} FROM kv WHERE key = 'view'"),
     "stored_contract_history": with_calls(
         f"SELECT {KV_COLS} FROM kv WHERE current_account_id = 'app0.near' AND key = 'purchase'"),
+    "merged_last": with_calls(f"SELECT {KV_COLS} FROM kv_last"),
+    "merged_edges": with_calls("SELECT * FROM kv_edges"),
+    "new_accounts": with_calls(f"""SELECT DISTINCT current_account_id, key, predecessor_id FROM kv WHERE block_height > {SCAN_HI}
+EXCEPT SELECT current_account_id, key, predecessor_id FROM kv WHERE block_height <= {SCAN_HI}"""),
+    "published_list_keys": with_calls(
+        f"SELECT {KV_COLS} FROM kv_last WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT}"),
+    "published_key_prefix": with_calls(
+        f"SELECT {KV_COLS} FROM kv_last WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT} "
+        "AND starts_with(key, 'graph/')"),
+    "published_predecessors_page": with_calls(
+        f"SELECT {REVERSE_COLS} FROM kv_last WHERE current_account_id = {CONTRACT} AND key = 'click' "
+        "AND predecessor_id > 'user1.near' ORDER BY predecessor_id LIMIT 5"),
+    "published_contract_accounts": with_calls(
+        "SELECT current_account_id, key, predecessor_id FROM kv_last WHERE current_account_id = 'app2.near'"),
+    "published_timeline_range": with_calls(
+        f"SELECT * FROM ({BY_BLOCK}) WHERE predecessor_id = {PRED} AND current_account_id = {CONTRACT} "
+        f"AND block_height BETWEEN {SCAN_LO} AND {SCAN_HI}"),
+    "published_account_registry": with_calls(ACCOUNTS),
+    "published_file_list": with_files(
+        "SELECT DISTINCT relative_path FROM chunks WHERE predecessor_id = 'src3' AND current_account_id = 'en.fs.near'"),
+    "published_file_uploads": with_files(
+        f"SELECT {CHUNK_COLS} FROM chunks WHERE predecessor_id = 'src3' AND current_account_id = 'en.fs.near' "
+        "AND relative_path = 'src3/en/243.txt'"),
+    "published_upload_chunks": with_files(
+        f"SELECT {CHUNK_COLS} FROM chunks WHERE predecessor_id = 'src3' AND current_account_id = 'en.fs.near' "
+        "AND relative_path = 'src3/en/243.txt' AND nonce = 244"),
     "stream_kv_last": with_calls(f"SELECT {KV_COLS} FROM kv_last"),
     "stream_kv_edges": with_calls("SELECT * FROM kv_edges"),
     "stream_files": with_files(f"SELECT {CHUNK_COLS} FROM chunks"),
