@@ -21,5 +21,6 @@ def fence(df: DataFrame, **cols: Column) -> DataFrame:
     scan, and columns nobody reads afterwards are pruned.
     """
     new = F.struct(*[c.alias(n) for n, c in cols.items()])
-    x = df.select("*", F.explode(F.array(new)).alias("_fenced"))
+    # Computed by a projection of their own: an explode over expressions that have no generated code is interpreted.
+    x = df.select("*", new.alias("_new")).select(*df.columns, F.explode(F.array("_new")).alias("_fenced"))
     return x.select(*[F.col(f"`{c}`") for c in df.columns if c not in cols], "_fenced.*")

@@ -7,13 +7,15 @@ guards and key checks are narrow and run inside one codegen stage.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blocklake import schemas as S
 from blocklake.functions.columns import edge_of, is_deletion, is_valid_key, order_id
 from blocklake.functions.fence import fence
-from blocklake.functions.json_text import is_one_value, is_plain, marked, unmarked, unmarked_key
+from blocklake.functions.json_text import is_plain, let, readied, unmarked, unmarked_key
 from blocklake.operators.latest import latest_by
 from blocklake.operators.routing import reject_rows
 
@@ -26,6 +28,21 @@ EDGE_KEY = ["edge_type", "target", "source"]
 EDGE_VERSION = ["block_height", "order_id", "is_deletion", "value", "current_account_id"]
 
 
+@lru_cache(maxsize=4)
+def _json_columns(app: str) -> tuple[Column, Column]:
+    """Whether `data` is plain JSON, and the text to parse: long expressions, built once an application."""
+    txt = F.col("data").cast("string")
+    return is_plain(txt), F.when(F.col("_plain"), txt).otherwise(let(txt, readied))
+
+
+@lru_cache(maxsize=4)
+def _pair_columns(app: str) -> tuple[Column, Column]:
+    """A parsed object's entry (`key`, `_val`) as it stood in the text: the key, and the value as compact JSON text."""
+    text = F.to_json("_val")
+    return (F.when(F.col("_plain"), F.col("key")).otherwise(unmarked_key(F.col("key"))).alias("key"),
+            F.when(F.col("_plain"), text).otherwise(unmarked(text)).alias("value"))
+
+
 def classify_kv_blobs(blobs: DataFrame) -> DataFrame:
     """KV-2/KV-3 guards in the reference's order: JSON -> object -> key count -> order_id.
 
@@ -33,15 +50,10 @@ def classify_kv_blobs(blobs: DataFrame) -> DataFrame:
     they are, or through `unmarked`), `order_id` and `reason` (null for an accepted blob). The key count is taken on
     the whole object, before key checks (D5).
     """
-    txt = F.col("data").cast("string")
-    valid = F.is_valid_utf8(txt)
-    # Parse once behind a fence: the accept filter below must not re-parse inside its condition.
-    x = fence(blobs, _plain=F.coalesce(valid & is_plain(txt), F.lit(False)))
-    ready = F.when(F.col("_plain"), txt).when(F.coalesce(valid & is_one_value(txt), F.lit(False)), marked(txt))
-    x = fence(x, _v=F.try_parse_json(ready))
-    obj = F.expr("try_cast(_v AS map<string, variant>)")
-    x = fence(x, _obj=F.when(F.col("_plain"), obj).otherwise(F.transform_keys(obj, lambda k, _: unmarked_key(k))),
-              order_id=order_id())
+    # Parsed once, behind a fence: the accept filter below must not re-parse inside its condition.
+    plain, ready = _json_columns(blobs.sparkSession.sparkContext.applicationId)
+    x = fence(fence(blobs, _plain=plain), _v=F.try_parse_json(ready))
+    x = fence(x, _obj=F.expr("try_cast(_v AS map<string, variant>)"), order_id=order_id())
     reason = (
         F.when(F.col("_v").isNull(), "invalid_json")
         .when(F.col("_obj").isNull(), "not_object")
@@ -58,10 +70,9 @@ def explode_kv(blobs: DataFrame) -> DataFrame:
     the reference's writer spells them (`1.0`, `1e16`).
     """
     ok = classify_kv_blobs(blobs).where(F.col("reason").isNull())
-    e = ok.select(*S.PROVENANCE_COLS, "order_id", "_plain", F.explode("_obj").alias("key", "_val")).where(is_valid_key("key"))
-    e = fence(e.withColumn("_val", F.to_json("_val")))
-    return e.select(*S.PROVENANCE_COLS, "order_id", "key",
-                    F.when(F.col("_plain"), F.col("_val")).otherwise(unmarked(F.col("_val"))).alias("value"))
+    e = ok.select(*S.PROVENANCE_COLS, "order_id", "_plain", F.explode("_obj").alias("key", "_val"))
+    return e.select(*S.PROVENANCE_COLS, "order_id", *_pair_columns(blobs.sparkSession.sparkContext.applicationId)).where(
+        is_valid_key("key"))
 
 
 def kv_rejects(blobs: DataFrame) -> DataFrame:
@@ -76,7 +87,8 @@ def kv_rejects(blobs: DataFrame) -> DataFrame:
         return F.struct(F.lit(stage).alias("stage"), reason.alias("reason"), detail.alias("detail"))
 
     whole = F.array(fault("kv_blob", F.col("reason"), F.col("data").cast("string")))
-    bad_keys = F.filter(F.map_keys("_obj"), lambda k: ~is_valid_key(k))
+    written = F.transform(F.map_keys("_obj"), lambda k: F.when(F.col("_plain"), k).otherwise(unmarked_key(k)))
+    bad_keys = F.filter(written, lambda k: ~is_valid_key(k))
     keys = F.transform(bad_keys, lambda k: fault("kv_key", F.when(
         F.octet_length(k) > S.MAX_KEY_BYTES, "key_too_long").otherwise("invalid_key"), k))
     e = c.select("*", F.explode(F.when(F.col("reason").isNotNull(), whole).otherwise(keys)).alias("_f"))

@@ -36,8 +36,8 @@ def outcome(spark, texts):
     c = K.classify_kv_blobs(blobs(spark, rows))
     reason = {r[0]: r[1] for r in c.select("receipt_id", "reason").collect()}
     pairs = {}
-    spelled = c.select("receipt_id", "_plain", F.explode("_obj").alias("k", "v")).select(
-        "receipt_id", "k", F.when(F.col("_plain"), F.to_json("v")).otherwise(K.unmarked(F.to_json("v"))))
+    spelled = c.select("receipt_id", "_plain", F.explode("_obj").alias("key", "_val")).select(
+        "receipt_id", *K._pair_columns(spark.sparkContext.applicationId))
     for i, k, v in spelled.collect():
         pairs.setdefault(i, {})[k] = v
     made = {"invalid_json": None, "not_object": ""}
