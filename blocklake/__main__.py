@@ -1,6 +1,6 @@
 """Command line: the raw stage and the derived stages as batch jobs or streams, plus maintenance.
 
-    python -m blocklake ingest  --blocks DIR --store ROOT [--format json] [--start-height H] [--stream]
+    python -m blocklake ingest  --blocks DIR --store ROOT [--format json] [--start H|latest] [--stream]
     python -m blocklake index   --store ROOT --suffix kv|fastfs|raw [--stream]
     python -m blocklake merge   --store ROOT --table NAME
     python -m blocklake purge   --store ROOT [--now-us T]
@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--store", required=True)
     ap.add_argument("--blocks")
     ap.add_argument("--format", default="json")
-    ap.add_argument("--start-height", type=int)
+    ap.add_argument("--start", help="first block height of a new store, or latest (the default of a batch)")
     ap.add_argument("--suffix", default="kv")
     ap.add_argument("--table")
     ap.add_argument("--now-us", type=int)
@@ -36,28 +36,26 @@ def main(argv: list[str] | None = None) -> None:
     from blocklake.plans import jobs
     from blocklake.plans.store import Store
     from blocklake.session import get_spark
-    from blocklake.sources.blocks import flatten_blocks, read_blocks
     from blocklake.streaming import writers
 
     spark = get_spark()
     store = Store(spark, a.store)
+    height = int(a.start) if a.start not in (None, jobs.LATEST) else None
     batch_id = a.batch_id if a.batch_id is not None else time.time_ns()
     if a.command == "ingest":
         if a.stream:
             q = writers.start_ingest_stream(spark, a.blocks, store, a.checkpoint, a.format,
                                             max_files_per_trigger=a.max_files_per_trigger,
-                                            start_height=a.start_height)
+                                            start_height=height)
             q.awaitTermination()
         else:
-            # STR-1: go on after the checkpoint, else from the given height.
-            done = store.checkpoint_height(S.UNIVERSAL_SUFFIX)
-            start = done + 1 if done is not None else a.start_height
-            jobs.ingest_calls(store, flatten_blocks(read_blocks(spark, a.blocks, a.format, start)), batch_id)
+            # STR-1: what has not been read yet, from where the store began.
+            print(jobs.ingest_files(store, a.blocks, batch_id, a.format, a.start))
     elif a.command == "index":
         if a.stream:
-            q = writers.start_standard_stream(spark, store.path("blobs"), store, a.suffix, a.checkpoint,
+            q = writers.start_standard_stream(spark, store.path("blobs"), store, a.suffix, a.checkpoint, raw=store,
                                               max_files_per_trigger=a.max_files_per_trigger,
-                                              start_height=a.start_height)
+                                              start_height=height)
             q.awaitTermination()
         else:
             print(jobs.index_pending(store, batch_id, a.suffix))

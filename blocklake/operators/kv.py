@@ -63,15 +63,15 @@ def classify_kv_blobs(blobs: DataFrame) -> DataFrame:
     return x.withColumn("reason", reason).drop("_v")
 
 
-def explode_kv(blobs: DataFrame) -> DataFrame:
-    """KV-1/4/5: one row per accepted key with its value as compact JSON text (S_KV_SCHEMA columns).
+def explode_kv(blobs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """KV-1/4/5: one row per accepted key with its value as compact JSON text (S_KV_SCHEMA columns, then `keep`).
 
     A JSON string keeps its quotes and JSON null is the 4-character text `null` (D8); numbers are spelled as
     the reference's writer spells them (`1.0`, `1e16`).
     """
     ok = classify_kv_blobs(blobs).where(F.col("reason").isNull())
-    e = ok.select(*S.PROVENANCE_COLS, "order_id", "_plain", F.explode("_obj").alias("key", "_val"))
-    return e.select(*S.PROVENANCE_COLS, "order_id", *_pair_columns(blobs.sparkSession.sparkContext.applicationId)).where(
+    e = ok.select(*S.PROVENANCE_COLS, "order_id", *keep, "_plain", F.explode("_obj").alias("key", "_val"))
+    return e.select(*S.PROVENANCE_COLS, "order_id", *_pair_columns(blobs.sparkSession.sparkContext.applicationId), *keep).where(
         is_valid_key("key"))
 
 

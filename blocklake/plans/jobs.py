@@ -13,10 +13,15 @@ from blocklake import schemas as S
 from blocklake.operators.kv import unknown_accounts
 from blocklake.operators.routing import by_suffix, to_blobs
 from blocklake.plans.store import Store
+from blocklake.sources.blocks import flatten_blocks, read_blocks
 from blocklake.sources.validate import validate_rows
 from blocklake.streaming.registry import STANDARDS, Cache, Standard
 
 
+# The checkpoint row that keeps where a store began (no standard can have this name).
+START_SUFFIX = "*start"
+
+
 def _batch_height(df: DataFrame, upper_bound: int | None) -> int | None:
     """D21: the newest height a batch is known to cover: its rows' and the bound it has read up to.
 
@@ -41,6 +46,43 @@ def ingest_calls(store: Store, calls: DataFrame, batch_id: int, upper_bound: int
         store.write_meta(S.UNIVERSAL_SUFFIX, h)
 
 
+LATEST = "latest"
+
+
+def new_block_files(store: Store, path: str) -> DataFrame:
+    """(path): files below `path` that the raw stage has not read yet, by a listing that opens none of them."""
+    files = store.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    return files.join(store.ingested_files().select("path"), "path", "left_anti")
+
+
+def ingest_files(store: Store, path: str, batch_id: int, fmt: str = "json", start: int | str | None = None,
+                 args_encoding: str = "base64") -> list[str]:
+    """Raw stage over a folder of block files: read what has not been read yet, whatever its heights (STR-1, STR-8).
+
+    The ledger of read files decides, so a file of older blocks that arrives late is still ingested. `start` holds for the
+    first run alone: a height, or `latest` (also where it is None), which takes from each later run what is newer than
+    the newest block found at the first. That height is kept with the checkpoint. A crash before the ledger is
+    written reads the files again; the blobs are unique on their key. Returns the files read.
+    """
+    files = new_block_files(store, path)
+    paths = [r[0] for r in files.collect()]  # one name a new file: what a reader's own listing holds
+    if not paths:
+        return []
+    blocks = read_blocks(store.spark, paths, fmt)
+    first = store.checkpoint_height(START_SUFFIX)
+    if first is None:
+        if start is None or start == LATEST:
+            newest = blocks.agg(F.max("block.header.height")).first()[0]
+            first = newest if newest is not None else 0
+        else:
+            first = int(start)
+        store.write_meta(START_SUFFIX, first)
+    kept = blocks.where(F.col("block.header.height") >= first)
+    ingest_calls(store, flatten_blocks(kept, args_encoding), batch_id)
+    store.mark_ingested(files, batch_id)
+    return sorted(paths)
+
+
 def index_standard(store: Store, blobs: DataFrame, batch_id: int, standard: Standard | str,
                    upper_bound: int | None = None) -> dict[str, DataFrame]:
     """Derived stage: one standard's tables from its blobs, written as deltas; checkpoint after data."""

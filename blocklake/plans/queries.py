@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from blocklake import schemas as S
 from blocklake.functions.columns import lww_version, order_id
@@ -20,7 +21,7 @@ from blocklake.operators import kv as K
 from blocklake.operators import reports as RP
 from blocklake.operators import routing as R
 from blocklake.plans import lookups as Q
-from blocklake.plans.jobs import index_pending, index_standard, ingest_calls
+from blocklake.plans.jobs import index_pending, index_standard, ingest_calls, ingest_files
 from blocklake.plans.latest_table import LatestTable
 from blocklake.plans.published import Published, publish
 from blocklake.plans.store import Store, expire, scan_suffix
@@ -30,7 +31,7 @@ from blocklake.sources.blocks import flatten_blocks as flatten
 from blocklake.sources.blocks import read_blocks, split_malformed
 from blocklake.sources.validate import validate_rows
 from blocklake.streaming.registry import STANDARDS, Cache, Standard, file_standard
-from blocklake.streaming.writers import start_standard_stream
+from blocklake.streaming.writers import start_history_stream, start_latest_stream, start_standard_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -644,3 +645,45 @@ def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     std = Standard(S.FILES_SUFFIX, file_standard(FX.DOC_ALIGNMENT), (S.FILE_CHUNKS_TABLE,))
     store = _stream_store(spark, sf_dir, doc_blobs(spark, sf_dir), std)
     return _chunk_view(store.table(S.FILE_CHUNKS_TABLE))
+
+
+def _replayed_files(spark: SparkSession, sf_dir: str, start: Callable[[str], StreamingQuery]) -> None:
+    """Run a stream over the blobs in height-ordered files, one a micro-batch; then once more with the first replayed."""
+    src = scratch_path(spark, "stream-src")
+    event_blobs(spark, sf_dir).repartitionByRange(STREAM_FILES, "block_height").write.parquet(src)
+    first = sorted(spark.read.schema(S.BLOBS_SCHEMA).parquet(src).inputFiles())[:1]
+    start(src).awaitTermination()
+    for f in first:
+        spark.read.schema(S.BLOBS_SCHEMA).parquet(f).coalesce(1).write.mode("append").parquet(src)
+        start(src).awaitTermination()
+
+
+@query
+def stream_state_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-6: `s_kv_last` by a streaming argmax in the state store, changed keys merged into the table."""
+    table = LatestTable(spark, scratch_path(spark, "merged"), "s_kv_last")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    _replayed_files(spark, sf_dir, lambda src: start_latest_stream(
+        spark, src, table, ckpt, available_now=True, max_files_per_trigger=1))
+    return table.snapshot()
+
+
+@query
+def stream_state_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-7: `s_kv` appended by a stream that drops known keys; the replayed file adds no row, nothing is merged."""
+    path, ckpt = scratch_path(spark, "history"), scratch_path(spark, "stream-ckpt")
+    _replayed_files(spark, sf_dir, lambda src: start_history_stream(
+        spark, src, path, ckpt, available_now=True, max_files_per_trigger=1))
+    return spark.read.schema(S.S_KV_SCHEMA).parquet(path)
+
+
+@query
+def late_files_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1/8: block files of newer blocks first, the older ones into the same folder later; all calls are stored."""
+    store, src = Store(spark, scratch_path(spark, "store")), scratch_path(spark, "blocks-json")
+    blocks = FX.blocks_from_orders(configure(spark), sf_dir)
+    late = F.col("block.header.height") % 2 == 0
+    for i, half in enumerate([~late, late]):
+        blocks.where(half).write.mode("append").json(src)
+        ingest_files(store, src, i, start=BLOCK_FEED_START)
+    return _text(store.table("blobs").drop("ingest_ts_us", "ingest_day"))

@@ -124,6 +124,27 @@ class Store:
         rows = self.spark.createDataFrame([(suffix, i) for i in ids], S.INDEXED_SCHEMA)
         rows.coalesce(1).write.mode("append").parquet(self.path("indexed"))
 
+    # Source files of the raw stage (STR-1/8): what has been read decides what is new, not heights.
+    def ingested_files(self) -> DataFrame:
+        if not self.exists("ingested"):
+            return self.spark.createDataFrame([], S.INGESTED_SCHEMA)
+        return self.spark.read.schema(S.INGESTED_SCHEMA).parquet(self.path("ingested"))
+
+    def mark_ingested(self, files: DataFrame, batch_id: int) -> None:
+        (files.select("path", F.lit(int(batch_id)).alias("batch_id")).coalesce(1).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path("ingested")))
+
+    # Blobs a stream has read beyond the raw stage's checkpoint (STR-2), by the delta that held them.
+    def hold_blobs(self, suffix: str, delta: int, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(self.path(f"held/{suffix}/delta={delta}"))
+
+    def held_blobs(self, suffix: str, first: int, delta: int) -> DataFrame:
+        """What the micro-batch before `delta` held (none before a writer's first)."""
+        before = f"held/{suffix}/delta={delta - 1}"
+        if delta <= first or not self.exists(before):
+            return self.spark.createDataFrame([], S.BLOBS_SCHEMA)
+        return self.spark.read.schema(S.BLOBS_SCHEMA).parquet(self.path(before))
+
     def _indexed(self) -> DataFrame:
         return self.spark.read.schema(S.INDEXED_SCHEMA).parquet(self.path("indexed"))
 
@@ -266,14 +287,18 @@ class Store:
     def readings(self) -> DataFrame:
         return self.spark.read.schema(S.READINGS_SCHEMA).parquet(self.path("meta_readings"))
 
-    def meta(self) -> DataFrame:
+    def _checkpoints(self) -> DataFrame:
         return self.spark.read.schema(S.META_SCHEMA).parquet(self.path("meta"))
 
+    def meta(self) -> DataFrame:
+        """Checkpoints of the raw stage and the standards (not the store's start position)."""
+        return self._checkpoints().where(~F.col("suffix").startswith("*") | (F.col("suffix") == S.UNIVERSAL_SUFFIX))
+
     def checkpoint_height(self, suffix: str) -> int | None:
         """SRC-6: last processed height of `suffix` (None when absent; negative is an error)."""
         if not self.exists("meta"):
             return None
-        rows = self.meta().where(F.col("suffix") == suffix).limit(1).collect()
+        rows = self._checkpoints().where(F.col("suffix") == suffix).limit(1).collect()
         if not rows:
             return None
         h = rows[0]["last_processed_block_height"]

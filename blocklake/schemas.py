@@ -119,6 +119,9 @@ FILE_CHUNKS_SCHEMA = _struct(
 # Blobs deltas each standard has indexed.
 INDEXED_SCHEMA = _struct(("suffix", S, False), ("batch_id", L, False))
 
+# Source files the raw stage has read.
+INGESTED_SCHEMA = _struct(("path", S, False), ("batch_id", L, False))
+
 META_SCHEMA = _struct(("suffix", S, False), ("last_processed_block_height", L, False))
 
 

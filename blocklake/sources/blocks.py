@@ -12,7 +12,7 @@ from blocklake import schemas as S
 CORRUPT = "_corrupt_record"
 
 
-def read_blocks(spark: SparkSession, path: str, fmt: str = "json", start_height: int | None = None,
+def read_blocks(spark: SparkSession, path: str | list[str], fmt: str = "json", start_height: int | None = None,
                 streaming: bool = False, max_files_per_trigger: int | None = None,
                 on_error: str = "fail") -> DataFrame:
     """Blocks with the explicit BLOCK_SCHEMA (never inferred), from `start_height` on.

@@ -395,6 +395,11 @@ EXCEPT SELECT current_account_id, key, predecessor_id FROM kv WHERE block_height
     "published_upload_chunks": with_files(
         f"SELECT {CHUNK_COLS} FROM chunks WHERE predecessor_id = 'src3' AND current_account_id = 'en.fs.near' "
         "AND relative_path = 'src3/en/243.txt' AND nonce = 244"),
+    "stream_state_last": with_calls(f"SELECT {KV_COLS} FROM kv_last"),
+    "stream_state_history": with_calls(f"SELECT {KV_COLS} FROM kv"),
+    "late_files_ingested": f"""SELECT receipt_id, action_index, substr(method_name, 12) AS suffix, block_height // 10000 AS block_height_bucket,
+       args AS data, tx_hash, signer_id, predecessor_id, current_account_id, block_height, block_timestamp, shard_id, receipt_index
+FROM ({FLATTEN}) WHERE block_height >= 100000010""",
     "stream_kv_last": with_calls(f"SELECT {KV_COLS} FROM kv_last"),
     "stream_kv_edges": with_calls("SELECT * FROM kv_edges"),
     "stream_files": with_files(f"SELECT {CHUNK_COLS} FROM chunks"),
