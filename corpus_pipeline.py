@@ -19,28 +19,41 @@ from blocklake.llm.sentencepiece import encode, load_vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality classifier accepts; learnt from the labels that op5 may learn from."""
+    """Documents the quality classifier accepts; learnt from the labels that op5 may learn from.
+
+    Null and empty texts are scored like any other; rows that repeat a document are judged alike.
+    """
     return keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that repeat an earlier one, exactly or within two edits; `n_chars` follows the text."""
-    out = dedup_lines(docs)
+    """Texts without lines that repeat an earlier one, exactly or within two edits; `n_chars` follows the text.
+
+    Lines under 24 characters are told apart by equality, blank ones always stay. Null and empty texts stay; a document
+    that loses every line goes.
+    """
+    out = dedup_lines(docs, short=True)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its shingles of five words."""
+    """One document of each group that shares four fifths of its shingles of five words.
+
+    The smallest id of a group stays, one row where rows repeat it; texts without words stay all.
+    """
     return drop_near_duplicates(docs, width=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words stand in benchmark windows."""
+    """Documents of which less than a twentieth of the words stand in benchmark windows; texts without words stay."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, with the SentencePiece ids of every text."""
+    """What is left, with the SentencePiece ids of every text (none for null and empty texts).
+
+    Columns called `ids` or `n_tokens` are replaced.
+    """
     out = encode(docs, load_vocabulary())
     return out.withColumn("n_tokens", F.size("ids").cast("long"))
 
