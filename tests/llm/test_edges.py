@@ -231,7 +231,8 @@ def test_pipeline_stages(spark, docs, none):
         assert set(shaped(docs).columns) <= set(got.columns), name
         if name in ("line_dedup", "near_dedup", "decontaminate", "token_ids"):
             left = {(r.doc_id, r.text) for r in got.select("doc_id", "text").collect()}
-            assert {(2, None), (3, ""), (None, None), (5, LONG)} <= left, name
+            long = LONG.removesuffix("end\n") if name == "line_dedup" else LONG  # its short last line is there twice
+            assert {(2, None), (3, ""), (None, None), (5, long)} <= left, name
         assert stage(spark, shaped(none), sf).count() == 0, name
     assert cp.ORACLE_SQL is None and len(cp.STAGES) == 5
 
