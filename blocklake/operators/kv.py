@@ -195,11 +195,17 @@ def mv_kv_cur_key(history: DataFrame) -> DataFrame:
 
 
 def derive_kv_tables(kv: DataFrame, cache=None) -> dict[str, DataFrame]:
-    """Every KV table of one batch of exploded rows (SNK-5 fan-out); `cache` may persist `last`."""
-    last = kv_last(kv)
+    """Every KV table of one batch of exploded rows (SNK-5 fan-out).
+
+    With a `cache` the history is made first and the rest derives from it, so the rows are parsed once; the latest
+    rows, which feed five tables, are made once as well.
+    """
     history = kv_history(kv)
     if cache is not None:
-        last, history = cache(last), cache(history)
+        kv = history = cache.table("s_kv", history)
+    last = kv_last(kv)
+    if cache is not None:
+        last = cache.table("s_kv_last", last)
     return {
         "s_kv": history,
         # The two access paths of the history, clustered by key and by contract (KV-15/16).

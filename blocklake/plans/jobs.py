@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from blocklake import schemas as S
 from blocklake.operators.kv import unknown_accounts
 from blocklake.operators.routing import by_suffix, to_blobs
+from blocklake.plans.latest_table import LatestTable
 from blocklake.plans.store import Store
 from blocklake.sources.blocks import flatten_blocks, read_blocks
 from blocklake.sources.validate import validate_rows
@@ -85,16 +86,24 @@ def ingest_files(store: Store, path: str, batch_id: int, fmt: str = "json", star
 
 def index_standard(store: Store, blobs: DataFrame, batch_id: int, standard: Standard | str,
                    upper_bound: int | None = None) -> dict[str, DataFrame]:
-    """Derived stage: one standard's tables from its blobs, written as deltas; checkpoint after data."""
+    """Derived stage: one standard's tables from its blobs, written as deltas; checkpoint after data.
+
+    Tables that others derive from are written first, and read back as this batch's delta.
+    """
     std = STANDARDS[standard] if isinstance(standard, str) else standard
-    cache = Cache()
     mine = by_suffix(blobs, std.suffix)
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        store.write_delta(name, df, batch_id)
+        return store.delta(name, batch_id).drop("bucket", "batch_id")
+
+    cache = Cache(write)
     try:
-        tables = std.transform(mine, cache)
+        tables = std.run(mine, cache, upper_bound)
         if "kv_accounts" in tables and store.exists("kv_accounts"):
             # A set that only grows: what is stored already, a replayed batch's own rows included, is not written again.
             tables["kv_accounts"] = unknown_accounts(tables["kv_accounts"], store.raw("kv_accounts"))
-        store.write_tables(tables, batch_id)
+        store.write_tables({n: df for n, df in tables.items() if n not in cache.written}, batch_id)
         h = _batch_height(mine, upper_bound)
         if h is not None:
             store.write_meta(std.suffix, h)
@@ -103,6 +112,18 @@ def index_standard(store: Store, blobs: DataFrame, batch_id: int, standard: Stan
         cache.release()
 
 
+def merge_standard(store: Store, blobs: DataFrame, standard: Standard | str,
+                   upper_bound: int | None = None) -> dict[str, list[int]]:
+    """Derived stage onto tables kept merged (SNK-7): per table, the buckets this batch has rewritten."""
+    std = STANDARDS[standard] if isinstance(standard, str) else standard
+    cache = Cache()
+    try:
+        tables = std.run(by_suffix(blobs, std.suffix), cache, upper_bound)
+        return {name: LatestTable(store.spark, f"{store.root}/merged", name).upsert(df) for name, df in tables.items()}
+    finally:
+        cache.release()
+
+
 def index_pending(store: Store, batch_id: int, standard: Standard | str) -> list[int]:
     """Index every stored blobs delta that `standard` has not indexed yet; returns their ids.
 

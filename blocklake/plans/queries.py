@@ -253,6 +253,22 @@ def raw_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STANDARDS[S.RAW_SUFFIX].transform(R.by_suffix(event_blobs(spark, sf_dir), S.RAW_SUFFIX), Cache())["s_raw"]
 
 
+BLOCK_CALLS = Standard(S.RAW_SUFFIX, lambda blobs, cache, ends: {"s_block_calls": ends.join(
+    blobs.groupBy("block_height").agg(F.count(F.lit(1)).alias("n_calls")), "block_height", "left").select(
+        "block_height", F.coalesce("n_calls", F.lit(0).cast("long")).alias("n_calls"))}, ("s_block_calls",), ends=True)
+
+
+@query
+def block_call_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT-1, STR-3: a standard that counts its calls per complete block, the bound of every batch included."""
+    store = Store(spark, scratch_path(spark, "store"))
+    calls = event_calls(spark, sf_dir)
+    for i, half in enumerate([F.col("block_height") <= SCAN_HI, F.col("block_height") > SCAN_HI]):
+        ingest_calls(store, calls.where(half), batch_id=i)
+        index_pending(store, i, BLOCK_CALLS)
+    return store.table("s_block_calls")
+
+
 # ------------------------------------------------------------------ lookups
 @query
 def get_latest(spark: SparkSession, sf_dir: str) -> DataFrame:

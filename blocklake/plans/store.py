@@ -149,9 +149,9 @@ class Store:
         return self.spark.read.schema(S.INDEXED_SCHEMA).parquet(self.path("indexed"))
 
     def merge(self, name: str) -> int | None:
-        """Fold every delta of a derived table into one, bucket by bucket; run it while nobody reads the table.
+        """Fold every delta of a derived table into one; run it while nobody reads the table.
 
-        The merged rows are checkpointed, written as a new delta and the folded deltas' directories removed. A
+        The whole table is written again (`latest_table` rewrites touched buckets alone, beside its readers). The merged rows are checkpointed, written as a new delta and the folded deltas' directories removed. A
         crash in between leaves both, which the merge on read resolves to the same table; a reader that listed
         the old files fails on them and reads again.
         """

@@ -151,6 +151,7 @@ TABLE_SCHEMAS: dict[str, T.StructType] = {
     "s_kv_by_block": _of(S_KV_SCHEMA, only=("predecessor_id", "current_account_id", "block_height", "key", "value",
                                             "block_timestamp", "order_id", "receipt_id", "tx_hash")),
     FILE_CHUNKS_TABLE: FILE_CHUNKS_SCHEMA,
+    "s_block_calls": _struct(("block_height", L, False), ("n_calls", L, False)),
 }
 
 
@@ -248,6 +249,9 @@ CATALOG: dict[str, TableSpec] = {
             sort_by=("predecessor_id", "current_account_id", "block_height", "key"),
             descending=frozenset({"block_height"}),
         ),
+        # Calls of a standard per complete block; a block that was read again with more calls wins.
+        TableSpec("s_block_calls", key=("block_height",), version=("n_calls",), bucket_by=("block_height",),
+                  sort_by=("block_height",)),
         TableSpec(
             FILE_CHUNKS_TABLE,
             key=("predecessor_id", "current_account_id", "relative_path", "nonce", "offset"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -64,7 +65,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
         return d.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder of the cluster")
     d = tempfile.mkdtemp(prefix="blocklake-ckpt-", dir=os.environ.get("BLOCKLAKE_SCRATCH", "/tmp"))
     sc.setCheckpointDir(d)

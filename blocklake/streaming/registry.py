@@ -18,23 +18,37 @@ from blocklake.operators import kv as K
 
 
 class Cache:
-    """Intermediates a transform reuses across several tables; released once the batch is written."""
+    """Intermediates a transform reuses across several tables; released once the batch is written.
 
-    def __init__(self):
+    A table that others derive from is written first, where a store is at hand, and read back from there: the batch is
+    computed once, no executor holds it, and a lost one costs a reading of files. Other intermediates are persisted.
+    """
+
+    def __init__(self, write: Callable[[str, DataFrame], DataFrame] | None = None):
         self.items: list[DataFrame] = []
+        self.write = write
+        self.written: set[str] = set()
 
     def __call__(self, df: DataFrame) -> DataFrame:
         df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
         self.items.append(df)
         return df
 
+    def table(self, name: str, df: DataFrame) -> DataFrame:
+        """Table `name` of the batch, to derive further tables from."""
+        if self.write is None:
+            return self(df)
+        self.written.add(name)
+        return self.write(name, df)
+
     def release(self) -> None:
         for df in self.items:
             df.unpersist()
         self.items.clear()
 
 
-Transform = Callable[[DataFrame, Cache], dict[str, DataFrame]]
+# (blobs, cache), or (blobs, cache, ends) for a standard that asks for block ends, to its tables by name.
+Transform = Callable[..., dict[str, DataFrame]]
 
 
 @dataclass(frozen=True)
@@ -42,24 +56,45 @@ class Standard:
     suffix: str
     transform: Transform
     tables: tuple[str, ...]
+    # Whether the transform is handed the ends of blocks beside the rows.
+    ends: bool = False
+
+    def run(self, blobs: DataFrame, cache: Cache, upper_bound: int | None = None) -> dict[str, DataFrame]:
+        """The standard's tables of one batch of its blobs, read up to `upper_bound`."""
+        if not self.ends:
+            return self.transform(blobs, cache)
+        return self.transform(blobs, cache, block_ends(blobs, upper_bound))
 
 
 STANDARDS: dict[str, Standard] = {}
 
 
+def block_ends(blobs: DataFrame, upper_bound: int | None = None) -> DataFrame:
+    """(block_height): the blocks a batch completes (STR-3): each block of its rows, and the bound it has read up to.
+
+    A block is never split over batches, so all its rows are there; the bound has none where it held no call.
+    """
+    ends = blobs.select("block_height")
+    if upper_bound is not None:
+        ends = ends.unionByName(blobs.sparkSession.range(1).select(F.lit(upper_bound).cast("long").alias("block_height")))
+    return ends.distinct()
+
+
 def register_standard(suffix: str, transform: Transform, tables: dict[str, S.TableSpec] | None = None,
-                      schemas: dict[str, T.StructType] | None = None) -> Standard:
-    """Register a standard; `tables` adds catalog entries for tables the transform emits, `schemas` their columns."""
+                      schemas: dict[str, T.StructType] | None = None, ends: bool = False) -> Standard:
+    """Register a standard; `tables` adds catalog entries for tables the transform emits, `schemas` their columns.
+
+    With `ends` the transform is called with a third argument, the block ends of the batch.
+    """
     S.CATALOG.update(tables or {})
     S.TABLE_SCHEMAS.update(schemas or {})
-    std = Standard(suffix, transform, tuple((tables or {}).keys()))
+    std = Standard(suffix, transform, tuple((tables or {}).keys()), ends)
     STANDARDS[suffix] = std
     return std
 
 
 def _kv_tables(blobs: DataFrame, cache: Cache) -> dict[str, DataFrame]:
-    # The parsed rows feed every table and the latest rows feed five: parse and shuffle once each.
-    return K.derive_kv_tables(cache(K.explode_kv(blobs)), cache)
+    return K.derive_kv_tables(K.explode_kv(blobs), cache)
 
 
 def _file_tables(blobs: DataFrame, cache: Cache, alignment: int = S.OFFSET_ALIGNMENT) -> dict[str, DataFrame]:

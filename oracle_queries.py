@@ -395,6 +395,9 @@ EXCEPT SELECT current_account_id, key, predecessor_id FROM kv WHERE block_height
     "published_upload_chunks": with_files(
         f"SELECT {CHUNK_COLS} FROM chunks WHERE predecessor_id = 'src3' AND current_account_id = 'en.fs.near' "
         "AND relative_path = 'src3/en/243.txt' AND nonce = 244"),
+    "block_call_counts": with_calls(f"""SELECT block_height, CAST(count(*) FILTER (suffix = 'raw') AS BIGINT) AS n_calls
+FROM blobs GROUP BY 1 HAVING count(*) FILTER (suffix = 'raw') > 0 OR block_height IN (
+  (SELECT max(block_height) FROM blobs), (SELECT max(block_height) FROM blobs WHERE block_height <= {SCAN_HI}))"""),
     "stream_state_last": with_calls(f"SELECT {KV_COLS} FROM kv_last"),
     "stream_state_history": with_calls(f"SELECT {KV_COLS} FROM kv"),
     "late_files_ingested": f"""SELECT receipt_id, action_index, substr(method_name, 12) AS suffix, block_height // 10000 AS block_height_bucket,
