@@ -4,13 +4,16 @@ Two lines within `threshold` edits: the shorter, cut into threshold + 1 segments
 holds unchanged near the same place. Every line indexes its segments and probes with the substrings that a
 partner of its length, or up to `threshold` shorter, could hold there (multi-match-aware positions). Keys are
 hashes of (length, segment, substring). Only keys that two different lines meet under are joined; there the
-lines themselves are compared inside the join, so no pair leaves it that is not a link. Verification trims the
+lines themselves are compared inside the join, so no pair leaves it that is not a link. Where too many lines share a
+segment (lines of one template), they meet instead under eight segments without two, in blocks of bounded size. Verification trims the
 common ends and runs a banded bit-parallel edit distance over what is left. Lines too short for the segments can be
 decided by equality alone (`short`): they pass through the same aggregate and never enter the join.
 """
 
 from __future__ import annotations
 
+from itertools import combinations, product
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,9 @@ from blocklake.llm.components import connected_components
 
 THRESHOLD = 2
 MIN_CHARS = 24
+MASK_PARTS = 8  # segments of a line whose single segments are too common to be keys
+HOT_PAIRS = 1 << 16  # pairs that may be compared under one key; above, lines meet under masks
+BLOCK_LINES = 256  # lines of a mask's group that one key of the join holds
 
 
 def with_keys(lines: DataFrame, threshold: int) -> DataFrame:
@@ -51,6 +57,38 @@ def with_keys(lines: DataFrame, threshold: int) -> DataFrame:
     return rows.select(*lines.columns, key.alias("key"), own.alias("own"))
 
 
+def with_masks(lines: DataFrame, threshold: int, parts: int = MASK_PARTS) -> DataFrame:
+    """As `with_keys`, with longer keys: a line without `threshold` of its segments.
+
+    The edits between two lines fall into at most `threshold` segments of the shorter, so outside some choice of
+    that many segments the lines are equal, moved by the net insertions before each place. A line of a common
+    template thus meets only lines that agree with it in nearly all of what is its own as well.
+    """
+    parts = max(parts, threshold + 1)
+    moves = [(delta, d) for delta in range(threshold + 1) for d in product(range(-threshold, threshold + 1), repeat=threshold)
+             if sum(d) == delta and sum(map(abs, d)) <= threshold]
+    masks = list(combinations(range(parts), threshold))
+    code = F.array(*[F.lit(i) for i in range(len(masks) * len(moves))])
+    of = lambda values: F.array(*[F.array(*map(F.lit, v)) for v in values])
+    rows = lines.select("*", F.char_length("line").alias("_n"), F.encode("line", "UTF-32").alias("_wide"))
+    rows = rows.select("*", F.explode(code).alias("_p"))
+    rows = rows.withColumns({"_mask": F.expr(f"_p div {len(moves)}").cast("int"), "_move": (F.col("_p") % len(moves)).cast("int")})
+    rows = rows.withColumns({"_out": F.get(of(masks), F.col("_mask")),
+                             "_d": F.get(of([d for _, d in moves]), F.col("_move")),
+                             "_m": F.col("_n") - F.get(F.array(*[F.lit(delta) for delta, _ in moves]), F.col("_move"))})
+    size, longer = F.expr(f"_m div {parts}").cast("int"), F.col("_m") % parts
+    start = lambda i: size * i + F.greatest(longer - parts + i, F.lit(0))
+    runs, low, shift = [], F.lit(0), F.lit(0)
+    for r in range(threshold + 1):
+        high = start(F.get("_out", F.lit(r))) if r < threshold else F.col("_m")
+        runs.append(F.substring("_wide", (low + shift) * 4 + 1, (high - low) * 4))
+        if r < threshold:
+            low, shift = start(F.get("_out", F.lit(r)) + 1), shift + F.get("_d", F.lit(r))
+    key = F.xxhash64("_m", "_mask", *runs)
+    own = F.forall("_d", lambda x: x == 0).cast("int")  # moves that cancel out are probes
+    return rows.where("_m >= 0").select(*lines.columns, key.alias("key"), own.alias("own"))
+
+
 def _common_prefix(a: Column, b: Column, most: Column) -> Column:
     """Length of the common prefix, by halving; `most` is the shorter length (below 2^26)."""
     step = lambda at, k: F.when((at + k <= most) & (
@@ -151,14 +189,35 @@ def line_links(lines: DataFrame, threshold: int) -> DataFrame:
     near = materialize(keyed.join(sized(met), "key", "left_semi").select("line").distinct(), "near-lines")
     near = with_keys(near.select(F.md5("line").alias("id"), "line"), threshold)
     near = materialize(near.join(sized(met), "key", "left_semi"), "near-keys")
-    a, b = near.where("own = 1").alias("a"), near.alias("b")
+    per = near.groupBy("key").agg(F.sum("own").alias("n_own"), F.count(F.lit(1)).alias("n_all"))
+    hot = materialize(per.where(F.col("n_own") * F.col("n_all") > HOT_PAIRS).select("key"), "hot-keys")
+    if hot.isEmpty():
+        return _links(near.withColumn("block", F.lit(0)), threshold).distinct()
+    # Two lines that meet under hot keys alone are both in `common`, and masks by themselves find all its links.
+    cold = near.join(sized(hot), "key", "left_anti").withColumn("block", F.lit(0))
+    common = materialize(near.join(sized(hot), "key", "left_semi").select("id", "line").distinct(), "common-lines")
+    masked = with_masks(common, threshold)
+    met = masked.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.sum("own").alias("n_own"))
+    met = materialize(met.where("least != most AND n_own > 0").select("key", F.expr(
+        f"cast((n_own - 1) div {BLOCK_LINES} as int)").alias("last")), "met-masks")
+    masked = masked.join(sized(met), "key")
+    # A group of many lines is compared in blocks: an own entry is in one of them, a probe goes to each.
+    block = F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int")
+    own = masked.where("own = 1").select("id", "line", "key", "own", block.alias("block"))
+    probes = masked.select("id", "line", "key", "own", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("block"))
+    return _links(cold, threshold).unionByName(_links(probes, threshold, own)).distinct()
+
+
+def _links(near: DataFrame, threshold: int, own: DataFrame | None = None) -> DataFrame:
+    """(a, b) of the lines that meet under one (key, block) and are within `threshold` edits."""
+    a, b = (near.where("own = 1") if own is None else own).alias("a"), near.alias("b")
     # The lines are compared in the join's condition: pairs that are not links never become rows. Spark's own
     # banded distance, which is compiled, goes first; the bit-parallel one decides what it leaves.
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") != F.col("b.id"))
-                   & ((F.col("b.own") == 0) | (F.col("a.id") < F.col("b.id")))
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.block") == F.col("b.block"))
+                   & (F.col("a.id") != F.col("b.id")) & ((F.col("b.own") == 0) | (F.col("a.id") < F.col("b.id")))
                    & (F.levenshtein("a.line", "b.line", threshold) >= 0)
                    & within(F.col("a.line"), F.col("b.line"), threshold))
-    return pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+    return pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"))
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD,

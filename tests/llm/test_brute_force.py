@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from blocklake.llm import packing
+from blocklake.llm import line_dedup, packing
 from blocklake.llm import pseudonyms as ps
 from blocklake.llm import sentencepiece as sp
 from blocklake.llm.components import connected_components
@@ -221,6 +221,42 @@ def test_line_report(spark):
     assert {r.doc_id: tuple(r)[1:] for r in line_report(df).collect()} == want
 
 
+def test_lines_of_one_template(spark, monkeypatch):
+    """Lines that share nearly all their segments meet under masks, in blocks, and lose no link."""
+    monkeypatch.setattr(line_dedup, "HOT_PAIRS", 100)
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", 16)
+    rng = random.Random(4)
+    lines = set()
+    while len(lines) < 400:
+        base = f"Published on 20{rng.randrange(10, 20)}-0{rng.randrange(1, 9)} by {rng.choice(['ana', 'bert é', 'c'])} in room {rng.randrange(40)}"
+        lines.add(base)
+        lines.add(_mutated(rng, base, rng.randrange(1, 4), "ab 0é😀"))
+    lines |= {_mutated(rng, "a line of its own, like no other one", rng.randrange(3), "abc") for _ in range(20)}
+    texts = sorted(x for x in lines if len(x) >= 24)
+    n = Counter()
+    for k, a in enumerate(texts):
+        for b in texts[:k]:
+            if abs(len(a) - len(b)) <= 2 and _edits(a, b, 2) <= 2:
+                n.update((a, b))
+    assert sum(n.values()) > 1000 and len(n) < len(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {texts[r.doc_id]: r.n_links for r in line_report(df).collect()} == {t: n[t] for t in texts}
+
+
+@pytest.mark.parametrize("threshold", [1, 2, 3])
+def test_masks_meet(spark, threshold):
+    """Every two lines within the threshold share a mask that one of them owns."""
+    rng = random.Random(threshold)
+    pairs = []
+    for i in range(400):
+        a = "".join(rng.choices("abc é😀", k=rng.choice([8, 9, 17, 24, 61])))
+        b = _mutated(rng, a, threshold, "abcé")
+        pairs += [(i, 0, a), (i, 1, b)] if a != b else []
+    keyed = line_dedup.with_masks(spark.createDataFrame(pairs, "i int, side int, line string"), threshold)
+    met = keyed.groupBy("i", "key").agg(F.count_distinct("side").alias("n"), F.max("own").alias("own")).where("n = 2 AND own = 1")
+    assert met.select("i").distinct().count() == len(pairs) // 2
+
+
 def test_pieces_equal_merges():
     """Ids equal those of merging pairs one by one, and of the library that defines the vocabulary."""
     from sentencepiece import SentencePieceProcessor
