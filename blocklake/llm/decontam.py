@@ -15,6 +15,7 @@ from blocklake.llm.common import lower_ascii, materialize, sized, text_key, word
 
 
 INDEX_ROWS = 200_000  # windows, of some hundred bytes each, that may be broadcast
+VOCAB_ROWS = 1_000_000  # words of the index that may be broadcast
 
 
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", width: int = 13) -> DataFrame:
@@ -39,6 +40,41 @@ def rare_first(docs: DataFrame, wins: DataFrame) -> DataFrame:
     return ranked.where("rare.freq > 0").select("rare.word", "rare.off", F.size("win").alias("len"), "win")
 
 
+def occurrences(split: DataFrame, index: DataFrame) -> DataFrame:
+    """(doc_id, tk, start, stop, win) of all windows, by a broadcast of the index to the texts.
+
+    One more row per document, an empty window after its last word, carries its word count through the same pass.
+    """
+    end = split.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(0).alias("off"), F.lit(0).alias("len"),
+                                             F.array().cast("array<string>").alias("win"))
+    start = F.col("pos") - F.col("off")
+    found = split.select("doc_id", "tk", "w", F.posexplode(F.array_append("w", "")).alias("pos", "word")).join(
+        F.broadcast(index.unionByName(end)), "word").where((start >= 0) & (start + F.col("len") <= F.size("w")))
+    return found.where(F.slice("w", start + 1, F.col("len")) == F.col("win")).select(
+        "doc_id", "tk", start.alias("start"), (start + F.col("len")).alias("stop"), "win")
+
+
+def shuffled_occurrences(split: DataFrame, index: DataFrame) -> DataFrame:
+    """The rows of `occurrences`, by shuffles: for an index too large to broadcast.
+
+    Words that no window has as its rarest are left out before the shuffle, and a word travels without its text.
+    The windows it meets go to the text by document, which is shuffled once, and only if a window may be in it.
+    """
+    vocab = sized(materialize(index.select("word").distinct(), "prefix-words"), VOCAB_ROWS)
+    at = split.select("doc_id", "tk", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word"))
+    start = F.col("pos") - F.col("off")
+    cand = at.join(vocab, "word", "left_semi").join(index.hint("merge"), "word").where(
+        (start >= 0) & (start + F.col("len") <= F.col("n")))
+    cand = materialize(cand.select("doc_id", "tk", start.alias("start"), "len", "win").distinct(), "window-places")
+    of = cand.select(F.col("doc_id").alias("d"), F.col("tk").alias("k"), "start", "len", "win")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tk") == F.col("k"))
+    texts = split.join(sized(materialize(of.select("d", "k").distinct(), "texts-with-places")), same, "left_semi")
+    found = texts.hint("merge").join(of, same & (F.slice("w", F.col("start") + 1, F.col("len")) == F.col("win")))
+    counts = split.select("doc_id", "tk", F.size("w").alias("start"), F.size("w").alias("stop"),
+                          F.array().cast("array<string>").alias("win"))
+    return found.select("doc_id", "tk", "start", (F.col("start") + F.col("len")).alias("stop"), "win").unionByName(counts)
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", width: int = 13) -> DataFrame:
     """Per document row: `doc_id`, `text_key`, `n_words`, `n_hit`, `n_items`, `items_sha256`, `contaminated`.
@@ -50,16 +86,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     """
     split = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).select("doc_id", text_key(F.col("text")).alias("tk"), words(lower_ascii(F.col("text"))).alias("w"))
     wins = materialize(item_windows(items, item_id, item_text, width), "windows")
-    # One more row per document, at the position after its last word, carries its word count through the same pass.
-    end = split.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(0).alias("off"), F.lit(0).alias("len"),
-                                             F.array().cast("array<string>").alias("win"))
-    index = sized(materialize(rare_first(split, wins).unionByName(end), "prefixes"), INDEX_ROWS)
-    start = F.col("pos") - F.col("off")
-    found = split.select("doc_id", "tk", "w", F.posexplode(F.array_append("w", "")).alias("pos", "word")).join(
-        index, "word").where((start >= 0) & (start + F.col("len") <= F.size("w")))
-    found = found.where(F.slice("w", start + 1, F.col("len")) == F.col("win"))
-    found = materialize(found.select("doc_id", "tk", start.alias("start"), (start + F.col("len")).alias("stop"), "win"),
-                        "occurrences")
+    index = materialize(rare_first(split, wins), "prefixes")
+    found = occurrences(split, index) if index.count() <= INDEX_ROWS else shuffled_occurrences(split, index)
+    found = materialize(found, "occurrences")
     base = found.where("start = stop").select("doc_id", F.col("tk").alias("text_key"), F.col("start").alias("n_words"))
     found = found.where("start < stop").distinct()
     before = Window.partitionBy("doc_id", "tk").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)

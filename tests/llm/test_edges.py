@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from blocklake.llm import decontam
 from blocklake.llm.common import text_key
 from blocklake.llm.decontam import decontaminate, drop_contaminated
 from blocklake.llm.licenses import scan_licenses
@@ -61,6 +62,18 @@ def test_decontaminate(spark, docs, none):
         (1, 29, 28, 2), (2, 14, 1, 1)]
 
 
+def test_decontaminate_beyond_the_broadcast(spark, docs, none, monkeypatch):
+    """An index that is joined by shuffle gives the rows of the broadcast one, without texts beside their words."""
+    items = spark.createDataFrame([(1, "ONE"), (2, None), (None, "text without an id"), (4, BENCH)], "item_id long, text string")
+    own, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
+    rows = lambda: [sorted(map(str, decontaminate(d, i).collect())) for d, i in ((docs, items), (none, items), (own, bench))]
+    want = rows()
+    for vocab in (decontam.VOCAB_ROWS, 0):
+        monkeypatch.setattr(decontam, "INDEX_ROWS", 0)
+        monkeypatch.setattr(decontam, "VOCAB_ROWS", vocab)
+        assert rows() == want
+
+
 def test_license_scan(docs, none):
     got = scan_licenses(docs)
     assert ids(got) == EVERY and scan_licenses(none).count() == 0
