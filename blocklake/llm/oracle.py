@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from blocklake.llm.licenses import PHRASES, TEMPLATES
+from blocklake.llm.licenses import EXCLUDED, PHRASES, REQUIRED, TEMPLATES
 
 _LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = (r"list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -72,6 +72,10 @@ def _values(pairs: dict[str, str]) -> str:
     return ", ".join(f"('{a}', '{b}')" for a, b in pairs.items())
 
 
+def _notices() -> str:
+    return ", ".join(f"('{t}', '{name}', '{REQUIRED.get(name, '')}', '{EXCLUDED.get(name, '')}')" for t, name in TEMPLATES.items())
+
+
 OP10 = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("text")} AS w FROM documents),
 ph AS (SELECT *, string_split(phrase, ' ') AS pw FROM (VALUES {_values(PHRASES)}) v(phrase, label)),
@@ -80,11 +84,15 @@ pl AS (SELECT doc_id, s - 1 AS spot, label
        WHERE w[s:s + len(pw) - 1] = pw),
 b AS (SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word,
              string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM pl GROUP BY 1),
-tm AS (SELECT label, list_distinct({_WORDS.format("text")}) AS tw FROM (VALUES {_values(TEMPLATES)}) v(text, label)),
-blk AS (SELECT doc_id, list_distinct({_WORDS.format("line")}) AS bw
-        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
-hit AS (SELECT doc_id, label, len(list_intersect(bw, tw)) AS shared, len(tw) AS n FROM blk, tm
-        WHERE len(list_intersect(bw, tw)) >= ceil(0.8 * len(tw) - 1e-9)),
+tm AS (SELECT label, list_distinct(ws) AS tw, len(ws) AS n, CASE WHEN req = '' THEN []::VARCHAR[] ELSE string_split(req, ' ') END AS req,
+              CASE WHEN exc = '' THEN []::VARCHAR[] ELSE string_split(exc, ' ') END AS exc
+       FROM (SELECT label, {_WORDS.format("text")} AS ws, req, exc FROM (VALUES {_notices()}) v(text, label, req, exc))),
+win AS (SELECT doc_id, label, tw, req, exc, w[s:s + n - 1] AS ww
+        FROM (SELECT doc_id, w, tm.*, unnest(range(1, greatest(len(w) - n + 1, 1) + 1)) AS s FROM d, tm
+              WHERE list_has_all(w, req) AND len(list_intersect(list_distinct(w), tw)) >= ceil(0.8 * len(tw) - 1e-9))),
+hit AS (SELECT doc_id, label, len(list_intersect(list_distinct(ww), tw)) AS shared, len(tw) AS n FROM win
+        WHERE len(list_intersect(list_distinct(ww), tw)) >= ceil(0.8 * len(tw) - 1e-9)
+              AND list_has_all(ww, req) AND NOT list_has_any(ww, exc)),
 best AS (SELECT doc_id, max(shared::DOUBLE / n) AS best FROM hit GROUP BY 1),
 al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
        FROM (SELECT doc_id, label FROM hit UNION ALL SELECT doc_id, label FROM pl) GROUP BY 1)
