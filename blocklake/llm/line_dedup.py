@@ -190,16 +190,21 @@ def line_links(lines: DataFrame, threshold: int) -> DataFrame:
     near = with_keys(near.select(F.md5("line").alias("id"), "line"), threshold)
     near = materialize(near.join(sized(met), "key", "left_semi"), "near-keys")
     per = near.groupBy("key").agg(F.sum("own").alias("n_own"), F.count(F.lit(1)).alias("n_all"))
-    hot = materialize(per.where(F.col("n_own") * F.col("n_all") > HOT_PAIRS).select("key"), "hot-keys")
+    hot = materialize(per.where(F.col("n_own") * F.col("n_all") > HOT_PAIRS).select(
+        "key", (F.col("n_own") * F.col("n_all")).alias("pairs")), "hot-keys")
     if hot.isEmpty():
         return _links(near.withColumn("block", F.lit(0)), threshold).distinct()
     # Two lines that meet under hot keys alone are both in `common`, and masks by themselves find all its links.
-    cold = near.join(sized(hot), "key", "left_anti").withColumn("block", F.lit(0))
-    common = materialize(near.join(sized(hot), "key", "left_semi").select("id", "line").distinct(), "common-lines")
+    cold = near.join(sized(hot.select("key")), "key", "left_anti").withColumn("block", F.lit(0))
+    common = materialize(near.join(sized(hot.select("key")), "key", "left_semi").select("id", "line").distinct(), "common-lines")
     masked = with_masks(common, threshold)
-    met = masked.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.sum("own").alias("n_own"))
+    met = masked.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.sum("own").alias("n_own"), F.count(F.lit(1)).alias("n_all"))
     met = materialize(met.where("least != most AND n_own > 0").select("key", F.expr(
-        f"cast((n_own - 1) div {BLOCK_LINES} as int)").alias("last")), "met-masks")
+        f"cast((n_own - 1) div {BLOCK_LINES} as int)").alias("last"),
+        (F.col("n_own") * F.col("n_all")).alias("pairs")), "met-masks")
+    # Lines that differ in one place alone meet under many masks; there the segments have fewer pairs to compare.
+    if (met.agg(F.sum("pairs")).first()[0] or 0) >= hot.agg(F.sum("pairs")).first()[0]:
+        return _links(near.withColumn("block", F.lit(0)), threshold).distinct()
     masked = masked.join(sized(met), "key")
     # A group of many lines is compared in blocks: an own entry is in one of them, a probe goes to each.
     block = F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int")
