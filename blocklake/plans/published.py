@@ -1,11 +1,11 @@
 """Serving copies of derived tables in Spark's own bucketed layout (SNK-4), and their access path (SRC-7).
 
 A published table is bucketed by `bucket_key`, a hash of its partition key and a salt, into as many buckets as its size
-asks for, and sorted by its clustering columns inside. The salt is 0 for an ordinary account. An account with more
-rows than a bucket should hold is dealt over several, by the rest of its key; those accounts, at most one for each
-bucket, are listed beside the table. A lookup by partition key is then a filter on one or a few bucket keys:
-Spark opens those buckets alone (SelectedBucketsCount in the plan), and row groups sorted by the clustering columns
-prune prefixes and ranges inside.
+asks for, in rows and in bytes, and sorted by its clustering columns inside. The salt is 0 for an ordinary account. An
+account with more rows than a bucket should hold, or more than a quarter of its bytes, is dealt over several, by the
+rest of its key; those accounts, at most five for each bucket, are listed beside the table. A lookup by partition key
+is then a filter on one or a few bucket keys: Spark opens those buckets alone (SelectedBucketsCount in the plan), and
+row groups sorted by the clustering columns prune prefixes and ranges inside.
 """
 
 from __future__ import annotations
@@ -19,6 +19,19 @@ from blocklake import schemas as S
 from blocklake.plans.bucketed import buckets_for, in_buckets, write_bucketed
 
 ROWS_PER_BUCKET = 1_000_000
+# One task writes a bucket, and rows differ in size: a file chunk holds up to 1 MiB.
+BYTES_PER_BUCKET = 128 << 20
+# A heavy account's bucket keys hold this part of a bucket's bytes: small ones fill the buckets evenly, wherever hashes fall.
+KEYS_A_BUCKET = 4
+
+
+def _row_bytes(df: DataFrame):
+    """About the bytes of a row: those of its texts and binaries, and eight for any other column."""
+    wide = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    n = F.lit(8 * (len(df.columns) - len(wide))).cast("long")
+    for c in wide:
+        n = n + F.coalesce(F.octet_length(c), F.lit(0))
+    return n
 
 
 def _bucket_key(columns, salt):
@@ -43,7 +56,8 @@ class Published:
         salts = found[0][0] if found else 1
         one = self.rows.sparkSession.sql("SELECT 1")
         values = [F.lit(equal[c]) for c in self.spec.bucket_by]
-        return list(one.select(*[_bucket_key(values, F.lit(i)).alias(f"k{i}") for i in range(salts)]).first())
+        each = one.select(F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+        return [r[0] for r in each.select(_bucket_key(values, F.col("salt"))).collect()]
 
     def find(self, starts_with: str | None = None, between: tuple | None = None, after: object = None,
              limit: int | None = None, **equal: object) -> DataFrame:
@@ -74,21 +88,26 @@ class Published:
         return df if limit is None else df.limit(limit)
 
 
-def publish(df: DataFrame, name: str, path: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> Published:
+def publish(df: DataFrame, name: str, path: str, rows_per_bucket: int = ROWS_PER_BUCKET,
+            bytes_per_bucket: int = BYTES_PER_BUCKET) -> Published:
     """Write table `name` (unique on its key, as merged) to `path` in its bucketed layout."""
     spec = S.CATALOG[name]
     by = [*spec.bucket_by]
     spread = [c for c in spec.key if c not in by]
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    # Accounts above a bucket's share: at most total / rows_per_bucket of them. None where nothing is left to deal by.
-    hot = sizes.where(F.lit(bool(spread)) & (F.col("n") > rows_per_bucket)).select(
-        *by, F.ceil(F.col("n") / rows_per_bucket).cast("int").alias("salts"))
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
+    sizes.write.mode("overwrite").parquet(f"{path}-sizes")
+    sizes = df.sparkSession.read.schema(sizes.schema).parquet(f"{path}-sizes")
+    rows_in, bytes_in = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    key_bytes = max(bytes_per_bucket // KEYS_A_BUCKET, 1)
+    # Accounts above a bucket's share: at most rows_in / rows_per_bucket + bytes_in / key_bytes of them. None where
+    # nothing is left to deal by.
+    hot = sizes.where(F.lit(bool(spread)) & ((F.col("n") > rows_per_bucket) | (F.col("b") > key_bytes))).select(
+        *by, F.greatest(F.ceil(F.col("n") / rows_per_bucket), F.ceil(F.col("b") / key_bytes)).cast("int").alias("salts"))
     hot.write.mode("overwrite").parquet(f"{path}-hot")
     hot = df.sparkSession.read.schema(hot.schema).parquet(f"{path}-hot")
     salts = F.coalesce("salts", F.lit(1))
     salt = F.pmod(F.xxhash64(*spread), salts).cast("int") if spread else F.lit(0)
     rows = df.join(F.broadcast(hot), by, "left").withColumn("bucket_key", _bucket_key([F.col(c) for c in by], salt)).select(
         "bucket_key", *df.columns)
-    n = buckets_for(total, rows_per_bucket)
+    n = max(buckets_for(rows_in, rows_per_bucket), buckets_for(bytes_in, bytes_per_bucket))
     return Published(spec, write_bucketed(rows, path, "bucket_key", n, [*spec.sort_by]), hot, n)

@@ -195,3 +195,22 @@ def test_published_descending_order_and_lone_key(spark):
     assert pub.find(predecessor_id="p7").count() == 1
     empty = publish(accounts.limit(0), "all_accounts", scratch_path(spark, "served"))
     assert empty.find(predecessor_id="p7").count() == 0
+
+
+def test_published_chunks_are_dealt_by_bytes(spark):
+    """320 chunks of 16 KiB, 300 of them of one account: too few rows for a second bucket, too many bytes for one."""
+    n, size = 320, 16 << 10
+    owner = F.when(F.col("id") < 300, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 5))
+    chunks = spark.range(n).select(*[{
+        "predecessor_id": owner, "relative_path": F.format_string("f%03d", F.col("id").cast("int")), "offset": F.lit(0),
+        "content": F.encode(F.repeat(F.lit("x"), size), "UTF-8"), "mime_type": F.lit("text/plain"), "full_size": F.lit(size),
+        "nonce": F.lit(0)}.get(f.name, F.lit(BASE.get(f.name))).cast(f.dataType).alias(f.name) for f in S.FILE_CHUNKS_SCHEMA])
+    pub = publish(chunks, S.FILE_CHUNKS_TABLE, scratch_path(spark, "served"), bytes_per_bucket=128 * size)
+    assert pub.buckets == 3 and [r[0] for r in pub.hot.select("predecessor_id").collect()] == ["hot"]
+    a_key = pub.rows.groupBy("bucket_key").agg(F.sum(F.octet_length("content")).alias("b")).agg(F.max("b")).first()[0]
+    assert a_key < 64 * size  # 32 chunks on average: no bucket key holds the account whole
+    hot = pub.find(predecessor_id="hot", current_account_id="app.near").select("relative_path", F.octet_length("content"))
+    assert [tuple(r) for r in hot.collect()] == [(f"f{i:03d}", size) for i in range(300)]
+    one = pub.find(predecessor_id="hot", current_account_id="app.near", relative_path="f007", nonce=0)
+    assert [r["offset"] for r in one.collect()] == [0]
+    assert pub.find(predecessor_id="p0", current_account_id="app.near").count() == 4
