@@ -42,7 +42,9 @@ FILE_PRED, FILE_CONTRACT, FILE_DOC = "src3", "en.fs.near", 243
 LIVE_PRED = "src0"
 SCAN_LO, SCAN_HI = FX.EVENTS_HEIGHT_BASE + 97 * 100, FX.EVENTS_HEIGHT_BASE + 97 * 300
 EXPIRE_NOW_US = 1_707_955_200_000_000  # 2024-02-15 00:00:00 UTC
-STREAM_FILES = 4
+STREAM_BATCHES = 4
+STREAM_FILE_BYTES = 32 << 20  # of blobs in one file of a stream's source
+BLOB_ID_BYTES = 200  # about what a blob holds beside its payload
 BLOCK_FEED_START = FX.BLOCKS_HEIGHT_BASE + 10
 
 
@@ -625,19 +627,36 @@ def published_upload_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ streaming
-def _stream_store(spark: SparkSession, sf_dir: str, blobs: DataFrame, suffix: str | Standard) -> Store:
-    """Blobs split into height-ordered files, one file per micro-batch, and one file replayed."""
+def _stream_files(spark: SparkSession, blobs: DataFrame) -> tuple[str, list[str], int]:
+    """Blobs in height-ordered files: their folder, the files, and how many of them make a micro-batch.
+
+    A run takes a quarter of the files in each micro-batch. Their number follows the size of the blobs, so that a task
+    writes, and later reads, one file of bounded size, and a micro-batch has as many tasks as its input asks for.
+    """
     src = scratch_path(spark, "stream-src")
-    blobs.repartitionByRange(STREAM_FILES, "block_height").write.parquet(src)
-    files = sorted(spark.read.schema(S.BLOBS_SCHEMA).parquet(src).inputFiles())
+    size = blobs.agg(F.sum(F.octet_length("data") + F.lit(BLOB_ID_BYTES).cast("long"))).first()[0] or 0
+    each = max(1, -(-size // (STREAM_BATCHES * STREAM_FILE_BYTES)))
+    blobs.repartitionByRange(STREAM_BATCHES * each, "block_height").write.parquet(src)
+    return src, sorted(spark.read.schema(S.BLOBS_SCHEMA).parquet(src).inputFiles()), each
+
+
+def _replay(spark: SparkSession, src: str, files: list[str]) -> None:
+    """These files' blobs once more, under new names; a block stays in one file."""
+    again = spark.read.schema(S.BLOBS_SCHEMA).parquet(*files)
+    again.repartitionByRange(len(files), "block_height").write.mode("append").parquet(src)
+
+
+def _stream_store(spark: SparkSession, sf_dir: str, blobs: DataFrame, suffix: str | Standard) -> Store:
+    """Blobs streamed in four micro-batches, and the first files replayed in a fifth."""
+    src, files, each = _stream_files(spark, blobs)
     store = Store(spark, scratch_path(spark, "store"))
     ckpt = scratch_path(spark, "stream-ckpt")
-    q = start_standard_stream(spark, src, store, suffix, ckpt, available_now=True, max_files_per_trigger=1)
+    q = start_standard_stream(spark, src, store, suffix, ckpt, available_now=True, max_files_per_trigger=each)
     q.awaitTermination()
     if files:
-        # Replay: the first file again under a new name; the restarted query reads only that file.
-        spark.read.parquet(files[0]).coalesce(1).write.mode("append").parquet(src)
-        q = start_standard_stream(spark, src, store, suffix, ckpt, available_now=True, max_files_per_trigger=1)
+        # The restarted query reads the replayed files alone.
+        _replay(spark, src, files[:each])
+        q = start_standard_stream(spark, src, store, suffix, ckpt, available_now=True, max_files_per_trigger=each)
         q.awaitTermination()
     return store
 
@@ -663,15 +682,13 @@ def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chunk_view(store.table(S.FILE_CHUNKS_TABLE))
 
 
-def _replayed_files(spark: SparkSession, sf_dir: str, start: Callable[[str], StreamingQuery]) -> None:
-    """Run a stream over the blobs in height-ordered files, one a micro-batch; then once more with the first replayed."""
-    src = scratch_path(spark, "stream-src")
-    event_blobs(spark, sf_dir).repartitionByRange(STREAM_FILES, "block_height").write.parquet(src)
-    first = sorted(spark.read.schema(S.BLOBS_SCHEMA).parquet(src).inputFiles())[:1]
-    start(src).awaitTermination()
-    for f in first:
-        spark.read.schema(S.BLOBS_SCHEMA).parquet(f).coalesce(1).write.mode("append").parquet(src)
-        start(src).awaitTermination()
+def _replayed_files(spark: SparkSession, sf_dir: str, start: Callable[[str, int], StreamingQuery]) -> None:
+    """Run a stream over the blobs in four micro-batches; then once more with the first files replayed."""
+    src, files, each = _stream_files(spark, event_blobs(spark, sf_dir))
+    start(src, each).awaitTermination()
+    if files:
+        _replay(spark, src, files[:each])
+        start(src, each).awaitTermination()
 
 
 @query
@@ -679,8 +696,8 @@ def stream_state_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-6: `s_kv_last` by a streaming argmax in the state store, changed keys merged into the table."""
     table = LatestTable(spark, scratch_path(spark, "merged"), "s_kv_last")
     ckpt = scratch_path(spark, "stream-ckpt")
-    _replayed_files(spark, sf_dir, lambda src: start_latest_stream(
-        spark, src, table, ckpt, available_now=True, max_files_per_trigger=1))
+    _replayed_files(spark, sf_dir, lambda src, each: start_latest_stream(
+        spark, src, table, ckpt, available_now=True, max_files_per_trigger=each))
     return table.snapshot()
 
 
@@ -688,8 +705,8 @@ def stream_state_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_state_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-7: `s_kv` appended by a stream that drops known keys; the replayed file adds no row, nothing is merged."""
     path, ckpt = scratch_path(spark, "history"), scratch_path(spark, "stream-ckpt")
-    _replayed_files(spark, sf_dir, lambda src: start_history_stream(
-        spark, src, path, ckpt, available_now=True, max_files_per_trigger=1))
+    _replayed_files(spark, sf_dir, lambda src, each: start_history_stream(
+        spark, src, path, ckpt, available_now=True, max_files_per_trigger=each))
     return spark.read.schema(S.S_KV_SCHEMA).parquet(path)
 
 

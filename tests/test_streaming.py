@@ -3,11 +3,16 @@
 import glob
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from blocklake import schemas as S
 from blocklake.operators import kv as K
 from blocklake.plans import queries as Q
 from blocklake.plans.store import Store
 from blocklake.session import scratch_path
+from blocklake.sources import fixtures as FX
+from blocklake.streaming.registry import Standard, file_standard
 from blocklake.streaming.writers import start_standard_stream
 
 SF = "/root/testdata/sf0.001"
@@ -92,3 +97,23 @@ def test_store_read_gives_user_facing_tables(spark):
     assert _same(store.read("kv_edges"), K.kv_edges(last))
     assert _same(store.read("all_accounts"), K.all_accounts(last))
     assert _same(store.read("kv_reverse"), K.kv_reverse(last))
+
+
+@pytest.mark.parametrize("standard", ["files", "kv"])
+def test_a_larger_stream_has_more_files_of_bounded_size_and_as_many_batches(spark, monkeypatch, standard):
+    blobs, std, name = {
+        "files": (Q.doc_blobs(spark, SF), Standard(S.FILES_SUFFIX, file_standard(FX.DOC_ALIGNMENT), (S.FILE_CHUNKS_TABLE,)),
+                  S.FILE_CHUNKS_TABLE),
+        "kv": (Q.event_blobs(spark, SF), S.KV_SUFFIX, "s_kv_last")}[standard]
+    total = blobs.agg(F.sum(F.octet_length("data") + Q.BLOB_ID_BYTES)).first()[0]
+    monkeypatch.setattr(Q, "STREAM_FILE_BYTES", total // 18)
+    src, files, each = Q._stream_files(spark, blobs)
+    assert each == 5 and 16 <= len(files) <= 20
+    stored = spark.read.schema(S.BLOBS_SCHEMA).parquet(src).withColumn("file", F.input_file_name())
+    size = F.sum(F.octet_length("data") + Q.BLOB_ID_BYTES)
+    assert stored.groupBy("file").agg(size.alias("b")).agg(F.max("b")).first()[0] < total / 4
+    assert stored.groupBy("block_height").agg(F.countDistinct("file").alias("n")).where("n > 1").count() == 0
+    store = Q._stream_store(spark, SF, blobs, std)
+    assert 4 <= len(store.batch_ids(name)) <= 5
+    expected = Q.doc_chunks(spark, SF) if standard == "files" else Q.event_last(spark, SF)
+    assert _same(store.table(name), expected)
