@@ -117,3 +117,9 @@ def test_a_larger_stream_has_more_files_of_bounded_size_and_as_many_batches(spar
     assert 4 <= len(store.batch_ids(name)) <= 5
     expected = Q.doc_chunks(spark, SF) if standard == "files" else Q.event_last(spark, SF)
     assert _same(store.table(name), expected)
+
+
+def test_the_event_view_is_computed_once_for_a_stream(spark):
+    blobs = Q.written_event_blobs(spark, SF)
+    assert blobs.inputFiles() and not any("events.parquet" in f for f in blobs.inputFiles())
+    assert blobs.schema.names == S.BLOBS_SCHEMA.names and _same(blobs, Q.event_blobs(spark, SF).select(*blobs.columns))
