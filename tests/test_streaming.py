@@ -123,3 +123,8 @@ def test_the_event_view_is_computed_once_for_a_stream(spark):
     blobs = Q.written_event_blobs(spark, SF)
     assert blobs.inputFiles() and not any("events.parquet" in f for f in blobs.inputFiles())
     assert blobs.schema.names == S.BLOBS_SCHEMA.names and _same(blobs, Q.event_blobs(spark, SF).select(*blobs.columns))
+
+
+def test_edges_of_a_stream_of_many_files_equal_the_batch(spark, monkeypatch):
+    monkeypatch.setattr(Q, "STREAM_FILE_BYTES", 16 << 10)
+    assert _same(Q.stream_kv_edges(spark, SF), Q.kv_edges(spark, SF))
