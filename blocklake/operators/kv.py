@@ -198,23 +198,24 @@ def derive_kv_tables(kv: DataFrame, cache=None) -> dict[str, DataFrame]:
     """Every KV table of one batch of exploded rows (SNK-5 fan-out).
 
     With a `cache` the history is made first and the rest derives from it, so the rows are parsed once; the latest
-    rows, which feed five tables, are made once as well.
+    rows, which feed five tables, are made once as well, beside the tables that need the history alone.
     """
     history = kv_history(kv)
     if cache is not None:
         kv = history = cache.table("s_kv", history)
+    # The two access paths of the history, clustered by key and by contract (KV-15/16), and its newest write a block.
+    of_history = {"mv_kv_cur_key": mv_kv_cur_key(history), "mv_kv_key": mv_kv_key(history), "s_kv_by_block": kv_by_block(kv)}
     last = kv_last(kv)
     if cache is not None:
+        for name, df in of_history.items():
+            cache.begin(name, df)
         last = cache.table("s_kv_last", last)
     return {
         "s_kv": history,
-        # The two access paths of the history, clustered by key and by contract (KV-15/16).
-        "mv_kv_key": mv_kv_key(history),
-        "mv_kv_cur_key": mv_kv_cur_key(history),
+        **of_history,
         "s_kv_last": last,
         "kv_reverse": kv_reverse(last),
         "kv_accounts": kv_accounts(last),
         "kv_edges": kv_edge_state(last),
         "all_accounts": all_accounts_state(last),
-        "s_kv_by_block": kv_by_block(kv),
     }

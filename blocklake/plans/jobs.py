@@ -6,6 +6,8 @@ results agree by construction.
 
 from __future__ import annotations
 
+from concurrent.futures import Future, ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,7 @@ def ingest_calls(store: Store, calls: DataFrame, batch_id: int, upper_bound: int
 
 
 LATEST = "latest"
+TABLES_BESIDE = 4  # of a batch, written while those that others derive from are made
 
 
 def new_block_files(store: Store, path: str) -> DataFrame:
@@ -88,7 +91,8 @@ def index_standard(store: Store, blobs: DataFrame, batch_id: int, standard: Stan
                    upper_bound: int | None = None) -> dict[str, DataFrame]:
     """Derived stage: one standard's tables from its blobs, written as deltas; checkpoint after data.
 
-    Tables that others derive from are written first, and read back as this batch's delta.
+    Tables that others derive from are written first, and read back as this batch's delta. Tables begun on the way are
+    written beside them; all have ended when this returns or fails, so a retried batch never meets an earlier try.
     """
     std = STANDARDS[standard] if isinstance(standard, str) else standard
     mine = by_suffix(blobs, std.suffix)
@@ -97,19 +101,24 @@ def index_standard(store: Store, blobs: DataFrame, batch_id: int, standard: Stan
         store.write_delta(name, df, batch_id)
         return store.delta(name, batch_id).drop("bucket", "batch_id")
 
-    cache = Cache(write)
-    try:
-        tables = std.run(mine, cache, upper_bound)
-        if "kv_accounts" in tables and store.exists("kv_accounts"):
-            # A set that only grows: what is stored already, a replayed batch's own rows included, is not written again.
-            tables["kv_accounts"] = unknown_accounts(tables["kv_accounts"], store.raw("kv_accounts"))
-        store.write_tables({n: df for n, df in tables.items() if n not in cache.written}, batch_id)
-        h = _batch_height(mine, upper_bound)
-        if h is not None:
-            store.write_meta(std.suffix, h)
-        return tables
-    finally:
-        cache.release()
+    begun: list[Future] = []
+    with ThreadPoolExecutor(max_workers=TABLES_BESIDE) as pool:
+        cache = Cache(write, lambda name, df: begun.append(pool.submit(store.write_delta, name, df, batch_id)))
+        try:
+            tables = std.run(mine, cache, upper_bound)
+            if "kv_accounts" in tables and store.exists("kv_accounts"):
+                # A set that only grows: what is stored already, a replayed batch's own rows included, is not written again.
+                tables["kv_accounts"] = unknown_accounts(tables["kv_accounts"], store.raw("kv_accounts"))
+            store.write_tables({n: df for n, df in tables.items() if n not in cache.written}, batch_id)
+            for f in begun:
+                f.result()
+        finally:
+            pool.shutdown()
+            cache.release()
+    h = _batch_height(mine, upper_bound)
+    if h is not None:
+        store.write_meta(std.suffix, h)
+    return tables
 
 
 def merge_standard(store: Store, blobs: DataFrame, standard: Standard | str,

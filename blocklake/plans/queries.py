@@ -43,7 +43,7 @@ LIVE_PRED = "src0"
 SCAN_LO, SCAN_HI = FX.EVENTS_HEIGHT_BASE + 97 * 100, FX.EVENTS_HEIGHT_BASE + 97 * 300
 EXPIRE_NOW_US = 1_707_955_200_000_000  # 2024-02-15 00:00:00 UTC
 STREAM_BATCHES = 4
-STREAM_FILE_BYTES = 32 << 20  # of blobs in one file of a stream's source
+STREAM_FILE_BYTES = 8 << 20  # of blobs in one file of a stream's source
 BLOB_ID_BYTES = 200  # about what a blob holds beside its payload
 BLOCK_FEED_START = FX.BLOCKS_HEIGHT_BASE + 10
 
@@ -644,7 +644,9 @@ def _stream_files(spark: SparkSession, blobs: DataFrame) -> tuple[str, list[str]
     size = blobs.agg(F.sum(F.octet_length("data") + F.lit(BLOB_ID_BYTES).cast("long"))).first()[0] or 0
     each = max(1, -(-size // (STREAM_BATCHES * STREAM_FILE_BYTES)))
     blobs.repartitionByRange(STREAM_BATCHES * each, "block_height").write.parquet(src)
-    return src, sorted(spark.read.schema(S.BLOBS_SCHEMA).parquet(src).inputFiles()), each
+    files = sorted(spark.read.schema(S.BLOBS_SCHEMA).parquet(src).inputFiles())
+    # A block stays in one file, so there are no more files than blocks.
+    return src, files, max(1, -(-len(files) // STREAM_BATCHES))
 
 
 def _replay(spark: SparkSession, src: str, files: list[str]) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from blocklake import schemas as S
 from blocklake.functions import binary
+from blocklake.functions.fence import fence
 
 # Fixed fixture parameters.
 EVENTS_EPOCH = "2024-01-01 00:00:00"
@@ -32,9 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def calls_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KV-path calls (FIXTURES §2.1): one call per event, CALLS_SCHEMA."""
-    ev = table(spark, sf_dir, "events")
-    hr = F.expr(f"timestampdiff(HOUR, TIMESTAMP_NTZ'{EVENTS_EPOCH}', cast(ts as timestamp_ntz))").cast("long")
-    k = F.get_json_object("props", "$.k").cast("long")
     eid = F.col("event_id")
     method = (
         F.when(F.col("event_type") == "error",
@@ -43,6 +41,11 @@ def calls_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "signup", "__fastdata_raw")
         .otherwise("__fastdata_kv")
     )
+    # Each is read several times below, the method by the routing's filters as well: computed once a row.
+    ev = fence(
+        table(spark, sf_dir, "events"), _method=method, _k=F.get_json_object("props", "$.k").cast("long"),
+        _hr=F.expr(f"timestampdiff(HOUR, TIMESTAMP_NTZ'{EVENTS_EPOCH}', cast(ts as timestamp_ntz))").cast("long"))
+    hr, k = F.col("_hr"), F.col("_k")
     kv_text = F.concat(
         F.lit('{"graph/follow/user'), (k % 20).cast("string"), F.lit('.near":'),
         F.when(k % 5 == 0, F.lit("null")).otherwise(k.cast("string")),
@@ -60,7 +63,7 @@ def calls_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((hr + EVENTS_HOUR_OFFSET) * 3_600_000_000_000).cast("long").alias("block_timestamp"),
         (F.col("user_id") % 6).cast("int").alias("shard_id"),
         (eid % 100_000).cast("int").alias("receipt_index"),
-        method.alias("method_name"),
+        F.col("_method").alias("method_name"),
         F.encode(args, "UTF-8").alias("args"),
     )
 

@@ -24,9 +24,11 @@ class Cache:
     computed once, no executor holds it, and a lost one costs a reading of files. Other intermediates are persisted.
     """
 
-    def __init__(self, write: Callable[[str, DataFrame], DataFrame] | None = None):
+    def __init__(self, write: Callable[[str, DataFrame], DataFrame] | None = None,
+                 start: Callable[[str, DataFrame], None] | None = None):
         self.items: list[DataFrame] = []
         self.write = write
+        self.start = start
         self.written: set[str] = set()
 
     def __call__(self, df: DataFrame) -> DataFrame:
@@ -41,6 +43,13 @@ class Cache:
         self.written.add(name)
         return self.write(name, df)
 
+    def begin(self, name: str, df: DataFrame) -> None:
+        """Table `name` of the batch, which no other derives from: where a store is at hand it is written from now on,
+        while the transform goes on."""
+        if self.start is not None:
+            self.written.add(name)
+            self.start(name, df)
+
     def release(self) -> None:
         for df in self.items:
             df.unpersist()

@@ -128,3 +128,47 @@ def test_the_event_view_is_computed_once_for_a_stream(spark):
 def test_edges_of_a_stream_of_many_files_equal_the_batch(spark, monkeypatch):
     monkeypatch.setattr(Q, "STREAM_FILE_BYTES", 16 << 10)
     assert _same(Q.stream_kv_edges(spark, SF), Q.kv_edges(spark, SF))
+
+
+def test_the_event_view_reads_each_json_text_once(spark):
+    plan = Q.event_calls(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("get_json_object(") == 1 and plan.count("timestampdiff(") == 1
+
+
+def test_a_quarter_of_the_files_is_a_micro_batch_even_where_blocks_are_few(spark, monkeypatch):
+    blobs = Q.event_blobs(spark, SF).withColumn("block_height", F.col("block_height") % 10)
+    monkeypatch.setattr(Q, "STREAM_FILE_BYTES", 1 << 10)
+    _, files, each = Q._stream_files(spark, blobs)
+    assert 4 < len(files) <= 10 and -(-len(files) // each) == 4
+
+
+def test_tables_of_the_history_are_begun_before_the_latest_rows(spark):
+    from blocklake.plans.jobs import index_standard
+    from blocklake.streaming.registry import Cache
+
+    order = []
+    cache = Cache(lambda name, df: order.append(name) or df, lambda name, df: order.append(name))
+    tables = K.derive_kv_tables(Q.event_kv(spark, SF), cache)
+    assert order[0] == "s_kv" and order[-1] == "s_kv_last"
+    assert set(order[1:-1]) == {"mv_kv_key", "mv_kv_cur_key", "s_kv_by_block"} and set(order) == cache.written
+    store = Store(spark, scratch_path(spark, "begun-store"))
+    index_standard(store, Q.event_blobs(spark, SF), 0, S.KV_SUFFIX)
+    for name, df in K.derive_kv_tables(Q.event_kv(spark, SF)).items():
+        assert name in tables and _same(store.table(name), df)
+
+
+def test_a_failed_table_fails_its_batch_and_moves_no_checkpoint(spark, monkeypatch):
+    from blocklake.plans.jobs import index_standard
+
+    store = Store(spark, scratch_path(spark, "failed-store"))
+    write = store.write_delta
+
+    def failing(name, df, batch_id):
+        if name == "mv_kv_key":
+            raise OSError("disk full")
+        write(name, df, batch_id)
+
+    monkeypatch.setattr(store, "write_delta", failing)
+    with pytest.raises(OSError):
+        index_standard(store, Q.event_blobs(spark, SF), 0, S.KV_SUFFIX)
+    assert store.checkpoint_height(S.KV_SUFFIX) is None
