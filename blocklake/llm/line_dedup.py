@@ -3,8 +3,9 @@
 Two lines within `threshold` edits: the shorter, cut into threshold + 1 segments, has a segment that the longer
 holds unchanged near the same place. Every line indexes its segments and probes with the substrings that a
 partner of its length, or up to `threshold` shorter, could hold there (multi-match-aware positions). Keys are
-hashes of (length, segment, substring). Only keys that two different lines meet under are joined; there the
-lines themselves are compared inside the join, so no pair leaves it that is not a link. Where too many lines share a
+hashes of (length, segment, substring). Keys that two different lines meet under are found by numbers alone, and one
+is kept of those that the same lines meet under; only there are the lines' texts brought together and
+compared inside the join, so no pair leaves it that is not a link. Where too many lines share a
 segment (lines of one template), they meet instead under eight segments without two, in blocks of bounded size. Verification trims the
 common ends and runs a banded bit-parallel edit distance over what is left. Lines too short for the segments can be
 decided by equality alone (`short`): they pass through the same aggregate and never enter the join.
@@ -18,11 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blocklake.functions.fence import fence
-from blocklake.llm.common import let, materialize, sized, text_key
+from blocklake.llm.common import BROADCAST_ROWS, discard, free_shuffles, let, materialize, sized, text_key
 from blocklake.llm.components import connected_components
 
 THRESHOLD = 2
 MIN_CHARS = 24
+MET_ROWS = BROADCAST_ROWS  # rows of keys or of lines' hashes that are broadcast; more are joined by shuffle, without text
 MASK_PARTS = 8  # segments of a line whose single segments are too common to be keys
 HOT_PAIRS = 1 << 16  # pairs that may be compared under one key; above, lines meet under masks
 BLOCK_LINES = 256  # lines of a mask's group that one key of the join holds
@@ -152,13 +154,20 @@ def within(a: Column, b: Column, threshold: int) -> Column:
         return let(F.struct(F.substr(s["a"], p + 1).alias("a"), F.substr(s["b"], p + 1).alias("b")), ends)
 
     def ends(r: Column) -> Column:
-        return let(_common_prefix(F.reverse(r["a"]), F.reverse(r["b"]), F.char_length(r["a"])), lambda q: core(r, q))
+        back = F.struct(F.reverse(r["a"]).alias("a"), F.reverse(r["b"]).alias("b"))
+        return let(let(back, lambda s: _common_prefix(s["a"], s["b"], F.char_length(r["a"]))), lambda q: core(r, q))
 
     def core(r: Column, q: Column) -> Column:
-        left = lambda c: F.split(F.left(c, F.char_length(c) - q), "")
-        chars = lambda c: F.array_remove(left(c), "")
-        return let(F.struct(chars(r["a"]).alias("a"), chars(r["b"]).alias("b")), lambda s: F.when(
-            F.size(s["b"]) <= threshold, True).otherwise(_banded(s["a"], s["b"], threshold) <= threshold))
+        left = lambda c: F.left(c, F.char_length(c) - q)
+        return let(F.struct(left(r["a"]).alias("a"), left(r["b"]).alias("b")), decide)
+
+    def decide(s: Column) -> Column:
+        # Spark's own banded distance goes first; the bit-parallel one decides what it leaves.
+        chars = lambda c: F.array_remove(F.split(c, ""), "")
+        return F.when(F.char_length(s["b"]) <= threshold, True).when(
+            F.levenshtein(s["a"], s["b"], threshold) < 0, False).otherwise(
+            let(F.struct(chars(s["a"]).alias("a"), chars(s["b"]).alias("b")),
+                lambda s: _banded(s["a"], s["b"], threshold) <= threshold))
 
     short = F.char_length(a) <= F.char_length(b)
     both = F.struct(F.when(short, a).otherwise(b).alias("a"), F.when(short, b).otherwise(a).alias("b"))
@@ -181,21 +190,69 @@ def eligible_lines(docs: DataFrame, doc_id: str, text: str, min_chars: int, shor
     return lines.withColumn("n", F.char_length("line")).where(wanted | _short(F.col("line"), min_chars) if short else wanted)
 
 
-def line_links(lines: DataFrame, threshold: int) -> DataFrame:
-    """(a, b): md5 of every two different lines within `threshold` edits."""
-    keyed = with_keys(lines.select(F.xxhash64("line").alias("h"), "line"), threshold)
+def _met(lines: DataFrame, threshold: int) -> DataFrame:
+    """(key, h, own): each entry once, without text, of the lines that meet another one under a key that one of them owns.
+
+    `lines` has `h` and `line`. The text stays where it is read: only numbers are shuffled.
+    """
+    keyed = with_keys(lines.select("h", "line"), threshold).select("key", "h", "own")
     met = keyed.groupBy("key").agg(F.min("h").alias("least"), F.max("h").alias("most"), F.max("own").alias("own"))
     met = materialize(met.where("least != most AND own = 1").select("key"), "met")
-    near = materialize(keyed.join(sized(met), "key", "left_semi").select("line").distinct(), "near-lines")
-    near = with_keys(near.select(F.md5("line").alias("id"), "line"), threshold)
-    near = materialize(near.join(sized(met), "key", "left_semi"), "near-keys")
-    per = near.groupBy("key").agg(F.sum("own").alias("n_own"), F.count(F.lit(1)).alias("n_all"))
-    hot = materialize(per.where(F.col("n_own") * F.col("n_all") > HOT_PAIRS).select(
-        "key", (F.col("n_own") * F.col("n_all")).alias("pairs")), "hot-keys")
+    free_shuffles(met)
+    entries = materialize(keyed.join(sized(met, MET_ROWS), "key", "left_semi").distinct(), "met-entries")
+    discard(met)
+    return entries
+
+
+def _keys(entries: DataFrame) -> DataFrame:
+    """(key, pairs, even): of the keys that the same entries meet under, one; `pairs` may be compared there.
+
+    Lines that differ in one segment share the others, so a group of them would meet, with its text, under each.
+    `even`: so many entries are owned that the join may take them all on both sides.
+    """
+    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "h", "own")).alias(f"m{seed}")
+    per = entries.groupBy("key").agg(F.sum("own").alias("n_own"), F.count(F.lit(1)).alias("n_all"), mark(0), mark(1))
+    keys = per.groupBy("n_own", "n_all", "m0", "m1").agg(F.min("key").alias("key"))
+    return materialize(keys.select("key", (F.col("n_own") * F.col("n_all")).alias("pairs"),
+                                   (F.col("n_all") <= 4 * F.col("n_own")).alias("even")), "met-keys")
+
+
+def _only(df: DataFrame, lines: DataFrame) -> DataFrame:
+    """The rows of `df` that may join `lines` by `h`: all where there are too many of these to be broadcast."""
+    return df.join(F.broadcast(lines.select("h")), "h", "left_semi") if lines.count() <= MET_ROWS else df
+
+
+def line_links(lines: DataFrame, first: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b): ids of every two different lines within `threshold` edits; (id, first): of the lines that may have links.
+
+    `lines` has `h` and `line`; `first` has one row per line: id, h, md5, first.
+    """
+    entries = _met(lines, threshold)
+    keys = _keys(entries)
+    of = entries.join(sized(keys.select("key", "even"), MET_ROWS), "key").groupBy("h").agg(
+        F.collect_list(F.struct("key", "own", "even")).alias("entries"))
+    of = materialize(of, "met-lines")
+    discard(entries)
+    near = _only(first, of).join(of, "h")
+    near = materialize(near.select("h", "md5", "id", "first", "entries"), "near-lines")
+    discard(of)
+    # The text is moved once by its digest, one copy a task, and once by the keys.
+    text = _only(lines.select("h", "line"), near).groupBy(F.unhex(F.md5("line")).alias("md5")).agg(F.first("line").alias("line"))
+    text = text.join(near.select("md5", "id", "entries"), "md5")
+    rows = materialize(text.select("id", "line", F.inline("entries")), "near-keys", compression="zstd")
+    hot = materialize(keys.where(F.col("pairs") > HOT_PAIRS).select("key", "pairs"), "hot-keys")
+    free_shuffles(rows)
+    links = materialize(_linked(rows, hot, threshold), "line-links")
+    discard(rows)
+    return links, near.select("id", "first")
+
+
+def _linked(near: DataFrame, hot: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) of the entries `near`; lines that meet under hot keys meet under masks where that leaves fewer pairs."""
     if hot.isEmpty():
-        return _links(near.withColumn("block", F.lit(0)), threshold).distinct()
+        return _all_links(near, threshold).distinct()
     # Two lines that meet under hot keys alone are both in `common`, and masks by themselves find all its links.
-    cold = near.join(sized(hot.select("key")), "key", "left_anti").withColumn("block", F.lit(0))
+    cold = near.join(sized(hot.select("key")), "key", "left_anti")
     common = materialize(near.join(sized(hot.select("key")), "key", "left_semi").select("id", "line").distinct(), "common-lines")
     masked = with_masks(common, threshold)
     met = masked.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.sum("own").alias("n_own"), F.count(F.lit(1)).alias("n_all"))
@@ -204,27 +261,42 @@ def line_links(lines: DataFrame, threshold: int) -> DataFrame:
         (F.col("n_own") * F.col("n_all")).alias("pairs")), "met-masks")
     # Lines that differ in one place alone meet under many masks; there the segments have fewer pairs to compare.
     if (met.agg(F.sum("pairs")).first()[0] or 0) >= hot.agg(F.sum("pairs")).first()[0]:
-        return _links(near.withColumn("block", F.lit(0)), threshold).distinct()
+        return _all_links(near, threshold).distinct()
     masked = masked.join(sized(met), "key")
     # A group of many lines is compared in blocks: an own entry is in one of them, a probe goes to each.
     block = F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int")
     own = masked.where("own = 1").select("id", "line", "key", "own", block.alias("block"))
     probes = masked.select("id", "line", "key", "own", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("block"))
-    return _links(cold, threshold).unionByName(_links(probes, threshold, own)).distinct()
+    return _all_links(cold, threshold).unionByName(_links(own, probes, threshold)).distinct()
 
 
-def _links(near: DataFrame, threshold: int, own: DataFrame | None = None) -> DataFrame:
-    """(a, b) of the lines that meet under one (key, block) and are within `threshold` edits."""
-    a, b = (near.where("own = 1") if own is None else own).alias("a"), near.alias("b")
-    # The lines are compared in the join's condition: pairs that are not links never become rows. Spark's own
-    # banded distance, which is compiled, goes first; the bit-parallel one decides what it leaves.
+def _all_links(near: DataFrame, threshold: int) -> DataFrame:
+    """`_links` of entries that are in no blocks; those of `even` keys are both sides of the join, shuffled once."""
+    near = near.withColumn("block", F.lit(0))
+    even, rest = near.where("even"), near.where("NOT even")
+    return _links(even, even, threshold).unionByName(_links(rest.where("own = 1"), rest, threshold))
+
+
+def _links(own: DataFrame, near: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) of the lines that meet under one (key, block), which one of them owns, and are within `threshold` edits."""
+    a, b = own.alias("a"), near.alias("b")
+    # No condition is on one side alone, so sides that are the same rows stay so, and one shuffle serves both.
+    # The lines are compared in the join's condition: pairs that are not links never become rows.
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.block") == F.col("b.block"))
-                   & (F.col("a.id") != F.col("b.id")) & ((F.col("b.own") == 0) | (F.col("a.id") < F.col("b.id")))
-                   & (F.levenshtein("a.line", "b.line", threshold) >= 0)
+                   & (F.col("a.id") != F.col("b.id"))
+                   & ((F.col("a.own") > F.col("b.own")) | ((F.col("a.own") + F.col("b.own") == 2) & (F.col("a.id") < F.col("b.id"))))
+                   & _ends_meet(F.col("a.line"), F.col("b.line"), threshold)
                    & within(F.col("a.line"), F.col("b.line"), threshold))
     return pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"))
 
 
+def _ends_meet(a: Column, b: Column, threshold: int, chars: int = 16) -> Column:
+    """Whether the first and the last `chars` of two lines are within twice `threshold` edits, as those of links are:
+    one bound for the edits in them, one for where the other line's end is cut. Compiled, and of bounded cost."""
+    meet = lambda x, y: F.levenshtein(x, y, 2 * threshold) >= 0
+    return meet(F.left(a, F.lit(chars)), F.left(b, F.lit(chars))) & meet(F.right(a, F.lit(chars)), F.right(b, F.lit(chars)))
+
+
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD,
                  min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """One row per distinct line of at least `min_chars`: doc_id, tk, line_no of its first place, keep, n_links.
@@ -236,13 +308,14 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     """
     if min_chars <= threshold:
         raise ValueError("min_chars must exceed threshold: each segment needs a character")
-    lines = eligible_lines(docs, doc_id, text, min_chars, short)
-    first = lines.groupBy(F.md5("line").alias("id")).agg(F.min(F.struct("doc_id", "tk", "line_no")).alias("first"))
-    first = materialize(first, "lines")
-    links = materialize(line_links(lines.where(F.col("n") >= min_chars), threshold), "line-links")
+    lines = eligible_lines(docs, doc_id, text, min_chars, short).withColumn("h", F.xxhash64("line"))
+    first = lines.groupBy(F.unhex(F.md5("line")).alias("md5"), "h").agg(F.min(F.struct("doc_id", "tk", "line_no")).alias("first"))
+    first = materialize(first.withColumn("id", F.monotonically_increasing_id()), "lines")
+    free_shuffles(first)
+    links, near = line_links(lines.where(F.col("n") >= min_chars), first, threshold)
     comps = connected_components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    linked = first.join(comps, F.col("id") == F.col("node")).join(degree, "id")
+    linked = near.join(comps, F.col("id") == F.col("node")).join(degree, "id")
     best = linked.groupBy("component").agg(F.min("first").alias("best"))
     marks = linked.join(best, "component").select("id", (F.col("first") == F.col("best")).alias("keep"), "n_links")
     out = first.join(sized(materialize(marks, "line-marks")), "id", "left")
